@@ -151,3 +151,176 @@ ORDER BY avg_review_score DESC NULLS FIRST, total_revenue DESC NULLS FIRST, oi.s
 LIMIT 20""")
 def _q5(spark, sf_dir):
     return A.q5_seller_quality(star(spark, sf_dir))
+
+
+# -------------------------------------------------------------- dashboard
+from feria.plans import dashboard as Dsh  # noqa: E402
+
+# A concrete user choice used by the "_filtered" variants (years, customer
+# states, order statuses).
+SAMPLE_FILTER = Dsh.Filters(years=(1996, 1999), states=("NB", "NC", "NH", "NK", "NP", "NX"),
+                            statuses=("delivered", "shipped"))
+
+
+def flt_sql(flt: "Dsh.Filters") -> str:
+    parts = [f"o.order_year BETWEEN {flt.years[0]} AND {flt.years[1]}" if flt.years
+             else "o.order_year IS NOT NULL"]
+    q = lambda v: "'" + str(v).replace("'", "''") + "'"
+    if flt.states:
+        parts.append(f"c.state IN ({', '.join(q(s) for s in flt.states)})")
+    if flt.statuses:
+        parts.append(f"o.order_status IN ({', '.join(q(s) for s in flt.statuses)})")
+    return " AND ".join(parts)
+
+
+OC = "fact_orders o JOIN dim_customers c ON o.customer_id = c.customer_id"
+
+
+def _kpi_sql(flt, by_order: bool) -> str:
+    pay = ("(SELECT order_id, sum(payment_value) AS payment_value FROM fact_payments "
+           "GROUP BY order_id)" if by_order else "fact_payments")
+    return f"""
+SELECT CAST(count(DISTINCT o.order_id) AS BIGINT) AS total_orders,
+       CAST(round(sum(p.payment_value), 0) AS DOUBLE) AS total_revenue,
+       CAST(count(DISTINCT c.customer_unique_id) AS BIGINT) AS unique_buyers,
+       {O.mean("o.delivery_time_days", 1)} AS avg_delivery_days,
+       {O.pct("count(*) FILTER (WHERE o.order_status = 'canceled')", "count(*)", 2)}
+            AS cancel_rate,
+       {O.mean("r.review_score", 2)} AS avg_review
+FROM {OC} LEFT JOIN {pay} p ON o.order_id = p.order_id
+LEFT JOIN fact_reviews r ON o.order_id = r.order_id
+WHERE {flt_sql(flt)}"""
+
+
+def _monthly_sql(flt, by_order: bool) -> str:
+    pay = ("(SELECT order_id, sum(payment_value) AS payment_value FROM fact_payments "
+           "GROUP BY order_id)" if by_order else "fact_payments")
+    return f"""
+SELECT o.order_yearmonth, CAST(count(*) AS BIGINT) AS total_orders,
+       CAST(count(*) FILTER (WHERE o.is_delivered = 1) AS BIGINT) AS delivered,
+       CAST(round(sum(p.payment_value), 0) AS DOUBLE) AS revenue
+FROM {OC} LEFT JOIN {pay} p ON o.order_id = p.order_id
+WHERE {flt_sql(flt)} AND o.order_yearmonth IS NOT NULL
+GROUP BY o.order_yearmonth"""
+
+
+def _q2_sql(flt) -> str:
+    return f"""
+SELECT p.category_name_en AS category, CAST(count(DISTINCT oi.order_id) AS BIGINT) AS orders,
+       CAST(round(sum(oi.price), 0) AS DOUBLE) AS revenue,
+       {O.money_mean("oi.price", 2)} AS avg_price, CAST(count(*) AS BIGINT) AS items_sold
+FROM fact_order_items oi JOIN dim_products p ON oi.product_id = p.product_id
+JOIN {OC.replace('fact_orders o', 'fact_orders o', 1)} ON oi.order_id = o.order_id
+WHERE p.category_name_en IS NOT NULL AND {flt_sql(flt)}
+GROUP BY p.category_name_en
+ORDER BY revenue DESC NULLS FIRST, category LIMIT 10"""
+
+
+def _q3_sql(flt, limit: str = "") -> str:
+    return f"""
+SELECT c.state, CAST(count(*) AS BIGINT) AS orders,
+       {O.mean("o.delivery_time_days", 1)} AS avg_days,
+       round(quantile_cont(o.delivery_time_days, 0.5), 1) AS median_days,
+       {O.mean("o.delay_days", 1)} AS avg_delay,
+       {O.pct("count(*) FILTER (WHERE o.delay_days > 0)", "count(*)", 1)} AS late_pct
+FROM {OC}
+WHERE {flt_sql(flt)} AND o.is_delivered = 1 AND o.delivery_time_days IS NOT NULL
+GROUP BY c.state HAVING count(*) >= 10
+ORDER BY avg_days DESC NULLS FIRST, c.state {limit}"""
+
+
+def _q4_sql(flt) -> str:
+    return f"""
+SELECT CAST(sum(a) AS BIGINT) AS canceled, CAST(sum(b) AS BIGINT) AS late,
+       CAST(sum(n) AS BIGINT) AS negative_reviews,
+       CAST(count(*) - sum(greatest(a, b, n)) AS BIGINT) AS no_incident,
+       CAST(count(*) AS BIGINT) AS total
+FROM (SELECT CASE WHEN o.order_status = 'canceled' THEN 1 ELSE 0 END AS a,
+             CASE WHEN o.delay_days > 0 THEN 1 ELSE 0 END AS b,
+             COALESCE(r.is_negative, 0) AS n
+      FROM {OC} LEFT JOIN fact_reviews r ON o.order_id = r.order_id
+      WHERE {flt_sql(flt)}) flags"""
+
+
+def _score_sql(flt) -> str:
+    tot = "sum(count(*)) OVER ()"
+    return f"""
+SELECT CAST(r.review_score AS BIGINT) AS review_score, CAST(count(*) AS BIGINT) AS total,
+       {O.pct("count(*)", tot, 1)} AS pct
+FROM fact_reviews r JOIN {OC} ON r.order_id = o.order_id
+WHERE {flt_sql(flt)}
+GROUP BY r.review_score ORDER BY r.review_score"""
+
+
+def _q5_sql(flt, by_order: bool) -> str:
+    if by_order:
+        items = ("(SELECT seller_id, order_id, sum(price) AS price FROM fact_order_items "
+                 "GROUP BY seller_id, order_id)")
+        n = "count(*)"
+    else:
+        items = "fact_order_items"
+        n = "count(DISTINCT oi.order_id)"
+    return f"""
+SELECT oi.seller_id, s.state AS seller_state, CAST({n} AS BIGINT) AS orders,
+       CAST(round(sum(oi.price), 0) AS DOUBLE) AS revenue,
+       {O.mean("r.review_score", 2)} AS avg_score,
+       {O.pct("count(*) FILTER (WHERE r.is_negative = 1)", n, 1)} AS negative_pct,
+       {O.mean("o.delivery_time_days", 1)} AS avg_delivery_days,
+       {O.pct("count(*) FILTER (WHERE o.delay_days > 0)", n, 1)} AS late_pct
+FROM {items} oi JOIN fact_orders o ON oi.order_id = o.order_id
+JOIN dim_sellers s ON oi.seller_id = s.seller_id
+JOIN dim_customers c ON o.customer_id = c.customer_id
+LEFT JOIN fact_reviews r ON o.order_id = r.order_id
+WHERE {flt_sql(flt)} AND o.is_delivered = 1
+GROUP BY oi.seller_id, s.state HAVING {n} >= 30
+ORDER BY avg_score DESC NULLS FIRST, revenue DESC NULLS FIRST, oi.seller_id"""
+
+
+def _dash(name, sql, fn):
+    register(name, sql)(fn)
+
+
+ALL = Dsh.Filters()
+for _suffix, _flt in (("", ALL), ("_filtered", SAMPLE_FILTER)):
+    _dash(f"kpi_row{_suffix}", _kpi_sql(_flt, False),
+          lambda s, d, f=_flt: Dsh.kpi_row(star(s, d), f))
+    _dash(f"kpi_row_by_order{_suffix}", _kpi_sql(_flt, True),
+          lambda s, d, f=_flt: Dsh.kpi_row_by_order(star(s, d), f))
+    _dash(f"dash_q1_monthly{_suffix}", _monthly_sql(_flt, False) + " ORDER BY 1",
+          lambda s, d, f=_flt: Dsh.monthly(star(s, d), f))
+    _dash(f"dash_q1_monthly_by_order{_suffix}", _monthly_sql(_flt, True) + " ORDER BY 1",
+          lambda s, d, f=_flt: Dsh.monthly_by_order(star(s, d), f))
+    _dash(f"dash_q1_peak{_suffix}",
+          _monthly_sql(_flt, False) + " ORDER BY total_orders DESC, order_yearmonth LIMIT 1",
+          lambda s, d, f=_flt: Dsh.peak_month(Dsh.monthly(star(s, d), f)))
+    _dash(f"dash_q2_categories{_suffix}", _q2_sql(_flt),
+          lambda s, d, f=_flt: Dsh.top_categories(star(s, d), f))
+    _dash(f"dash_q3_delivery{_suffix}", _q3_sql(_flt),
+          lambda s, d, f=_flt: Dsh.delivery_by_state(star(s, d), f))
+    _dash(f"dash_q4_incidents{_suffix}", _q4_sql(_flt),
+          lambda s, d, f=_flt: Dsh.incident_split(star(s, d), f))
+    _dash(f"score_distribution{_suffix}", _score_sql(_flt),
+          lambda s, d, f=_flt: Dsh.score_distribution(star(s, d), f))
+    _dash(f"dash_q5_sellers{_suffix}", _q5_sql(_flt, False),
+          lambda s, d, f=_flt: Dsh.seller_scatter(star(s, d), f))
+    _dash(f"dash_q5_sellers_by_order{_suffix}", _q5_sql(_flt, True),
+          lambda s, d, f=_flt: Dsh.seller_scatter_by_order(star(s, d), f))
+
+_dash("dash_q3_delivery_top15", _q3_sql(ALL, "LIMIT 15"),
+      lambda s, d: Dsh.delivery_top(Dsh.delivery_by_state(star(s, d), ALL), 15))
+_dash("top_sellers_table", f"""
+SELECT substr(CAST(seller_id AS VARCHAR), 1, 8) || '…' AS seller, orders,
+       'R$ ' || format('{{:,.0f}}', revenue) AS revenue_brl, avg_score AS score, late_pct
+FROM ({_q5_sql(ALL, False)} LIMIT 10) q""",
+      lambda s, d: Dsh.top_sellers_table(Dsh.seller_scatter(star(s, d), ALL), 10))
+_dash("filter_choices", """
+SELECT choice, value FROM (
+  SELECT DISTINCT 'year' AS choice, CAST(order_year AS VARCHAR) AS value FROM fact_orders
+  WHERE order_year IS NOT NULL
+  UNION ALL SELECT DISTINCT 'state', state FROM dim_customers WHERE state IS NOT NULL
+  UNION ALL SELECT DISTINCT 'status', order_status FROM fact_orders) t
+ORDER BY choice, value""", lambda s, d: Dsh.filter_choices(star(s, d)))
+_dash("year_bounds", """
+SELECT CAST(coalesce(min(order_year), 2016) AS BIGINT) AS min_year,
+       CAST(coalesce(max(order_year), 2018) AS BIGINT) AS max_year FROM fact_orders""",
+      lambda s, d: Dsh.year_bounds(star(s, d)))
