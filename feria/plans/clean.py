@@ -86,7 +86,7 @@ def clean_products(products: DataFrame, translation: DataFrame) -> DataFrame:
 def clean_orders(orders: DataFrame, order_items: DataFrame) -> DataFrame:
     """Parse dates, delivered flag, floored day counts (negative delivery
     time -> NULL, delay keeps its sign), year / month / 'yyyy-MM', and the
-    has-items flag as an existence join against distinct item keys."""
+    has-items flag from a left join to the distinct item keys."""
     o = orders.withColumns({c: to_ts(orders, c) for c in ORDER_TS})
     dt = floor_days("order_delivered_customer_date", "order_purchase_timestamp")
     o = o.withColumns({
@@ -100,9 +100,11 @@ def clean_orders(orders: DataFrame, order_items: DataFrame) -> DataFrame:
     })
     # Distinct first: duplicates are combined map-side, so a hot order never
     # lands whole in one task of the join.
-    keys = order_items.select(F.col("order_id").alias("_k")).distinct()
-    hit = keys.where(F.col("_k") == F.col("order_id").outer()).exists()
-    return o.withColumn("has_items", hit.cast("int"))
+    keys = order_items.select("order_id").distinct().withColumn("_hit", F.lit(1))
+    return (o.join(keys, "order_id", "left")
+            .withColumn("has_items", F.coalesce(F.col("_hit"), F.lit(0)))
+            .drop("_hit")
+            .select(*o.columns, "has_items"))
 
 
 def clean_order_items(items: DataFrame) -> DataFrame:

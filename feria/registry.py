@@ -324,3 +324,103 @@ _dash("year_bounds", """
 SELECT CAST(coalesce(min(order_year), 2016) AS BIGINT) AS min_year,
        CAST(coalesce(max(order_year), 2018) AS BIGINT) AS max_year FROM fact_orders""",
       lambda s, d: Dsh.year_bounds(star(s, d)))
+
+
+# ------------------------------------------------ cleaned tables and marts
+from feria.plans import marts as M  # noqa: E402
+from feria.plans.warehouse import SOURCE as STAR_SOURCE  # noqa: E402
+
+
+def _cast_sql(cols: str) -> str:
+    """'a:i b:d c' -> select list with BIGINT / DOUBLE casts (s/t untouched)."""
+    out = []
+    for spec in cols.split():
+        name, _, kind = spec.partition(":")
+        if kind == "i":
+            out.append(f"CAST({name} AS BIGINT) AS {name}")
+        elif kind == "d":
+            out.append(f"CAST({name} AS DOUBLE) AS {name}")
+        else:
+            out.append(name)
+    return ", ".join(out)
+
+
+CLEAN_COLS = {
+    "geolocation": "geolocation_zip_code_prefix:i geolocation_lat:d geolocation_lng:d "
+                   "geolocation_city geolocation_state",
+    "customers": "customer_id:i customer_unique_id:i customer_zip_code_prefix:i customer_city "
+                 "customer_state",
+    "sellers": "seller_id:i seller_zip_code_prefix:i seller_city seller_state",
+    "products": "product_id:i product_category_name product_name_lenght:i "
+                "product_description_lenght:i product_photos_qty:i product_weight_g:d "
+                "product_length_cm:d product_height_cm:d product_width_cm:d "
+                "product_category_name_english",
+    "orders": "order_id:i customer_id:i order_status order_purchase_timestamp order_approved_at "
+              "order_delivered_carrier_date order_delivered_customer_date "
+              "order_estimated_delivery_date is_delivered:i delivery_time_days:i delay_days:i "
+              "order_year:i order_month:i order_yearmonth has_items:i",
+    "order_items": "order_id:i order_item_id:i product_id:i seller_id:i shipping_limit_date "
+                   "price:d freight_value:d total_item_value:d",
+    "payments": "order_id:i payment_sequential:i payment_type payment_installments:i "
+                "payment_value:d",
+    "reviews": "review_id:i order_id:i review_score:i review_comment_title "
+               "review_comment_message review_creation_date review_answer_timestamp "
+               "is_negative:i has_comment:i",
+}
+
+for _t, _cols in CLEAN_COLS.items():
+    register(f"clean_{_t}", f"SELECT {_cast_sql(_cols)} FROM cl_{_t}")(
+        lambda s, d, t=_t: clean(s, d)[t])
+
+register("payments_summary", f"""SELECT {_cast_sql(
+    "order_id:i total_payment:d payment_installments:i payment_methods_count:i "
+    "primary_payment_type")} FROM payments_summary""")(
+    lambda s, d: M.payments_summary(clean(s, d)["payments"]))
+register("items_per_order", f"""SELECT {_cast_sql(
+    "order_id:i item_count:i items_revenue:d freight_total:d seller_id:i product_id:i")}
+FROM items_per_order""")(lambda s, d: M.items_per_order(clean(s, d)["order_items"]))
+
+MASTER_COLS = (CLEAN_COLS["orders"] + " customer_unique_id:i customer_city customer_state "
+               "total_payment:d payment_installments:i payment_methods_count:i "
+               "primary_payment_type review_score:i is_negative:i has_comment:i item_count:i "
+               "items_revenue:d freight_total:d seller_id:i product_id:i "
+               "product_category_name_english seller_city seller_state")
+register("master", f"""
+SELECT {_cast_sql(MASTER_COLS)} FROM (
+  SELECT o.*, c.customer_unique_id, c.customer_city, c.customer_state,
+         ps.total_payment, ps.payment_installments, ps.payment_methods_count,
+         ps.primary_payment_type, r.review_score, r.is_negative, r.has_comment,
+         i.item_count, i.items_revenue, i.freight_total, i.seller_id, i.product_id,
+         p.product_category_name_english, s.seller_city, s.seller_state
+  FROM cl_orders o
+  LEFT JOIN payments_summary ps ON o.order_id = ps.order_id
+  LEFT JOIN cl_reviews r ON o.order_id = r.order_id
+  LEFT JOIN items_per_order i ON o.order_id = i.order_id
+  LEFT JOIN cl_customers c ON o.customer_id = c.customer_id
+  LEFT JOIN cl_products p ON i.product_id = p.product_id
+  LEFT JOIN cl_sellers s ON i.seller_id = s.seller_id
+  WHERE o.has_items = 1) m""")(lambda s, d: M.master(clean(s, d)))
+
+STAR_COLS = {
+    "dim_geolocation": "zip_code_prefix:i city state lat:d lng:d",
+    "dim_customers": "customer_id:i customer_unique_id:i zip_code_prefix:i city state",
+    "dim_sellers": "seller_id:i zip_code_prefix:i city state",
+    "dim_products": "product_id:i category_name_pt category_name_en name_length:i "
+                    "description_length:i photos_qty:i weight_g:d length_cm:d height_cm:d "
+                    "width_cm:d",
+    "fact_orders": "order_id:i customer_id:i order_status is_delivered:i has_items:i "
+                   "purchase_timestamp approved_at delivered_carrier_date "
+                   "delivered_customer_date estimated_delivery_date delivery_time_days:i "
+                   "delay_days:i order_year:i order_month:i order_yearmonth",
+    "fact_order_items": "order_id:i order_item_id:i product_id:i seller_id:i "
+                        "shipping_limit_date price:d freight_value:d total_item_value:d",
+    # payment_id is a surrogate (unique, not reproducible by SQL): left out
+    "fact_payments": "order_id:i payment_sequential:i payment_type payment_installments:i "
+                     "payment_value:d",
+    "fact_reviews": "review_id:i order_id:i review_score:i is_negative:i has_comment:i "
+                    "review_comment_title review_comment_message review_creation_date "
+                    "review_answer_timestamp",
+}
+for _t, _cols in STAR_COLS.items():
+    register(f"star_{_t}", f"SELECT {_cast_sql(_cols)} FROM {_t}")(
+        lambda s, d, t=_t, c=_cols: star(s, d)[t].select(*[x.split(':')[0] for x in c.split()]))
