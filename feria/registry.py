@@ -424,3 +424,7 @@ STAR_COLS = {
 for _t, _cols in STAR_COLS.items():
     register(f"star_{_t}", f"SELECT {_cast_sql(_cols)} FROM {_t}")(
         lambda s, d, t=_t, c=_cols: star(s, d)[t].select(*[x.split(':')[0] for x in c.split()]))
+
+
+# profiling, data quality, exploration (registers on import)
+from feria import registry_quality  # noqa: E402,F401
