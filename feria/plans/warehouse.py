@@ -106,30 +106,80 @@ def build_star(clean: dict[str, DataFrame]) -> dict[str, DataFrame]:
     return {t: build_table(t, clean[SOURCE[t]]).rows for t in LOAD_ORDER}
 
 
+def load_table(spark: SparkSession, table: str, clean_df: DataFrame, out_dir: str,
+               partition_by: list[str] | None = None, stage: bool = True) -> tuple[int, int]:
+    """Load one warehouse table as a full refresh; returns (rows, rejected).
+
+    ``stage=True`` (for lazy cleaning plans): the projected, checked rows are
+    computed once and staged as Parquet - a lineage cut, so the cleaning
+    plan never runs twice and a lost executor re-reads the stage. When the
+    input is already a Parquet table, ``stage=False`` re-scans it instead,
+    which is cheaper than writing a copy.
+
+    The primary key is enforced in two steps: a key-only duplicate check
+    (a shuffle of the key columns, combined map-side), and the full-row
+    first-arrival de-duplication only if a duplicate exists.
+    """
+    projected = project_to_star(table, clean_df)
+    checked = projected.withColumn("_reject", violations(table, projected))
+    if stage:
+        path = os.path.join(out_dir, "_staging", table)
+        checked.write.mode("overwrite").parquet(path)
+        checked = spark.read.parquet(path)
+    pk = PRIMARY_KEY[table]
+    # One key-only aggregation answers everything the load needs: rejected
+    # rows, whether a good key repeats, and how many rows will be written.
+    stats = (checked.groupBy(*pk)
+             .agg(F.count_if(F.col("_reject").isNull()).alias("g"),
+                  F.count_if(F.col("_reject").isNotNull()).alias("b"))
+             .agg(F.coalesce(F.sum("b"), F.lit(0)).alias("n_bad"),
+                  F.coalesce(F.max("g"), F.lit(0)).alias("max_good"),
+                  F.count_if(F.col("g") > 0).alias("n_rows"))
+             .first())
+    n_bad, n_rows = int(stats["n_bad"]), int(stats["n_rows"])
+    if n_bad:
+        checked.where(F.col("_reject").isNotNull()).withColumnRenamed("_reject", "reason") \
+            .write.mode("overwrite").parquet(os.path.join(out_dir, "_rejects", table))
+    good = checked.where(F.col("_reject").isNull()).drop("_reject")
+    rows = first_per_key(good, pk, ARRIVAL.get(table, [])) if stats["max_good"] > 1 else good
+    w = rows.write.mode("overwrite")
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.parquet(os.path.join(out_dir, table))
+    return n_rows, n_bad
+
+
 def load_star(spark: SparkSession, clean: dict[str, DataFrame], out_dir: str,
-              partition_orders_by_year: bool = True) -> DataFrame:
-    """Write the star schema as Parquet (full refresh) plus rejects, and
+              partition_orders_by_year: bool = False, stage: bool = True) -> DataFrame:
+    """Write the star schema as Parquet (full refresh, dimensions first) and
     return a status DataFrame (table, rows, rejected, error).
 
-    A failing table is recorded and the others still load; the counts are
-    those read back from the written files, not the attempted ones.
+    A failing table is recorded and the others still load; ``rows`` is what
+    was written, not what was attempted.
     """
     status = []
     for t in LOAD_ORDER:
         try:
-            st = build_table(t, clean[SOURCE[t]])
-            w = st.rows.write.mode("overwrite")
-            if t == "fact_orders" and partition_orders_by_year:
-                w = w.partitionBy("order_year")
-            w.parquet(os.path.join(out_dir, t))
-            st.rejects.write.mode("overwrite").parquet(os.path.join(out_dir, "_rejects", t))
-            n = spark.read.parquet(os.path.join(out_dir, t)).count()
-            nr = spark.read.parquet(os.path.join(out_dir, "_rejects", t)).count()
+            part = ["order_year"] if (t == "fact_orders" and partition_orders_by_year) else None
+            n, nr = load_table(spark, t, clean[SOURCE[t]], out_dir, part, stage)
             status.append((t, n, nr, None))
-        except Exception as e:  # noqa: BLE001 - recorded per table like the loader does
+        except Exception as e:  # noqa: BLE001 - recorded per table, the load goes on
             status.append((t, None, None, f"{type(e).__name__}: {e}"[:500]))
     return spark.createDataFrame(status, "table string, rows long, rejected long, error string")
 
 
+def write_clean(spark: SparkSession, clean: dict[str, DataFrame], out_dir: str,
+                extra: dict[str, DataFrame] | None = None) -> dict[str, DataFrame]:
+    """Write every cleaned table (and optional extras such as the payment
+    summary or the master mart) once as Parquet and return the read-back
+    frames, so later stages never recompute the cleaning plans."""
+    out = {}
+    for name, df in {**clean, **(extra or {})}.items():
+        path = os.path.join(out_dir, name)
+        df.write.mode("overwrite").parquet(path)
+        out[name] = spark.read.parquet(path)
+    return out
+
+
 def read_star(spark: SparkSession, out_dir: str) -> dict[str, DataFrame]:
     return {t: spark.read.parquet(os.path.join(out_dir, t)) for t in LOAD_ORDER}

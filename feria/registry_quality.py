@@ -423,3 +423,94 @@ register("star_key_duplicates", " UNION ALL ".join(
         for t in LOAD_ORDER if t != "fact_payments"]))
 
 _ = STAR_COLS, _cast_sql  # shared column specs live in feria.registry
+
+
+# ------------------------------------------------------ text normalisation
+from feria.functions import normalize_text  # noqa: E402
+from feria.operators.dedup import By, insert_ignore, latest_per_key  # noqa: E402
+from feria.sources.bindings import read_driver  # noqa: E402
+
+register("normalize_text_documents", f"""
+SELECT CAST(doc_id AS BIGINT) AS doc_id, {O.norm('text')} AS text_norm FROM documents""")(
+    lambda s, d: read_driver(s, d, "documents").select(
+        "doc_id", normalize_text("text").alias("text_norm")))
+
+
+# ---------------------------------------------------------- insert-ignore
+# An earlier load holds the items of orders placed before 1998; the new
+# batch is every line item (with its duplicated keys). Rows to append are
+# the first arrival per key among keys not yet loaded.
+ITEM_ARRIVAL = [By("product_id"), By("seller_id"), By("_price"), By("shipping_limit_date"),
+                By("_tax")]
+
+
+def _incoming_items(s, d):
+    li = read_driver(s, d, "lineitem")
+    return li.select(F.col("l_orderkey").alias("order_id"),
+                     F.col("l_linenumber").alias("order_item_id"),
+                     F.col("l_partkey").alias("product_id"), F.col("l_suppkey").alias("seller_id"),
+                     F.col("l_shipdate").alias("shipping_limit_date"),
+                     F.col("l_extendedprice").alias("_price"), F.col("l_tax").alias("_tax"))
+
+
+def _target_items(s, d):
+    o = read_driver(s, d, "orders").where(F.col("o_orderdate") < F.lit("1998-01-01")
+                                          .cast("timestamp_ntz"))
+    return raw(s, d)["order_items"].join(
+        o.select(F.col("o_orderkey").alias("order_id")), "order_id", "left_semi")
+
+
+def _appended(s, d):
+    fresh, _ = insert_ignore(_target_items(s, d), _incoming_items(s, d),
+                             ["order_id", "order_item_id"], ITEM_ARRIVAL)
+    return fresh.select("order_id", "order_item_id", "product_id", "seller_id",
+                        "shipping_limit_date")
+
+
+INCOMING_SQL = """(SELECT l_orderkey AS order_id, l_linenumber AS order_item_id,
+  l_partkey AS product_id, l_suppkey AS seller_id, l_shipdate AS shipping_limit_date,
+  l_extendedprice AS _price, l_tax AS _tax FROM lineitem)"""
+TARGET_SQL = """(SELECT i.* FROM raw_order_items i WHERE i.order_id IN
+  (SELECT o_orderkey FROM orders WHERE o_orderdate < TIMESTAMP '1998-01-01'))"""
+FIRST_SQL = f"""(SELECT * FROM (SELECT *, row_number() OVER (
+  PARTITION BY order_id, order_item_id
+  ORDER BY product_id, seller_id, _price, shipping_limit_date, _tax) AS rn
+  FROM {INCOMING_SQL} x) WHERE rn = 1)"""
+
+register("insert_ignore_items", f"""
+SELECT CAST(f.order_id AS BIGINT) AS order_id, CAST(f.order_item_id AS BIGINT) AS order_item_id,
+       CAST(f.product_id AS BIGINT) AS product_id, CAST(f.seller_id AS BIGINT) AS seller_id,
+       f.shipping_limit_date
+FROM {FIRST_SQL} f ANTI JOIN {TARGET_SQL} t
+  ON f.order_id = t.order_id AND f.order_item_id = t.order_item_id""")(_appended)
+
+
+def _ignore_report(s, d):
+    inc = _incoming_items(s, d)
+    fresh, skipped = insert_ignore(_target_items(s, d), inc, ["order_id", "order_item_id"],
+                                   ITEM_ARRIVAL)
+    return (inc.agg(F.count(F.lit(1)).alias("incoming"))
+            .crossJoin(fresh.agg(F.count(F.lit(1)).alias("appended")))
+            .crossJoin(skipped.agg(F.count(F.lit(1)).alias("skipped"))))
+
+
+register("insert_ignore_report", f"""
+SELECT (SELECT CAST(count(*) AS BIGINT) FROM {INCOMING_SQL} a) AS incoming,
+       (SELECT CAST(count(*) AS BIGINT) FROM {FIRST_SQL} f ANTI JOIN {TARGET_SQL} t
+          ON f.order_id = t.order_id AND f.order_item_id = t.order_item_id) AS appended,
+       (SELECT CAST(count(*) AS BIGINT) FROM {INCOMING_SQL} a)
+       - (SELECT CAST(count(*) AS BIGINT) FROM {FIRST_SQL} f ANTI JOIN {TARGET_SQL} t
+          ON f.order_id = t.order_id AND f.order_item_id = t.order_item_id) AS skipped""")(
+    _ignore_report)
+
+
+# latest answered review per order on the raw reviews (keyed de-duplication)
+register("latest_review_per_order", """
+SELECT CAST(review_id AS BIGINT) AS review_id, CAST(order_id AS BIGINT) AS order_id,
+       review_answer_timestamp
+FROM (SELECT *, row_number() OVER (PARTITION BY order_id
+        ORDER BY review_answer_timestamp DESC NULLS LAST, review_id) AS rn FROM raw_reviews)
+WHERE rn = 1""")(
+    lambda s, d: latest_per_key(
+        raw(s, d)["reviews"].select("review_id", "order_id", "review_answer_timestamp"),
+        "order_id", "review_answer_timestamp", "review_id"))
