@@ -183,3 +183,11 @@ def write_clean(spark: SparkSession, clean: dict[str, DataFrame], out_dir: str,
 
 def read_star(spark: SparkSession, out_dir: str) -> dict[str, DataFrame]:
     return {t: spark.read.parquet(os.path.join(out_dir, t)) for t in LOAD_ORDER}
+
+
+def register_views(star: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Expose the warehouse tables as temp views under their own names, so
+    SQL text written for the warehouse runs unchanged through ``spark.sql``."""
+    for name, df in star.items():
+        df.createOrReplaceTempView(name)
+    return star

@@ -13,7 +13,9 @@ from feria.operators import quality as Q
 from feria.plans import explore as X
 from feria.plans import marts as M
 from feria.plans.warehouse import SOURCE, build_table
-from feria.registry import CLEAN_COLS, MASTER_COLS, STAR_COLS, _cast_sql, clean, raw, register, star
+from feria.plans import dashboard as Dsh
+from feria.registry import (CLEAN_COLS, MASTER_COLS, STAR_COLS, _cast_sql, _q2_sql, clean, raw,
+                            register, star)
 from feria.schemas import FOREIGN_KEYS, LOAD_ORDER, PRIMARY_KEY
 
 # Spark type names of the raw binding columns (for the profile's dtype).
@@ -514,3 +516,95 @@ WHERE rn = 1""")(
     lambda s, d: latest_per_key(
         raw(s, d)["reviews"].select("review_id", "order_id", "review_answer_timestamp"),
         "order_id", "review_answer_timestamp", "review_id"))
+
+
+# ------------------------------------------------- more report frames
+register("distinct_sample_customer_cities", """
+SELECT customer_city FROM (SELECT DISTINCT customer_city FROM raw_customers
+                           WHERE customer_city IS NOT NULL) t
+ORDER BY customer_city LIMIT 20""")(
+    lambda s, d: raw(s, d)["customers"].where(F.col("customer_city").isNotNull())
+    .select("customer_city").distinct().orderBy("customer_city").limit(20))
+
+register("dash_q2_chart_sorted", f"""
+SELECT * FROM ({_q2_sql(Dsh.Filters())}) t ORDER BY revenue, category""")(
+    lambda s, d: Dsh.top_categories(star(s, d)).orderBy("revenue", "category"))
+
+
+def _load_verification(s, d):
+    c, st = clean(s, d), star(s, d)
+    parts = [c[SOURCE[t]].agg(F.lit(t).alias("table"), F.count(F.lit(1)).alias("cleaned"))
+             .crossJoin(st[t].agg(F.count(F.lit(1)).alias("loaded")))
+             .select("table", "cleaned", "loaded",
+                     (F.col("cleaned") - F.col("loaded")).alias("not_loaded"))
+             for t in LOAD_ORDER]
+    return reduce(DataFrame.unionByName, parts)
+
+
+register("load_verification", " UNION ALL ".join(f"""
+SELECT '{t}' AS "table", CAST(a AS BIGINT) AS cleaned, CAST(b AS BIGINT) AS loaded,
+       CAST(a - b AS BIGINT) AS not_loaded
+FROM (SELECT (SELECT count(*) FROM {cte}) AS a, (SELECT count(*) FROM {t}) AS b) x"""
+                                              for t, (cte, _) in REJECT_SQL.items()))(
+    _load_verification)
+
+
+# issue register filled from measured counts
+ISSUES = [
+    ("orders", "order_approved_at", "nulls", "order_approved_at IS NULL", "raw_orders"),
+    ("orders", "order_delivered_customer_date", "nulls",
+     "order_delivered_customer_date IS NULL", "raw_orders"),
+    ("orders", "order_approved_at", "temporal anomaly",
+     "order_approved_at < order_purchase_timestamp", "raw_orders"),
+    ("products", "product_category_name", "nulls", "product_category_name IS NULL",
+     "raw_products"),
+    ("products", "product_weight_g", "zero value", "product_weight_g = 0", "raw_products"),
+    ("geolocation", "geolocation_lat", "outside bounding box",
+     "NOT (geolocation_lat BETWEEN -33.7 AND 5.3 AND geolocation_lng BETWEEN -73.9 AND -28.8)",
+     "raw_geolocation"),
+    ("reviews", "review_comment_message", "nulls", "review_comment_message IS NULL",
+     "raw_reviews"),
+    ("payments", "payment_value", "zero value", "payment_value = 0", "raw_payments"),
+]
+
+
+def _issues(s, d):
+    r = raw(s, d)
+    parts = [r[cte[4:]].agg(F.lit(t).alias("table"), F.lit(c).alias("column"),
+                            F.lit(p).alias("problem"),
+                            F.count_if(F.expr(cond)).alias("count"))
+             for t, c, p, cond, cte in ISSUES]
+    return Q.issue_register(s, reduce(DataFrame.unionByName, parts))
+
+
+ACTIONS_SQL = """(VALUES ('nulls', 'keep NULL where valid, impute where a rule exists'),
+ ('temporal anomaly', 'report, do not remove'), ('outside bounding box', 'filter by the bounding box'),
+ ('duplicate key', 'aggregate or keep one row per key'), ('zero value', 'treat as missing or remove'),
+ ('encoding', 'normalise text'), ('orphan key', 'flag and exclude from joins')) a(problem, action)"""
+register("issue_register", f"""
+SELECT m."table", m."column", m.problem, m."count", a.action FROM (""" + " UNION ALL ".join(
+    f"SELECT '{t}' AS \"table\", '{c}' AS \"column\", '{p}' AS problem, "
+    f"CAST(count(*) FILTER (WHERE {cond}) AS BIGINT) AS \"count\" FROM {cte}"
+    for t, c, p, cond, cte in ISSUES) + f") m LEFT JOIN {ACTIONS_SQL} ON m.problem = a.problem")(
+    _issues)
+
+
+# the warehouse SQL text run as is through Spark SQL over temp views
+def _q1_sql(s, d):
+    from feria.plans.warehouse import register_views
+    register_views(star(s, d))
+    return s.sql("""
+SELECT order_yearmonth, COUNT(*) AS total_orders,
+       COUNT(*) FILTER (WHERE is_delivered = 1) AS delivered_orders,
+       CAST(ROUND(CAST(COUNT(*) FILTER (WHERE is_delivered = 1) AS DECIMAL(20,0)) * 100
+                  / NULLIF(CAST(COUNT(*) AS DECIMAL(20,0)), 0), 2) AS DOUBLE) AS delivery_rate_pct
+FROM fact_orders WHERE order_yearmonth IS NOT NULL
+GROUP BY order_yearmonth ORDER BY order_yearmonth""")
+
+
+register("q1_monthly_volume_sql", f"""
+SELECT order_yearmonth, CAST(count(*) AS BIGINT) AS total_orders,
+       CAST(count(*) FILTER (WHERE is_delivered = 1) AS BIGINT) AS delivered_orders,
+       {O.pct("count(*) FILTER (WHERE is_delivered = 1)", "count(*)", 2)} AS delivery_rate_pct
+FROM fact_orders WHERE order_yearmonth IS NOT NULL
+GROUP BY order_yearmonth ORDER BY order_yearmonth""")(_q1_sql)
