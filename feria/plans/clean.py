@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feria.functions import flag, floor_days, normalize_text, strip_ws, to_ts, upper_strip, year_month
-from feria.operators.aggregates import exact_median, mode_of
+from feria.operators.aggregates import grouped_medians, grouped_modes
 from feria.operators.dedup import latest_per_key
 
 # Inclusive bounding box of valid coordinates.
@@ -24,15 +24,19 @@ def in_bbox(lat: str, lng: str):
 
 def clean_geolocation(geo: DataFrame) -> DataFrame:
     """Drop coordinates outside the box, normalise the city, then one row
-    per zip: exact median lat / lng, most frequent city / state."""
+    per zip: exact median lat / lng, most frequent city / state.
+
+    Medians and modes run as two-stage aggregates (count per value first),
+    so a zip holding a large share of all rows is spread over many tasks.
+    """
+    z = "geolocation_zip_code_prefix"
     g = (geo.where(in_bbox("geolocation_lat", "geolocation_lng"))
-         .where(F.col("geolocation_zip_code_prefix").isNotNull())
+         .where(F.col(z).isNotNull())
          .withColumn("geolocation_city", normalize_text("geolocation_city")))
-    return (g.groupBy("geolocation_zip_code_prefix")
-            .agg(exact_median("geolocation_lat").alias("geolocation_lat"),
-                 exact_median("geolocation_lng").alias("geolocation_lng"),
-                 mode_of("geolocation_city").alias("geolocation_city"),
-                 mode_of("geolocation_state").alias("geolocation_state")))
+    med = grouped_medians(g, [z], ["geolocation_lat", "geolocation_lng"])
+    modes = grouped_modes(g, [z], ["geolocation_city", "geolocation_state"])
+    return med.join(modes, z).select(z, "geolocation_lat", "geolocation_lng",
+                                     "geolocation_city", "geolocation_state")
 
 
 def clean_customers(customers: DataFrame) -> DataFrame:
@@ -72,9 +76,11 @@ def clean_products(products: DataFrame, translation: DataFrame) -> DataFrame:
          .withColumn("product_category_name_english",
                      F.coalesce(F.col("product_category_name_english"),
                                 F.col("product_category_name"))))
-    cat_med = p.groupBy("product_category_name").agg(
-        *[exact_median(c).alias(f"_cm_{c}") for c in DIM_COLS])
-    glob_med = p.agg(*[exact_median(c).alias(f"_gm_{c}") for c in DIM_COLS])
+    # Medians are taken over the pre-fill columns, per category and globally.
+    cat_med = grouped_medians(p, ["product_category_name"], DIM_COLS) \
+        .select("product_category_name", *[F.col(c).alias(f"_cm_{c}") for c in DIM_COLS])
+    glob_med = grouped_medians(p, [], DIM_COLS) \
+        .select(*[F.col(c).alias(f"_gm_{c}") for c in DIM_COLS])
     out = (p.join(cat_med, "product_category_name", "left")
            .crossJoin(F.broadcast(glob_med)))  # one row by construction
     out = out.withColumns({c: F.coalesce(F.col(c), F.col(f"_cm_{c}"), F.col(f"_gm_{c}"))

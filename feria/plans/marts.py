@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feria.operators.aggregates import first_max_by, mode_of
+from feria.operators.aggregates import first_max_by, mode_by
 
 
 def payments_summary(payments_clean: DataFrame) -> DataFrame:
@@ -21,13 +21,22 @@ def payments_summary(payments_clean: DataFrame) -> DataFrame:
 
 def items_per_order(items_clean: DataFrame) -> DataFrame:
     """One row per order: item count, revenue, freight and the most frequent
-    seller / product (smallest id on ties)."""
-    return (items_clean.groupBy("order_id")
+    seller / product (smallest id on ties).
+
+    The two modes are two-stage aggregates (count per (order, id) first) so
+    an order with a huge number of items never sits in one task's hash map;
+    all three partial results are hash-partitioned by order_id, so joining
+    them needs no further shuffle.
+    """
+    base = (items_clean.groupBy("order_id")
             .agg(F.count("order_item_id").alias("item_count"),
                  F.sum("price").alias("items_revenue"),
-                 F.sum("freight_value").alias("freight_total"),
-                 mode_of("seller_id").alias("seller_id"),
-                 mode_of("product_id").alias("product_id")))
+                 F.sum("freight_value").alias("freight_total")))
+    seller = mode_by(items_clean, ["order_id"], "seller_id")
+    product = mode_by(items_clean, ["order_id"], "product_id")
+    return (base.join(seller, "order_id", "left").join(product, "order_id", "left")
+            .select("order_id", "item_count", "items_revenue", "freight_total", "seller_id",
+                    "product_id"))
 
 
 def master(clean: dict[str, DataFrame]) -> DataFrame:
