@@ -8,18 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from feria.schemas import MULTILINE_TABLES, RAW
 
-# The raw file name of each table.
-RAW_FILES = {
-    "customers": "olist_customers_dataset.csv",
-    "sellers": "olist_sellers_dataset.csv",
-    "products": "olist_products_dataset.csv",
-    "orders": "olist_orders_dataset.csv",
-    "order_items": "olist_order_items_dataset.csv",
-    "payments": "olist_order_payments_dataset.csv",
-    "reviews": "olist_order_reviews_dataset.csv",
-    "geolocation": "olist_geolocation_dataset.csv",
-    "category_translation": "product_category_name_translation.csv",
-}
+# Default raw file name of each table; pass ``files=`` to read_raw_dir when
+# the export uses other names.
+RAW_FILES = {t: f"{t}.csv" for t in RAW}
 
 
 def read_csv(spark: SparkSession, path: str, table: str) -> DataFrame:
@@ -40,10 +31,12 @@ def read_csv(spark: SparkSession, path: str, table: str) -> DataFrame:
     return reader.csv(path)
 
 
-def read_raw_dir(spark: SparkSession, raw_dir: str) -> dict[str, DataFrame]:
-    """All raw tables found in ``raw_dir`` (absent files are skipped)."""
+def read_raw_dir(spark: SparkSession, raw_dir: str,
+                 files: dict[str, str] | None = None) -> dict[str, DataFrame]:
+    """All raw tables found in ``raw_dir`` (absent files are skipped);
+    ``files`` maps table -> file name, defaulting to ``<table>.csv``."""
     out = {}
-    for table, fname in RAW_FILES.items():
+    for table, fname in {**RAW_FILES, **(files or {})}.items():
         p = os.path.join(raw_dir, fname)
         if os.path.exists(p) or "://" in raw_dir:
             out[table] = read_csv(spark, p, table)
