@@ -95,7 +95,14 @@ def main():
     names = sys.argv[2:]
     from feria.session import get_spark
     from feria.registry import ORACLE, QUERIES
-    spark = get_spark("local[8]", shuffle_partitions=8)
+    if os.environ.get("PLAIN_SESSION"):
+        # what a driver with its own default session would see
+        from pyspark.sql import SparkSession
+        spark = (SparkSession.builder.master("local[8]")
+                 .config("spark.sql.session.timeZone", os.environ.get("TZ_NAME", "America/New_York"))
+                 .config("spark.ui.enabled", "false").getOrCreate())
+    else:
+        spark = get_spark("local[8]", shuffle_partitions=8)
     spark.sparkContext.setLogLevel("ERROR")
     con = duck(sf_dir)
     counts = {}
