@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -58,21 +58,16 @@ def _pivot_back(long: DataFrame, keys: list[str], cols: list[str], value: str) -
 def grouped_medians(df: DataFrame, keys: list[str], cols: list[str]) -> DataFrame:
     """Exact medians of several same-typed columns per group, skew-safe.
 
-    Stage 1 counts each (group, column, value): the shuffle key includes the
-    value, so a group holding a third of all rows is spread over many
-    tasks, and repeats are combined map-side. Stage 2 takes the weighted
-    exact percentile over the distinct values, so the final merge of a group
-    touches each distinct value once instead of once per input task.
+    The columns are unpivoted to (keys, column, value) rows and
+    :func:`exact_percentile` runs once over (keys, column) groups, so no
+    task ever holds all values (or all distinct values) of a hot group.
     NULL values are ignored; a group with only NULLs gets NULL.
     """
     long = _unpivot(df, keys, cols).where(F.col("_v").isNotNull())
-    counts = long.groupBy(*keys, "_c", "_v").agg(F.count(F.lit(1)).alias("_n"))
-    med = counts.groupBy(*keys, "_c").agg(
-        F.percentile(F.col("_v"), F.lit(0.5), F.col("_n")).alias("_m"))
+    med = exact_percentile(long, keys + ["_c"], "_v", 0.5, alias="_m")
     out = _pivot_back(med, keys, cols, "_m")
     if not keys:
         return out
-    # groups whose values are all NULL still get a row
     return df.select(*keys).distinct().join(out, keys, "left")
 
 
@@ -87,3 +82,68 @@ def grouped_modes(df: DataFrame, keys: list[str], cols: list[str]) -> DataFrame:
     out = _pivot_back(pick.select(*keys, "_c", F.col("_m.v").alias("_best")), keys, cols,
                       "_best")
     return df.select(*keys).distinct().join(out, keys, "left")
+
+
+def exact_percentile(df: DataFrame, keys: list[str], col: str, q: float,
+                     accuracy: int = 100_000, alias: str | None = None) -> DataFrame:
+    """Exact ``percentile(col, q)`` per group (linear interpolation, the same
+    formula as Spark's ``percentile``) without ever holding a group's values
+    in one task.
+
+    1. Per group: the count and two sketch quantiles (``percentile_approx``
+       at q -/+ 3/accuracy). The sketch's rank error is at most n/accuracy,
+       so the exact answer lies between the two bounds; a sketch stays
+       bounded in size however large the group.
+    2. Rows below the lower bound are only counted; rows between the bounds
+       (about 6n/accuracy of a group) are counted per distinct value. Groups
+       smaller than ``accuracy`` use all their values as candidates.
+    3. A running sum over those candidates gives each value's rank range,
+       and the two values around position q*(n-1) are picked.
+
+    NULLs are ignored; groups without a value get NULL. ``keys=[]`` gives one
+    global row.
+    """
+    alias = alias or col
+    d = 3.0 / accuracy
+    x = df.where(F.col(col).isNotNull()).select(*keys, F.col(col).cast("double").alias("_v"))
+    stats = (x.groupBy(*keys)
+             .agg(F.count(F.lit(1)).alias("_n"),
+                  F.percentile_approx("_v", [max(0.0, q - d), min(1.0, q + d)], accuracy)
+                  .alias("_b"))
+             # the rank guarantee needs n >= accuracy; smaller groups (fewer
+             # than `accuracy` values) simply take all their values as candidates
+             .select(*keys,
+                     F.when(F.col("_n") < accuracy, F.lit(float("-inf")))
+                     .otherwise(F.col("_b")[0]).alias("_lo"),
+                     F.when(F.col("_n") < accuracy, F.lit(float("inf")))
+                     .otherwise(F.col("_b")[1]).alias("_hi"),
+                     ((F.col("_n") - 1).cast("double") * F.lit(q)).alias("_pos")))
+
+    def attach(left: DataFrame, right: DataFrame) -> DataFrame:
+        # per-group tables join on the keys; the global case is one row
+        return left.join(right, keys) if keys else left.crossJoin(F.broadcast(right))
+
+    j = attach(x, stats)
+    below = j.groupBy(*keys).agg(F.count_if(F.col("_v") < F.col("_lo")).alias("_below"))
+    cand = (j.where(F.col("_v").between(F.col("_lo"), F.col("_hi")))
+            .groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_cnt")))
+    w = (Window.partitionBy(*keys) if keys else Window.partitionBy()).orderBy("_v") \
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = attach(attach(cand.withColumn("_cum", F.sum("_cnt").over(w)), below),
+                    stats.select(*keys, "_pos"))
+    lo_r, hi_r = F.floor(F.col("_pos")), F.ceil(F.col("_pos"))
+    first = F.col("_below") + F.col("_cum") - F.col("_cnt")   # rank of the first copy
+    last = F.col("_below") + F.col("_cum") - 1
+    vals = (ranked.groupBy(*keys)
+            .agg(F.max(F.when((first <= lo_r) & (lo_r <= last), F.col("_v"))).alias("_a"),
+                 F.max(F.when((first <= hi_r) & (hi_r <= last), F.col("_v"))).alias("_b"),
+                 F.max("_pos").alias("_pos")))
+    pos, lo_i, hi_i = F.col("_pos"), F.floor(F.col("_pos")), F.ceil(F.col("_pos"))
+    value = (F.when(lo_i == hi_i, F.col("_a"))
+             .when(F.col("_a") == F.col("_b"), F.col("_a"))
+             .otherwise((hi_i - pos) * F.col("_a") + (pos - lo_i) * F.col("_b")))
+    out = vals.select(*keys, value.alias(alias))
+    if not keys:
+        return x.agg(F.lit(1).alias("_one")).join(out.withColumn("_one", F.lit(1)), "_one",
+                                                  "left").drop("_one")
+    return df.select(*keys).distinct().join(out, keys, "left")

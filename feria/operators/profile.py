@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from feria.functions import pct, ratio_round
+from feria.operators.aggregates import exact_percentile
 
 
 def null_counts(df: DataFrame, table: str | None = None) -> DataFrame:
@@ -91,28 +92,30 @@ def value_counts(df: DataFrame, col: str, top: int | None = None,
 def describe(df: DataFrame, col: str, scale: int = 2) -> DataFrame:
     """count, mean, std, min, quartiles, max of one numeric column, rounded
     to ``scale`` places (half up; the mean is exact for values with at most
-    ``scale`` decimals). Quantiles are exact (linear
-    interpolation) and computed on values scaled to integers, so the
-    rounding sees exact halves."""
+    ``scale`` decimals). Quartiles are exact (linear interpolation, the
+    skew-safe :func:`exact_percentile`) over values scaled to integers, so
+    the rounding sees exact halves."""
     k = 10 ** scale
     x = F.col(col)
-    xs = (x * k).cast("double")
-
-    def q(p):
-        return (F.floor(F.percentile(xs, F.lit(p)) + 0.5) / k).alias(f"p{int(p * 100)}")
-    return df.where(x.isNotNull()).agg(
+    vals = df.where(x.isNotNull())
+    scaled = vals.select((x * k).cast("double").alias("_xs"))
+    base = vals.agg(
         F.count(x).alias("count"),
         ratio_round(F.sum(F.round(x * k, 0).cast("bigint")), F.count(x) * k, scale)
         .alias("mean"),
         F.round(F.stddev_samp(x.cast("double")), scale).alias("std"),
         F.min(x).cast("double").alias("min"),
-        q(0.25), q(0.5), q(0.75),
         F.max(x).cast("double").alias("max"))
+    for p in (0.25, 0.5, 0.75):
+        qv = exact_percentile(scaled, [], "_xs", p, alias="_q").select(
+            (F.floor(F.col("_q") + 0.5) / k).alias(f"p{int(p * 100)}"))
+        base = base.crossJoin(qv)
+    return base.select("count", "mean", "std", "min", "p25", "p50", "p75", "max")
 
 
 def quantile_value(df: DataFrame, col: str, q: float) -> DataFrame:
-    """One-row frame holding the exact q-quantile of ``col``."""
-    return df.agg(F.percentile(F.col(col).cast("double"), F.lit(q)).alias("_q"))
+    """One-row frame holding the exact q-quantile of ``col`` (skew-safe)."""
+    return exact_percentile(df, [], col, q, alias="_q")
 
 
 def quantile_filter(df: DataFrame, col: str, q: float) -> DataFrame:

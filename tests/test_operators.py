@@ -106,3 +106,20 @@ def test_hash_sample_repeatable_and_bounded(spark):
 def test_value_counts_order(spark):
     df = spark.createDataFrame([("b",), ("a",), ("a",), ("b",), ("c",), (None,)], "v string")
     assert [tuple(r) for r in P.value_counts(df, "v", top=2).collect()] == [("a", 2), ("b", 2)]
+
+
+def test_exact_percentile_equals_builtin(spark):
+    import random
+    from feria.operators.aggregates import exact_percentile, grouped_medians
+    rnd = random.Random(7)
+    rows = [(g, rnd.choice([float(rnd.randint(0, 9)), rnd.gauss(0, 50)]))
+            for g, n in enumerate([1, 2, 3, 50, 3000]) for _ in range(n)] + [(9, None)]
+    df = spark.createDataFrame(rows, "g int, v double")
+    for q in (0.0, 0.25, 0.5, 0.99, 1.0):
+        got = dict(exact_percentile(df, ["g"], "v", q, accuracy=500).collect())
+        exp = dict(df.groupBy("g").agg(F.percentile("v", F.lit(q))).collect())
+        assert got == exp, q
+        assert exact_percentile(df, [], "v", q, accuracy=500).first()[0] == \
+            df.agg(F.percentile("v", F.lit(q))).first()[0]
+    med = dict((r.g, r.v) for r in grouped_medians(df, ["g"], ["v"]).collect())
+    assert med == dict(df.groupBy("g").agg(F.median("v")).collect())
