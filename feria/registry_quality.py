@@ -608,3 +608,41 @@ SELECT order_yearmonth, CAST(count(*) AS BIGINT) AS total_orders,
        {O.pct("count(*) FILTER (WHERE is_delivered = 1)", "count(*)", 2)} AS delivery_rate_pct
 FROM fact_orders WHERE order_yearmonth IS NOT NULL
 GROUP BY order_yearmonth ORDER BY order_yearmonth""")(_q1_sql)
+
+
+# domain rules over the cleaned tables (one row per rule)
+# (table, rule name, SQL predicate) - predicates are plain SQL, valid in both
+# engines, and only turned into Columns when a query runs.
+DOMAIN_RULES = [
+    ("payments", "payment_value <= 0", "payment_value <= 0"),
+    ("reviews", "review_score not in 1..5", "review_score NOT BETWEEN 1 AND 5"),
+    ("order_items", "price <= 0", "price <= 0"),
+    ("order_items", "freight_value < 0", "freight_value < 0"),
+    ("orders", "delivery_time_days < 0", "delivery_time_days < 0"),
+    ("products", "product_weight_g <= 0", "product_weight_g <= 0"),
+]
+
+
+def _domain(s, d):
+    c = clean(s, d)
+    return reduce(DataFrame.unionByName, [
+        c[t].agg(F.lit(t).alias("table"), F.lit(rule).alias("rule"),
+                 F.count_if(F.expr(cond)).alias("violations"))
+        for t, rule, cond in DOMAIN_RULES])
+
+
+register("domain_violations", " UNION ALL ".join(
+    f"SELECT '{t}' AS \"table\", '{rule}' AS rule, "
+    f"CAST(count(*) FILTER (WHERE {cond}) AS BIGINT) AS violations FROM cl_{t}"
+    for t, rule, cond in DOMAIN_RULES))(_domain)
+
+register("bbox_outliers", """
+SELECT CAST(geolocation_zip_code_prefix AS BIGINT) AS geolocation_zip_code_prefix,
+       geolocation_lat, geolocation_lng
+FROM raw_geolocation
+WHERE geolocation_lat < -33.7 OR geolocation_lat > 5.3
+   OR geolocation_lng < -73.9 OR geolocation_lng > -28.8""")(
+    lambda s, d: raw(s, d)["geolocation"].where(
+        (F.col("geolocation_lat") < -33.7) | (F.col("geolocation_lat") > 5.3)
+        | (F.col("geolocation_lng") < -73.9) | (F.col("geolocation_lng") > -28.8))
+    .select("geolocation_zip_code_prefix", "geolocation_lat", "geolocation_lng"))
