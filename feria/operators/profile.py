@@ -151,9 +151,17 @@ def histogram(df: DataFrame, col: str, bins: int) -> DataFrame:
 
 
 def hash_sample(df: DataFrame, n: int, keys: list[str], seed: int = 42) -> DataFrame:
-    """A repeatable sample of at most ``n`` rows: rows ordered by an MD5 of
-    their key and the seed, first ``n`` kept (a per-task top-n, then one
-    merge of n rows per task)."""
+    """A repeatable sample of at most ``n`` rows: the ``n`` rows with the
+    smallest MD5 of (key, seed).
+
+    A plain ``orderBy(hash).limit(n)`` keeps n rows per task and merges all
+    of them (tasks x n rows) in one place. Instead the hash is read as a
+    uniform number in [0, 1) and rows are first filtered below a threshold
+    that keeps about 4n of them; the top-n runs on that small remainder.
+    Every one of the n smallest hashes lies below the threshold whenever
+    at least n rows pass, which is checked (the threshold is raised if not),
+    so the result equals the plain form exactly.
+    """
     def text(k):
         # Fractional numbers are rendered as fixed-point decimals so the key
         # text (and so the sample) does not depend on float formatting.
@@ -161,7 +169,17 @@ def hash_sample(df: DataFrame, n: int, keys: list[str], seed: int = 42) -> DataF
             return F.col(k).cast("decimal(38,9)").cast("string")
         return F.col(k).cast("string")
     h = F.md5(F.concat_ws("|", *[text(k) for k in keys], F.lit(str(seed))))
-    return df.withColumn("_h", h).orderBy("_h").limit(n).drop("_h")
+    # first 13 hex digits -> an integer below 2^52, exact in a double
+    u = F.conv(F.substring(h, 1, 13), 16, 10).cast("double") / float(2 ** 52)
+    hashed = df.withColumn("_h", h).withColumn("_u", u)
+    total = df.count()
+    frac = min(1.0, 4.0 * n / max(total, 1))
+    while True:
+        cand = hashed.where(F.col("_u") < frac) if frac < 1.0 else hashed
+        if frac >= 1.0 or cand.count() >= min(n, total):
+            break
+        frac = min(1.0, frac * 4)
+    return cand.orderBy("_h").limit(n).drop("_h", "_u")
 
 
 def share_of_total(df: DataFrame, count_col: str, scale: int = 1) -> DataFrame:
