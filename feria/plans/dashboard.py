@@ -80,6 +80,20 @@ def kpi_row_by_order(star: Star, flt: Filters = Filters()) -> DataFrame:
     return _kpis(j)
 
 
+def kpi_cards(kpi: DataFrame) -> DataFrame:
+    """The KPI row as display text; a missing metric shows as 0."""
+    z = lambda c: F.coalesce(F.col(c), F.lit(0))
+    return kpi.select(
+        F.format_number(z("total_orders"), 0).alias("total_orders"),
+        F.concat(F.lit("R$ "), F.format_number(z("total_revenue"), 0)).alias("total_revenue"),
+        F.format_number(z("unique_buyers"), 0).alias("unique_buyers"),
+        F.concat(F.format_string("%.1f", z("avg_delivery_days").cast("double")),
+                 F.lit(" days")).alias("avg_delivery"),
+        F.concat(F.format_string("%.2f", z("cancel_rate").cast("double")), F.lit("%"))
+        .alias("cancel_rate"),
+        F.format_string("%.2f", z("avg_review").cast("double")).alias("avg_review"))
+
+
 def _kpis(j: DataFrame) -> DataFrame:
     n = F.count(F.lit(1))
     return j.agg(

@@ -306,6 +306,14 @@ for _suffix, _flt in (("", ALL), ("_filtered", SAMPLE_FILTER)):
     _dash(f"dash_q5_sellers_by_order{_suffix}", _q5_sql(_flt, True),
           lambda s, d, f=_flt: Dsh.seller_scatter_by_order(star(s, d), f))
 
+_dash("kpi_cards", f"""
+SELECT format('{{:,}}', coalesce(total_orders, 0)) AS total_orders,
+       'R$ ' || format('{{:,.0f}}', coalesce(total_revenue, 0)) AS total_revenue,
+       format('{{:,}}', coalesce(unique_buyers, 0)) AS unique_buyers,
+       format('{{:.1f}}', coalesce(avg_delivery_days, 0)) || ' days' AS avg_delivery,
+       format('{{:.2f}}', coalesce(cancel_rate, 0)) || '%' AS cancel_rate,
+       format('{{:.2f}}', coalesce(avg_review, 0)) AS avg_review
+FROM ({_kpi_sql(ALL, False)}) k""", lambda s, d: Dsh.kpi_cards(Dsh.kpi_row(star(s, d), ALL)))
 _dash("dash_q3_delivery_top15", _q3_sql(ALL, "LIMIT 15"),
       lambda s, d: Dsh.delivery_top(Dsh.delivery_by_state(star(s, d), ALL), 15))
 _dash("top_sellers_table", f"""
