@@ -19,7 +19,7 @@ import json
 import os
 import statistics
 import sys
-import tempfile
+import uuid
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -31,7 +31,7 @@ def main() -> None:
     runs = int(os.environ.get("BENCH_RUNS", "3"))
 
     import pyspark
-    from feria.session import get_spark
+    from feria.session import checkpoint_dir, get_spark
     from feria.plans import analytics as A
     from feria.plans import dashboard as D
     from feria.plans.clean import clean_all
@@ -39,11 +39,13 @@ def main() -> None:
     from feria.plans.warehouse import load_star, read_star, write_clean
     from feria.sources.bindings import raw_tables
 
-    scratch = tempfile.mkdtemp(prefix="feria-bench-")
     spark = get_spark(f"local[{cpus}]", app="feria-bench", shuffle_partitions=cpus,
                       conf={"spark.driver.memory": "16g",
                             "spark.sql.files.maxPartitionBytes": str(64 << 20)})
     spark.sparkContext.setLogLevel("ERROR")
+    # scratch tables live under the shared checkpoint folder named by the
+    # session (a local scratch folder is only created when none is set)
+    scratch = os.path.join(checkpoint_dir(spark), f"bench-{uuid.uuid4().hex[:8]}")
 
     def run(df) -> None:
         df.write.format("noop").mode("overwrite").save()

@@ -18,13 +18,14 @@ from feria.plans.marts import master, payments_summary
 from feria.plans.warehouse import load_star, write_clean
 from feria.sources.bindings import raw_tables
 from feria.sources.readers import read_raw_dir
+from feria.sources.sinks import path_exists
 
 
 def ensure_products(spark: SparkSession, raw: dict[str, DataFrame], clean_dir: str) -> None:
     """If the cleaned products table is missing, build it from the raw
     products and translation (same rules as the cleaning job)."""
     path = os.path.join(clean_dir, "products")
-    if not os.path.exists(path) and "://" not in clean_dir:
+    if not path_exists(spark, path):
         clean_products(raw["products"], raw["category_translation"]) \
             .write.mode("overwrite").parquet(path)
 

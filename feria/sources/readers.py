@@ -7,6 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 
 from feria.schemas import MULTILINE_TABLES, RAW
+from feria.sources.sinks import path_exists
 
 # Default raw file name of each table; pass ``files=`` to read_raw_dir when
 # the export uses other names.
@@ -38,7 +39,7 @@ def read_raw_dir(spark: SparkSession, raw_dir: str,
     out = {}
     for table, fname in {**RAW_FILES, **(files or {})}.items():
         p = os.path.join(raw_dir, fname)
-        if os.path.exists(p) or "://" in raw_dir:
+        if path_exists(spark, p):
             out[table] = read_csv(spark, p, table)
     return out
 

@@ -25,7 +25,8 @@ def export_csv(df: DataFrame, path: str) -> None:
      .option("emptyValue", "").csv(path))
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Existence check on the cluster file system (not the driver's disk)."""
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -38,7 +39,7 @@ def append_insert_ignore(spark: SparkSession, incoming: DataFrame, target_path:
     ``INSERT ... ON CONFLICT DO NOTHING`` semantics: existing keys are never
     replaced, duplicates inside the batch keep their first arrival.
     Returns (appended, skipped)."""
-    target = spark.read.parquet(target_path) if _exists(spark, target_path) else None
+    target = spark.read.parquet(target_path) if path_exists(spark, target_path) else None
     fresh, skipped = insert_ignore(target, incoming, keys, arrival)
     # Materialise the batch result before appending: the anti-join reads
     # the same folder the append writes into.
