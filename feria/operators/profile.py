@@ -52,8 +52,13 @@ def profile_columns(df: DataFrame, table: str) -> DataFrame:
     nulls = null_counts(df, table)
     rows = df.agg(F.count(F.lit(1)).alias("_rows"))
     uniq = distinct_counts(df)
-    samples = df.agg(*[F.min(F.col(f"`{c}`").cast("string")).alias(f"s{i}")
-                       for i, c in enumerate(df.columns)])
+    def text(c):
+        # fractional numbers as fixed-point text, so the sample does not
+        # depend on float formatting
+        if isinstance(df.schema[c].dataType, (T.DoubleType, T.FloatType)):
+            return F.col(f"`{c}`").cast("decimal(38,9)").cast("string")
+        return F.col(f"`{c}`").cast("string")
+    samples = df.agg(*[F.min(text(c)).alias(f"s{i}") for i, c in enumerate(df.columns)])
     samples = samples.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("column"), F.col(f"s{i}").alias("sample_value"))
         for i, c in enumerate(df.columns)])).alias("s")).select("s.*")

@@ -28,23 +28,64 @@ RAW_ORDERS_TYPES = [("order_id", "bigint"), ("customer_id", "bigint"),
 
 
 # ---------------------------------------------------------------- profiles
-def _profile_sql(table: str, cte: str, cols: list[tuple[str, str]]) -> str:
+def _profile_sql(table: str, cte: str, cols: list[tuple[str, str]], order: bool = True) -> str:
     parts = []
     for i, (c, t) in enumerate(cols):
         nulls = f"count(*) FILTER (WHERE {c} IS NULL)"
         uniq = f"count(DISTINCT CAST({c} AS VARCHAR))"
+        sample = (f"CAST(CAST({c} AS DECIMAL(38,9)) AS VARCHAR)" if t == "double"
+                  else f"CAST({c} AS VARCHAR)")
         parts.append(f"""
 SELECT '{table}' AS "table", CAST({i} AS BIGINT) AS pos, '{c}' AS "column", '{t}' AS dtype,
        CAST({nulls} AS BIGINT) AS nulls, {O.pct(nulls, 'count(*)', 2)} AS null_pct,
        CAST({uniq} AS BIGINT) AS "unique", {O.pct(uniq, 'count(*)', 2)} AS unique_pct,
-       min(CAST({c} AS VARCHAR)) AS sample_value
+       min({sample}) AS sample_value
 FROM {cte}""")
-    return " UNION ALL ".join(parts) + " ORDER BY pos"
+    return " UNION ALL ".join(parts) + (" ORDER BY pos" if order else "")
 
 
 register("profile_columns_orders", _profile_sql("orders", "raw_orders", RAW_ORDERS_TYPES))(
     lambda s, d: P.profile_columns(raw(s, d)["orders"], "orders"))
 
+# Spark type names of every raw binding column, for the all-table profile.
+_I, _L, _S, _D, _T, _M = "int", "bigint", "string", "double", "timestamp_ntz", "decimal(10,2)"
+RAW_TYPES = {
+    "customers": [("customer_id", _L), ("customer_unique_id", _L),
+                  ("customer_zip_code_prefix", _I), ("customer_city", _S),
+                  ("customer_state", _S)],
+    "sellers": [("seller_id", _L), ("seller_zip_code_prefix", _I), ("seller_city", _S),
+                ("seller_state", _S)],
+    "geolocation": [("geolocation_zip_code_prefix", _I), ("geolocation_lat", _D),
+                    ("geolocation_lng", _D), ("geolocation_city", _S),
+                    ("geolocation_state", _S)],
+    "products": [("product_id", _L), ("product_category_name", _S),
+                 ("product_name_lenght", _I), ("product_description_lenght", _I),
+                 ("product_photos_qty", _I), ("product_weight_g", _D),
+                 ("product_length_cm", _D), ("product_height_cm", _D),
+                 ("product_width_cm", _D)],
+    "category_translation": [("product_category_name", _S),
+                             ("product_category_name_english", _S)],
+    "orders": RAW_ORDERS_TYPES,
+    "order_items": [("order_id", _L), ("order_item_id", _I), ("product_id", _L),
+                    ("seller_id", _L), ("shipping_limit_date", _T), ("price", _M),
+                    ("freight_value", _M)],
+    "payments": [("order_id", _L), ("payment_sequential", _I), ("payment_type", _S),
+                 ("payment_installments", _I), ("payment_value", _M)],
+    "reviews": [("review_id", _L), ("order_id", _L), ("review_score", _I),
+                ("review_comment_title", _S), ("review_comment_message", _S),
+                ("review_creation_date", _T), ("review_answer_timestamp", _T)],
+}
+
+
+def _profile_all(s, d):
+    r = raw(s, d)
+    return reduce(DataFrame.unionByName, [P.profile_columns(r[t], t) for t in RAW_TYPES])
+
+
+register("profile_columns_raw", " UNION ALL ".join(
+    f"SELECT * FROM ({_profile_sql(t, f'raw_{t}', cols, order=False)}) p_{t}"
+    for t, cols in RAW_TYPES.items()))(_profile_all)
+
 
 def _null_counts_sql(table: str, cte: str, cols: list[str]) -> str:
     parts = []
@@ -646,3 +687,17 @@ WHERE geolocation_lat < -33.7 OR geolocation_lat > 5.3
         (F.col("geolocation_lat") < -33.7) | (F.col("geolocation_lat") > 5.3)
         | (F.col("geolocation_lng") < -73.9) | (F.col("geolocation_lng") > -28.8))
     .select("geolocation_zip_code_prefix", "geolocation_lat", "geolocation_lng"))
+
+
+# full-row duplicates per raw table (rows repeating an earlier identical row)
+def _full_dups(s, d):
+    r = raw(s, d)
+    return reduce(DataFrame.unionByName, [
+        Q.duplicate_count(r[t]).select(F.lit(t).alias("table"), "rows", "duplicates")
+        for t in RAW_TYPES])
+
+
+register("full_row_duplicates", " UNION ALL ".join(
+    f"SELECT '{t}' AS \"table\", CAST(count(*) AS BIGINT) AS \"rows\", "
+    f"CAST(count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM raw_{t}) z) AS BIGINT) "
+    f"AS duplicates FROM raw_{t}" for t in RAW_TYPES))(_full_dups)
