@@ -98,12 +98,12 @@ def raw_products(spark, sf_dir) -> DataFrame:
 
 
 def raw_category_translation(spark, sf_dir) -> DataFrame:
-    """PT -> EN lookup derived from the part brands; brands whose number is
-    a multiple of 3 get no translation (exercises the fall-back to the key)."""
+    """PT -> EN lookup derived from the part brands (one row per brand). The
+    'unknown' category of parts without a brand has no entry, which
+    exercises the fall-back to the key."""
     p = read_driver(spark, sf_dir, "part")
     num = F.split_part(F.col("p_brand"), F.lit("#"), F.lit(2))
     return (p.select("p_brand").distinct()
-            .where(num.cast("int") % 3 != 0)
             .select(F.col("p_brand").alias("product_category_name"),
                     F.concat(F.lit("brand_"), num).alias("product_category_name_english")))
 
