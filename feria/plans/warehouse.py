@@ -13,6 +13,7 @@ Each warehouse table is built from its cleaned table by
 from __future__ import annotations
 
 import os
+from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
@@ -95,16 +96,50 @@ class StarTable:
     rejects: DataFrame   # rows failing a constraint, with a reason
 
 
-def build_table(table: str, clean_df: DataFrame) -> StarTable:
+def has_duplicate_keys(df: DataFrame, keys: list[str]) -> bool:
+    """Key-only check (a shuffle of the key columns, combined map-side)."""
+    return not df.groupBy(*keys).count().where(F.col("count") > 1).isEmpty()
+
+
+def build_table(table: str, clean_df: DataFrame, dedup: str = "auto") -> StarTable:
+    """One warehouse table as lazy frames (rows, rejects).
+
+    ``dedup``: ``"always"`` plans the first-arrival de-duplication on the
+    primary key; ``"auto"`` first runs the key-only duplicate check and plans
+    the full-row de-duplication shuffle only when a key repeats.
+    """
     projected = project_to_star(table, clean_df)
     good, bad = split_rejects(table, projected)
-    keyed = first_per_key(good, PRIMARY_KEY[table], ARRIVAL.get(table, []))
-    return StarTable(table, keyed, bad)
+    pk = PRIMARY_KEY[table]
+    if dedup == "always" or (dedup == "auto" and has_duplicate_keys(good, pk)):
+        good = first_per_key(good, pk, ARRIVAL.get(table, []))
+    return StarTable(table, good, bad)
+
+
+class LazyTables(Mapping):
+    """Read-only mapping whose tables are built on first access only."""
+
+    def __init__(self, builders: dict[str, Callable[[], DataFrame]]):
+        self._builders = builders
+        self._built: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._built:
+            self._built[name] = self._builders[name]()
+        return self._built[name]
+
+    def __iter__(self):
+        return iter(self._builders)
+
+    def __len__(self) -> int:
+        return len(self._builders)
 
 
-def build_star(clean: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """All eight warehouse tables (lazy), without the reject outputs."""
-    return {t: build_table(t, clean[SOURCE[t]]).rows for t in LOAD_ORDER}
+def build_star(clean: dict[str, DataFrame], dedup: str = "auto") -> LazyTables:
+    """The eight warehouse tables (lazy), without the reject outputs; each
+    table is planned only when a query asks for it."""
+    return LazyTables({t: (lambda t=t: build_table(t, clean[SOURCE[t]], dedup).rows)
+                       for t in LOAD_ORDER})
 
 
 def load_table(spark: SparkSession, table: str, clean_df: DataFrame, out_dir: str,

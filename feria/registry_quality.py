@@ -430,7 +430,7 @@ register("fk_orphans_star", _fk_sql(FOREIGN_KEYS, ""))(_star_fk)
 
 def _rejects(s, d):
     c = clean(s, d)
-    parts = [build_table(t, c[SOURCE[t]]).rejects.agg(
+    parts = [build_table(t, c[SOURCE[t]], dedup="never").rejects.agg(
         F.lit(t).alias("table"), F.count(F.lit(1)).alias("rejected")) for t in LOAD_ORDER]
     return reduce(DataFrame.unionByName, parts)
 
