@@ -60,7 +60,7 @@ def main() -> None:
         t0 = time.perf_counter()
         clean = write_clean(spark, clean_all(raw), clean_dir)
         t1 = time.perf_counter()
-        status = load_star(spark, clean, star_dir, stage=False)
+        status = load_star(spark, clean, star_dir, stage=False, partition_orders_by_year=True)
         failed = [r for r in status.collect() if r["error"]]
         t2 = time.perf_counter()
         if failed:

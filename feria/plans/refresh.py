@@ -38,7 +38,8 @@ def refresh(spark: SparkSession, raw: dict[str, DataFrame], out_dir: str) -> Dat
     extra = {"payments_summary": payments_summary(cleaned["payments"]),
              "master": master(cleaned)}
     write_clean(spark, extra, clean_dir)
-    return load_star(spark, cleaned, os.path.join(out_dir, "star"), stage=False)
+    return load_star(spark, cleaned, os.path.join(out_dir, "star"), stage=False,
+                     partition_orders_by_year=True)
 
 
 def load_from_clean_dir(spark: SparkSession, raw: dict[str, DataFrame], clean_dir: str,
