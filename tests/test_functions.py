@@ -79,3 +79,30 @@ def test_strip_ws_unicode_and_upper_strip(spark):
     df = spark.createDataFrame([(" sp \t",)], "s string")
     r = df.select(strip_ws("s").alias("a"), upper_strip("s").alias("b")).first()
     assert (r.a, r.b) == ("sp", "SP")
+
+
+def test_normalize_text_property(spark):
+    """Random Unicode text (accents, ligatures, every white-space kind):
+    Spark result equals the Python definition exactly."""
+    import random
+    import re
+    import unicodedata
+
+    from feria.functions.text import WS_CHARS
+
+    def ref(s):
+        s = s.lower().strip()
+        s = unicodedata.normalize("NFKD", s)
+        s = "".join(c for c in s if not unicodedata.combining(c))
+        return re.sub(r"\s+", " ", s)
+
+    rnd = random.Random(11)
+    alphabet = (list("abcXYZ019 .,-'") + list(WS_CHARS) + list("áÉçÑøßŁĳﬁｆ①²Ǻ̧")
+                + [chr(c) for c in range(0x300, 0x310)])
+    samples = ["".join(rnd.choice(alphabet) for _ in range(rnd.randint(0, 25)))
+               for _ in range(400)]
+    df = spark.createDataFrame([(i, s) for i, s in enumerate(samples)], "i int, s string")
+    got = dict(df.select("i", normalize_text("s")).collect())
+    bad = [(samples[i], got[i], ref(samples[i])) for i in range(len(samples))
+           if got[i] != ref(samples[i])]
+    assert not bad, bad[:3]
