@@ -207,8 +207,10 @@ def seller_scatter(star: Star, flt: Filters = Filters(), min_orders: int = 30) -
     oi = star["fact_order_items"].select("order_id", "seller_id", "price")
     s = star["dim_sellers"].select("seller_id", F.col("state").alias("seller_state"))
     r = star["fact_reviews"].select("order_id", "review_score", "is_negative")
+    # order-grain joins first (one hash partitioning on order_id), the
+    # seller dimension last
     j = (oi.join(o.select("order_id", "delivery_time_days", "delay_days"), "order_id")
-         .join(s, "seller_id").join(r, "order_id", "left"))
+         .join(r, "order_id", "left").join(s, "seller_id"))
     n_orders = F.count_distinct("order_id")
     return (j.groupBy("seller_id", "seller_state")
             .agg(n_orders.alias("orders"),
@@ -228,12 +230,19 @@ def seller_scatter_by_order(star: Star, flt: Filters = Filters(),
     order weighs once in averages and percentages stay within 0-100."""
     o = filtered_orders(star, flt, ["is_delivered", "delivery_time_days", "delay_days"]) \
         .where(F.col("is_delivered") == 1)
-    per_order = (star["fact_order_items"].groupBy("seller_id", "order_id")
-                 .agg(F.sum("price").alias("price")))
+    oi = star["fact_order_items"].select("order_id", "seller_id", "price")
     s = star["dim_sellers"].select("seller_id", F.col("state").alias("seller_state"))
     r = star["fact_reviews"].select("order_id", "review_score", "is_negative")
-    j = (per_order.join(o.select("order_id", "delivery_time_days", "delay_days"), "order_id")
-         .join(s, "seller_id").join(r, "order_id", "left"))
+    # Items meet their order and review on order_id first; the per (seller,
+    # order) rows are then grouped under that same partitioning (every order
+    # attribute depends on order_id), and only the grouped rows move to the
+    # seller dimension.
+    per_order = (oi.join(o.select("order_id", "delivery_time_days", "delay_days"), "order_id")
+                 .join(r, "order_id", "left")
+                 .groupBy("seller_id", "order_id", "delivery_time_days", "delay_days",
+                          "review_score", "is_negative")
+                 .agg(F.sum("price").alias("price")))
+    j = per_order.join(s, "seller_id")
     n = F.count(F.lit(1))
     return (j.groupBy("seller_id", "seller_state")
             .agg(n.alias("orders"),
