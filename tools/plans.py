@@ -27,7 +27,8 @@ def summarize(name: str, df) -> str:
     for o in ops:
         k = o.strip()
         counts[k] = counts.get(k, 0) + 1
-    pushed = sorted(set(re.findall(r"PushedFilters: \[([^\]]*)\]", plan)))
+    pushed = sorted(set(p.split(", ReadSchema")[0].rstrip("]").rstrip(".")
+                        for p in re.findall(r"PushedFilters: \[([^\n]*)", plan)))
     lines = [f"### {name}", "", "| operator | count |", "|---|---|"]
     lines += [f"| {k} | {v} |" for k, v in sorted(counts.items())]
     if pushed:
