@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from feria.session import checkpoint_dir
+
 
 def mode_of(c: str) -> Column:
     """Most frequent non-NULL value, smallest value on ties, NULL if the
@@ -85,7 +87,8 @@ def grouped_modes(df: DataFrame, keys: list[str], cols: list[str]) -> DataFrame:
 
 
 def exact_percentile(df: DataFrame, keys: list[str], col: str, q: float,
-                     accuracy: int = 100_000, alias: str | None = None) -> DataFrame:
+                     accuracy: int = 100_000, alias: str | None = None,
+                     max_candidates: int = 1_000_000, buckets: int = 1024) -> DataFrame:
     """Exact ``percentile(col, q)`` per group (linear interpolation, the same
     formula as Spark's ``percentile``) without ever holding a group's values
     in one task.
@@ -93,12 +96,17 @@ def exact_percentile(df: DataFrame, keys: list[str], col: str, q: float,
     1. Per group: the count and two sketch quantiles (``percentile_approx``
        at q -/+ 3/accuracy). The sketch's rank error is at most n/accuracy,
        so the exact answer lies between the two bounds; a sketch stays
-       bounded in size however large the group.
-    2. Rows below the lower bound are only counted; rows between the bounds
-       (about 6n/accuracy of a group) are counted per distinct value. Groups
-       smaller than ``accuracy`` use all their values as candidates.
-    3. A running sum over those candidates gives each value's rank range,
-       and the two values around position q*(n-1) are picked.
+       bounded in size however large the group. Groups smaller than
+       ``accuracy`` simply keep all their values as candidates.
+    2. Rows below the lower bound are only counted.
+    3. While some group still has more than ``max_candidates`` distinct
+       values between its bounds, the window is cut into ``buckets``
+       equal-width buckets, bucket counts locate the bucket(s) holding the
+       target ranks, and the bounds shrink to them (a distributed count per
+       (group, bucket); no group is gathered).
+    4. A running sum over the remaining candidates (at most
+       ``max_candidates`` per group) gives each value's rank range, and the
+       two values around position q*(n-1) are picked.
 
     NULLs are ignored; groups without a value get NULL. ``keys=[]`` gives one
     global row.
@@ -106,38 +114,69 @@ def exact_percentile(df: DataFrame, keys: list[str], col: str, q: float,
     alias = alias or col
     d = 3.0 / accuracy
     x = df.where(F.col(col).isNotNull()).select(*keys, F.col(col).cast("double").alias("_v"))
-    stats = (x.groupBy(*keys)
-             .agg(F.count(F.lit(1)).alias("_n"),
-                  F.percentile_approx("_v", [max(0.0, q - d), min(1.0, q + d)], accuracy)
-                  .alias("_b"))
-             # the rank guarantee needs n >= accuracy; smaller groups (fewer
-             # than `accuracy` values) simply take all their values as candidates
-             .select(*keys,
-                     F.when(F.col("_n") < accuracy, F.lit(float("-inf")))
-                     .otherwise(F.col("_b")[0]).alias("_lo"),
-                     F.when(F.col("_n") < accuracy, F.lit(float("inf")))
-                     .otherwise(F.col("_b")[1]).alias("_hi"),
-                     ((F.col("_n") - 1).cast("double") * F.lit(q)).alias("_pos")))
 
     def attach(left: DataFrame, right: DataFrame) -> DataFrame:
         # per-group tables join on the keys; the global case is one row
         return left.join(right, keys) if keys else left.crossJoin(F.broadcast(right))
 
-    j = attach(x, stats)
-    below = j.groupBy(*keys).agg(F.count_if(F.col("_v") < F.col("_lo")).alias("_below"))
-    cand = (j.where(F.col("_v").between(F.col("_lo"), F.col("_hi")))
+    def agg(frame: DataFrame, *exprs):
+        return frame.groupBy(*keys).agg(*exprs) if keys else frame.agg(*exprs)
+
+    sketch = agg(x, F.count(F.lit(1)).alias("_n"),
+                 F.percentile_approx("_v", [max(0.0, q - d), min(1.0, q + d)], accuracy)
+                 .alias("_b"))
+    state = sketch.select(
+        *keys,
+        F.when(F.col("_n") < accuracy, F.lit(float("-inf"))).otherwise(F.col("_b")[0])
+        .alias("_lo"),
+        F.when(F.col("_n") < accuracy, F.lit(float("inf"))).otherwise(F.col("_b")[1])
+        .alias("_hi"),
+        ((F.col("_n") - 1).cast("double") * F.lit(q)).alias("_pos"))
+    below = agg(attach(x, state), F.count_if(F.col("_v") < F.col("_lo")).alias("_below"))
+    state = attach(state, below)
+    lo_r, hi_r = F.floor(F.col("_pos")), F.ceil(F.col("_pos"))
+
+    for _ in range(16):  # each round shrinks a window by ~`buckets`; doubles need few
+        win = attach(x, state).where(F.col("_v").between(F.col("_lo"), F.col("_hi")))
+        widest = agg(win, F.count_distinct("_v").alias("_d")).agg(F.max("_d")).first()[0]
+        if widest is None or widest <= max_candidates:
+            break
+        # The per-group state is tiny; cut its lineage so each round costs a
+        # pass over the data instead of replaying all earlier rounds.
+        checkpoint_dir(df.sparkSession)
+        state = state.checkpoint()
+        win = attach(x, state).where(F.col("_v").between(F.col("_lo"), F.col("_hi")))
+        span = agg(win, F.min("_v").alias("_wlo"), F.max("_v").alias("_whi"))
+        w2 = attach(win, span)
+        b = F.when(F.col("_whi") == F.col("_wlo"), F.lit(0)).otherwise(
+            F.least(F.floor((F.col("_v") - F.col("_wlo")) * buckets
+                            / (F.col("_whi") - F.col("_wlo"))), F.lit(buckets - 1)))
+        counts = w2.withColumn("_bk", b).groupBy(*keys, "_bk").agg(
+            F.count(F.lit(1)).alias("_cnt"), F.min("_v").alias("_bmin"),
+            F.max("_v").alias("_bmax"))
+        wb = (Window.partitionBy(*keys) if keys else Window.partitionBy()).orderBy("_bk") \
+            .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        ranked = attach(counts.withColumn("_cum", F.sum("_cnt").over(wb)),
+                        state.select(*keys, "_pos", "_below"))
+        first = F.col("_below") + F.col("_cum") - F.col("_cnt")
+        last = F.col("_below") + F.col("_cum") - 1
+        # keep the buckets from the one holding floor(pos) to the one holding ceil(pos)
+        keep = ranked.where((last >= lo_r) & (first <= hi_r))
+        state = agg(keep, F.min("_bmin").alias("_lo"), F.max("_bmax").alias("_hi"),
+                    F.min(first).alias("_below"), F.max("_pos").alias("_pos"))
+
+    cand = (attach(x, state).where(F.col("_v").between(F.col("_lo"), F.col("_hi")))
             .groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_cnt")))
     w = (Window.partitionBy(*keys) if keys else Window.partitionBy()).orderBy("_v") \
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = attach(attach(cand.withColumn("_cum", F.sum("_cnt").over(w)), below),
-                    stats.select(*keys, "_pos"))
-    lo_r, hi_r = F.floor(F.col("_pos")), F.ceil(F.col("_pos"))
+    ranked = attach(cand.withColumn("_cum", F.sum("_cnt").over(w)),
+                    state.select(*keys, "_pos", "_below"))
     first = F.col("_below") + F.col("_cum") - F.col("_cnt")   # rank of the first copy
     last = F.col("_below") + F.col("_cum") - 1
-    vals = (ranked.groupBy(*keys)
-            .agg(F.max(F.when((first <= lo_r) & (lo_r <= last), F.col("_v"))).alias("_a"),
-                 F.max(F.when((first <= hi_r) & (hi_r <= last), F.col("_v"))).alias("_b"),
-                 F.max("_pos").alias("_pos")))
+    vals = agg(ranked,
+               F.max(F.when((first <= lo_r) & (lo_r <= last), F.col("_v"))).alias("_a"),
+               F.max(F.when((first <= hi_r) & (hi_r <= last), F.col("_v"))).alias("_b"),
+               F.max("_pos").alias("_pos"))
     pos, lo_i, hi_i = F.col("_pos"), F.floor(F.col("_pos")), F.ceil(F.col("_pos"))
     value = (F.when(lo_i == hi_i, F.col("_a"))
              .when(F.col("_a") == F.col("_b"), F.col("_a"))

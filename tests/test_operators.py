@@ -119,6 +119,10 @@ def test_exact_percentile_equals_builtin(spark):
         got = dict(exact_percentile(df, ["g"], "v", q, accuracy=500).collect())
         exp = dict(df.groupBy("g").agg(F.percentile("v", F.lit(q))).collect())
         assert got == exp, q
+        # force the bucket-refinement rounds (tiny candidate cap)
+        refined = dict(exact_percentile(df, ["g"], "v", q, accuracy=500, max_candidates=8,
+                                        buckets=4).collect())
+        assert refined == exp, q
         assert exact_percentile(df, [], "v", q, accuracy=500).first()[0] == \
             df.agg(F.percentile("v", F.lit(q))).first()[0]
     med = dict((r.g, r.v) for r in grouped_medians(df, ["g"], ["v"]).collect())
