@@ -34,15 +34,6 @@ def first_max_by(value: str, metric: str, seq: str) -> Column:
     return m["_v"]
 
 
-def exact_median(c: str) -> Column:
-    """Exact median with linear interpolation (never the approximate one)."""
-    return F.percentile(F.col(c), F.lit(0.5))
-
-
-def exact_quantile(c: str, q: float) -> Column:
-    return F.percentile(F.col(c), F.lit(q))
-
-
 def _unpivot(df: DataFrame, keys: list[str], cols: list[str]) -> DataFrame:
     """(keys..., _c, _v): one row per input row and column (same-typed cols)."""
     return df.select(*keys, F.explode(F.array(*[
@@ -125,25 +116,32 @@ def exact_percentile(df: DataFrame, keys: list[str], col: str, q: float,
     sketch = agg(x, F.count(F.lit(1)).alias("_n"),
                  F.percentile_approx("_v", [max(0.0, q - d), min(1.0, q + d)], accuracy)
                  .alias("_b"))
+    # One small row per group, written once to the shared checkpoint folder:
+    # later steps read it instead of recomputing the sketches.
+    checkpoint_dir(df.sparkSession)
     state = sketch.select(
-        *keys,
+        *keys, "_n",
         F.when(F.col("_n") < accuracy, F.lit(float("-inf"))).otherwise(F.col("_b")[0])
         .alias("_lo"),
         F.when(F.col("_n") < accuracy, F.lit(float("inf"))).otherwise(F.col("_b")[1])
         .alias("_hi"),
-        ((F.col("_n") - 1).cast("double") * F.lit(q)).alias("_pos"))
+        ((F.col("_n") - 1).cast("double") * F.lit(q)).alias("_pos")).checkpoint()
+    max_n = state.agg(F.max("_n")).first()[0] or 0
     below = agg(attach(x, state), F.count_if(F.col("_v") < F.col("_lo")).alias("_below"))
-    state = attach(state, below)
+    state = attach(state.drop("_n"), below)
     lo_r, hi_r = F.floor(F.col("_pos")), F.ceil(F.col("_pos"))
 
-    for _ in range(16):  # each round shrinks a window by ~`buckets`; doubles need few
+    # A window holds all values of a group below `accuracy` rows, else about
+    # 6n/accuracy of them: refinement is only needed for huge groups.
+    needs_refinement = max(max_n if max_n < accuracy else 6.0 * max_n / accuracy, 0) \
+        > max_candidates
+    for _ in range(16 if needs_refinement else 0):  # each round shrinks by ~`buckets`
         win = attach(x, state).where(F.col("_v").between(F.col("_lo"), F.col("_hi")))
         widest = agg(win, F.count_distinct("_v").alias("_d")).agg(F.max("_d")).first()[0]
         if widest is None or widest <= max_candidates:
             break
         # The per-group state is tiny; cut its lineage so each round costs a
         # pass over the data instead of replaying all earlier rounds.
-        checkpoint_dir(df.sparkSession)
         state = state.checkpoint()
         win = attach(x, state).where(F.col("_v").between(F.col("_lo"), F.col("_hi")))
         span = agg(win, F.min("_v").alias("_wlo"), F.max("_v").alias("_whi"))
