@@ -13,6 +13,7 @@ Each warehouse table is built from its cleaned table by
 from __future__ import annotations
 
 import os
+import time
 from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -143,8 +144,10 @@ def build_star(clean: dict[str, DataFrame], dedup: str = "auto") -> LazyTables:
 
 
 def load_table(spark: SparkSession, table: str, clean_df: DataFrame, out_dir: str,
-               partition_by: list[str] | None = None, stage: bool = True) -> tuple[int, int]:
-    """Load one warehouse table as a full refresh; returns (rows, rejected).
+               partition_by: list[str] | None = None,
+               stage: bool = True) -> tuple[int, int, int]:
+    """Load one warehouse table as a full refresh; returns (rows written,
+    rows rejected by a constraint, rows skipped as a repeated key).
 
     ``stage=True`` (for lazy cleaning plans): the projected, checked rows are
     computed once and staged as Parquet - a lineage cut, so the cleaning
@@ -170,9 +173,11 @@ def load_table(spark: SparkSession, table: str, clean_df: DataFrame, out_dir: st
                   F.count_if(F.col("_reject").isNotNull()).alias("b"))
              .agg(F.coalesce(F.sum("b"), F.lit(0)).alias("n_bad"),
                   F.coalesce(F.max("g"), F.lit(0)).alias("max_good"),
-                  F.count_if(F.col("g") > 0).alias("n_rows"))
+                  F.count_if(F.col("g") > 0).alias("n_rows"),
+                  F.coalesce(F.sum("g"), F.lit(0)).alias("n_good"))
              .first())
     n_bad, n_rows = int(stats["n_bad"]), int(stats["n_rows"])
+    n_dup = int(stats["n_good"]) - n_rows
     if n_bad:
         checked.where(F.col("_reject").isNotNull()).withColumnRenamed("_reject", "reason") \
             .write.mode("overwrite").parquet(os.path.join(out_dir, "_rejects", table))
@@ -182,7 +187,7 @@ def load_table(spark: SparkSession, table: str, clean_df: DataFrame, out_dir: st
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(os.path.join(out_dir, table))
-    return n_rows, n_bad
+    return n_rows, n_bad, n_dup
 
 
 def load_star(spark: SparkSession, clean: dict[str, DataFrame], out_dir: str,
@@ -198,16 +203,20 @@ def load_star(spark: SparkSession, clean: dict[str, DataFrame], out_dir: str,
     written, not what was attempted.
     """
     def one(t: str):
+        t0 = time.perf_counter()
         try:
             part = ["order_year"] if (t == "fact_orders" and partition_orders_by_year) else None
-            n, nr = load_table(spark, t, clean[SOURCE[t]], out_dir, part, stage)
-            return (t, n, nr, None)
+            n, nr, nd = load_table(spark, t, clean[SOURCE[t]], out_dir, part, stage)
+            return (t, n, nr, nd, round(time.perf_counter() - t0, 3), None)
         except Exception as e:  # noqa: BLE001 - recorded per table, the load goes on
-            return (t, None, None, f"{type(e).__name__}: {e}"[:500])
+            return (t, None, None, None, round(time.perf_counter() - t0, 3),
+                    f"{type(e).__name__}: {e}"[:500])
 
     with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
         status = list(pool.map(one, LOAD_ORDER))
-    return spark.createDataFrame(status, "table string, rows long, rejected long, error string")
+    return spark.createDataFrame(
+        status, "table string, rows long, rejected long, skipped_duplicates long, "
+                "seconds double, error string")
 
 
 def write_clean(spark: SparkSession, clean: dict[str, DataFrame], out_dir: str,

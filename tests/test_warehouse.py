@@ -37,8 +37,8 @@ def test_review_rejects_and_key_dedup(spark, tmp_dir):
     assert st.rejects.count() == 3
     rows = st.rows.collect()
     assert [(r.review_id, r.order_id) for r in rows] == [("r4", "o5")]   # newest answer first
-    n, nbad = W.load_table(spark, "fact_reviews", rev, tmp_dir)
-    assert (n, nbad) == (1, 3)
+    n, nbad, ndup = W.load_table(spark, "fact_reviews", rev, tmp_dir)
+    assert (n, nbad, ndup) == (1, 3, 1)
     assert spark.read.parquet(f"{tmp_dir}/fact_reviews").count() == 1
     assert spark.read.parquet(f"{tmp_dir}/_rejects/fact_reviews").count() == 3
 
