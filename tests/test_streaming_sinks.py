@@ -54,3 +54,20 @@ def test_refresh_job_sf0001(spark, tmp_dir):
                                       tmp_dir).collect()}
     assert all(r.error is None for r in st.values())
     assert os.path.exists(os.path.join(tmp_dir, "clean", "master"))
+
+
+def test_load_from_clean_dir_rebuilds_missing_products(spark, tmp_dir):
+    from feria.plans.clean import clean_all
+    from feria.plans.refresh import load_from_clean_dir
+    from feria.plans.warehouse import write_clean
+    from feria.sources.bindings import raw_tables
+    raw = raw_tables(spark, "/root/testdata/sf0.001")
+    cleaned = clean_all(raw)
+    cleaned.pop("products")
+    clean_dir = os.path.join(tmp_dir, "clean")
+    write_clean(spark, cleaned, clean_dir)
+    assert not os.path.exists(os.path.join(clean_dir, "products"))
+    st = {r.table: r for r in load_from_clean_dir(spark, raw, clean_dir,
+                                                  os.path.join(tmp_dir, "star")).collect()}
+    assert st["dim_products"].error is None and st["dim_products"].rows > 0
+    assert os.path.exists(os.path.join(clean_dir, "products"))
