@@ -103,27 +103,30 @@ def _q3(spark, sf_dir):
     return A.q3_delivery_by_state(star(spark, sf_dir))
 
 
-Q4_FLAGS = """
-SELECT o.order_id,
-       CASE WHEN o.order_status = 'canceled' THEN 1 ELSE 0 END AS is_canceled,
-       CASE WHEN o.delay_days > 0 THEN 1 ELSE 0 END AS is_late,
-       COALESCE(r.is_negative, 0) AS is_negative_review,
-       CASE WHEN o.order_status = 'canceled' OR o.delay_days > 0 OR r.is_negative = 1
-            THEN 1 ELSE 0 END AS has_any_incident
-FROM fact_orders o LEFT JOIN fact_reviews r ON o.order_id = r.order_id"""
+# The oracle states Q4 with filtered counts over the order/review join
+# rather than a table of 0/1 flags: same meaning, independent formulation.
+Q4_JOIN = "fact_orders o LEFT JOIN fact_reviews r ON o.order_id = r.order_id"
+Q4_CANCELED = "o.order_status = 'canceled'"
+Q4_LATE = "o.delay_days > 0"
+Q4_NEG = "r.is_negative = 1"
+Q4_ANY = f"({Q4_CANCELED} OR {Q4_LATE} OR {Q4_NEG})"
+
+
+def _cnt(cond: str) -> str:
+    return f"count(*) FILTER (WHERE {cond})"
 
 
 @register("q4_incident_rates", f"""
 SELECT CAST(count(*) AS BIGINT) AS total_orders,
-       CAST(sum(is_canceled) AS BIGINT) AS canceled,
-       CAST(sum(is_late) AS BIGINT) AS late_deliveries,
-       CAST(sum(is_negative_review) AS BIGINT) AS negative_reviews,
-       CAST(sum(has_any_incident) AS BIGINT) AS with_any_incident,
-       {O.pct("sum(is_canceled)", "count(*)", 2)} AS canceled_pct,
-       {O.pct("sum(is_late)", "count(*)", 2)} AS late_pct,
-       {O.pct("sum(is_negative_review)", "count(*)", 2)} AS negative_review_pct,
-       {O.pct("sum(has_any_incident)", "count(*)", 2)} AS incident_pct
-FROM ({Q4_FLAGS}) order_flags""")
+       CAST({_cnt(Q4_CANCELED)} AS BIGINT) AS canceled,
+       CAST({_cnt(Q4_LATE)} AS BIGINT) AS late_deliveries,
+       CAST({_cnt(Q4_NEG)} AS BIGINT) AS negative_reviews,
+       CAST({_cnt(Q4_ANY)} AS BIGINT) AS with_any_incident,
+       {O.pct(_cnt(Q4_CANCELED), "count(*)", 2)} AS canceled_pct,
+       {O.pct(_cnt(Q4_LATE), "count(*)", 2)} AS late_pct,
+       {O.pct(_cnt(Q4_NEG), "count(*)", 2)} AS negative_review_pct,
+       {O.pct(_cnt(Q4_ANY), "count(*)", 2)} AS incident_pct
+FROM {Q4_JOIN}""")
 def _q4(spark, sf_dir):
     return A.q4_incident_rates(star(spark, sf_dir))
 
@@ -230,16 +233,16 @@ ORDER BY avg_days DESC NULLS FIRST, c.state {limit}"""
 
 
 def _q4_sql(flt) -> str:
+    canceled, late, neg = "o.order_status = 'canceled'", "o.delay_days > 0", "r.is_negative = 1"
     return f"""
-SELECT CAST(sum(a) AS BIGINT) AS canceled, CAST(sum(b) AS BIGINT) AS late,
-       CAST(sum(n) AS BIGINT) AS negative_reviews,
-       CAST(count(*) - sum(greatest(a, b, n)) AS BIGINT) AS no_incident,
+SELECT CAST(count(*) FILTER (WHERE {canceled}) AS BIGINT) AS canceled,
+       CAST(count(*) FILTER (WHERE {late}) AS BIGINT) AS late,
+       CAST(count(*) FILTER (WHERE {neg}) AS BIGINT) AS negative_reviews,
+       CAST(count(*) FILTER (WHERE NOT coalesce({canceled} OR {late} OR {neg}, false))
+            AS BIGINT) AS no_incident,
        CAST(count(*) AS BIGINT) AS total
-FROM (SELECT CASE WHEN o.order_status = 'canceled' THEN 1 ELSE 0 END AS a,
-             CASE WHEN o.delay_days > 0 THEN 1 ELSE 0 END AS b,
-             COALESCE(r.is_negative, 0) AS n
-      FROM {OC} LEFT JOIN fact_reviews r ON o.order_id = r.order_id
-      WHERE {flt_sql(flt)}) flags"""
+FROM {OC} LEFT JOIN fact_reviews r ON o.order_id = r.order_id
+WHERE {flt_sql(flt)}"""
 
 
 def _score_sql(flt) -> str:
