@@ -34,6 +34,19 @@ def first_max_by(value: str, metric: str, seq: str) -> Column:
     return m["_v"]
 
 
+def median_small_domain(df: DataFrame, keys: list[str], col: str,
+                        alias: str | None = None) -> DataFrame:
+    """Exact median per group for a column with few distinct values (day
+    counts, scores): count per (group, value) first - combined map-side and
+    spread by value - then the weighted exact ``percentile`` per group, whose
+    final merge touches each distinct value of a group once."""
+    alias = alias or col
+    counts = (df.where(F.col(col).isNotNull()).groupBy(*keys, col)
+              .agg(F.count(F.lit(1)).alias("_n")))
+    return counts.groupBy(*keys).agg(
+        F.percentile(F.col(col), F.lit(0.5), F.col("_n")).alias(alias))
+
+
 def _unpivot(df: DataFrame, keys: list[str], cols: list[str]) -> DataFrame:
     """(keys..., _c, _v): one row per input row and column (same-typed cols)."""
     return df.select(*keys, F.explode(F.array(*[

@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from feria.functions import mean_round, money_mean_round, money_round, pct
+from feria.operators.aggregates import median_small_domain
 from feria.plans.analytics import Star
 
 # Year range used when the data holds no year at all.
@@ -155,13 +156,16 @@ def delivery_by_state(star: Star, flt: Filters = Filters(), min_orders: int = 10
     o = filtered_orders(star, flt, ["is_delivered", "delivery_time_days", "delay_days"])
     late = F.count_if(F.col("delay_days") > 0)
     n = F.count(F.lit(1))
-    return (o.where((F.col("is_delivered") == 1) & F.col("delivery_time_days").isNotNull())
-            .groupBy("state")
+    rows = o.where((F.col("is_delivered") == 1) & F.col("delivery_time_days").isNotNull())
+    med = median_small_domain(rows, ["state"], "delivery_time_days", "_med")
+    return (rows.groupBy("state")
             .agg(n.alias("orders"),
                  mean_round("delivery_time_days", 1).alias("avg_days"),
-                 F.round(F.median("delivery_time_days"), 1).alias("median_days"),
                  mean_round("delay_days", 1).alias("avg_delay"),
                  pct(late, n, 1).alias("late_pct"))
+            .join(med, "state", "left")
+            .select("state", "orders", "avg_days", F.round("_med", 1).alias("median_days"),
+                    "avg_delay", "late_pct")
             .where(F.col("orders") >= min_orders)
             .orderBy(F.col("avg_days").desc_nulls_first(), F.col("state").asc_nulls_last()))
 

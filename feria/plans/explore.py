@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from feria.functions import floor_days, ratio_round, to_ts, year_month
 from feria.operators import profile as P
+from feria.operators.aggregates import median_small_domain
 from feria.operators import quality as Q
 from feria.plans.clean import LAT_RANGE, LNG_RANGE, ORDER_TS
 
@@ -167,9 +168,12 @@ def delivery_stats(clean_orders: DataFrame) -> DataFrame:
     """Mean (1 place) and exact median of delivery days, late orders,
     negative delivery times nulled."""
     dt = floor_days("order_delivered_customer_date", "order_purchase_timestamp")
-    return clean_orders.agg(
+    base = clean_orders.agg(
         F.count_if(dt < 0).alias("negative_delivery_times"),
         ratio_round(F.sum("delivery_time_days"), F.count("delivery_time_days"), 1)
         .alias("mean_days"),
-        F.round(F.median("delivery_time_days"), 1).alias("median_days"),
         F.count_if(F.col("delay_days") > 0).alias("late_orders"))
+    med = median_small_domain(clean_orders, [], "delivery_time_days", "_med")
+    return base.crossJoin(F.broadcast(med)).select(
+        "negative_delivery_times", "mean_days", F.round("_med", 1).alias("median_days"),
+        "late_orders")
