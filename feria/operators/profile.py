@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,6 +18,21 @@ from feria.functions import pct, ratio_round
 from feria.operators.aggregates import exact_percentile
 
 
+def fixed_text(c) -> Column:
+    """A fractional number as plain fixed-point text with 9 decimals
+    ('-1.136160000'), the same under every ANSI / formatting setting: the
+    value is taken to DECIMAL(38,9), scaled to an integer (scale-0 decimals
+    always print plainly) and the point is put back by string position."""
+    c = F.col(c) if isinstance(c, str) else c
+    n = (c.cast("decimal(38,9)") * F.lit(1_000_000_000)).cast("decimal(38,0)")
+    a = F.abs(n).cast("string")
+    padded = F.lpad(a, F.greatest(F.length(a), F.lit(10)), "0")
+    int_part = F.substring(padded, F.lit(1), F.length(padded) - 9)
+    frac = F.substring(padded, F.length(padded) - 8, F.lit(9))
+    return F.when(c.isNull(), F.lit(None).cast("string")).otherwise(
+        F.concat(F.when(n < 0, F.lit("-")).otherwise(F.lit("")), int_part, F.lit("."), frac))
+
+
 def null_counts(df: DataFrame, table: str | None = None) -> DataFrame:
     """(table, column, nulls, null_pct): one pass over the data."""
     n = F.count(F.lit(1)).alias("_rows")
@@ -56,7 +71,7 @@ def profile_columns(df: DataFrame, table: str) -> DataFrame:
         # fractional numbers as fixed-point text, so the sample does not
         # depend on float formatting
         if isinstance(df.schema[c].dataType, (T.DoubleType, T.FloatType)):
-            return F.col(f"`{c}`").cast("decimal(38,9)").cast("string")
+            return fixed_text(F.col(f"`{c}`"))
         return F.col(f"`{c}`").cast("string")
     samples = df.agg(*[F.min(text(c)).alias(f"s{i}") for i, c in enumerate(df.columns)])
     samples = samples.select(F.explode(F.array(*[
@@ -171,7 +186,7 @@ def hash_sample(df: DataFrame, n: int, keys: list[str], seed: int = 42) -> DataF
         # Fractional numbers are rendered as fixed-point decimals so the key
         # text (and so the sample) does not depend on float formatting.
         if isinstance(df.schema[k].dataType, (T.DoubleType, T.FloatType)):
-            return F.col(k).cast("decimal(38,9)").cast("string")
+            return fixed_text(k)
         return F.col(k).cast("string")
     h = F.md5(F.concat_ws("|", *[text(k) for k in keys], F.lit(str(seed))))
     # first 13 hex digits -> an integer below 2^52, exact in a double

@@ -100,6 +100,7 @@ def main():
         from pyspark.sql import SparkSession
         spark = (SparkSession.builder.master("local[8]")
                  .config("spark.sql.session.timeZone", os.environ.get("TZ_NAME", "America/New_York"))
+                 .config("spark.sql.ansi.enabled", os.environ.get("ANSI", "true"))
                  .config("spark.ui.enabled", "false").getOrCreate())
     else:
         spark = get_spark("local[8]", shuffle_partitions=8)
