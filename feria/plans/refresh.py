@@ -18,7 +18,7 @@ from feria.plans.marts import master, payments_summary
 from feria.plans.warehouse import load_star, write_clean
 from feria.sources.bindings import raw_tables
 from feria.sources.readers import read_raw_dir
-from feria.sources.sinks import path_exists
+from feria.sources.sinks import export_csv, path_exists
 
 
 def ensure_products(spark: SparkSession, raw: dict[str, DataFrame], clean_dir: str) -> None:
@@ -30,14 +30,20 @@ def ensure_products(spark: SparkSession, raw: dict[str, DataFrame], clean_dir: s
             .write.mode("overwrite").parquet(path)
 
 
-def refresh(spark: SparkSession, raw: dict[str, DataFrame], out_dir: str) -> DataFrame:
+def refresh(spark: SparkSession, raw: dict[str, DataFrame], out_dir: str,
+            csv_dir: str | None = None) -> DataFrame:
     """Clean, write the clean layer (+ payment summary and master), load the
-    star schema; returns the load status."""
+    star schema; returns the load status. With ``csv_dir`` the ten cleaned
+    tables are also exported as CSV files for hand-off (Parquet stays the
+    format the next stage reads)."""
     clean_dir = os.path.join(out_dir, "clean")
     cleaned = write_clean(spark, clean_all(raw), clean_dir)
     extra = {"payments_summary": payments_summary(cleaned["payments"]),
              "master": master(cleaned)}
-    write_clean(spark, extra, clean_dir)
+    written = write_clean(spark, extra, clean_dir)
+    if csv_dir:
+        for name, df in {**cleaned, **written}.items():
+            export_csv(df, os.path.join(csv_dir, name))
     return load_star(spark, cleaned, os.path.join(out_dir, "star"), stage=False,
                      partition_orders_by_year=True)
 
@@ -60,10 +66,11 @@ def main(argv: list[str] | None = None) -> None:
     src.add_argument("--raw-dir", help="folder with the raw CSV files")
     src.add_argument("--driver-dir", help="folder with the Parquet test tables")
     ap.add_argument("--out", required=True)
+    ap.add_argument("--csv", help="also export the cleaned tables as CSV here")
     a = ap.parse_args(argv)
     spark = get_spark()
     raw = read_raw_dir(spark, a.raw_dir) if a.raw_dir else raw_tables(spark, a.driver_dir)
-    refresh(spark, raw, a.out).show(truncate=False)
+    refresh(spark, raw, a.out, a.csv).show(truncate=False)
 
 
 if __name__ == "__main__":

@@ -50,10 +50,15 @@ def test_export_csv_roundtrip(spark, tmp_dir):
 def test_refresh_job_sf0001(spark, tmp_dir):
     from feria.plans.refresh import refresh
     from feria.sources.bindings import raw_tables
+    csv_dir = os.path.join(tmp_dir, "csv")
     st = {r.table: r for r in refresh(spark, raw_tables(spark, "/root/testdata/sf0.001"),
-                                      tmp_dir).collect()}
+                                      tmp_dir, csv_dir).collect()}
     assert all(r.error is None for r in st.values())
     assert os.path.exists(os.path.join(tmp_dir, "clean", "master"))
+    assert len(os.listdir(csv_dir)) == 10
+    back = spark.read.option("header", True).csv(os.path.join(csv_dir, "payments_summary"))
+    assert back.count() == spark.read.parquet(
+        os.path.join(tmp_dir, "clean", "payments_summary")).count()
 
 
 def test_load_from_clean_dir_rebuilds_missing_products(spark, tmp_dir):
