@@ -59,3 +59,10 @@ def money_mean_round(x, n: int) -> Column:
 
 def null_if_zero(x) -> Column:
     return F.nullif(_c(x), F.lit(0))
+
+
+def nan_to_null(x) -> Column:
+    """NaN -> NULL (a float source may carry NaN where the data is missing;
+    NULL is Spark's missing value and is skipped by aggregates)."""
+    c = _c(x)
+    return F.when(~F.isnan(c), c)

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feria.functions import flag, floor_days, normalize_text, strip_ws, to_ts, upper_strip, year_month
+from feria.functions import (flag, floor_days, nan_to_null, normalize_text, strip_ws, to_ts,
+                             upper_strip, year_month)
 from feria.operators.aggregates import grouped_medians, grouped_modes
 from feria.operators.dedup import latest_per_key
 
@@ -63,11 +64,11 @@ def translation_lookup(translation: DataFrame) -> DataFrame:
 
 def clean_products(products: DataFrame, translation: DataFrame) -> DataFrame:
     """Category 'unknown' for NULL, English name with fall-back to the key,
-    zero sizes -> NULL, then fill from the category median and last from the
+    NaN and zero sizes -> NULL, then fill from the category median and last from the
     global median (both over the pre-fill column)."""
     p = products.withColumn("product_category_name",
                             F.coalesce(F.col("product_category_name"), F.lit("unknown")))
-    p = p.withColumns({c: F.nullif(F.col(c), F.lit(0).cast(p.schema[c].dataType))
+    p = p.withColumns({c: F.nullif(nan_to_null(c), F.lit(0).cast(p.schema[c].dataType))
                        for c in DIM_COLS})
     lk = translation_lookup(translation)
     # The lookup is one row per category: small, and AQE turns this into a

@@ -108,3 +108,15 @@ def test_master_grain_and_join(spark):
     assert m.select("order_id").distinct().count() == n_orders_with_items
     ipo = items_per_order(c["order_items"])
     assert ipo.count() == n_orders_with_items
+
+
+def test_products_nan_sizes_are_missing(spark):
+    prods = spark.createDataFrame([
+        ("p1", "cama", float("nan"), 1.0, 1.0, 1.0), ("p2", "cama", 300.0, 1.0, 1.0, 1.0),
+        ("p3", "cama", 500.0, 1.0, 1.0, 1.0)],
+        "product_id string, product_category_name string, product_weight_g double, "
+        "product_length_cm double, product_height_cm double, product_width_cm double")
+    trans = spark.createDataFrame([], "product_category_name string, "
+                                      "product_category_name_english string")
+    out = {r.product_id: r.product_weight_g for r in C.clean_products(prods, trans).collect()}
+    assert out == {"p1": 400.0, "p2": 300.0, "p3": 500.0}
