@@ -17,7 +17,8 @@ from pyspark.sql import types as T
 from feria import duck_oracle as O
 from feria.plans import analytics as A
 from feria.plans.clean import clean_all
-from feria.plans.warehouse import build_star
+from feria.plans.warehouse import (SOURCE, LazyTables, build_table, has_duplicate_keys)
+from feria.schemas import LOAD_ORDER, PRIMARY_KEY
 from feria.sources.bindings import raw_tables
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -61,8 +62,24 @@ def clean(spark, sf_dir):
     return clean_all(raw(spark, sf_dir))
 
 
+# Whether a warehouse table needs the full-row key de-duplication is a
+# property of the data: decided once per session and input folder (one
+# key-only check per table), then reused by every query over that table.
+_DEDUP_MODE: dict[tuple[str, str, str], str] = {}
+
+
 def star(spark, sf_dir):
-    return build_star(clean(spark, sf_dir))
+    cleaned = clean(spark, sf_dir)
+    app = spark.sparkContext.applicationId
+
+    def build(t: str):
+        key = (app, sf_dir, t)
+        if key not in _DEDUP_MODE:
+            rows = build_table(t, cleaned[SOURCE[t]], dedup="never").rows
+            _DEDUP_MODE[key] = "always" if has_duplicate_keys(rows, PRIMARY_KEY[t]) else "never"
+        return build_table(t, cleaned[SOURCE[t]], dedup=_DEDUP_MODE[key]).rows
+
+    return LazyTables({t: (lambda t=t: build(t)) for t in LOAD_ORDER})
 
 
 # ------------------------------------------------------------------ Q1-Q5
@@ -339,7 +356,6 @@ SELECT CAST(coalesce(min(order_year), 2016) AS BIGINT) AS min_year,
 
 # ------------------------------------------------ cleaned tables and marts
 from feria.plans import marts as M  # noqa: E402
-from feria.plans.warehouse import SOURCE as STAR_SOURCE  # noqa: E402
 
 
 def _cast_sql(cols: str) -> str:
