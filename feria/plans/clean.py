@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from feria.functions import (flag, floor_days, nan_to_null, normalize_text, strip_ws, to_ts,
                              upper_strip, year_month)
 from feria.operators.aggregates import grouped_medians, grouped_modes
+from feria.lazy import LazyTables
 from feria.operators.dedup import latest_per_key
 
 # Inclusive bounding box of valid coordinates.
@@ -147,15 +148,17 @@ def clean_reviews(reviews: DataFrame) -> DataFrame:
     })
 
 
-def clean_all(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """All cleaned tables from the raw ones (lazy)."""
-    return {
-        "geolocation": clean_geolocation(raw["geolocation"]),
-        "customers": clean_customers(raw["customers"]),
-        "sellers": clean_sellers(raw["sellers"]),
-        "products": clean_products(raw["products"], raw["category_translation"]),
-        "orders": clean_orders(raw["orders"], raw["order_items"]),
-        "order_items": clean_order_items(raw["order_items"]),
-        "payments": clean_payments(raw["payments"]),
-        "reviews": clean_reviews(raw["reviews"]),
-    }
+def clean_all(raw: dict[str, DataFrame]) -> LazyTables:
+    """All cleaned tables from the raw ones, each planned on first access
+    (product and geolocation cleaning run sketch jobs while planning, so a
+    query that needs neither never pays for them)."""
+    return LazyTables({
+        "geolocation": lambda: clean_geolocation(raw["geolocation"]),
+        "customers": lambda: clean_customers(raw["customers"]),
+        "sellers": lambda: clean_sellers(raw["sellers"]),
+        "products": lambda: clean_products(raw["products"], raw["category_translation"]),
+        "orders": lambda: clean_orders(raw["orders"], raw["order_items"]),
+        "order_items": lambda: clean_order_items(raw["order_items"]),
+        "payments": lambda: clean_payments(raw["payments"]),
+        "reviews": lambda: clean_reviews(raw["reviews"]),
+    })

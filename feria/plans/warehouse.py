@@ -14,13 +14,13 @@ from __future__ import annotations
 
 import os
 import time
-from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from feria.lazy import LazyTables
 from feria.operators.dedup import By, first_per_key
 from feria.schemas import (CHECKS, DEFAULTS, LOAD_ORDER, MAX_LENGTH, NOT_NULL, PRIMARY_KEY,
                            RENAME, STAR_TYPES)
@@ -117,25 +117,6 @@ def build_table(table: str, clean_df: DataFrame, dedup: str = "auto") -> StarTab
     return StarTable(table, good, bad)
 
 
-class LazyTables(Mapping):
-    """Read-only mapping whose tables are built on first access only."""
-
-    def __init__(self, builders: dict[str, Callable[[], DataFrame]]):
-        self._builders = builders
-        self._built: dict[str, DataFrame] = {}
-
-    def __getitem__(self, name: str) -> DataFrame:
-        if name not in self._built:
-            self._built[name] = self._builders[name]()
-        return self._built[name]
-
-    def __iter__(self):
-        return iter(self._builders)
-
-    def __len__(self) -> int:
-        return len(self._builders)
-
-
 def build_star(clean: dict[str, DataFrame], dedup: str = "auto") -> LazyTables:
     """The eight warehouse tables (lazy), without the reject outputs; each
     table is planned only when a query asks for it."""

@@ -17,7 +17,8 @@ from pyspark.sql import types as T
 from feria import duck_oracle as O
 from feria.plans import analytics as A
 from feria.plans.clean import clean_all
-from feria.plans.warehouse import (SOURCE, LazyTables, build_table, has_duplicate_keys)
+from feria.lazy import LazyTables
+from feria.plans.warehouse import SOURCE, build_table, has_duplicate_keys
 from feria.schemas import LOAD_ORDER, PRIMARY_KEY
 from feria.sources.bindings import raw_tables
 

@@ -67,8 +67,7 @@ def test_load_from_clean_dir_rebuilds_missing_products(spark, tmp_dir):
     from feria.plans.warehouse import write_clean
     from feria.sources.bindings import raw_tables
     raw = raw_tables(spark, "/root/testdata/sf0.001")
-    cleaned = clean_all(raw)
-    cleaned.pop("products")
+    cleaned = {k: v for k, v in clean_all(raw).items() if k != "products"}
     clean_dir = os.path.join(tmp_dir, "clean")
     write_clean(spark, cleaned, clean_dir)
     assert not os.path.exists(os.path.join(clean_dir, "products"))
