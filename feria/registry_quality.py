@@ -567,6 +567,13 @@ ORDER BY customer_city LIMIT 20""")(
     lambda s, d: raw(s, d)["customers"].where(F.col("customer_city").isNotNull())
     .select("customer_city").distinct().orderBy("customer_city").limit(20))
 
+register("distinct_sample_seller_cities", """
+SELECT seller_city FROM (SELECT DISTINCT seller_city FROM raw_sellers
+                         WHERE seller_city IS NOT NULL) t
+ORDER BY seller_city LIMIT 20""")(
+    lambda s, d: raw(s, d)["sellers"].where(F.col("seller_city").isNotNull())
+    .select("seller_city").distinct().orderBy("seller_city").limit(20))
+
 register("dash_q2_chart_sorted", f"""
 SELECT * FROM ({_q2_sql(Dsh.Filters())}) t ORDER BY revenue, category""")(
     lambda s, d: Dsh.top_categories(star(s, d)).orderBy("revenue", "category"))
