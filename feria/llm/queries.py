@@ -59,3 +59,17 @@ def _op6(spark, sf_dir):
 def _op5(spark, sf_dir):
     from feria.llm.mixing import mix_report
     return mix_report(table(spark, sf_dir, "documents"))
+
+
+# ------------------------------------------------------------------ 1: SimHash
+@query("op1_simhash")
+def _op1(spark, sf_dir):
+    from feria.llm.simhash import near_duplicates
+    return near_duplicates(table(spark, sf_dir, "documents"), shingle=4, bits=4)
+
+
+# ------------------------------------------------------------ 2: quality rules
+@query("op2_quality")
+def _op2(spark, sf_dir):
+    from feria.llm.quality import judge
+    return judge(table(spark, sf_dir, "documents"))
