@@ -73,3 +73,16 @@ def _op1(spark, sf_dir):
 def _op2(spark, sf_dir):
     from feria.llm.quality import judge
     return judge(table(spark, sf_dir, "documents"))
+
+
+# ------------------------------------------------- 4: BPE encoding and decoding
+def bpe_path() -> str:
+    import public_tokenizers
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+@query("op4_bpe")
+def _op4(spark, sf_dir):
+    from feria.llm.bpe import decode, digests, encode
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return digests(decode(spark, encode(spark, docs, bpe_path()), bpe_path()))
