@@ -86,3 +86,11 @@ def _op4(spark, sf_dir):
     from feria.llm.bpe import decode, digests, encode
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return digests(decode(spark, encode(spark, docs, bpe_path()), bpe_path()))
+
+
+# ----------------------------------------------------------- 3: substring dedup
+@query("op3_substring")
+def _op3(spark, sf_dir):
+    from feria.llm.substring import remove_repeats
+    found = remove_repeats(spark, table(spark, sf_dir, "documents").select("doc_id", "text"), window=35)
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
