@@ -36,9 +36,9 @@ URL_BLOCKLIST = [f"{name}.example.{zone}/" for name in ("ads-track", "adult-x",
 
 @query("op6_url_filter", r"""
 WITH u AS (
-  SELECT page_id, coalesce(url, '') AS url, instr(coalesce(url, ''), '://') AS at FROM pages),
+  SELECT page_id, coalesce(url, '') AS url, instr(coalesce(url, ''), '://') AS sep FROM pages),
 p AS (
-  SELECT page_id, CASE WHEN at > 0 THEN substr(url, at + 3) ELSE '' END AS rest FROM u),
+  SELECT page_id, CASE WHEN sep > 0 THEN substr(url, sep + 3) ELSE '' END AS rest FROM u),
 h AS (
   SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
          regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM p),
@@ -94,3 +94,25 @@ def _op3(spark, sf_dir):
     from feria.llm.substring import remove_repeats
     found = remove_repeats(spark, table(spark, sf_dir, "documents").select("doc_id", "text"), window=35)
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+# ------------------------------------------------------ 9: embedding near-dedup
+@query("op9_metric_join", """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings
+  WHERE label IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+l AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v AS a JOIN v AS b
+    ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.98),
+r(a, b) AS (
+  SELECT vec_id, vec_id FROM embeddings
+  UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a),
+c AS (SELECT a, min(b) AS component_id FROM r GROUP BY a),
+n AS (SELECT a, count(*) AS n_links FROM l GROUP BY a)
+SELECT e.vec_id, coalesce(n.n_links, 0) AS n_links, c.component_id, e.vec_id = c.component_id AS kept
+FROM embeddings AS e JOIN c ON c.a = e.vec_id LEFT JOIN n ON n.a = e.vec_id""")
+def _op9(spark, sf_dir):
+    from feria.llm.metric_join import range_join
+    return range_join(table(spark, sf_dir, "embeddings"), threshold=0.98)
