@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from feria.llm.secret_scan import duck_sql
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
@@ -116,3 +118,10 @@ FROM embeddings AS e JOIN c ON c.a = e.vec_id LEFT JOIN n ON n.a = e.vec_id""")
 def _op9(spark, sf_dir):
     from feria.llm.metric_join import range_join
     return range_join(table(spark, sf_dir, "embeddings"), threshold=0.98)
+
+
+# -------------------------------------------------------------- 8: secret scans
+@query("op8_secret_scan", duck_sql())
+def _op8(spark, sf_dir):
+    from feria.llm.secret_scan import secret_report
+    return secret_report(spark, table(spark, sf_dir, "documents"))
