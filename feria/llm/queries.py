@@ -125,3 +125,25 @@ def _op9(spark, sf_dir):
 def _op8(spark, sf_dir):
     from feria.llm.secret_scan import secret_report
     return secret_report(spark, table(spark, sf_dir, "documents"))
+
+
+# ---------------------------------------------------------------- 7: line dedup
+@query("op7_line_dedup", r"""
+WITH d AS (SELECT doc_id, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS place, unnest(string_split(text, chr(10))) AS raw FROM documents),
+l AS (
+  SELECT doc_id, place, trim(translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), ' ' || chr(9) || chr(11) || chr(12) || chr(13)) AS line FROM d),
+o AS (SELECT *, row_number() OVER (PARTITION BY line ORDER BY doc_id, place) AS nth FROM l WHERE line <> ''),
+f AS (SELECT line, doc_id, place, length(line) AS n FROM o WHERE nth = 1 AND length(line) >= 16),
+near AS (
+  SELECT DISTINCT b.line FROM f AS a JOIN f AS b ON abs(a.n - b.n) <= 1 AND (a.doc_id, a.place) < (b.doc_id, b.place)
+  WHERE (left(a.line, a.n // 2) = left(b.line, a.n // 2) OR right(a.line, a.n // 2) = right(b.line, a.n // 2)) AND levenshtein(a.line, b.line) <= 1),
+g AS (
+  SELECT doc_id, count(*) FILTER (WHERE nth > 1) AS n_exact, count(*) FILTER (WHERE nth = 1) AS n_near, list(place ORDER BY place) AS removed
+  FROM o WHERE nth > 1 OR line IN (SELECT line FROM near) GROUP BY doc_id),
+n AS (SELECT doc_id, count(*) AS n_lines FROM o GROUP BY doc_id)
+SELECT e.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_exact, 0) AS n_exact, coalesce(n_near, 0) AS n_near,
+  coalesce(array_to_string(removed, ','), '') AS removed
+FROM documents AS e LEFT JOIN n USING (doc_id) LEFT JOIN g USING (doc_id)""")
+def _op7(spark, sf_dir):
+    from feria.llm.line_dedup import line_report
+    return line_report(table(spark, sf_dir, "documents")).withColumn("removed", F.array_join("removed", ","))
