@@ -147,3 +147,10 @@ FROM documents AS e LEFT JOIN n USING (doc_id) LEFT JOIN g USING (doc_id)""")
 def _op7(spark, sf_dir):
     from feria.llm.line_dedup import line_report
     return line_report(table(spark, sf_dir, "documents")).withColumn("removed", F.array_join("removed", ","))
+
+
+# ---------------------------------------------------------------------- 10: PII
+@query("op10_pii")
+def _op10(spark, sf_dir):
+    from feria.llm.pii import pii_report
+    return pii_report(table(spark, sf_dir, "documents"), key="feria")
