@@ -8,7 +8,6 @@ columns of ``documents``. Between stages the rows are written as Parquet.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from feria.llm import bpe, line_dedup, mixing, quality, simhash
 from feria.llm.common import saved
@@ -38,7 +37,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, source, ids, n_tokens and the digests of ids and decoded text."""
     encoded = bpe.encode(spark, docs.select("doc_id", "source", "text"), bpe_path())
-    return bpe.digests(bpe.decode(spark, encoded.withColumn("tokens", F.col("ids")), bpe_path())).withColumnRenamed("tokens", "ids")
+    return bpe.digests(spark, encoded, bpe_path())
 
 
 STAGES = [

@@ -2,8 +2,8 @@
 
 Blanks never join two words in this vocabulary (its splitting pattern matches
 no white space, and its normaliser composes nothing across a blank), so a
-text's ids are the ids of its words in order. Documents are packed into chunks,
-one for each Arrow batch; a chunk's distinct words go to the word table, which
+text's ids are the ids of its words in order. Documents are packed into chunks
+of an Arrow batch; a chunk's distinct words go to the word table, which
 is partitioned by word; there each distinct word is encoded once, and its ids
 return to every chunk that holds it, where they are put back by position.
 
@@ -13,8 +13,10 @@ every task as one array, and each document's ids are looked up in it.
 
 from __future__ import annotations
 
+import array
 import hashlib
 import itertools
+import os
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,8 +30,14 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 from tokenizers import Tokenizer
 
+from feria.llm.common import lean
+
 #: The most entries of a vocabulary that is sent to every task.
 MAX_VOCABULARY = 1 << 20
+#: Bytes of text at which a chunk ends (a document is never split).
+CHUNK_BYTES = 16 << 20
+#: Rows of a compressed stream.
+STREAM_ROWS = 1000
 
 
 def vocabulary(path: str) -> str:
@@ -54,7 +62,41 @@ def _encoded(tokenizer: Tokenizer, words: list[bytes]) -> Iterator[tuple[bytes,
     """Each word with its ids, as little-endian unsigned 32-bit integers."""
     for part in itertools.batched(words, 1 << 13):
         found = tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)
-        yield from zip(part, (np.array(e.ids, "<u4").tobytes() for e in found))
+        yield from zip(part, (array.array("I", e.ids).tobytes() for e in found))
+
+
+def _words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    """Where the words of each text end among all (a zero first), which word
+    each is, and the distinct words."""
+    lists = pc.ascii_split_whitespace(texts.fill_null(""))
+    flat = lists.flatten()
+    full = pc.greater(pc.binary_length(flat), 0)  # blanks at an end leave an empty one
+    ends = np.concatenate([[0], np.cumsum(full.to_numpy(zero_copy_only=False))])[np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())])]
+    coded = flat.filter(full).dictionary_encode()
+    return ends, coded.indices.to_numpy(), coded.dictionary.cast(pa.binary()).to_pylist()
+
+
+def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        cuts = [0, *(np.flatnonzero(np.diff(ends // CHUNK_BYTES)) + 1).tolist(), batch.num_rows]
+        for a, b in itertools.pairwise(cuts):
+            if b > a:
+                lean()
+                yield batch.slice(a, b - a).take(pa.array(range(b - a)))  # a copy without the rest of the batch
+
+
+def _name(batch: pa.RecordBatch) -> str:
+    """A chunk's name: what it holds."""
+    name = xxhash.xxh3_128()
+    for column in batch.columns:
+        if pa.types.is_string(column.type):
+            column = column.fill_null("").cast(pa.binary())
+            name.update(np.ascontiguousarray(column.buffers()[1])[: 4 * len(column) + 4].tobytes())
+            name.update(memoryview(column.buffers()[2]) if column.buffers()[2] else b"")
+        else:
+            name.update(repr(column.to_pylist()).encode())
+    return name.hexdigest()
 
 
 def _spread(words: list[bytes], buckets: int) -> list[list[bytes]]:
@@ -78,25 +120,16 @@ def encode(spark: SparkSession, docs: DataFrame, path: str) -> DataFrame:
     model = spark.sparkContext.broadcast(vocabulary(path))
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
-    def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, pa.RecordBatch, list[bytes]]]:
-        """(chunk, batch, texts): a chunk is named by what it holds."""
-        for batch in batches:
-            if batch.num_rows:
-                texts = [t.as_py() or b"" for t in batch.column("text").cast(pa.binary())]
-                name = xxhash.xxh3_128()
-                for t in texts:
-                    name.update(len(t).to_bytes(8, "little") + t)
-                yield name.hexdigest(), batch, texts
-
     def distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for chunk, _, texts in chunks(batches):
-            words = _spread(list(set(itertools.chain.from_iterable(map(bytes.split, texts)))), buckets)
-            used = [b for b in range(buckets) if words[b]]
+        for batch in _chunks(batches):
+            words = _spread(_words(batch.column("text"))[2], buckets)
+            used = [b for b in range(buckets) if words[b] or not b]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(used, pa.int32()), pa.array([chunk] * len(used), pa.string()), pa.array([_blob(words[b]) for b in used], pa.binary())],
+                [pa.array(used, pa.int32()), pa.array([_name(batch)] * len(used), pa.string()), pa.array([_blob(words[b]) for b in used], pa.binary())],
                 ["bucket", "chunk", "words"])
 
     def word_table(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs the tasks side by side
         tokenizer, at, table = Tokenizer.from_str(model.value), None, {}
         for batch in batches:
             parts: dict[str, list] = {"chunk": [], "words": [], "ids": []}
@@ -114,48 +147,44 @@ def encode(spark: SparkSession, docs: DataFrame, path: str) -> DataFrame:
                                               pa.array(parts["ids"], pa.binary())], ["chunk", "words", "ids"])
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Each chunk as one compressed Arrow stream."""
-        for chunk, batch, _ in chunks(batches):
-            sink = pa.BufferOutputStream()
-            with pa.ipc.new_stream(sink, batch.schema) as out:
-                out.write_batch(batch)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([chunk]), pa.array([zstandard.ZstdCompressor(3).compress(sink.getvalue().to_pybytes())], pa.binary())], ["chunk", "rows"])
+        """Each chunk as compressed Arrow streams."""
+        options = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 3))
+        for batch in _chunks(batches):
+            name = _name(batch)
+            for at in range(0, batch.num_rows, STREAM_ROWS):
+                sink = pa.BufferOutputStream()
+                with pa.ipc.new_stream(sink, batch.schema, options=options) as out:
+                    out.write_batch(batch.slice(at, STREAM_ROWS))
+                yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([sink.getvalue().to_pybytes()], pa.binary())], ["chunk", "rows"])
 
     def put_back(rows: pa.Table) -> pa.Table:
+        lean()
         table: dict[bytes, int] = {}
         lengths, flat, streams = [], [], []
-        for words, ids, stream in zip(*(rows.column(c).to_pylist() for c in ("words", "ids", "rows"))):
-            if stream is not None:
+        for words, ids, stream in zip(*(rows.column(c) for c in ("words", "ids", "rows"))):
+            if stream.is_valid:
                 streams.append(stream)
                 continue
-            words = _unblob(words)
-            whole = np.frombuffer(zstandard.ZstdDecompressor().decompress(ids), "<u4")
+            words = _unblob(words.as_py())
+            whole = np.frombuffer(zstandard.ZstdDecompressor().decompress(ids.as_py()), "<u4")
             table.update(zip(words, range(len(table), len(table) + len(words))))
             lengths.append(whole[: len(words)].astype(np.int64))
             flat.append(whole[len(words):])
-        # more than one if chunks hold the same texts
-        batches = [pa.ipc.open_stream(zstandard.ZstdDecompressor().decompress(x)).read_all() for x in streams]
-        # Chunks are the same in both reads of a file scan; where a plan deals its
-        # rows anew, words that the table lacks are encoded here.
-        texts = itertools.chain.from_iterable(b.column("text").cast(pa.binary()) for b in batches)
-        missing = {w for t in texts for w in (t.as_py() or b"").split() if w not in table}
-        for w, ids in _encoded(Tokenizer.from_str(model.value), sorted(missing)) if missing else ():
-            table[w] = len(table)
-            lengths.append(np.array([len(ids) // 4]))
-            flat.append(np.frombuffer(ids, "<u4"))
         lengths = np.concatenate([np.zeros(0, np.int64), *lengths])
-        flat = np.concatenate([np.zeros(0, "<u4"), *flat])
+        flat = np.concatenate([np.zeros(0, "<u4"), *flat]).astype(np.int32)
         starts = np.cumsum(lengths) - lengths
         out = []
-        for batch in batches:
-            ids, ends = [], [0]
-            for text in batch.column("text").cast(pa.binary()):
-                at = np.fromiter(map(table.__getitem__, (text.as_py() or b"").split()), np.int64)
-                n = lengths[at]
-                ends.append(ends[-1] + int(n.sum()))
-                ids.append(flat[np.repeat(starts[at] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))])
-            column = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([np.zeros(0, "<u4"), *ids]).astype(np.int32)))
+        for stream in streams:
+            batch = pa.ipc.open_stream(stream.as_buffer()).read_all().combine_chunks()
+            ends, codes, words = _words(batch.column("text").combine_chunks())
+            try:
+                at = np.fromiter(map(table.__getitem__, words), np.int64, len(words))[codes]
+            except KeyError as e:
+                raise RuntimeError("a chunk of the documents changed between two readings") from e
+            n = lengths[at]
+            total = np.concatenate([[0], np.cumsum(n)])
+            ids = flat[np.repeat(starts[at] - total[:-1], n) + np.arange(total[-1])]
+            column = pa.ListArray.from_arrays(pa.array(total[ends], pa.int32()), pa.array(ids))
             out.append(pa.table([*(batch.column(c) for c in names), column], [*names, "ids"]))
         return pa.concat_tables(out) if out else pa.table({f.name: [] for f in schema}, schema)
 
@@ -169,46 +198,59 @@ def encode(spark: SparkSession, docs: DataFrame, path: str) -> DataFrame:
     return both.groupBy("chunk").applyInArrow(put_back, f"{plain}, ids array<int>")
 
 
-def decode(spark: SparkSession, encoded: DataFrame, path: str) -> DataFrame:
-    """The columns of ``encoded`` and decoded: the pieces of its ids (array of
-    int), special ones too, joined by a blank, as the vocabulary has no decoder.
-    Ids without a piece are skipped; null or no ids give an empty text."""
+def _pieces(spark: SparkSession, path: str):
+    """The vocabulary as an array of pieces by id, sent to every task."""
     tokenizer = Tokenizer.from_str(vocabulary(path))
     if tokenizer.decoder is not None:
         raise ValueError("this vocabulary's pieces aren't joined by blanks")
     names = {i: piece for piece, i in tokenizer.get_vocab(with_added_tokens=True).items()}
-    pieces = spark.sparkContext.broadcast([names.get(i) for i in range(max(names) + 1)])
+    return spark.sparkContext.broadcast([names.get(i) for i in range(max(names) + 1)])
+
+
+def _join_pieces(lists: pa.ListArray, table: pa.Array) -> pa.Array:
+    known = table.is_valid().to_numpy(zero_copy_only=False)
+    flat = lists.flatten().fill_null(-1).to_numpy()
+    owner = np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy())
+    ok = (flat >= 0) & (flat < len(known))
+    ok[ok] = known[flat[ok]]
+    ends = np.concatenate([[0], np.cumsum(np.bincount(owner[ok], minlength=len(lists)))])
+    return pc.binary_join(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), table.take(pa.array(flat[ok]))), " ")
+
+
+def decode(spark: SparkSession, encoded: DataFrame, path: str) -> DataFrame:
+    """The columns of ``encoded`` and decoded: the pieces of its ids (array of
+    int), special ones too, joined by a blank, as the vocabulary has no decoder.
+    Ids without a piece are skipped; null or no ids give an empty text."""
+    pieces = _pieces(spark, path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean()
         table = pa.array(pieces.value, pa.string())
-        known = table.is_valid().to_numpy(zero_copy_only=False)
         for batch in batches:
-            lists = batch.column("ids").fill_null([])
-            flat = lists.flatten().fill_null(-1).to_numpy()
-            owner = np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy())
-            ok = (flat >= 0) & (flat < len(known))
-            ok[ok] = known[flat[ok]]
-            ends = np.concatenate([[0], np.cumsum(np.bincount(owner[ok], minlength=len(lists)))])
-            joined = pc.binary_join(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), table.take(pa.array(flat[ok]))), " ")
-            yield pa.RecordBatch.from_arrays([*batch.columns, joined], [*batch.schema.names, "decoded"])
+            decoded = _join_pieces(batch.column("ids").fill_null([]), table)
+            yield pa.RecordBatch.from_arrays([*batch.columns, decoded], [*batch.schema.names, "decoded"])
 
     return encoded.mapInArrow(run, StructType([*encoded.schema.fields, StructField("decoded", StringType())]))
 
 
-def digests(decoded: DataFrame) -> DataFrame:
-    """The other columns, n_tokens, ids_sha256 (of the ids as little-endian
-    unsigned 32-bit integers) and decoded_sha256 (of the text in UTF-8)."""
-    rest = [f for f in decoded.schema.fields if f.name not in ("ids", "decoded")]
+def digests(spark: SparkSession, encoded: DataFrame, path: str) -> DataFrame:
+    """The columns of ``encoded``, n_tokens, ids_sha256 (of the ids as
+    little-endian unsigned 32-bit integers) and decoded_sha256 (of what
+    :func:`decode` makes of them, in UTF-8)."""
+    pieces = _pieces(spark, path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            lists = batch.column("ids")
-            flat, ends = lists.flatten().to_numpy().astype("<u4"), np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())])
-            ids = [hashlib.sha256(flat[a:b].tobytes()).hexdigest() for a, b in itertools.pairwise(ends)]
-            texts = [hashlib.sha256(t.as_py()).hexdigest() for t in batch.column("decoded").cast(pa.binary())]
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(f.name) for f in rest), pa.array(np.diff(ends), pa.int64()), pa.array(ids, pa.string()), pa.array(texts, pa.string())],
-                [*(f.name for f in rest), "n_tokens", "ids_sha256", "decoded_sha256"])
+        table = pa.array(pieces.value, pa.string())
+        for whole in batches:
+            for at in range(0, whole.num_rows, STREAM_ROWS):
+                lean()
+                batch = whole.slice(at, STREAM_ROWS)
+                lists = batch.column("ids").fill_null([])
+                flat, ends = lists.flatten().to_numpy().astype("<u4"), np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())])
+                ids = [hashlib.sha256(flat[a:b].tobytes()).hexdigest() for a, b in itertools.pairwise(ends)]
+                texts = [hashlib.sha256(t.as_buffer()).hexdigest() for t in _join_pieces(lists, table)]
+                new = [pa.array(np.diff(ends), pa.int64()), pa.array(ids, pa.string()), pa.array(texts, pa.string())]
+                yield pa.RecordBatch.from_arrays([*batch.columns, *new], [*batch.schema.names, "n_tokens", "ids_sha256", "decoded_sha256"])
 
     new = [StructField("n_tokens", LongType()), StructField("ids_sha256", StringType()), StructField("decoded_sha256", StringType())]
-    return decoded.mapInArrow(run, StructType([*rest, *new]))
+    return encoded.mapInArrow(run, StructType([*encoded.schema.fields, *new]))

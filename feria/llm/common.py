@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,3 +50,10 @@ def packed(df: DataFrame, *extra: Column, name: str = "row") -> DataFrame:
 
 def doc_columns(docs: DataFrame, *names: str) -> DataFrame:
     return docs.select(*[F.col(f"`{n}`") for n in names])
+
+
+def lean() -> None:
+    """In a Python worker: give freed memory back to the system. Workers live
+    on between tasks, and what they keep is taken from the next operator's."""
+    pa.set_memory_pool(pa.system_memory_pool())
+    ctypes.CDLL(None).malloc_trim(0)

@@ -85,9 +85,9 @@ def bpe_path() -> str:
 
 @query("op4_bpe")
 def _op4(spark, sf_dir):
-    from feria.llm.bpe import decode, digests, encode
+    from feria.llm.bpe import digests, encode
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return digests(decode(spark, encode(spark, docs, bpe_path()), bpe_path()))
+    return digests(spark, encode(spark, docs, bpe_path()), bpe_path()).drop("ids")
 
 
 # ----------------------------------------------------------- 3: substring dedup
