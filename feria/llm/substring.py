@@ -23,19 +23,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from feria.llm.common import saved
+from feria.llm.common import lean, saved
 
 #: log2 of the counters of a sketch row, one row for each lane of the hash.
 WIDTH_BITS = 33
 LANES = 2
 #: The least words of a piece at which it ends (a document is never split).
-PIECE_WORDS = 1 << 21
+PIECE_WORDS = 1 << 19
 #: Odd factors of the two polynomial hashes, and their inverses modulo 2^64.
 FACTORS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 INVERSES = tuple(pow(f, -1, 1 << 64) for f in FACTORS)
@@ -133,13 +134,14 @@ def _piece(name: str, table: pa.Table) -> tuple[str, bytes]:
 def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, pa.Table, list[bytes]]]:
     for batch in batches:
         table = pa.Table.from_batches([batch])
-        texts = [t.as_py() or b"" for t in batch.column("text").cast(pa.binary())]
-        # blanks are a sixth of a text at most times; a count by bytes is enough
-        ends = np.cumsum([len(t) // 6 + 1 for t in texts])
-        for rows in np.split(np.arange(len(texts)), np.flatnonzero(np.diff(ends // PIECE_WORDS)) + 1):
+        sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False)
+        # a word takes some six bytes
+        ends = np.cumsum(sizes // 6 + 1, dtype=np.int64)
+        for rows in np.split(np.arange(len(sizes)), np.flatnonzero(np.diff(ends // PIECE_WORDS)) + 1):
             if len(rows):
-                own = texts[rows[0]: rows[-1] + 1]
+                lean()
                 piece = table.slice(rows[0], len(rows))
+                own = [t.as_py() or b"" for t in piece.column("text").cast(pa.binary())]
                 digest = xxhash.xxh3_128(repr(piece.drop_columns("text").to_pylist()).encode())
                 for t in own:
                     digest.update(len(t).to_bytes(8, "little") + t)
@@ -178,6 +180,7 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, window: int = 35) -> Da
                                              ["key", "piece", "counters"])
 
     def merge(rows: pa.Table) -> pa.Table:
+        lean()
         lists = [_unpack(c) for c in rows.column("counters").to_pylist()]
         once, more = _distinct(np.sort(np.concatenate([v for v, _ in lists])))
         reached = np.union1d(once[more], np.concatenate([v[t] for v, t in lists]))
@@ -194,6 +197,7 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, window: int = 35) -> Da
 
     def opened(rows: pa.Table) -> Iterator[tuple[str, pa.Table, Windows, np.ndarray]]:
         """Each piece of a group with its windows and those estimated repeated."""
+        lean()
         keys, lists, blobs = (rows.column(c).to_pylist() for c in ("key", "counters", "rows"))
         answers = sorted((k, c) for k, c, r in zip(keys, lists, blobs) if c is not None and k >= 0)
         if len({k for k, _ in answers if k % ranges == 0}) != LANES or all(r is None for r in blobs):
@@ -223,6 +227,7 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, window: int = 35) -> Da
         return pa.table([pa.array(v, k) for v, k in zip(out.values(), kinds)], list(out))
 
     def group(rows: pa.Table) -> pa.Table:
+        lean()
         pieces, a, b, twice = (rows.column(c).to_pylist() for c in ("piece", "a", "b", "twice"))
         a, b = ([np.frombuffer(x, "<u8") for x in v] for v in (a, b))
         marked = np.concatenate([np.unpackbits(np.frombuffer(t, np.uint8), count=len(x)).astype(bool) for t, x in zip(twice, a)])
