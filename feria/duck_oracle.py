@@ -304,8 +304,11 @@ FROM cl_order_items
 WHERE order_id IS NOT NULL AND order_item_id IS NOT NULL AND price IS NOT NULL
   AND freight_value IS NOT NULL"""),
     ("fact_payments", """
-SELECT order_id, payment_sequential, payment_type, payment_installments, payment_value
-FROM cl_payments
+SELECT CAST('0x' || substr(md5(concat_ws('|', order_id, payment_sequential, n)), 1, 15) AS BIGINT) AS payment_id,
+       order_id, payment_sequential, payment_type, payment_installments, payment_value
+FROM (SELECT *, row_number() OVER (PARTITION BY order_id, payment_sequential
+        ORDER BY payment_type NULLS FIRST, payment_installments NULLS FIRST, payment_value NULLS FIRST) AS n
+      FROM cl_payments) p
 WHERE order_id IS NOT NULL AND payment_type IS NOT NULL AND payment_value IS NOT NULL
   AND length(payment_type) <= 30"""),
     ("fact_reviews", """

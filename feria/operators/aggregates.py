@@ -5,15 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from feria.session import checkpoint_dir
-
-
-def mode_of(c: str) -> Column:
-    """Most frequent non-NULL value, smallest value on ties, NULL if the
-    group has none. Built-in, combinable (one hash map of distinct values
-    per group and task)."""
-    return F.mode(F.col(c), True)
-
 
 def mode_by(df: DataFrame, keys: list[str], value: str, alias: str | None = None) -> DataFrame:
     """Two-stage mode for high-cardinality values: count per (key, value)
@@ -47,6 +38,12 @@ def median_small_domain(df: DataFrame, keys: list[str], col: str,
         F.percentile(F.col(col), F.lit(0.5), F.col("_n")).alias(alias))
 
 
+def weighted_median(col: str, n: str) -> Column:
+    """Exact median of a column of few distinct values whose rows are counted
+    already (aggregate)."""
+    return F.percentile(F.col(col), F.lit(0.5), F.col(n))
+
+
 def _unpivot(df: DataFrame, keys: list[str], cols: list[str]) -> DataFrame:
     """(keys..., _c, _v): one row per input row and column (same-typed cols)."""
     return df.select(*keys, F.explode(F.array(*[
@@ -65,16 +62,24 @@ def grouped_medians(df: DataFrame, keys: list[str], cols: list[str]) -> DataFram
     """Exact medians of several same-typed columns per group, skew-safe.
 
     The columns are unpivoted to (keys, column, value) rows and
-    :func:`exact_percentile` runs once over (keys, column) groups, so no
+    :func:`exact_percentiles` runs once over (keys, column) groups, so no
     task ever holds all values (or all distinct values) of a hot group.
-    NULL values are ignored; a group with only NULLs gets NULL.
+    NULL and NaN values are ignored; a group with only those gets NULL.
     """
-    long = _unpivot(df, keys, cols).where(F.col("_v").isNotNull())
-    med = exact_percentile(long, keys + ["_c"], "_v", 0.5, alias="_m")
-    out = _pivot_back(med, keys, cols, "_m")
-    if not keys:
-        return out
-    return df.select(*keys).distinct().join(out, keys, "left")
+    long = _unpivot(df, keys, cols)
+    med = exact_percentiles(long, keys + ["_c"], "_v", [0.5], ["_m"])
+    return _pivot_back(med, keys, cols, "_m")
+
+
+def grouped_and_global_medians(df: DataFrame, key: str, cols: list[str]) -> DataFrame:
+    """:func:`grouped_medians` by one text key, with one more row, of key NULL,
+    for the whole table. Values are counted once for both."""
+    long = _unpivot(df, [key], cols).groupBy(key, "_c", "_v").agg(F.count(F.lit(1)).alias("_n"))
+    both = long.select(F.lit(False).alias("_all"), key, "_c", "_v", "_n").unionByName(
+        long.select(F.lit(True).alias("_all"), F.lit("").alias(key), "_c", "_v", "_n"))
+    med = exact_percentiles(both, ["_all", key, "_c"], "_v", [0.5], ["_m"], weight="_n")
+    out = _pivot_back(med, ["_all", key], cols, "_m")
+    return out.select(F.when(~F.col("_all"), F.col(key)).alias(key), *cols)
 
 
 def grouped_modes(df: DataFrame, keys: list[str], cols: list[str]) -> DataFrame:
@@ -90,110 +95,76 @@ def grouped_modes(df: DataFrame, keys: list[str], cols: list[str]) -> DataFrame:
     return df.select(*keys).distinct().join(out, keys, "left")
 
 
-def exact_percentile(df: DataFrame, keys: list[str], col: str, q: float,
-                     accuracy: int = 100_000, alias: str | None = None,
-                     max_candidates: int = 1_000_000, buckets: int = 1024) -> DataFrame:
-    """Exact ``percentile(col, q)`` per group (linear interpolation, the same
-    formula as Spark's ``percentile``) without ever holding a group's values
-    in one task.
-
-    1. Per group: the count and two sketch quantiles (``percentile_approx``
-       at q -/+ 3/accuracy). The sketch's rank error is at most n/accuracy,
-       so the exact answer lies between the two bounds; a sketch stays
-       bounded in size however large the group. Groups smaller than
-       ``accuracy`` simply keep all their values as candidates.
-    2. Rows below the lower bound are only counted.
-    3. While some group still has more than ``max_candidates`` distinct
-       values between its bounds, the window is cut into ``buckets``
-       equal-width buckets, bucket counts locate the bucket(s) holding the
-       target ranks, and the bounds shrink to them (a distributed count per
-       (group, bucket); no group is gathered).
-    4. A running sum over the remaining candidates (at most
-       ``max_candidates`` per group) gives each value's rank range, and the
-       two values around position q*(n-1) are picked.
-
-    NULLs are ignored; groups without a value get NULL. ``keys=[]`` gives one
-    global row.
+def exact_percentiles(df: DataFrame, keys: list[str], col: str, qs: list[float],
+                      names: list[str], weight: str | None = None,
+                      buckets: int = 128) -> DataFrame:
+    """keys, then one column per ``names``: the exact percentiles ``qs`` of each
+    group (linear interpolation, the formula of Spark's ``percentile``), without
+    holding a group's values in one task. One lazy plan, the same at every size:
+
+    1. count per (group, value), combined map-side; ``weight`` holds counts of
+       rows that are counted already;
+    2. per group the number of values and ``buckets`` - 1 cuts, approximate
+       quantiles of its distinct values: they only balance the buckets, and
+       their error changes no result;
+    3. running counts over the buckets of a group place every wanted rank in
+       one bucket;
+    4. only those buckets are sorted, each a window of its own, and running
+       counts in them give the value at the rank.
+
+    NULL and NaN are ignored; a group without other values gets NULL, any other
+    whose rank is not found raises. Group keys are not NULL. ``keys=[]`` gives
+    one row.
     """
-    alias = alias or col
-    d = 3.0 / accuracy
-    x = df.where(F.col(col).isNotNull()).select(*keys, F.col(col).cast("double").alias("_v"))
-
-    def attach(left: DataFrame, right: DataFrame) -> DataFrame:
-        # per-group tables join on the keys; the global case is one row
-        return left.join(right, keys) if keys else left.crossJoin(F.broadcast(right))
-
-    def agg(frame: DataFrame, *exprs):
-        return frame.groupBy(*keys).agg(*exprs) if keys else frame.agg(*exprs)
-
-    sketch = agg(x, F.count(F.lit(1)).alias("_n"),
-                 F.percentile_approx("_v", [max(0.0, q - d), min(1.0, q + d)], accuracy)
-                 .alias("_b"))
-    # One small row per group, written once to the shared checkpoint folder:
-    # later steps read it instead of recomputing the sketches.
-    checkpoint_dir(df.sparkSession)
-    state = sketch.select(
-        *keys, "_n",
-        F.when(F.col("_n") < accuracy, F.lit(float("-inf"))).otherwise(F.col("_b")[0])
-        .alias("_lo"),
-        F.when(F.col("_n") < accuracy, F.lit(float("inf"))).otherwise(F.col("_b")[1])
-        .alias("_hi"),
-        ((F.col("_n") - 1).cast("double") * F.lit(q)).alias("_pos")).checkpoint()
-    max_n = state.agg(F.max("_n")).first()[0] or 0
-    below = agg(attach(x, state), F.count_if(F.col("_v") < F.col("_lo")).alias("_below"))
-    state = attach(state.drop("_n"), below)
-    lo_r, hi_r = F.floor(F.col("_pos")), F.ceil(F.col("_pos"))
-
-    # A window holds all values of a group below `accuracy` rows, else about
-    # 6n/accuracy of them: refinement is only needed for huge groups.
-    needs_refinement = max(max_n if max_n < accuracy else 6.0 * max_n / accuracy, 0) \
-        > max_candidates
-    for _ in range(16 if needs_refinement else 0):  # each round shrinks by ~`buckets`
-        win = attach(x, state).where(F.col("_v").between(F.col("_lo"), F.col("_hi")))
-        widest = agg(win, F.count_distinct("_v").alias("_d")).agg(F.max("_d")).first()[0]
-        if widest is None or widest <= max_candidates:
-            break
-        # The per-group state is tiny; cut its lineage so each round costs a
-        # pass over the data instead of replaying all earlier rounds.
-        state = state.checkpoint()
-        win = attach(x, state).where(F.col("_v").between(F.col("_lo"), F.col("_hi")))
-        span = agg(win, F.min("_v").alias("_wlo"), F.max("_v").alias("_whi"))
-        w2 = attach(win, span)
-        b = F.when(F.col("_whi") == F.col("_wlo"), F.lit(0)).otherwise(
-            F.least(F.floor((F.col("_v") - F.col("_wlo")) * buckets
-                            / (F.col("_whi") - F.col("_wlo"))), F.lit(buckets - 1)))
-        counts = w2.withColumn("_bk", b).groupBy(*keys, "_bk").agg(
-            F.count(F.lit(1)).alias("_cnt"), F.min("_v").alias("_bmin"),
-            F.max("_v").alias("_bmax"))
-        wb = (Window.partitionBy(*keys) if keys else Window.partitionBy()).orderBy("_bk") \
-            .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        ranked = attach(counts.withColumn("_cum", F.sum("_cnt").over(wb)),
-                        state.select(*keys, "_pos", "_below"))
-        first = F.col("_below") + F.col("_cum") - F.col("_cnt")
-        last = F.col("_below") + F.col("_cum") - 1
-        # keep the buckets from the one holding floor(pos) to the one holding ceil(pos)
-        keep = ranked.where((last >= lo_r) & (first <= hi_r))
-        state = agg(keep, F.min("_bmin").alias("_lo"), F.max("_bmax").alias("_hi"),
-                    F.min(first).alias("_below"), F.max("_pos").alias("_pos"))
-
-    cand = (attach(x, state).where(F.col("_v").between(F.col("_lo"), F.col("_hi")))
-            .groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_cnt")))
-    w = (Window.partitionBy(*keys) if keys else Window.partitionBy()).orderBy("_v") \
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = attach(cand.withColumn("_cum", F.sum("_cnt").over(w)),
-                    state.select(*keys, "_pos", "_below"))
-    first = F.col("_below") + F.col("_cum") - F.col("_cnt")   # rank of the first copy
-    last = F.col("_below") + F.col("_cum") - 1
-    vals = agg(ranked,
-               F.max(F.when((first <= lo_r) & (lo_r <= last), F.col("_v"))).alias("_a"),
-               F.max(F.when((first <= hi_r) & (hi_r <= last), F.col("_v"))).alias("_b"),
-               F.max("_pos").alias("_pos"))
-    pos, lo_i, hi_i = F.col("_pos"), F.floor(F.col("_pos")), F.ceil(F.col("_pos"))
-    value = (F.when(lo_i == hi_i, F.col("_a"))
-             .when(F.col("_a") == F.col("_b"), F.col("_a"))
-             .otherwise((hi_i - pos) * F.col("_a") + (pos - lo_i) * F.col("_b")))
-    out = vals.select(*keys, value.alias(alias))
-    if not keys:
-        return x.agg(F.lit(1).alias("_one")).join(out.withColumn("_one", F.lit(1)), "_one",
-                                                  "left").drop("_one")
-    return df.select(*keys).distinct().join(out, keys, "left")
+    groups = keys or ["_one"]
+    x = df if keys else df.withColumn("_one", F.lit(1))
+    n = F.col(weight) if weight else F.lit(1)
+    v = F.col(col).cast("double")
+    fit = v.isNotNull() & ~F.isnan(v)
+    counts = (x.select(*groups, F.when(fit, v + F.lit(0.0)).alias("_v"), n.alias("_n"))
+              .groupBy(*groups, "_v").agg(F.sum("_n").alias("_n")))
+    at = [i / buckets for i in range(1, buckets)]
+    per = counts.groupBy(*groups).agg(
+        F.coalesce(F.sum(F.when(F.col("_v").isNotNull(), F.col("_n"))), F.lit(0)).alias("_all_n"),
+        F.percentile_approx("_v", at, 10 * buckets).alias("_cuts"))
+    placed = (counts.where(F.col("_v").isNotNull()).join(per.select(*groups, "_cuts"), groups)
+              .withColumn("_b", F.size(F.filter("_cuts", lambda c: c < F.col("_v"))))
+              .drop("_cuts"))
+    run = Window.partitionBy(*groups).orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
+    totals = (placed.groupBy(*groups, "_b").agg(F.sum("_n").alias("_t"))
+              .withColumn("_upto", F.sum("_t").over(run)))
+    ranks = []
+    for i, q in enumerate(qs):
+        pos = (F.col("_all_n") - 1).cast("double") * F.lit(q)
+        for side, rank in enumerate((F.floor(pos), F.ceil(pos))):
+            ranks.append(F.struct(F.lit(2 * i + side).alias("_w"), rank.alias("_rank")))
+    wanted = (per.where(F.col("_all_n") > 0).select(*groups, F.explode(F.array(*ranks)).alias("_r"))
+              .select(*groups, "_r.*").join(totals, groups)
+              .where(F.col("_rank").between(F.col("_upto") - F.col("_t"), F.col("_upto") - 1))
+              .select(*groups, "_w", "_b", (F.col("_rank") - F.col("_upto") + F.col("_t")).alias("_rank")))
+    inside = (Window.partitionBy(*groups, "_w").orderBy("_v")
+              .rowsBetween(Window.unboundedPreceding, 0))
+    found = (placed.join(wanted, [*groups, "_b"]).withColumn("_upto", F.sum("_n").over(inside))
+             .where(F.col("_rank").between(F.col("_upto") - F.col("_n"), F.col("_upto") - 1))
+             .groupBy(*groups).agg(*[F.max(F.when(F.col("_w") == w, F.col("_v"))).alias(f"_v{w}")
+                                     for w in range(2 * len(qs))]))
+    out = per.join(found, groups, "left")
+    values = []
+    for i, (q, name) in enumerate(zip(qs, names, strict=True)):
+        pos = (F.col("_all_n") - 1).cast("double") * F.lit(q)
+        lo, hi = F.col(f"_v{2 * i}"), F.col(f"_v{2 * i + 1}")
+        lost = F.raise_error(F.lit(f"no value at percentile {q} of {col}")).cast("double")
+        value = (F.when(lo.isNull() | hi.isNull(), lost)
+                 .when(F.floor(pos) == F.ceil(pos), lo).when(lo == hi, lo)
+                 .otherwise((F.ceil(pos) - pos) * lo + (pos - F.floor(pos)) * hi))
+        values.append(F.when(F.col("_all_n") > 0, value).alias(name))
+    out = out.select(*groups, *values)
+    if not keys:  # an empty table has one row, too
+        return x.sparkSession.range(1).select(F.lit(1).alias("_one")).join(out, "_one", "left").drop("_one")
+    return out
+
+
+def exact_percentile(df: DataFrame, keys: list[str], col: str, q: float,
+                     alias: str | None = None) -> DataFrame:
+    """:func:`exact_percentiles` of one rank."""
+    return exact_percentiles(df, keys, col, [q], [alias or col])

@@ -10,12 +10,13 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from feria.functions import pct, ratio_round
-from feria.operators.aggregates import exact_percentile
+from feria.functions.numeric import nan_to_null
+from feria.operators.aggregates import exact_percentile, exact_percentiles
 
 
 def fixed_text(c) -> Column:
@@ -126,10 +127,10 @@ def describe(df: DataFrame, col: str, scale: int = 2) -> DataFrame:
         F.round(F.stddev_samp(x.cast("double")), scale).alias("std"),
         F.min(x).cast("double").alias("min"),
         F.max(x).cast("double").alias("max"))
-    for p in (0.25, 0.5, 0.75):
-        qv = exact_percentile(scaled, [], "_xs", p, alias="_q").select(
-            (F.floor(F.col("_q") + 0.5) / k).alias(f"p{int(p * 100)}"))
-        base = base.crossJoin(qv)
+    names = ["p25", "p50", "p75"]
+    quartiles = exact_percentiles(scaled, [], "_xs", [0.25, 0.5, 0.75], names).select(
+        *[(F.floor(F.col(p) + 0.5) / k).alias(p) for p in names])
+    base = base.crossJoin(F.broadcast(quartiles))  # one row each
     return base.select("count", "mean", "std", "min", "p25", "p50", "p75", "max")
 
 
@@ -149,9 +150,8 @@ def quantile_filter(df: DataFrame, col: str, q: float) -> DataFrame:
 def histogram(df: DataFrame, col: str, bins: int) -> DataFrame:
     """Equal-width histogram over [min, max]: every bin reported (empty
     ones with 0), the last bin closed on the right; a constant column gets
-    the range [v - 0.5, v + 0.5]."""
-    x = F.col(col).cast("double")
-    vals = df.where(F.col(col).isNotNull()).select(x.alias("x"))
+    the range [v - 0.5, v + 0.5]. NULL and NaN are left out."""
+    vals = df.select(nan_to_null(F.col(col).cast("double")).alias("x")).where(F.col("x").isNotNull())
     rng = vals.agg(F.min("x").alias("lo0"), F.max("x").alias("hi0")).select(
         F.when(F.col("lo0") == F.col("hi0"), F.col("lo0") - 0.5).otherwise(F.col("lo0"))
         .alias("lo"),
@@ -172,16 +172,8 @@ def histogram(df: DataFrame, col: str, bins: int) -> DataFrame:
 
 def hash_sample(df: DataFrame, n: int, keys: list[str], seed: int = 42) -> DataFrame:
     """A repeatable sample of at most ``n`` rows: the ``n`` rows with the
-    smallest MD5 of (key, seed).
-
-    A plain ``orderBy(hash).limit(n)`` keeps n rows per task and merges all
-    of them (tasks x n rows) in one place. Instead the hash is read as a
-    uniform number in [0, 1) and rows are first filtered below a threshold
-    that keeps about 4n of them; the top-n runs on that small remainder.
-    Every one of the n smallest hashes lies below the threshold whenever
-    at least n rows pass, which is checked (the threshold is raised if not),
-    so the result equals the plain form exactly.
-    """
+    smallest MD5 of (key, seed). One pass: every task keeps its own n smallest
+    (top-k), and only those are merged."""
     def text(k):
         # Fractional numbers are rendered as fixed-point decimals so the key
         # text (and so the sample) does not depend on float formatting.
@@ -189,20 +181,4 @@ def hash_sample(df: DataFrame, n: int, keys: list[str], seed: int = 42) -> DataF
             return fixed_text(k)
         return F.col(k).cast("string")
     h = F.md5(F.concat_ws("|", *[text(k) for k in keys], F.lit(str(seed))))
-    # first 13 hex digits -> an integer below 2^52, exact in a double
-    u = F.conv(F.substring(h, 1, 13), 16, 10).cast("double") / float(2 ** 52)
-    hashed = df.withColumn("_h", h).withColumn("_u", u)
-    total = df.count()
-    frac = min(1.0, 4.0 * n / max(total, 1))
-    while True:
-        cand = hashed.where(F.col("_u") < frac) if frac < 1.0 else hashed
-        if frac >= 1.0 or cand.count() >= min(n, total):
-            break
-        frac = min(1.0, frac * 4)
-    return cand.orderBy("_h").limit(n).drop("_h", "_u")
-
-
-def share_of_total(df: DataFrame, count_col: str, scale: int = 1) -> DataFrame:
-    """Add the share of each (already grouped) row in the total."""
-    return df.withColumn("pct", pct(F.col(count_col),
-                                    F.sum(count_col).over(Window.partitionBy()), scale))
+    return df.withColumn("_h", h).orderBy("_h").limit(n).drop("_h")

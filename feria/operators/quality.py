@@ -11,10 +11,6 @@ from pyspark.sql import functions as F
 from feria.functions import pct
 
 
-def null_count(df: DataFrame, col: str) -> DataFrame:
-    return df.agg(F.count_if(F.col(col).isNull()).alias("nulls"))
-
-
 def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     """Key values occurring more than once, with their multiplicity."""
     return (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
@@ -37,20 +33,30 @@ def fk_orphans(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFra
 
 
 def fk_check(child: DataFrame, child_name: str, fk: str, parent: DataFrame,
-             parent_name: str, pk: str) -> DataFrame:
-    """One report row: edge, orphan count, child rows, orphan percentage."""
+             parent_name: str, pk: str, null_is_orphan: bool = True) -> DataFrame:
+    """One report row: edge, orphan count, child rows, orphan percentage.
+
+    Child rows are counted per key first (combined map-side), so that a popular
+    or NULL key is one row in the join. A NULL key is an orphan in the check of
+    raw files; a declared foreign key accepts it (``null_is_orphan=False``)."""
     keys = parent.select(F.col(pk).alias("_pk")).distinct().withColumn("_hit", F.lit(1))
-    j = child.select(F.col(fk).alias("_fk")).join(keys, F.col("_fk") == F.col("_pk"), "left")
-    orphans = F.count_if(F.col("_hit").isNull())
-    n = F.count(F.lit(1))
+    counts = child.groupBy(F.col(fk).alias("_fk")).agg(F.count(F.lit(1)).alias("_n"))
+    j = counts.join(keys, F.col("_fk") == F.col("_pk"), "left")
+    lost = F.col("_hit").isNull()
+    if not null_is_orphan:
+        lost = lost & F.col("_fk").isNotNull()
+    orphans = F.coalesce(F.sum(F.when(lost, F.col("_n"))), F.lit(0))
+    n = F.coalesce(F.sum("_n"), F.lit(0))
     return j.agg(F.lit(f"{child_name}.{fk}").alias("child"),
                  F.lit(f"{parent_name}.{pk}").alias("parent"),
                  orphans.alias("orphans"), n.alias("rows"),
                  pct(orphans, n, 2).alias("orphan_pct"))
 
 
-def fk_report(edges: list[tuple[DataFrame, str, str, DataFrame, str, str]]) -> DataFrame:
-    return reduce(DataFrame.unionByName, [fk_check(*e) for e in edges])
+def fk_report(edges: list[tuple[DataFrame, str, str, DataFrame, str, str]],
+              null_is_orphan: bool = True) -> DataFrame:
+    return reduce(DataFrame.unionByName,
+                  [fk_check(*e, null_is_orphan=null_is_orphan) for e in edges])
 
 
 def keys_without(parent: DataFrame, child: DataFrame, key: str) -> DataFrame:

@@ -7,11 +7,11 @@ LIMIT always returns the same rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feria.functions import mean_round, money_mean_round, money_round, pct
-from feria.operators.aggregates import median_small_domain
+from feria.functions import money_mean_round, money_round, pct, ratio_round
+from feria.operators.aggregates import weighted_median
 
 Star = dict[str, DataFrame]
 
@@ -53,23 +53,31 @@ def _delivered_with_state(star: Star) -> DataFrame:
 def q3_delivery_by_state(star: Star) -> DataFrame:
     """Delivery time (mean, exact median), delay and late share per
     customer state, for delivered orders."""
-    late = F.count_if(F.col("delay_days") > 0)
-    rows = _delivered_with_state(star)
-    med = median_small_domain(rows, ["state"], "delivery_time_days", "_med")
-    return (rows.groupBy("state")
-            .agg(F.count(F.lit(1)).alias("delivered_orders"),
-                 mean_round("delivery_time_days", 1).alias("avg_delivery_days"),
-                 mean_round("delay_days", 1).alias("avg_delay_days"),
-                 late.alias("late_deliveries"),
-                 pct(late, F.count(F.lit(1)), 2).alias("late_pct"))
-            .join(med, "state", "left")
-            .select(F.col("state").alias("customer_state"), "delivered_orders",
-                    "avg_delivery_days", F.round("_med", 1).alias("median_delivery_days"),
-                    "avg_delay_days", "late_deliveries", "late_pct")
+    return (days_by_state(_delivered_with_state(star)).groupBy("state")
+            .agg(F.sum("_n").alias("delivered_orders"),
+                 ratio_round(F.sum("_days"), F.sum("_n_days"), 1).alias("avg_delivery_days"),
+                 F.round(weighted_median("delivery_time_days", "_n_days"), 1)
+                 .alias("median_delivery_days"),
+                 ratio_round(F.sum("_delay"), F.sum("_n_delay"), 1).alias("avg_delay_days"),
+                 F.sum("_late").alias("late_deliveries"),
+                 pct(F.sum("_late"), F.sum("_n"), 2).alias("late_pct"))
+            .withColumnRenamed("state", "customer_state")
             .orderBy(F.col("avg_delivery_days").desc_nulls_first(),
                      F.col("customer_state").asc_nulls_last()))
 
 
+def days_by_state(rows: DataFrame) -> DataFrame:
+    """One row per (state, delivery days) with the sums that means, late shares
+    and the weighted median need: the joined orders are read once, and few rows
+    per state are left."""
+    days, delay = F.col("delivery_time_days"), F.col("delay_days")
+    n = F.count(F.lit(1))
+    return rows.groupBy("state", "delivery_time_days").agg(
+        n.alias("_n"), F.sum(days).alias("_days"), F.count(days).alias("_n_days"),
+        F.sum(delay).alias("_delay"), F.count(delay).alias("_n_delay"),
+        F.count_if(delay > 0).alias("_late"))
+
+
 def order_flags(star: Star, orders: DataFrame | None = None) -> DataFrame:
     """Per-order incident flags: canceled, late (>= 1 whole day), negative
     review (0 without review), any of them."""
@@ -104,37 +112,56 @@ def q4_incident_rates(star: Star) -> DataFrame:
         pct(sums["has_any_incident"], n, 2).alias("incident_pct"))
 
 
-def seller_item_rows(star: Star, orders: DataFrame | None = None) -> DataFrame:
-    """Delivered item rows with order facts and review (one row per item)."""
-    o = orders if orders is not None else star["fact_orders"]
+def seller_orders(star: Star, orders: DataFrame) -> DataFrame:
+    """One row per (seller, order) of the given orders, with the number of the
+    seller's items in it, their price, and the order's facts and review.
+
+    Items are summed per (seller, order) before anything else, combined
+    map-side, and orders and reviews join on the order: rows never move to a
+    seller before they are per-order sums, so a large seller is no hot key."""
     oi, r = star["fact_order_items"], star["fact_reviews"]
-    return (oi.select("order_id", "seller_id", "price")
-            .join(o.where(F.col("is_delivered") == 1)
-                  .select("order_id", "customer_id", "delivery_time_days", "delay_days"),
-                  "order_id")
+    items = oi.groupBy("seller_id", "order_id").agg(
+        F.count(F.lit(1)).alias("_items"), F.sum("price").alias("_price"))
+    return (items.join(orders, "order_id")
             .join(r.select("order_id", "review_score", "is_negative"), "order_id", "left"))
 
 
+def seller_sums(rows: DataFrame, weight: Column) -> DataFrame:
+    """Per seller the sums over its orders, each counted ``weight`` times."""
+    def total(c: str) -> Column:
+        return F.sum(F.col(c) * weight)
+
+    def known(c: str) -> Column:
+        return F.sum(F.when(F.col(c).isNotNull(), weight))
+
+    return rows.groupBy("seller_id").agg(
+        F.count(F.lit(1)).alias("_orders"), F.sum("_price").alias("_revenue"),
+        total("review_score").alias("_score"), known("review_score").alias("_scores"),
+        total("delivery_time_days").alias("_days"), known("delivery_time_days").alias("_n_days"),
+        F.sum(F.when(F.col("is_negative") == 1, weight).otherwise(0)).alias("_negative"),
+        F.sum(F.when(F.col("delay_days") > 0, weight).otherwise(0)).alias("_late"))
+
+
 def q5_seller_quality(star: Star, min_orders: int = 50, k: int = 20) -> DataFrame:
     """Sellers with at least ``min_orders`` delivered orders, ranked by mean
     review score then revenue. Counts are per item row, percentages per
-    distinct order, as in the warehouse query."""
+    distinct order, as in the warehouse query. The seller dimension joins the
+    per-seller sums."""
     s = star["dim_sellers"].select("seller_id", F.col("city").alias("seller_city"),
                                    F.col("state").alias("seller_state"))
-    rows = seller_item_rows(star).join(s, "seller_id")
-    n_orders = F.count_distinct("order_id")
-    neg = F.count_if(F.col("is_negative") == 1)
-    late = F.count_if(F.col("delay_days") > 0)
-    return (rows.groupBy("seller_id", "seller_city", "seller_state")
-            .agg(n_orders.alias("total_orders"),
-                 money_round(F.sum("price"), 2).alias("total_revenue"),
-                 mean_round("review_score", 2).alias("avg_review_score"),
-                 neg.alias("negative_reviews"),
-                 pct(neg, n_orders, 2).alias("negative_pct"),
-                 mean_round("delivery_time_days", 1).alias("avg_delivery_days"),
-                 late.alias("late_orders"),
-                 pct(late, n_orders, 2).alias("late_pct"))
-            .where(F.col("total_orders") >= min_orders)
+    o = (star["fact_orders"].where(F.col("is_delivered") == 1)
+         .select("order_id", "delivery_time_days", "delay_days"))
+    sums = seller_sums(seller_orders(star, o), F.col("_items")).where(F.col("_orders") >= min_orders)
+    return (sums.join(s, "seller_id")
+            .select("seller_id", "seller_city", "seller_state",
+                    F.col("_orders").alias("total_orders"),
+                    money_round("_revenue", 2).alias("total_revenue"),
+                    ratio_round("_score", "_scores", 2).alias("avg_review_score"),
+                    F.col("_negative").alias("negative_reviews"),
+                    pct("_negative", "_orders", 2).alias("negative_pct"),
+                    ratio_round("_days", "_n_days", 1).alias("avg_delivery_days"),
+                    F.col("_late").alias("late_orders"),
+                    pct("_late", "_orders", 2).alias("late_pct"))
             .orderBy(F.col("avg_review_score").desc_nulls_first(),
                      F.col("total_revenue").desc_nulls_first(),
                      F.col("seller_id").asc())

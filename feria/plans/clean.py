@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from feria.functions import (flag, floor_days, nan_to_null, normalize_text, strip_ws, to_ts,
                              upper_strip, year_month)
-from feria.operators.aggregates import grouped_medians, grouped_modes
+from feria.operators.aggregates import (grouped_and_global_medians, grouped_medians,
+                                        grouped_modes)
 from feria.lazy import LazyTables
 from feria.operators.dedup import latest_per_key
 
@@ -78,11 +79,13 @@ def clean_products(products: DataFrame, translation: DataFrame) -> DataFrame:
          .withColumn("product_category_name_english",
                      F.coalesce(F.col("product_category_name_english"),
                                 F.col("product_category_name"))))
-    # Medians are taken over the pre-fill columns, per category and globally.
-    cat_med = grouped_medians(p, ["product_category_name"], DIM_COLS) \
+    # Medians are taken over the pre-fill columns, per category and globally, in
+    # one pass; they are one row per category, which goes to every task if small.
+    med = grouped_and_global_medians(p, "product_category_name", DIM_COLS)
+    cat_med = med.where(F.col("product_category_name").isNotNull()) \
         .select("product_category_name", *[F.col(c).alias(f"_cm_{c}") for c in DIM_COLS])
-    glob_med = grouped_medians(p, [], DIM_COLS) \
-        .select(*[F.col(c).alias(f"_gm_{c}") for c in DIM_COLS])
+    glob_med = med.where(F.col("product_category_name").isNull()) \
+        .agg(*[F.max(c).alias(f"_gm_{c}") for c in DIM_COLS])
     out = (p.join(cat_med, "product_category_name", "left")
            .crossJoin(F.broadcast(glob_med)))  # one row by construction
     out = out.withColumns({c: F.coalesce(F.col(c), F.col(f"_cm_{c}"), F.col(f"_gm_{c}"))

@@ -23,9 +23,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from feria.functions import mean_round, money_mean_round, money_round, pct
-from feria.operators.aggregates import median_small_domain
-from feria.plans.analytics import Star
+from feria.functions import mean_round, money_mean_round, money_round, pct, ratio_round
+from feria.operators.aggregates import weighted_median
+from feria.plans.analytics import Star, days_by_state, seller_orders, seller_sums
 
 # Year range used when the data holds no year at all.
 DEFAULT_YEARS = (2016, 2018)
@@ -154,18 +154,13 @@ def top_categories(star: Star, flt: Filters = Filters(), k: int = 10) -> DataFra
 # ------------------------------------------------------- delivery time (Q3)
 def delivery_by_state(star: Star, flt: Filters = Filters(), min_orders: int = 10) -> DataFrame:
     o = filtered_orders(star, flt, ["is_delivered", "delivery_time_days", "delay_days"])
-    late = F.count_if(F.col("delay_days") > 0)
-    n = F.count(F.lit(1))
     rows = o.where((F.col("is_delivered") == 1) & F.col("delivery_time_days").isNotNull())
-    med = median_small_domain(rows, ["state"], "delivery_time_days", "_med")
-    return (rows.groupBy("state")
-            .agg(n.alias("orders"),
-                 mean_round("delivery_time_days", 1).alias("avg_days"),
-                 mean_round("delay_days", 1).alias("avg_delay"),
-                 pct(late, n, 1).alias("late_pct"))
-            .join(med, "state", "left")
-            .select("state", "orders", "avg_days", F.round("_med", 1).alias("median_days"),
-                    "avg_delay", "late_pct")
+    return (days_by_state(rows).groupBy("state")
+            .agg(F.sum("_n").alias("orders"),
+                 ratio_round(F.sum("_days"), F.sum("_n_days"), 1).alias("avg_days"),
+                 F.round(weighted_median("delivery_time_days", "_n_days"), 1).alias("median_days"),
+                 ratio_round(F.sum("_delay"), F.sum("_n_delay"), 1).alias("avg_delay"),
+                 pct(F.sum("_late"), F.sum("_n"), 1).alias("late_pct"))
             .where(F.col("orders") >= min_orders)
             .orderBy(F.col("avg_days").desc_nulls_first(), F.col("state").asc_nulls_last()))
 
@@ -203,61 +198,37 @@ def score_distribution(star: Star, flt: Filters = Filters()) -> DataFrame:
 
 
 # --------------------------------------------------------------- sellers (Q5)
-def seller_scatter(star: Star, flt: Filters = Filters(), min_orders: int = 30) -> DataFrame:
-    """Seller quality vs volume as written: item-row weighted averages and
-    counts, distinct orders in the denominators."""
+def _seller_rows(star: Star, flt: Filters) -> DataFrame:
     o = filtered_orders(star, flt, ["is_delivered", "delivery_time_days", "delay_days"]) \
         .where(F.col("is_delivered") == 1)
-    oi = star["fact_order_items"].select("order_id", "seller_id", "price")
+    return seller_orders(star, o.select("order_id", "delivery_time_days", "delay_days"))
+
+
+def _seller_table(star: Star, sums: DataFrame, min_orders: int) -> DataFrame:
+    """The seller dimension joins the per-seller sums."""
     s = star["dim_sellers"].select("seller_id", F.col("state").alias("seller_state"))
-    r = star["fact_reviews"].select("order_id", "review_score", "is_negative")
-    # order-grain joins first (one hash partitioning on order_id), the
-    # seller dimension last
-    j = (oi.join(o.select("order_id", "delivery_time_days", "delay_days"), "order_id")
-         .join(r, "order_id", "left").join(s, "seller_id"))
-    n_orders = F.count_distinct("order_id")
-    return (j.groupBy("seller_id", "seller_state")
-            .agg(n_orders.alias("orders"),
-                 money_round(F.sum("price"), 0).alias("revenue"),
-                 mean_round("review_score", 2).alias("avg_score"),
-                 pct(F.count_if(F.col("is_negative") == 1), n_orders, 1).alias("negative_pct"),
-                 mean_round("delivery_time_days", 1).alias("avg_delivery_days"),
-                 pct(F.count_if(F.col("delay_days") > 0), n_orders, 1).alias("late_pct"))
-            .where(F.col("orders") >= min_orders)
+    return (sums.where(F.col("_orders") >= min_orders).join(s, "seller_id")
+            .select("seller_id", "seller_state", F.col("_orders").alias("orders"),
+                    money_round("_revenue", 0).alias("revenue"),
+                    ratio_round("_score", "_scores", 2).alias("avg_score"),
+                    pct("_negative", "_orders", 1).alias("negative_pct"),
+                    ratio_round("_days", "_n_days", 1).alias("avg_delivery_days"),
+                    pct("_late", "_orders", 1).alias("late_pct"))
             .orderBy(F.col("avg_score").desc_nulls_first(), F.col("revenue").desc_nulls_first(),
                      F.col("seller_id").asc()))
 
 
+def seller_scatter(star: Star, flt: Filters = Filters(), min_orders: int = 30) -> DataFrame:
+    """Seller quality vs volume as written: item-row weighted averages and
+    counts, distinct orders in the denominators."""
+    return _seller_table(star, seller_sums(_seller_rows(star, flt), F.col("_items")), min_orders)
+
+
 def seller_scatter_by_order(star: Star, flt: Filters = Filters(),
                             min_orders: int = 30) -> DataFrame:
-    """Grain-correct variant: one row per (seller, order) first, so every
-    order weighs once in averages and percentages stay within 0-100."""
-    o = filtered_orders(star, flt, ["is_delivered", "delivery_time_days", "delay_days"]) \
-        .where(F.col("is_delivered") == 1)
-    oi = star["fact_order_items"].select("order_id", "seller_id", "price")
-    s = star["dim_sellers"].select("seller_id", F.col("state").alias("seller_state"))
-    r = star["fact_reviews"].select("order_id", "review_score", "is_negative")
-    # Items meet their order and review on order_id first; the per (seller,
-    # order) rows are then grouped under that same partitioning (every order
-    # attribute depends on order_id), and only the grouped rows move to the
-    # seller dimension.
-    per_order = (oi.join(o.select("order_id", "delivery_time_days", "delay_days"), "order_id")
-                 .join(r, "order_id", "left")
-                 .groupBy("seller_id", "order_id", "delivery_time_days", "delay_days",
-                          "review_score", "is_negative")
-                 .agg(F.sum("price").alias("price")))
-    j = per_order.join(s, "seller_id")
-    n = F.count(F.lit(1))
-    return (j.groupBy("seller_id", "seller_state")
-            .agg(n.alias("orders"),
-                 money_round(F.sum("price"), 0).alias("revenue"),
-                 mean_round("review_score", 2).alias("avg_score"),
-                 pct(F.count_if(F.col("is_negative") == 1), n, 1).alias("negative_pct"),
-                 mean_round("delivery_time_days", 1).alias("avg_delivery_days"),
-                 pct(F.count_if(F.col("delay_days") > 0), n, 1).alias("late_pct"))
-            .where(F.col("orders") >= min_orders)
-            .orderBy(F.col("avg_score").desc_nulls_first(), F.col("revenue").desc_nulls_first(),
-                     F.col("seller_id").asc()))
+    """Grain-correct variant: every order weighs once in averages and counts,
+    so percentages stay within 0-100."""
+    return _seller_table(star, seller_sums(_seller_rows(star, flt), F.lit(1)), min_orders)
 
 
 def top_sellers_table(scatter: DataFrame, n: int = 10) -> DataFrame:

@@ -17,7 +17,7 @@ import time
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from feria.lazy import LazyTables
@@ -44,17 +44,17 @@ class MissingColumnError(ValueError):
     pass
 
 
-def project_to_star(table: str, clean_df: DataFrame) -> DataFrame:
-    """Rename + keep list + cast for one warehouse table."""
+def _typed(table: str, clean_df: DataFrame) -> DataFrame:
+    """Rename + keep list + cast for one warehouse table, and ``_cast``: the
+    columns whose value does not fit the declared type (NULL in the row), as
+    text, NULL where all fit."""
     df = clean_df.withColumnsRenamed(
         {k: v for k, v in RENAME[table].items() if k in clean_df.columns})
     if table == "fact_payments" and "payment_id" not in df.columns:
-        # Surrogate key: unique and shuffle-free; stable for a given input
-        # layout, and written once by the load so readers see fixed ids.
-        df = df.withColumn("payment_id", F.monotonically_increasing_id())
+        df = df.withColumn("payment_id", payment_key(df))
     defaults = DEFAULTS.get(table, {})
     required = set(NOT_NULL[table]) | set(PRIMARY_KEY[table])
-    cols = []
+    cols, unfit = [], []
     for name, dtype in STAR_TYPES[table]:
         if name in df.columns:
             c = F.col(name)
@@ -64,13 +64,36 @@ def project_to_star(table: str, clean_df: DataFrame) -> DataFrame:
             raise MissingColumnError(f"{table}: required column {name!r} missing")
         else:
             raise MissingColumnError(f"{table}: column {name!r} missing after rename")
-        cols.append((c.cast(dtype) if dtype is not None else c).alias(name))
-    return df.select(*cols)
+        if dtype is not None:
+            typed = c.try_cast(dtype)
+            unfit.append(F.when(c.isNotNull() & typed.isNull(),
+                                F.lit(f"{name} does not fit {dtype if isinstance(dtype, str) else dtype.simpleString()}")))
+            c = typed
+        cols.append(c.alias(name))
+    reasons = F.concat_ws("; ", *unfit) if unfit else F.lit("")
+    return df.select(*cols, F.when(reasons != "", reasons).alias("_cast"))
+
+
+def payment_key(payments: DataFrame):
+    """A key that depends on the row alone: 60 bits of the MD5 of order and
+    sequence, a repeated (order, sequence) counted on by the other columns."""
+    rest = [c for c in payments.columns if c not in ("order_id", "payment_sequential")]
+    w = Window.partitionBy("order_id", "payment_sequential").orderBy(*rest)
+    text = F.concat_ws("|", F.col("order_id").cast("string"),
+                       F.col("payment_sequential").cast("string"),
+                       F.row_number().over(w).cast("string"))
+    return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("bigint")
+
+
+def project_to_star(table: str, clean_df: DataFrame) -> DataFrame:
+    """Rename + keep list + cast for one warehouse table; a value that does
+    not fit its declared type is NULL (the load rejects such rows)."""
+    return _typed(table, clean_df).drop("_cast")
 
 
 def violations(table: str, df: DataFrame):
     """A string column naming every rule a row breaks (NULL = clean row)."""
-    reasons = []
+    reasons = [F.col("_cast")] if "_cast" in df.columns else []
     for c in NOT_NULL[table]:
         reasons.append(F.when(F.col(c).isNull(), F.lit(f"{c} is null")))
     for c, (lo, hi) in CHECKS.get(table, {}).items():
@@ -80,11 +103,15 @@ def violations(table: str, df: DataFrame):
             reasons.append(F.when(F.char_length(F.col(c).cast("string")) > n,
                                   F.lit(f"{c} longer than {n}")))
     r = F.concat_ws("; ", *reasons)
-    return F.when(r != "", r)
+    # The partition id (never negative) keeps filters on the reason where they
+    # are: pushed below the typed columns, the optimizer's constraint inference
+    # would double its constraints with each of them.
+    return F.when((r != "") & (F.spark_partition_id() >= 0), r)
 
 
 def split_rejects(table: str, df: DataFrame) -> tuple[DataFrame, DataFrame]:
     checked = df.withColumn("_reject", violations(table, df))
+    checked = checked.drop("_cast")
     good = checked.where(F.col("_reject").isNull()).drop("_reject")
     bad = checked.where(F.col("_reject").isNotNull()).withColumnRenamed("_reject", "reason")
     return good, bad
@@ -97,30 +124,19 @@ class StarTable:
     rejects: DataFrame   # rows failing a constraint, with a reason
 
 
-def has_duplicate_keys(df: DataFrame, keys: list[str]) -> bool:
-    """Key-only check (a shuffle of the key columns, combined map-side)."""
-    return not df.groupBy(*keys).count().where(F.col("count") > 1).isEmpty()
-
-
-def build_table(table: str, clean_df: DataFrame, dedup: str = "auto") -> StarTable:
-    """One warehouse table as lazy frames (rows, rejects).
-
-    ``dedup``: ``"always"`` plans the first-arrival de-duplication on the
-    primary key; ``"auto"`` first runs the key-only duplicate check and plans
-    the full-row de-duplication shuffle only when a key repeats.
-    """
-    projected = project_to_star(table, clean_df)
-    good, bad = split_rejects(table, projected)
-    pk = PRIMARY_KEY[table]
-    if dedup == "always" or (dedup == "auto" and has_duplicate_keys(good, pk)):
-        good = first_per_key(good, pk, ARRIVAL.get(table, []))
+def build_table(table: str, clean_df: DataFrame) -> StarTable:
+    """One warehouse table as lazy frames (rows, rejects). The first arrival
+    per primary key is always part of the plan: whether a key repeats is not
+    known before the data are read."""
+    good, bad = split_rejects(table, _typed(table, clean_df))
+    good = first_per_key(good, PRIMARY_KEY[table], ARRIVAL.get(table, []))
     return StarTable(table, good, bad)
 
 
-def build_star(clean: dict[str, DataFrame], dedup: str = "auto") -> LazyTables:
+def build_star(clean: dict[str, DataFrame]) -> LazyTables:
     """The eight warehouse tables (lazy), without the reject outputs; each
     table is planned only when a query asks for it."""
-    return LazyTables({t: (lambda t=t: build_table(t, clean[SOURCE[t]], dedup).rows)
+    return LazyTables({t: (lambda t=t: build_table(t, clean[SOURCE[t]]).rows)
                        for t in LOAD_ORDER})
 
 
@@ -140,8 +156,8 @@ def load_table(spark: SparkSession, table: str, clean_df: DataFrame, out_dir: st
     (a shuffle of the key columns, combined map-side), and the full-row
     first-arrival de-duplication only if a duplicate exists.
     """
-    projected = project_to_star(table, clean_df)
-    checked = projected.withColumn("_reject", violations(table, projected))
+    typed = _typed(table, clean_df)
+    checked = typed.withColumn("_reject", violations(table, typed)).drop("_cast")
     if stage:
         path = os.path.join(out_dir, "_staging", table)
         checked.write.mode("overwrite").parquet(path)
@@ -159,9 +175,9 @@ def load_table(spark: SparkSession, table: str, clean_df: DataFrame, out_dir: st
              .first())
     n_bad, n_rows = int(stats["n_bad"]), int(stats["n_rows"])
     n_dup = int(stats["n_good"]) - n_rows
-    if n_bad:
-        checked.where(F.col("_reject").isNotNull()).withColumnRenamed("_reject", "reason") \
-            .write.mode("overwrite").parquet(os.path.join(out_dir, "_rejects", table))
+    # Always written: rejects of an earlier load must not outlive a clean one.
+    checked.where(F.col("_reject").isNotNull()).withColumnRenamed("_reject", "reason") \
+        .write.mode("overwrite").parquet(os.path.join(out_dir, "_rejects", table))
     good = checked.where(F.col("_reject").isNull()).drop("_reject")
     rows = first_per_key(good, pk, ARRIVAL.get(table, [])) if stats["max_good"] > 1 else good
     w = rows.write.mode("overwrite")

@@ -18,8 +18,8 @@ from feria import duck_oracle as O
 from feria.plans import analytics as A
 from feria.plans.clean import clean_all
 from feria.lazy import LazyTables
-from feria.plans.warehouse import SOURCE, build_table, has_duplicate_keys
-from feria.schemas import LOAD_ORDER, PRIMARY_KEY
+from feria.plans.warehouse import SOURCE, build_table
+from feria.schemas import LOAD_ORDER
 from feria.sources.bindings import raw_tables
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -63,24 +63,10 @@ def clean(spark, sf_dir):
     return clean_all(raw(spark, sf_dir))
 
 
-# Whether a warehouse table needs the full-row key de-duplication is a
-# property of the data: decided once per session and input folder (one
-# key-only check per table), then reused by every query over that table.
-_DEDUP_MODE: dict[tuple[str, str, str], str] = {}
-
-
 def star(spark, sf_dir):
     cleaned = clean(spark, sf_dir)
-    app = spark.sparkContext.applicationId
-
-    def build(t: str):
-        key = (app, sf_dir, t)
-        if key not in _DEDUP_MODE:
-            rows = build_table(t, cleaned[SOURCE[t]], dedup="never").rows
-            _DEDUP_MODE[key] = "always" if has_duplicate_keys(rows, PRIMARY_KEY[t]) else "never"
-        return build_table(t, cleaned[SOURCE[t]], dedup=_DEDUP_MODE[key]).rows
-
-    return LazyTables({t: (lambda t=t: build(t)) for t in LOAD_ORDER})
+    return LazyTables({t: (lambda t=t: build_table(t, cleaned[SOURCE[t]]).rows)
+                       for t in LOAD_ORDER})
 
 
 # ------------------------------------------------------------------ Q1-Q5
@@ -442,8 +428,7 @@ STAR_COLS = {
                    "delay_days:i order_year:i order_month:i order_yearmonth",
     "fact_order_items": "order_id:i order_item_id:i product_id:i seller_id:i "
                         "shipping_limit_date price:d freight_value:d total_item_value:d",
-    # payment_id is a surrogate (unique, not reproducible by SQL): left out
-    "fact_payments": "order_id:i payment_sequential:i payment_type payment_installments:i "
+    "fact_payments": "payment_id:i order_id:i payment_sequential:i payment_type payment_installments:i "
                      "payment_value:d",
     "fact_reviews": "review_id:i order_id:i review_score:i is_negative:i has_comment:i "
                     "review_comment_title review_comment_message review_creation_date "
@@ -456,3 +441,5 @@ for _t, _cols in STAR_COLS.items():
 
 # profiling, data quality, exploration (registers on import)
 from feria import registry_quality  # noqa: E402,F401
+from feria import registry_dirty  # noqa: E402,F401
+from feria import registry_sql  # noqa: E402,F401

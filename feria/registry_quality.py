@@ -341,10 +341,11 @@ FK_EDGES_RAW = [("orders", "customer_id", "customers", "customer_id"),
                 ("reviews", "order_id", "orders", "order_id")]
 
 
-def _fk_sql(edges, prefix: str, child_name=lambda t: t) -> str:
+def _fk_sql(edges, prefix: str, child_name=lambda t: t, declared: bool = False) -> str:
     parts = []
     for ct, fk, pt, pk in edges:
-        orphans = "count(*) FILTER (WHERE p._k IS NULL)"
+        orphans = ("count(*) FILTER (WHERE p._k IS NULL"
+                   + (f" AND c.{fk} IS NOT NULL)" if declared else ")"))
         parts.append(f"""
 SELECT '{child_name(ct)}.{fk}' AS child, '{child_name(pt)}.{pk}' AS parent,
        CAST({orphans} AS BIGINT) AS orphans, CAST(count(*) AS BIGINT) AS "rows",
@@ -400,11 +401,13 @@ def _key_checks(s, d):
         dups = Q.duplicate_count(c[t].select(k), [k]).select(
             F.col("duplicates").alias("duplicate_keys"))
         parts.append(nulls.crossJoin(dups).select(F.lit(t).alias("table"), F.lit(k).alias("key"),
-                                                  "null_keys", "duplicate_keys"))
+                                                  "null_keys", "duplicate_keys",
+                                                  F.lit(None).cast("bigint").alias("not_positive")))
     pay = c["payments"].agg(F.lit("payments").alias("table"),
                             F.lit("payment_value").alias("key"),
                             F.lit(0).cast("bigint").alias("null_keys"),
-                            F.count_if(F.col("payment_value") <= 0).alias("duplicate_keys"))
+                            F.lit(None).cast("bigint").alias("duplicate_keys"),
+                            F.count_if(F.col("payment_value") <= 0).alias("not_positive"))
     return reduce(DataFrame.unionByName, parts + [pay])
 
 
@@ -412,9 +415,9 @@ register("key_checks_clean", " UNION ALL ".join([f"""
 SELECT '{t}' AS "table", '{k}' AS "key",
        CAST(count(*) FILTER (WHERE {k} IS NULL) AS BIGINT) AS null_keys,
        CAST(count(*) - (SELECT count(*) FROM (SELECT DISTINCT {k} FROM cl_{t}) z) AS BIGINT)
-            AS duplicate_keys
+            AS duplicate_keys, CAST(NULL AS BIGINT) AS not_positive
 FROM cl_{t}""" for t, k in CLEAN_KEYS.items()] + ["""
-SELECT 'payments', 'payment_value', CAST(0 AS BIGINT),
+SELECT 'payments', 'payment_value', CAST(0 AS BIGINT), CAST(NULL AS BIGINT),
        CAST(count(*) FILTER (WHERE payment_value <= 0) AS BIGINT) FROM cl_payments"""]))(
     _key_checks)
 
@@ -422,15 +425,16 @@ SELECT 'payments', 'payment_value', CAST(0 AS BIGINT),
 # ------------------------------------------------------ star schema checks
 def _star_fk(s, d):
     st = star(s, d)
-    return Q.fk_report([(st[ct], ct, fk, st[pt], pt, pk) for ct, fk, pt, pk in FOREIGN_KEYS])
+    return Q.fk_report([(st[ct], ct, fk, st[pt], pt, pk) for ct, fk, pt, pk in FOREIGN_KEYS],
+                       null_is_orphan=False)
 
 
-register("fk_orphans_star", _fk_sql(FOREIGN_KEYS, ""))(_star_fk)
+register("fk_orphans_star", _fk_sql(FOREIGN_KEYS, "", declared=True))(_star_fk)
 
 
 def _rejects(s, d):
     c = clean(s, d)
-    parts = [build_table(t, c[SOURCE[t]], dedup="never").rejects.agg(
+    parts = [build_table(t, c[SOURCE[t]]).rejects.agg(
         F.lit(t).alias("table"), F.count(F.lit(1)).alias("rejected")) for t in LOAD_ORDER]
     return reduce(DataFrame.unionByName, parts)
 
@@ -459,11 +463,11 @@ register("star_row_counts", " UNION ALL ".join(
 register("star_key_duplicates", " UNION ALL ".join(
     f"SELECT '{t}' AS \"table\", CAST(count(*) - (SELECT count(*) FROM (SELECT DISTINCT "
     f"{', '.join(PRIMARY_KEY[t])} FROM {t}) z) AS BIGINT) AS duplicates FROM {t}"
-    for t in LOAD_ORDER if t != "fact_payments"))(
+    for t in LOAD_ORDER))(
     lambda s, d: reduce(DataFrame.unionByName, [
         Q.duplicate_count(star(s, d)[t].select(*PRIMARY_KEY[t]), PRIMARY_KEY[t])
         .select(F.lit(t).alias("table"), "duplicates")
-        for t in LOAD_ORDER if t != "fact_payments"]))
+        for t in LOAD_ORDER]))
 
 _ = STAR_COLS, _cast_sql  # shared column specs live in feria.registry
 
@@ -613,7 +617,13 @@ ISSUES = [
     ("reviews", "review_comment_message", "nulls", "review_comment_message IS NULL",
      "raw_reviews"),
     ("payments", "payment_value", "zero value", "payment_value = 0", "raw_payments"),
+    ("customers", "customer_city", "encoding",
+     "customer_city <> lower(trim(customer_city))", "raw_customers"),
+    ("sellers", "seller_city", "encoding",
+     "seller_city <> lower(trim(seller_city))", "raw_sellers"),
 ]
+# Columns whose repeated values are an issue.
+REPEATED_KEYS = [("geolocation", "geolocation_zip_code_prefix"), ("reviews", "order_id")]
 
 
 def _issues(s, d):
@@ -622,6 +632,9 @@ def _issues(s, d):
                             F.lit(p).alias("problem"),
                             F.count_if(F.expr(cond)).alias("count"))
              for t, c, p, cond, cte in ISSUES]
+    parts += [Q.duplicate_count(r[t], [c]).select(
+        F.lit(t).alias("table"), F.lit(c).alias("column"), F.lit("duplicate key").alias("problem"),
+        F.col("duplicates").alias("count")) for t, c in REPEATED_KEYS]
     return Q.issue_register(s, reduce(DataFrame.unionByName, parts))
 
 
@@ -633,31 +646,13 @@ register("issue_register", f"""
 SELECT m."table", m."column", m.problem, m."count", a.action FROM (""" + " UNION ALL ".join(
     f"SELECT '{t}' AS \"table\", '{c}' AS \"column\", '{p}' AS problem, "
     f"CAST(count(*) FILTER (WHERE {cond}) AS BIGINT) AS \"count\" FROM {cte}"
-    for t, c, p, cond, cte in ISSUES) + f") m LEFT JOIN {ACTIONS_SQL} ON m.problem = a.problem")(
+    for t, c, p, cond, cte in ISSUES) + "".join(
+    f" UNION ALL SELECT '{t}', '{c}', 'duplicate key', "
+    f"CAST(count(*) - (SELECT count(*) FROM (SELECT DISTINCT {c} FROM raw_{t}) z) AS BIGINT) FROM raw_{t}"
+    for t, c in REPEATED_KEYS) + f") m LEFT JOIN {ACTIONS_SQL} ON m.problem = a.problem")(
     _issues)
 
 
-# the warehouse SQL text run as is through Spark SQL over temp views
-def _q1_sql(s, d):
-    from feria.plans.warehouse import register_views
-    register_views(star(s, d))
-    return s.sql("""
-SELECT order_yearmonth, COUNT(*) AS total_orders,
-       COUNT(*) FILTER (WHERE is_delivered = 1) AS delivered_orders,
-       CAST(ROUND(CAST(COUNT(*) FILTER (WHERE is_delivered = 1) AS DECIMAL(20,0)) * 100
-                  / NULLIF(CAST(COUNT(*) AS DECIMAL(20,0)), 0), 2) AS DOUBLE) AS delivery_rate_pct
-FROM fact_orders WHERE order_yearmonth IS NOT NULL
-GROUP BY order_yearmonth ORDER BY order_yearmonth""")
-
-
-register("q1_monthly_volume_sql", f"""
-SELECT order_yearmonth, CAST(count(*) AS BIGINT) AS total_orders,
-       CAST(count(*) FILTER (WHERE is_delivered = 1) AS BIGINT) AS delivered_orders,
-       {O.pct("count(*) FILTER (WHERE is_delivered = 1)", "count(*)", 2)} AS delivery_rate_pct
-FROM fact_orders WHERE order_yearmonth IS NOT NULL
-GROUP BY order_yearmonth ORDER BY order_yearmonth""")(_q1_sql)
-
-
 # domain rules over the cleaned tables (one row per rule)
 # (table, rule name, SQL predicate) - predicates are plain SQL, valid in both
 # engines, and only turned into Columns when a query runs.

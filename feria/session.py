@@ -2,11 +2,7 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
@@ -36,37 +32,17 @@ def get_spark(master: str | None = None, app: str = "feria",
     merged.update(conf or {})
     for k, v in merged.items():
         builder = builder.config(k, v)
-    spark = builder.getOrCreate()
-    checkpoint_dir(spark)
-    return spark
+    return builder.getOrCreate()
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder for lineage cuts.
+    """The shared folder named in ``spark.checkpoint.dir``.
 
-    Read ``spark.checkpoint.dir`` from the session (the cluster names a
-    shared, durable folder there). Only when it is unset - local runs and
-    tests - a scratch folder is created and registered.
+    Nothing is set or replaced here: a folder that the caller registered with
+    ``setCheckpointDir`` stays. Without the setting it raises, as a folder on
+    one machine would not be seen by the others.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
-        d = tempfile.mkdtemp(prefix="feria-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return d
-
-
-def materialize(spark: SparkSession, df: DataFrame, name: str,
-                partition_by: list[str] | None = None) -> DataFrame:
-    """Write ``df`` as Parquet under the checkpoint folder and read it back.
-
-    Cuts the lineage (a lost executor re-reads files instead of replaying
-    the whole plan) and lets several consumers share one computation.
-    """
-    base = checkpoint_dir(spark)
-    path = os.path.join(base, "tables", f"{name}-{uuid.uuid4().hex[:8]}")
-    w = df.write.mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
-    return spark.read.parquet(path)

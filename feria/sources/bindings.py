@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feria.functions.numeric import money
+from feria.lazy import LazyTables
 
 DRIVER_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem",
                  "events", "documents", "embeddings", "pages", "benchmark", "labels",
@@ -192,6 +193,7 @@ BINDINGS = {
 }
 
 
-def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """All nine raw tables as lazy DataFrames over the driver Parquet."""
-    return {name: fn(spark, sf_dir) for name, fn in BINDINGS.items()}
+def raw_tables(spark: SparkSession, sf_dir: str) -> LazyTables:
+    """The nine raw tables over the driver Parquet; a table's files are opened
+    when it is first asked for."""
+    return LazyTables({name: (lambda fn=fn: fn(spark, sf_dir)) for name, fn in BINDINGS.items()})
