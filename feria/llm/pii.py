@@ -141,7 +141,9 @@ def surrogates(entities: DataFrame, key: str) -> DataFrame:
     taken = entities.select("kind", F.col("canon").alias("surrogate"))
     done, left = [], entities
     for draw in range(DRAWS):
-        drawn = saved(left.withColumn("draw", F.lit(draw)).withColumn("surrogate", _drawn(key)).drop("draw"), "pii-drawn")
+        # Drawing costs far more than its few bytes tell: a partition's share each.
+        spread = left.repartition(int(left.sparkSession.conf.get("spark.sql.shuffle.partitions")), "canon")
+        drawn = saved(spread.withColumn("draw", F.lit(draw)).withColumn("surrogate", _drawn(key)).drop("draw"), "pii-drawn")
         first = drawn.groupBy("kind", "surrogate").agg(F.min("canon").alias("canon"))
         good = first.join(taken, ["kind", "surrogate"], "left_anti")
         for other in done:

@@ -85,13 +85,26 @@ def bpe_path() -> str:
 
 @query("op4_bpe")
 def _op4(spark, sf_dir):
-    from feria.llm.bpe import digests, encode
+    from feria.llm.bpe import encode
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return digests(spark, encode(spark, docs, bpe_path()), bpe_path()).drop("ids")
+    return encode(spark, docs, bpe_path(), digests=True).drop("ids")
 
 
 # ----------------------------------------------------------- 3: substring dedup
-@query("op3_substring")
+@query("op3_substring", r"""
+WITH w AS (SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+t AS (SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS i FROM w),
+g AS (
+  SELECT doc_id, i, word, string_agg(word, ' ') OVER frame AS s, count(*) OVER frame AS c FROM t
+  WINDOW frame AS (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 34 FOLLOWING)),
+r AS (SELECT doc_id, i, word, c = 35 AND count(*) OVER (PARTITION BY s, c) > 1 AS starts FROM g),
+k AS (
+  SELECT doc_id, i, word, bool_or(starts) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 34 PRECEDING AND CURRENT ROW) AS gone FROM r),
+a AS (
+  SELECT doc_id, count(*) AS n_words, count(*) FILTER (WHERE gone) AS n_removed,
+    string_agg(word, ' ' ORDER BY i) FILTER (WHERE NOT gone) AS kept FROM k GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM documents AS d LEFT JOIN a USING (doc_id)""")
 def _op3(spark, sf_dir):
     from feria.llm.substring import remove_repeats
     found = remove_repeats(spark, table(spark, sf_dir, "documents").select("doc_id", "text"), window=35)
@@ -131,7 +144,7 @@ def _op8(spark, sf_dir):
 @query("op7_line_dedup", r"""
 WITH d AS (SELECT doc_id, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS place, unnest(string_split(text, chr(10))) AS raw FROM documents),
 l AS (
-  SELECT doc_id, place, trim(translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), ' ' || chr(9) || chr(11) || chr(12) || chr(13)) AS line FROM d),
+  SELECT doc_id, place, trim(raw, ' ') AS line FROM d),
 o AS (SELECT *, row_number() OVER (PARTITION BY line ORDER BY doc_id, place) AS nth FROM l WHERE line <> ''),
 f AS (SELECT line, doc_id, place, length(line) AS n FROM o WHERE nth = 1 AND length(line) >= 16),
 near AS (
