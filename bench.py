@@ -19,6 +19,7 @@ import json
 import os
 import statistics
 import sys
+import tempfile
 import uuid
 import time
 
@@ -31,7 +32,7 @@ def main() -> None:
     runs = int(os.environ.get("BENCH_RUNS", "3"))
 
     import pyspark
-    from feria.session import checkpoint_dir, get_spark
+    from feria.session import get_spark
     from feria.plans import analytics as A
     from feria.plans import dashboard as D
     from feria.plans.clean import clean_all
@@ -44,8 +45,9 @@ def main() -> None:
                             "spark.sql.files.maxPartitionBytes": str(64 << 20)})
     spark.sparkContext.setLogLevel("ERROR")
     # scratch tables live under the shared checkpoint folder named by the
-    # session (a local scratch folder is only created when none is set)
-    scratch = os.path.join(checkpoint_dir(spark), f"bench-{uuid.uuid4().hex[:8]}")
+    # session; this local benchmark makes its own where none is set
+    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="feria-bench-")
+    scratch = os.path.join(base, f"bench-{uuid.uuid4().hex[:8]}")
 
     def run(df) -> None:
         df.write.format("noop").mode("overwrite").save()

@@ -64,18 +64,12 @@ def latest_per_key(df: DataFrame, key: str, ts: str, tie: str) -> DataFrame:
 
 
 def insert_ignore(target: DataFrame | None, incoming: DataFrame, keys: list[str],
-                  arrival: list[By]) -> tuple[DataFrame, DataFrame]:
-    """Append semantics of ``INSERT ... ON CONFLICT DO NOTHING``.
+                  arrival: list[By]) -> DataFrame:
+    """Rows to append with the semantics of ``INSERT ... ON CONFLICT DO NOTHING``.
 
     Within the batch the first arrival per key wins; against the target an
-    existing key is never replaced. Returns ``(rows_to_append, skipped)``.
+    existing key is never replaced. What is skipped is counted as incoming
+    less appended.
     """
     first = first_per_key(incoming, keys, arrival)
-    if target is None:
-        fresh = first
-    else:
-        fresh = first.join(target.select(*keys), keys, "left_anti")
-    skipped_in_batch = incoming.exceptAll(first)
-    skipped = skipped_in_batch if target is None else skipped_in_batch.unionByName(
-        first.join(target.select(*keys), keys, "left_semi"))
-    return fresh, skipped
+    return first if target is None else first.join(target.select(*keys), keys, "left_anti")

@@ -17,7 +17,7 @@ from feria.plans.clean import clean_all, clean_products
 from feria.plans.marts import master, payments_summary
 from feria.plans.warehouse import load_star, write_clean
 from feria.sources.bindings import raw_tables
-from feria.sources.readers import read_raw_dir
+from feria.sources.readers import read_raw_dir, read_raw_rejects
 from feria.sources.sinks import export_csv, path_exists
 
 
@@ -70,7 +70,14 @@ def main(argv: list[str] | None = None) -> None:
     a = ap.parse_args(argv)
     spark = get_spark()
     raw = read_raw_dir(spark, a.raw_dir) if a.raw_dir else raw_tables(spark, a.driver_dir)
-    refresh(spark, raw, a.out, a.csv).show(truncate=False)
+    if a.raw_dir:
+        read_raw_rejects(spark, a.raw_dir).write.mode("overwrite").parquet(
+            os.path.join(a.out, "raw_rejects"))
+    status = refresh(spark, raw, a.out, a.csv)
+    status.show(truncate=False)
+    failed = [r.table for r in status.where("error IS NOT NULL").collect()]  # eight rows at most
+    if failed:
+        raise SystemExit(f"not loaded: {', '.join(failed)}")
 
 
 if __name__ == "__main__":

@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from feria.schemas import MULTILINE_TABLES, RAW
 from feria.sources.sinks import path_exists
@@ -14,22 +16,51 @@ from feria.sources.sinks import path_exists
 RAW_FILES = {t: f"{t}.csv" for t in RAW}
 
 
-def read_csv(spark: SparkSession, path: str, table: str) -> DataFrame:
-    """Read one raw CSV with its declared schema.
+# Holds the text of a row that does not fit the schema, NULL in good rows.
+CORRUPT = "_corrupt_record"
+
+
+def _reader(spark: SparkSession, table: str):
+    reader = (spark.read.option("header", True).option("escape", '"')
+              .option("mode", "PERMISSIVE").option("encoding", "UTF-8"))
+    # Quoted fields hold line breaks in the reviews file only; that file is
+    # unsplittable, the others stay splittable.
+    return reader.option("multiLine", True) if table in MULTILINE_TABLES else reader
+
 
-    Quoted fields may hold line breaks and doubled quotes in the reviews
-    file only; that file is read with ``multiLine`` (unsplittable), the
-    others stay splittable. A UTF-8 byte-order mark in the header is
-    dropped by the reader.
+def check_header(spark: SparkSession, path: str, table: str) -> None:
+    """Raise unless the file's header has the declared columns in order."""
+    found = [c.lstrip("\ufeff") for c in _reader(spark, table).csv(path).columns]
+    if found != RAW[table].names:
+        raise ValueError(f"{table}: the header of {path} is {found}, not {RAW[table].names}")
+
+
+def read_csv_checked(spark: SparkSession, path: str, table: str) -> DataFrame:
+    """One raw CSV with its declared schema and the corrupt-record column.
+
+    The header has to match the schema. A row whose fields do not fit, are too
+    few or too many, keeps its text in ``_corrupt_record``; a UTF-8 byte-order
+    mark is dropped by the reader.
     """
-    reader = (spark.read.schema(RAW[table])
-              .option("header", True)
-              .option("escape", '"')
-              .option("mode", "PERMISSIVE")
-              .option("encoding", "UTF-8"))
-    if table in MULTILINE_TABLES:
-        reader = reader.option("multiLine", True)
-    return reader.csv(path)
+    check_header(spark, path, table)
+    schema = StructType([*RAW[table].fields, StructField(CORRUPT, StringType())])
+    return (_reader(spark, table).schema(schema).option("columnNameOfCorruptRecord", CORRUPT)
+            .csv(path))
+
+
+def read_csv(spark: SparkSession, path: str, table: str) -> DataFrame:
+    """The good rows of :func:`read_csv_checked`, in the declared columns."""
+    df = read_csv_checked(spark, path, table)
+    return df.where(F.col(CORRUPT).isNull()).select(*RAW[table].names)
+
+
+def read_csv_rejects(spark: SparkSession, path: str, table: str) -> DataFrame:
+    """(table, record) of the rows that do not fit."""
+    df = read_csv_checked(spark, path, table)
+    # Spark parses no field for a query on the record column alone: name them.
+    parsed = F.to_json(F.struct(*RAW[table].names)).isNotNull()
+    return df.where(F.col(CORRUPT).isNotNull()).select(
+        F.lit(table).alias("table"), F.when(parsed, F.col(CORRUPT)).alias("record"))
 
 
 def read_raw_dir(spark: SparkSession, raw_dir: str,
@@ -44,9 +75,12 @@ def read_raw_dir(spark: SparkSession, raw_dir: str,
     return out
 
 
-def read_table_registry(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """Register each table as a temp view under its own name (the dict of
-    named frames), returning the same dict."""
-    for name, df in tables.items():
-        df.createOrReplaceTempView(name)
-    return tables
+def read_raw_rejects(spark: SparkSession, raw_dir: str,
+                     files: dict[str, str] | None = None) -> DataFrame:
+    """(table, record): the rows of all raw files that do not fit."""
+    out = spark.createDataFrame([], "table string, record string")
+    for table, fname in {**RAW_FILES, **(files or {})}.items():
+        p = os.path.join(raw_dir, fname)
+        if path_exists(spark, p):
+            out = out.unionByName(read_csv_rejects(spark, p, table))
+    return out

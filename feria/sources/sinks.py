@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import os
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -40,16 +40,20 @@ def append_insert_ignore(spark: SparkSession, incoming: DataFrame, target_path:
     replaced, duplicates inside the batch keep their first arrival.
     Returns (appended, skipped)."""
     target = spark.read.parquet(target_path) if path_exists(spark, target_path) else None
-    fresh, skipped = insert_ignore(target, incoming, keys, arrival)
+    fresh = insert_ignore(target, incoming, keys, arrival)
     # Materialise the batch result before appending: the anti-join reads
-    # the same folder the append writes into.
-    stage = target_path.rstrip("/") + "_incoming"
-    fresh.write.mode("overwrite").parquet(stage)
-    staged = spark.read.parquet(stage)
+    # the same folder the append writes into. Each run has a folder of its own.
+    stage = f"{target_path.rstrip('/')}_incoming_{uuid.uuid4().hex}"
+    fresh.write.parquet(stage)
+    staged = spark.read.schema(fresh.schema).parquet(stage)
     n = staged.count()
     staged.write.mode("append").parquet(target_path)
-    return n, skipped.count()
+    remove_path(spark, stage)
+    return n, incoming.count() - n
 
 
-def table_path(base: str, name: str) -> str:
-    return os.path.join(base, name)
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a staging folder on the cluster file system."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)

@@ -2,7 +2,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from feria.operators.aggregates import first_max_by, mode_by, mode_of
+from feria.operators.aggregates import first_max_by, mode_by
 from feria.operators.dedup import By, first_per_key, insert_ignore, latest_per_key
 from feria.operators import profile as P
 from feria.operators import quality as Q
@@ -11,10 +11,7 @@ from feria.operators import quality as Q
 def test_mode_smallest_on_tie_and_null_group(spark):
     df = spark.createDataFrame([(1, "b"), (1, "a"), (1, "b"), (1, "a"), (2, None), (3, None),
                                 (3, "z")], "k int, v string")
-    got = dict(df.groupBy("k").agg(mode_of("v").alias("m")).collect())
-    assert got == {1: "a", 2: None, 3: "z"}
-    got2 = dict(mode_by(df, ["k"], "v").collect())
-    assert got2 == {1: "a", 2: None, 3: "z"}
+    assert dict(mode_by(df, ["k"], "v").collect()) == {1: "a", 2: None, 3: "z"}
 
 
 def test_first_max_by_prefers_first_arrival(spark):
@@ -53,9 +50,8 @@ def test_insert_ignore_keeps_existing_and_first_arrival(spark):
     target = spark.createDataFrame([(1, "old")], "k int, v string")
     incoming = spark.createDataFrame([(1, "new"), (2, "b"), (2, "a"), (3, "c")],
                                      "k int, v string")
-    fresh, skipped = insert_ignore(target, incoming, ["k"], [By("v")])
+    fresh = insert_ignore(target, incoming, ["k"], [By("v")])
     assert sorted(tuple(r) for r in fresh.collect()) == [(2, "a"), (3, "c")]
-    assert skipped.count() == 2
 
 
 def test_fk_orphans_null_key_is_orphan(spark):
@@ -110,20 +106,43 @@ def test_value_counts_order(spark):
 
 def test_exact_percentile_equals_builtin(spark):
     import random
-    from feria.operators.aggregates import exact_percentile, grouped_medians
+    from feria.operators.aggregates import exact_percentile, exact_percentiles, grouped_medians
     rnd = random.Random(7)
     rows = [(g, rnd.choice([float(rnd.randint(0, 9)), rnd.gauss(0, 50)]))
             for g, n in enumerate([1, 2, 3, 50, 3000]) for _ in range(n)] + [(9, None)]
     df = spark.createDataFrame(rows, "g int, v double")
     for q in (0.0, 0.25, 0.5, 0.99, 1.0):
-        got = dict(exact_percentile(df, ["g"], "v", q, accuracy=500).collect())
+        got = dict(exact_percentile(df, ["g"], "v", q).collect())
         exp = dict(df.groupBy("g").agg(F.percentile("v", F.lit(q))).collect())
         assert got == exp, q
-        # force the bucket-refinement rounds (tiny candidate cap)
-        refined = dict(exact_percentile(df, ["g"], "v", q, accuracy=500, max_candidates=8,
-                                        buckets=4).collect())
-        assert refined == exp, q
-        assert exact_percentile(df, [], "v", q, accuracy=500).first()[0] == \
+        assert exact_percentile(df, [], "v", q).first()[0] == \
             df.agg(F.percentile("v", F.lit(q))).first()[0]
+    several = exact_percentiles(df, ["g"], "v", [0.1, 0.5, 0.9], ["a", "b", "c"], buckets=4)
+    for r in several.collect():
+        own = df.where(F.col("g") == r.g)
+        assert tuple(r)[1:] == tuple(own.agg(*[F.percentile("v", F.lit(q)) for q in (0.1, 0.5, 0.9)]).first())
     med = dict((r.g, r.v) for r in grouped_medians(df, ["g"], ["v"]).collect())
     assert med == dict(df.groupBy("g").agg(F.median("v")).collect())
+
+
+def test_percentile_and_histogram_skip_nan(spark):
+    from feria.operators.aggregates import exact_percentile, grouped_and_global_medians
+    nan = float("nan")
+    rows = [(1, float(i)) for i in range(1, 11)] + [(1, nan)] * 10 + [(2, nan), (3, None)]
+    df = spark.createDataFrame(rows, "g int, v double")
+    assert exact_percentile(df, [], "v", 0.5).first()[0] == 5.5
+    assert exact_percentile(df.where("g > 1"), [], "v", 0.5).first()[0] is None
+    assert exact_percentile(df.limit(0), [], "v", 0.5).first()[0] is None
+    assert dict(exact_percentile(df, ["g"], "v", 0.5).collect()) == {1: 5.5, 2: None, 3: None}
+    bins = P.histogram(df, "v", 3).collect()
+    assert [r["count"] for r in bins] == [3, 3, 4] and (bins[0].bin_lo, bins[-1].bin_hi) == (1.0, 10.0)
+    both = grouped_and_global_medians(df.select(F.col("g").cast("string").alias("g"), "v"), "g", ["v"])
+    assert dict(both.collect()) == {"1": 5.5, "2": None, "3": None, None: 5.5}
+
+
+def test_fk_check_null_key(spark):
+    from feria.operators.quality import fk_check
+    child = spark.createDataFrame([(1,), (None,), (9,), (9,)], "k int")
+    parent = spark.createDataFrame([(1,), (1,)], "k int")
+    assert tuple(fk_check(child, "c", "k", parent, "p", "k").first())[2:] == (3, 4, 75.0)
+    assert tuple(fk_check(child, "c", "k", parent, "p", "k", null_is_orphan=False).first())[2:] == (2, 4, 50.0)

@@ -87,3 +87,26 @@ def test_refresh_from_raw_csv_files(spark, tmp_dir):
     assert o["o2"].has_items == 0
     rv = spark.read.parquet(f"{star}/fact_reviews").collect()
     assert {r.review_id: r.has_comment for r in rv} == {"r1": 1, "r2": 0}
+
+
+SELLERS = "seller_id,seller_zip_code_prefix,seller_city,seller_state\n"
+
+
+def test_swapped_header_raises(spark, tmp_dir):
+    import pytest
+    p = os.path.join(tmp_dir, "s.csv")
+    with open(p, "w") as f:
+        f.write("seller_zip_code_prefix,seller_id,seller_city,seller_state\n1001,s1,Curitiba,PR\n")
+    with pytest.raises(ValueError, match="header"):
+        read_csv(spark, p, "sellers")
+
+
+def test_malformed_rows_are_rejects(spark, tmp_dir):
+    from feria.sources.readers import read_csv_rejects, read_raw_rejects
+    with open(os.path.join(tmp_dir, "sellers.csv"), "w") as f:
+        f.write(SELLERS + "s1,1001,Curitiba,PR\ns2,abc,Natal,RN\ns3,1002,Belo,MG,extra\ns4,,Natal,RN\n")
+    p = os.path.join(tmp_dir, "sellers.csv")
+    assert sorted(r.seller_id for r in read_csv(spark, p, "sellers").collect()) == ["s1", "s4"]
+    want = [("sellers", "s2,abc,Natal,RN"), ("sellers", "s3,1002,Belo,MG,extra")]
+    assert sorted(map(tuple, read_csv_rejects(spark, p, "sellers").collect())) == want
+    assert sorted(map(tuple, read_raw_rejects(spark, tmp_dir).collect())) == want

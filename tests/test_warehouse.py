@@ -80,3 +80,62 @@ def test_loaded_star_answers_like_lazy_star(spark, tmp_dir):
         a = sorted(map(tuple, normalize_output(q(loaded)).collect()), key=repr)
         b = sorted(map(tuple, normalize_output(q(lazy)).collect()), key=repr)
         assert a == b, q.__name__
+
+
+PAYMENTS = ("order_id string, payment_sequential int, payment_type string, "
+            "payment_installments int, payment_value decimal(12,2)")
+
+
+def test_values_beyond_their_type_are_rejected(spark, tmp_dir):
+    rows = [("o1", 1, "card", 1, Decimal("5.00")), ("o2", 70000, "card", 1, Decimal("5.00")),
+            ("o3", 1, "card", 1, Decimal("123456789.00"))]
+    df = spark.createDataFrame(rows, PAYMENTS)
+    assert W.load_table(spark, "fact_payments", df, tmp_dir) == (1, 2, 0)
+    reasons = {r.order_id: r.reason for r in spark.read.parquet(f"{tmp_dir}/_rejects/fact_payments").collect()}
+    assert reasons["o2"].startswith("payment_sequential does not fit smallint")
+    assert reasons["o3"].startswith("payment_value does not fit decimal(10,2)")
+    # rejects of an earlier load do not outlive a clean one
+    assert W.load_table(spark, "fact_payments", df.limit(1), tmp_dir) == (1, 0, 0)
+    assert spark.read.parquet(f"{tmp_dir}/_rejects/fact_payments").count() == 0
+
+
+def test_payment_key_depends_on_the_row_alone(spark):
+    rows = [("o1", 1, "card", 1, Decimal("5.00"))] * 2 + [("o1", 2, "card", 1, Decimal("5.00"))]
+    df = spark.createDataFrame(rows, PAYMENTS)
+    a = sorted(r.payment_id for r in W.build_table("fact_payments", df).rows.collect())
+    b = sorted(r.payment_id for r in W.build_table("fact_payments", df.repartition(3)).rows.collect())
+    assert a == b and len(set(a)) == 3
+
+
+def test_star_follows_its_input(spark, tmp_dir):
+    """Doubling a driver table between two queries leaves no repeated key."""
+    import os
+    import shutil
+
+    from feria.registry import QUERIES
+    sf = os.path.join(tmp_dir, "sf")
+    shutil.copytree("/root/testdata/sf0.001", sf)
+    os.chmod(sf, 0o755)
+
+    def duplicates():
+        return {r["table"]: r["duplicates"] for r in QUERIES["star_key_duplicates"](spark, sf).collect()}
+    assert set(duplicates().values()) == {0}
+    supplier = spark.read.parquet("/root/testdata/sf0.001/supplier.parquet")
+    supplier.union(supplier).write.parquet(os.path.join(sf, "twice"))
+    os.chmod(os.path.join(sf, "supplier.parquet"), 0o644)
+    os.replace(os.path.join(sf, "supplier.parquet"), os.path.join(sf, "once"))
+    os.replace(os.path.join(sf, "twice"), os.path.join(sf, "supplier.parquet"))
+    assert set(duplicates().values()) == {0}
+
+
+def test_planning_runs_no_data_job(spark):
+    """Building a query starts no job but those that read Parquet footers."""
+    from feria.registry import QUERIES
+    tracker = spark.sparkContext.statusTracker()
+    for name in ("q1_monthly_volume", "q5_seller_quality", "clean_products", "describe_price"):
+        spark.sparkContext.setJobGroup(name, name)
+        QUERIES[name](spark, "/root/testdata/sf0.001")
+        jobs = tracker.getJobIdsForGroup(name)
+        assert len(jobs) <= 9, (name, len(jobs))  # at most one for each raw table
+        assert all(len(tracker.getJobInfo(j).stageIds) == 1 for j in jobs), name
+    spark.sparkContext.setJobGroup("", "")

@@ -12,6 +12,7 @@ from __future__ import annotations
 import os
 import re
 import sys
+import tempfile
 import uuid
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -45,11 +46,12 @@ def main() -> None:
     from feria.plans.clean import clean_all
     from feria.plans.marts import master
     from feria.plans.warehouse import load_star, read_star, write_clean
-    from feria.session import checkpoint_dir, get_spark
+    from feria.session import get_spark
     from feria.sources.bindings import raw_tables
     spark = get_spark("local[8]", shuffle_partitions=8)
     spark.sparkContext.setLogLevel("ERROR")
-    base = os.path.join(checkpoint_dir(spark), f"plans-{uuid.uuid4().hex[:8]}")
+    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="feria-plans-")
+    base = os.path.join(base, f"plans-{uuid.uuid4().hex[:8]}")
     clean = write_clean(spark, clean_all(raw_tables(spark, sf_dir)), os.path.join(base, "clean"))
     load_star(spark, clean, os.path.join(base, "star"), stage=False,
               partition_orders_by_year=True)
