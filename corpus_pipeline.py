@@ -36,8 +36,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, source, ids, n_tokens and the digests of ids and decoded text."""
-    encoded = bpe.encode(spark, docs.select("doc_id", "source", "text"), bpe_path())
-    return bpe.digests(spark, encoded, bpe_path())
+    return bpe.encode(spark, docs.select("doc_id", "source", "text"), bpe_path(), digests=True)
 
 
 STAGES = [

@@ -37,7 +37,7 @@ MAX_VOCABULARY = 1 << 20
 #: Bytes of text at which a chunk ends (a document is never split).
 CHUNK_BYTES = 16 << 20
 #: Rows of a compressed stream.
-STREAM_ROWS = 1000
+STREAM_ROWS = 500
 
 
 def vocabulary(path: str) -> str:
@@ -84,6 +84,7 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if b > a:
                 lean()
                 yield batch.slice(a, b - a).take(pa.array(range(b - a)))  # a copy without the rest of the batch
+        lean()
 
 
 def _name(batch: pa.RecordBatch) -> str:
@@ -107,9 +108,12 @@ def _spread(words: list[bytes], buckets: int) -> list[list[bytes]]:
     return out
 
 
-def encode(spark: SparkSession, docs: DataFrame, path: str) -> DataFrame:
+def encode(spark: SparkSession, docs: DataFrame, path: str, digests: bool = False) -> DataFrame:
     """The columns of ``docs`` but text, and ids (array of int): the text's
     tokens as the tokenizers library gives them without special tokens added.
+    With ``digests``, also n_tokens, ids_sha256 (of the ids as little-endian
+    unsigned 32-bit integers) and decoded_sha256 (of what :func:`decode` makes
+    of them, in UTF-8), all in the same task.
 
     ``docs`` is (doc_id, text) or any columns beside text. A null text is
     empty; an empty text, or one of blanks, has no ids. Words of any length are
@@ -118,6 +122,7 @@ def encode(spark: SparkSession, docs: DataFrame, path: str) -> DataFrame:
     rest = [f for f in docs.schema.fields if f.name != "text"]
     names = [f.name for f in rest]
     model = spark.sparkContext.broadcast(vocabulary(path))
+    pieces = _pieces(spark, path) if digests else None
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -143,6 +148,7 @@ def encode(spark: SparkSession, docs: DataFrame, path: str) -> DataFrame:
                 parts["chunk"].append(chunk)
                 parts["words"].append(blob)
                 parts["ids"].append(zstandard.ZstdCompressor(3).compress(lengths + b"".join(ids)))
+            lean()
             yield pa.RecordBatch.from_arrays([pa.array(parts["chunk"], pa.string()), pa.array(parts["words"], pa.binary()),
                                               pa.array(parts["ids"], pa.binary())], ["chunk", "words", "ids"])
 
@@ -157,8 +163,10 @@ def encode(spark: SparkSession, docs: DataFrame, path: str) -> DataFrame:
                     out.write_batch(batch.slice(at, STREAM_ROWS))
                 yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([sink.getvalue().to_pybytes()], pa.binary())], ["chunk", "rows"])
 
-    def put_back(rows: pa.Table) -> pa.Table:
+    def put_back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lean()
+        rows = pa.Table.from_batches(list(batches))
+        names_of = pieces and pa.array(pieces.value, pa.string())
         table: dict[bytes, int] = {}
         lengths, flat, streams = [], [], []
         for words, ids, stream in zip(*(rows.column(c) for c in ("words", "ids", "rows"))):
@@ -173,7 +181,6 @@ def encode(spark: SparkSession, docs: DataFrame, path: str) -> DataFrame:
         lengths = np.concatenate([np.zeros(0, np.int64), *lengths])
         flat = np.concatenate([np.zeros(0, "<u4"), *flat]).astype(np.int32)
         starts = np.cumsum(lengths) - lengths
-        out = []
         for stream in streams:
             batch = pa.ipc.open_stream(stream.as_buffer()).read_all().combine_chunks()
             ends, codes, words = _words(batch.column("text").combine_chunks())
@@ -185,17 +192,18 @@ def encode(spark: SparkSession, docs: DataFrame, path: str) -> DataFrame:
             total = np.concatenate([[0], np.cumsum(n)])
             ids = flat[np.repeat(starts[at] - total[:-1], n) + np.arange(total[-1])]
             column = pa.ListArray.from_arrays(pa.array(total[ends], pa.int32()), pa.array(ids))
-            out.append(pa.table([*(batch.column(c) for c in names), column], [*names, "ids"]))
-        return pa.concat_tables(out) if out else pa.table({f.name: [] for f in schema}, schema)
+            new = [column, *_digests(column, names_of)] if names_of else [column]
+            yield from pa.table([*(batch.column(c) for c in names), *new], schema).to_batches()
+            lean()
 
-    plain = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rest)
-    schema = to_arrow_schema(StructType([*rest, StructField("ids", ArrayType(IntegerType()))]))
+    out = StructType([*rest, StructField("ids", ArrayType(IntegerType())), *(DIGESTS if digests else [])])
+    schema = to_arrow_schema(out)
     words = docs.mapInArrow(distinct, "bucket int, chunk string, words binary")
     words = words.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(word_table, "chunk string, words binary, ids binary")
     rows = docs.mapInArrow(packed, "chunk string, rows binary")
     null = F.lit(None).cast("binary")
     both = words.withColumn("rows", null).unionByName(rows.withColumns({"words": null, "ids": null}))
-    return both.groupBy("chunk").applyInArrow(put_back, f"{plain}, ids array<int>")
+    return both.groupBy("chunk").applyInArrow(put_back, out)
 
 
 def _pieces(spark: SparkSession, path: str):
@@ -233,24 +241,11 @@ def decode(spark: SparkSession, encoded: DataFrame, path: str) -> DataFrame:
     return encoded.mapInArrow(run, StructType([*encoded.schema.fields, StructField("decoded", StringType())]))
 
 
-def digests(spark: SparkSession, encoded: DataFrame, path: str) -> DataFrame:
-    """The columns of ``encoded``, n_tokens, ids_sha256 (of the ids as
-    little-endian unsigned 32-bit integers) and decoded_sha256 (of what
-    :func:`decode` makes of them, in UTF-8)."""
-    pieces = _pieces(spark, path)
+DIGESTS = [StructField("n_tokens", LongType()), StructField("ids_sha256", StringType()), StructField("decoded_sha256", StringType())]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = pa.array(pieces.value, pa.string())
-        for whole in batches:
-            for at in range(0, whole.num_rows, STREAM_ROWS):
-                lean()
-                batch = whole.slice(at, STREAM_ROWS)
-                lists = batch.column("ids").fill_null([])
-                flat, ends = lists.flatten().to_numpy().astype("<u4"), np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())])
-                ids = [hashlib.sha256(flat[a:b].tobytes()).hexdigest() for a, b in itertools.pairwise(ends)]
-                texts = [hashlib.sha256(t.as_buffer()).hexdigest() for t in _join_pieces(lists, table)]
-                new = [pa.array(np.diff(ends), pa.int64()), pa.array(ids, pa.string()), pa.array(texts, pa.string())]
-                yield pa.RecordBatch.from_arrays([*batch.columns, *new], [*batch.schema.names, "n_tokens", "ids_sha256", "decoded_sha256"])
-
-    new = [StructField("n_tokens", LongType()), StructField("ids_sha256", StringType()), StructField("decoded_sha256", StringType())]
-    return encoded.mapInArrow(run, StructType([*encoded.schema.fields, *new]))
+
+def _digests(lists: pa.ListArray, table: pa.Array) -> list[pa.Array]:
+    flat, ends = lists.flatten().to_numpy().astype("<u4"), np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())])
+    ids = [hashlib.sha256(flat[a:b].tobytes()).hexdigest() for a, b in itertools.pairwise(ends)]
+    texts = [hashlib.sha256(t.as_buffer()).hexdigest() for t in _join_pieces(lists, table)]
+    return [pa.array(np.diff(ends), pa.int64()), pa.array(ids, pa.string()), pa.array(texts, pa.string())]
