@@ -52,6 +52,15 @@ def doc_columns(docs: DataFrame, *names: str) -> DataFrame:
     return docs.select(*[F.col(f"`{n}`") for n in names])
 
 
+#: A side of at most so many rows, each of a few numbers, is broadcast.
+BROADCAST_ROWS = 500_000
+
+
+def small(df: DataFrame) -> DataFrame:
+    """``df`` with a broadcast hint if it is small; beyond, Spark shuffles."""
+    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
+
+
 def lean() -> None:
     """In a Python worker: give freed memory back to the system. Workers live
     on between tasks, and what they keep is taken from the next operator's."""

@@ -14,6 +14,7 @@ group of near copies and for few unrelated documents.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feria.llm.common import saved, word_count
+from feria.llm.common import lean, saved, small, word_count
 
 MIN_WORDS = 50
 #: At most so many percent of the words may lie in repeated 3-word windows.
@@ -30,6 +31,8 @@ MAX_REPEAT_PERCENT = 50
 LINE_DOCS = 20
 LINE_SHARE = 0.1
 KEEP_SHARE = 0.3
+#: Rows that a task measures at one time.
+ROWS = 1000
 
 BLANKS = b" \t\n\x0b\x0c\r"
 SYMBOLS = b"#*$%&|<>"
@@ -75,11 +78,13 @@ MEASURES = ("n_words long, word_chars long, n_symbols long, n_dup_lines long, n_
 
 def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     kinds = [*[pa.int64()] * 5, pa.list_(pa.int64()), pa.list_(pa.int32())]
-    for batch in batches:
+    for batch in itertools.chain.from_iterable((b.slice(at, ROWS) for at in range(0, b.num_rows, ROWS)) for b in batches):
+        lean()
         rows = [measures(t.as_py() or b"") for t in batch.column("text").cast(pa.binary())]
         new = [pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)]
         names = ["doc_id", "host", "k1", "k2"]
         yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), *new], [*names, *(m.split()[0] for m in MEASURES.split(", "))])
+    lean()
 
 
 def _keys() -> dict[str, Column]:
@@ -140,4 +145,4 @@ def kept_documents(docs: DataFrame) -> DataFrame:
     keys = _keys()
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *[v.alias(k) for k, v in keys.items()],
                        word_count(F.col("text")).alias("n_words")).where(F.col("n_words") >= MIN_WORDS)
-    return rows.join(rejected, list(keys), "left_anti").select("row.*")
+    return rows.join(small(rejected), list(keys), "left_anti").select("row.*")

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feria.llm.common import packed, saved
+from feria.llm.common import lean, packed, saved, small
 from feria.llm.components import connected
 
 SEED = 42
@@ -66,9 +66,11 @@ def fingerprints(docs: DataFrame, shingle: int, column: str = "text") -> DataFra
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            lean()
             texts = batch.column(column).cast(pa.binary())
             fps = np.fromiter((fingerprint(t.as_py(), shingle) for t in texts), np.uint64, len(texts))
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in rest), pa.array(fps.view(np.int64))], [*rest, "fp"])
+        lean()
 
     return docs.mapInArrow(run, schema)
 
@@ -172,7 +174,12 @@ def one_of_each(docs: DataFrame, shingle: int = 4, bits: int = 4) -> DataFrame:
     """``docs`` with one row of each component: that of the least doc_id (one
     of its rows where they repeat it)."""
     fps = saved(fingerprints(docs.select("doc_id", "text"), shingle), "simhash-fps")
-    kept = saved(components(fps, bits).select(F.col("component_id").alias("kept")).distinct(), "simhash-kept")
-    rows = packed(docs, F.col("doc_id").alias("id"))
-    rows = rows.join(kept, F.expr("id <=> kept"), "left_semi")
-    return rows.dropDuplicates(["id"]).select("row.*")
+    kept = components(fps, bits).select(F.col("component_id").alias("kept")).distinct()
+    ids = saved(fps.groupBy(F.col("doc_id").alias("other")).agg(F.count("*").alias("n")), "simhash-ids")
+    gone = saved(ids.join(kept, F.expr("other <=> kept"), "left_anti").select("other"), "simhash-gone")
+    again = saved(ids.where("n > 1").select("other"), "simhash-again")
+    rows = packed(docs, F.col("doc_id").alias("id")).join(small(gone), F.expr("id <=> other"), "left_anti")
+    again = small(again)
+    once = rows.join(again, F.expr("id <=> other"), "left_anti")
+    first = rows.join(again, F.expr("id <=> other"), "left_semi").dropDuplicates(["id"])
+    return once.unionByName(first).select("row.*")
