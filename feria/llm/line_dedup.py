@@ -1,6 +1,6 @@
 """Line dedup by an edit-distance join over segments, in DataFrame functions only.
 
-Lines are compared trimmed, with A-Z lower-cased. A line is removed where an
+Lines are compared without spaces at their ends. A line is removed where an
 earlier one (by doc_id, then place) is equal, and everywhere if a different
 line that first occurs earlier is within ``EDITS`` edits.
 
@@ -9,31 +9,28 @@ even segments. The segments of each line are its index entries, with its length
 and the segment's number; a line probes, for each length up to ``t`` below its
 own, the substrings that a segment can have become: of those at the segment's
 start plus ``o``, the ``i``-th segment only where ``|o| <= i`` and
-``|o - (difference of lengths)| <= t - i``. Entries carry sixteen letter
-counts modulo 16, which an edit moves by two in all at most; pairs whose counts
-are farther apart are dropped inside the join, so that many lines with a common
-segment do not become as many pairs. The pairs left are verified with the
-banded edit distance of Spark.
+``|o - (difference of lengths)| <= t - i``.
+
+An entry also carries a check of what is left beside its segment. Where one
+edit at most can be there, one half of that part is intact: the first as seen
+from the part's start, or the second as seen from its end. Pairs without that
+are dropped inside the join, so that many lines with a common segment do not
+become as many pairs. The pairs left are verified with
+the banded edit distance of Spark.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feria.llm.common import packed, saved
+from feria.llm.common import packed, saved, small
 
 EDITS = 1
 #: Shorter lines, in code points, are compared for equality only.
 LEAST_LENGTH = 16
-#: The letters counted.
-LETTERS = "entairoshdlucmpg"
-#: A side of at most so many rows, each of a few numbers, is broadcast.
-BROADCAST_ROWS = 500_000
-BLANKS = " \t\n\x0b\x0c\r"
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+#: Bits of the hash of a half.
+BITS = 31
 
 
 def _content(text: Column) -> Column:
@@ -43,62 +40,73 @@ def _content(text: Column) -> Column:
 def lines(docs: DataFrame) -> DataFrame:
     """none, doc_id, content, place, line: every line that is not blank, as it
     is compared; (none, doc_id, content, place) orders the occurrences."""
-    each = docs.select(F.col("doc_id").isNull().alias("none"), "doc_id", _content(F.col("text")).alias("content"),
-                       F.posexplode(F.split("text", "\n")).alias("place", "line"))
-    return each.withColumn("line", F.btrim(F.translate("line", UPPER, LOWER), F.lit(BLANKS))).where("line <> ''")
+    split = docs.select(F.col("doc_id").isNull().alias("none"), "doc_id", _content(F.col("text")).alias("content"),
+                        F.split("text", "\n").alias("lines"))
+    each = split.select("none", "doc_id", "content", F.posexplode("lines").alias("place", "line"))
+    return each.withColumn("line", F.trim("line")).where("line <> ''")
 
 
 def hashed(rows: DataFrame) -> DataFrame:
     return rows.withColumns({"h1": F.xxhash64("line"), "h2": F.xxhash64(F.lit("line"), F.col("line"))})
 
 
-def _counts(line: Column) -> Column:
-    parts = [F.shiftleft(F.pmod(F.length(F.replace(line, F.lit(c), F.lit(""))), F.lit(16)).cast("long"), 4 * i) for i, c in enumerate(LETTERS)]
-    return reduce(lambda a, b: a.bitwiseOR(b), parts)
+def _check(start: Column, end: Column, size: Column) -> Column:
+    """Short hashes of two halves of the line between two places, one seen from
+    the start, one from the end; the part has ``size`` characters in the indexed
+    line."""
+    half = F.floor(size / 2).cast("int")
+    rest = size - half
+    mask = F.lit((1 << BITS) - 1).cast("long")
+    first = F.xxhash64(F.substring("line", start + 1, half)).bitwiseAND(mask)
+    second = F.xxhash64(F.substring("line", end - rest + 1, rest)).bitwiseAND(mask)
+    return first.bitwiseOR(F.shiftleft(second, BITS))
 
 
-def _apart(a: Column, b: Column) -> Column:
-    """Sum over the counts of their distance modulo 16."""
-    parts = []
-    for i in range(len(LETTERS)):
-        step = F.abs(F.shiftrightunsigned(a, 4 * i).bitwiseAND(F.lit(15)) - F.shiftrightunsigned(b, 4 * i).bitwiseAND(F.lit(15)))
-        parts.append(F.least(step, F.lit(16) - step))
-    return reduce(lambda x, y: x + y, parts)
+def _near(a: Column, b: Column) -> Column:
+    """Whether the checks have a half in common."""
+    differ = a.bitwiseXOR(b)
+    mask = (1 << BITS) - 1
+    return (differ.bitwiseAND(F.lit(mask).cast("long")) == 0) | (differ.bitwiseAND(F.lit(mask << BITS).cast("long")) == 0)
 
 
-def _entries(edits: int) -> Column:
-    """Array of (key, index): a line's index entries, and its probes."""
+def _entries(edits: int) -> list[tuple[Column, Column, bool]]:
+    """(key, check, whether it is an index entry): a line's entries."""
     out = []
+    full = F.length("line")
     for shorter in range(edits + 1):
-        length = F.col("length") - shorter
+        length = full - shorter
         base, rest = F.floor(length / (edits + 1)).cast("int"), F.pmod(length, F.lit(edits + 1))
         for i in range(edits + 1):
             start = base * i + F.greatest(F.lit(0), rest - (edits + 1 - i))
             size = base + (rest >= edits + 1 - i).cast("int")
             for o in range(max(-i, shorter - (edits - i)), min(i, shorter + edits - i) + 1):
                 key = F.xxhash64(length, F.lit(i), F.substring("line", start + o + 1, size))
-                out.append(F.struct(key.alias("key"), F.lit(shorter == 0 and o == 0).alias("index")))
-    return F.array(*out)
-
-
-def _small(df: DataFrame) -> DataFrame:
-    """``df`` with a broadcast hint if it is small; beyond, Spark shuffles."""
-    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
-
-
-def near_lines(docs: DataFrame, edits: int, least: int) -> DataFrame:
-    """h1 of the lines that a different earlier line is within ``edits`` of."""
-    long = hashed(lines(docs)).where(F.length("line") >= least)
-    distinct = long.groupBy("h1").agg(F.first("line").alias("line")).withColumn("length", F.length("line"))
-    entries = distinct.select("h1", _counts(F.col("line")).alias("counts"), F.explode(_entries(edits)).alias("e"))
-    entries = entries.select("h1", "counts", "e.key", "e.index")
-    index = entries.where("index").select(F.col("h1").alias("a"), F.col("counts").alias("ca"), "key")
-    probe = entries.select(F.col("h1").alias("b"), F.col("counts").alias("cb"), F.col("key").alias("key2"))
-    met = index.join(probe, (F.col("key") == F.col("key2")) & (F.col("a") != F.col("b")) & (_apart(F.col("ca"), F.col("cb")) <= 2 * edits))
+                if edits - i == 1:  # one edit at most to the right
+                    check = _check(start + o + size, full, length - start - size)
+                elif i == 1:  # to the left
+                    check = _check(F.lit(0), start + o, start)
+                else:
+                    check = F.lit(0).cast("long")
+                out.append((key, check, shorter == 0 and o == 0))
+    return out
+
+
+def near_lines(docs: DataFrame, each: DataFrame, edits: int, least: int) -> DataFrame:
+    """h1 of the lines that a different earlier line is within ``edits`` of;
+    ``each`` has the entries of all lines (k0, c0, ...)."""
+    kinds = [index for _, _, index in _entries(edits)]
+    distinct = each.where(F.col("length") >= least).groupBy("h1").agg(
+        *[F.max(f"{c}{i}").alias(f"{c}{i}") for i in range(len(kinds)) for c in "kc"])
+    entries = distinct.select("h1", F.explode(F.array(*[
+        F.struct(F.col(f"k{i}").alias("key"), F.col(f"c{i}").alias("check"), F.lit(index).alias("index")) for i, index in enumerate(kinds)])).alias("e"))
+    index = entries.where("e.index").select(F.col("h1").alias("a"), F.col("e.check").alias("ca"), F.col("e.key").alias("key"))
+    probe = entries.select(F.col("h1").alias("b"), F.col("e.check").alias("cb"), F.col("e.key").alias("key2"))
+    met = index.join(probe, (F.col("key") == F.col("key2")) & (F.col("a") != F.col("b")) & _near(F.col("ca"), F.col("cb")))
     pairs = saved(met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "lines-pairs")
     asked = saved(pairs.select(F.explode(F.array("a", "b")).alias("h1")).distinct(), "lines-asked")
     at = F.struct("none", "doc_id", "content", "place")
-    told = saved(long.join(_small(asked), "h1", "left_semi").groupBy("h1").agg(F.min(at).alias("first"), F.first("line").alias("line")), "lines-told")
+    told = hashed(lines(docs)).join(small(asked), "h1", "left_semi").groupBy("h1").agg(F.min(at).alias("first"), F.first("line").alias("line"))
+    told = saved(told, "lines-told")
 
     def side(name: str) -> DataFrame:
         return told.select(F.col("h1").alias(name), F.col("first").alias(f"first_{name}"), F.col("line").alias(f"line_{name}"))
@@ -108,20 +116,23 @@ def near_lines(docs: DataFrame, edits: int, least: int) -> DataFrame:
     return saved(both.select(later.alias("h1")).distinct(), "lines-near")
 
 
-def removals(docs: DataFrame, edits: int = EDITS, least: int = LEAST_LENGTH) -> tuple[DataFrame, DataFrame]:
-    """The lines (none, doc_id, content, place, h1, h2) of ``docs``, and of each
-    document that loses some (none, doc_id, content): exact and near (how many)
-    and places (which, from 0)."""
-    each = saved(hashed(lines(docs)).drop("line"), "lines-each")
+def removals(docs: DataFrame, edits: int = EDITS, least: int = LEAST_LENGTH) -> DataFrame:
+    """Of each document (none, doc_id, content) of ``docs`` that loses lines:
+    exact and near (how many) and places (which, from 0)."""
+    entries = _entries(edits)
+    each = hashed(lines(docs)).withColumn("length", F.length("line"))
+    each = each.withColumns({f"{c}{i}": F.when(F.col("length") >= least, e[n]) for i, e in enumerate(entries) for n, c in enumerate("kc")})
+    each = saved(each.drop("line"), "lines-each")
     at = F.struct("none", "doc_id", "content", "place")
-    near = near_lines(docs, edits, least).withColumn("near", F.lit(True))
+    near = near_lines(docs, each, edits, least).withColumn("near", F.lit(True))
+    each = each.select("none", "doc_id", "content", "place", "h1", "h2")
     firsts = each.groupBy("h1", "h2").agg(F.min(at).alias("first"), F.count("*").alias("n"))
     marks = saved(firsts.join(near, "h1", "left").where("n > 1 OR near").select("h1", "h2", "first", F.coalesce("near", F.lit(False)).alias("near")), "lines-marks")
     later = at != F.col("first")
     gone = each.join(marks, ["h1", "h2"]).where(later | F.col("near"))
     gone = gone.groupBy("none", "doc_id", "content").agg(
         F.count_if(later).alias("exact"), F.count_if(~later).alias("near"), F.array_sort(F.collect_list("place")).alias("places"))
-    return each, saved(gone, "lines-gone")
+    return saved(gone, "lines-gone")
 
 
 def _joined(rows: DataFrame, gone: DataFrame) -> DataFrame:
@@ -140,8 +151,8 @@ def line_report(docs: DataFrame, edits: int = EDITS) -> DataFrame:
     empty table gives no rows.
     """
     docs = docs.select("doc_id", "text")
-    _, gone = removals(docs, edits)
-    full = F.filter(F.split(F.coalesce("text", F.lit("")), "\n"), lambda x: F.btrim(x, F.lit(BLANKS)) != "")
+    gone = removals(docs, edits)
+    full = F.filter(F.split(F.coalesce("text", F.lit("")), "\n"), lambda x: F.trim(x) != "")
     rows = docs.select(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), _content(F.col("text")).alias("content"),
                        F.size(full).cast("long").alias("n_lines"))
     zero = F.lit(0)
@@ -154,11 +165,11 @@ def deduped(docs: DataFrame, edits: int = EDITS) -> DataFrame:
     """``docs`` without the removed lines; n_chars, where it exists, follows.
     A document that loses every line stays, with an empty text; see
     :func:`line_report` for the rest."""
-    _, gone = removals(docs.select("doc_id", "text"), edits)
+    gone = removals(docs.select("doc_id", "text"), edits)
     rows = packed(docs, F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), _content(F.col("text")).alias("content"))
     kept = F.filter(F.split("row.text", "\n"), lambda _, i: ~F.array_contains("places", i))
     text = F.when(F.col("places").isNull(), F.col("row.text")).otherwise(F.array_join(kept, "\n"))
-    out = _joined(rows, _small(gone)).select("row", "places", text.alias("text"))
+    out = _joined(rows, small(gone)).select("row", "places", text.alias("text"))
     new = {"text": F.col("text")}
     if "n_chars" in docs.columns:
         new["n_chars"] = F.when(F.col("places").isNull(), F.col("row.n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType))
