@@ -127,7 +127,11 @@ def encode(spark: SparkSession, docs: DataFrame, path: str, digests: bool = Fals
 
     def distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _chunks(batches):
-            words = _spread(_words(batch.column("text"))[2], buckets)
+            held: set[bytes] = set()
+            for at in range(0, batch.num_rows, STREAM_ROWS):
+                held.update(_words(batch.column("text").slice(at, STREAM_ROWS))[2])
+            words = _spread(list(held), buckets)
+            del held
             used = [b for b in range(buckets) if words[b] or not b]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(used, pa.int32()), pa.array([_name(batch)] * len(used), pa.string()), pa.array([_blob(words[b]) for b in used], pa.binary())],
