@@ -58,6 +58,30 @@ def test_copies_do_not_make_lines_frequent(spark):
     assert quality.kept_documents(docs).count() == 400
 
 
+def test_templates_with_one_own_line(spark):
+    """Lines of a template are frequent however many of them a page holds."""
+    rows, sizes = [], (10, 20, 40)
+    for b in sizes:
+        banner = "\n".join(" ".join(f"b{spelled(b)}menu{spelled(a)}item{spelled(c)}" for c in range(10)) for a in range(b))
+        rows += [(1000 * b + i, banner + "\n" + page(1000 * b + i, 10), f"h{b}") for i in range(300)]
+    got = quality.judge(documents(spark, rows)).collect()
+    assert len(got) == 900 and not any(r.base_failed for r in got)
+    assert not any(r.kept for r in got)
+    assert quality.kept_documents(documents(spark, rows)).count() == 0
+
+
+def test_changed_words_do_not_make_lines_frequent(spark):
+    """Near copies that each change another line, in the middle or at an end."""
+    lines = page(3, 400).split("\n")
+    rows = []
+    for i in range(240):
+        words_, new = lines[i % 40].split(), list(lines)
+        words_[(0, 5, 9)[i // 80]] = f"changed{spelled(i)}"
+        new[i % 40] = " ".join(words_)
+        rows.append((i, "\n".join(new), "h"))
+    assert all(r.kept for r in quality.judge(documents(spark, rows)).collect())
+
+
 def test_edges(spark):
     rows = [(1, None, "s"), (2, "", "s"), (3, "\n \n", None), (4, "é # é\né # é", "s"), (None, page(5), "s"), (6, page(6), None),
             (6, page(6), None), (7, "x " * 60, "s"), (8, page(8, 100_000), "s")]
