@@ -1,6 +1,6 @@
 """Line dedup by an edit-distance join over segments, in DataFrame functions only.
 
-Lines are compared without spaces at their ends. A line is removed where an
+Lines are compared trimmed, with A-Z lower-cased. A line is removed where an
 earlier one (by doc_id, then place) is equal, and everywhere if a different
 line that first occurs earlier is within ``EDITS`` edits.
 
@@ -31,6 +31,8 @@ EDITS = 1
 LEAST_LENGTH = 16
 #: Bits of the hash of a half.
 BITS = 31
+BLANKS = " \t\n\x0b\x0c\r"
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def _content(text: Column) -> Column:
@@ -41,9 +43,9 @@ def lines(docs: DataFrame) -> DataFrame:
     """none, doc_id, content, place, line: every line that is not blank, as it
     is compared; (none, doc_id, content, place) orders the occurrences."""
     split = docs.select(F.col("doc_id").isNull().alias("none"), "doc_id", _content(F.col("text")).alias("content"),
-                        F.split("text", "\n").alias("lines"))
+                        F.split(F.translate("text", UPPER, LOWER), "\n").alias("lines"))
     each = split.select("none", "doc_id", "content", F.posexplode("lines").alias("place", "line"))
-    return each.withColumn("line", F.trim("line")).where("line <> ''")
+    return each.withColumn("line", F.btrim("line", F.lit(BLANKS))).where("line <> ''")
 
 
 def hashed(rows: DataFrame) -> DataFrame:
@@ -152,7 +154,7 @@ def line_report(docs: DataFrame, edits: int = EDITS) -> DataFrame:
     """
     docs = docs.select("doc_id", "text")
     gone = removals(docs, edits)
-    full = F.filter(F.split(F.coalesce("text", F.lit("")), "\n"), lambda x: F.trim(x) != "")
+    full = F.filter(F.split(F.coalesce("text", F.lit("")), "\n"), lambda x: F.btrim(x, F.lit(BLANKS)) != "")
     rows = docs.select(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), _content(F.col("text")).alias("content"),
                        F.size(full).cast("long").alias("n_lines"))
     zero = F.lit(0)

@@ -83,3 +83,13 @@ def test_repeated_rows_are_one_document(spark):
     row = (1, "a line that is long enough to be compared\nother", "s")
     docs = documents(spark, [row, row, (2, row[1], "s")])
     assert got(line_dedup.line_report(docs)) == [(1, 2, 0, 0, [])] * 2 + [(2, 2, 2, 0, [0, 1])]
+
+
+def test_lines_are_compared_trimmed_and_lower_cased(spark):
+    long = "A line that is long enough to be compared"
+    rows = [(1, long + "\r\n\r\nshort\r\n\r\n\t\nend"), (2, "\t" + long.upper() + " \t\r\n\r\nSHORT\n \x0b\x0c\nEnd\r"),
+            (3, "É short\n\r\né short")]
+    docs = documents(spark, [(i, t, "s") for i, t in rows])
+    assert got(line_dedup.line_report(docs)) == [(1, 3, 0, 0, []), (2, 3, 3, 0, [0, 2, 4]), (3, 2, 0, 0, [])]
+    texts = {r.doc_id: r.text for r in line_dedup.deduped(docs).collect()}
+    assert texts == {1: rows[0][1], 2: "\r\n \x0b\x0c", 3: rows[2][1]}
