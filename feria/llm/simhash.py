@@ -146,14 +146,14 @@ def pivot_edges(reps: DataFrame, bits: int) -> DataFrame:
 
 
 def components(fps: DataFrame, bits: int) -> DataFrame:
-    """fp, component_id: of each distinct fp in ``fps`` (doc_id, fp), the least
-    doc_id that links reach."""
+    """fp, root, component_id: of each distinct fp in ``fps`` (doc_id, fp), the
+    component's own fingerprint and the least doc_id that links reach."""
     reps = saved(fps.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-reps")
     roots = connected(pivot_edges(reps.select("fp"), bits))
     rooted = reps.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     rooted = saved(rooted, "simhash-roots")
     least = saved(rooted.groupBy("root").agg(F.min("first").alias("component_id")), "simhash-least")
-    return saved(rooted.join(least, "root").select("fp", "component_id"), "simhash-components")
+    return saved(rooted.join(least, "root").select("fp", "root", "component_id"), "simhash-components")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 4, bits: int = 4) -> DataFrame:
@@ -171,15 +171,22 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, bits: int = 4) -> DataFra
 
 
 def one_of_each(docs: DataFrame, shingle: int = 4, bits: int = 4) -> DataFrame:
-    """``docs`` with one row of each component: that of the least doc_id (one
-    of its rows where they repeat it)."""
-    fps = saved(fingerprints(docs.select("doc_id", "text"), shingle), "simhash-fps")
-    kept = components(fps, bits).select(F.col("component_id").alias("kept")).distinct()
-    ids = saved(fps.groupBy(F.col("doc_id").alias("other")).agg(F.count("*").alias("n")), "simhash-ids")
-    gone = saved(ids.join(kept, F.expr("other <=> kept"), "left_anti").select("other"), "simhash-gone")
-    again = saved(ids.where("n > 1").select("other"), "simhash-again")
-    rows = packed(docs, F.col("doc_id").alias("id")).join(small(gone), F.expr("id <=> other"), "left_anti")
+    """``docs`` with one row of each component: that of the least doc_id, null
+    last, then of the least content hash (one of its rows where both repeat)."""
+    content = {"k1": F.xxhash64("text"), "k2": F.xxhash64(F.lit("content"), F.col("text"))}
+    fps = saved(fingerprints(docs.select("doc_id", "text", *[v.alias(k) for k, v in content.items()]), shingle), "simhash-fps")
+    at = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "k1", "k2")
+    least = fps.join(components(fps, bits).select("fp", "root"), "fp").groupBy("root").agg(F.min(at).alias("at"))
+    kept = saved(least.select(F.col("at.doc_id").alias("doc_id"), "at.k1", "at.k2"), "simhash-kept")
+    same = F.expr("id <=> other AND k1 = o1 AND k2 = o2")
+    other = [F.col(c).alias(o) for c, o in (("doc_id", "other"), ("k1", "o1"), ("k2", "o2"))]
+    ids = saved(fps.select(*other).groupBy("other", "o1", "o2").agg(F.count("*").alias("n")), "simhash-ids")
+    found = kept.select(F.col("doc_id").alias("id"), "k1", "k2")
+    gone = saved(ids.join(found, same, "left_anti").drop("n"), "simhash-gone")
+    again = saved(ids.where("n > 1").drop("n"), "simhash-again")
+    keys = {k: F.xxhash64(*x) for k, x in {"k1": (F.col("row.text"),), "k2": (F.lit("content"), F.col("row.text"))}.items()}
+    rows = packed(docs, F.col("doc_id").alias("id")).withColumns(keys).join(small(gone), same, "left_anti")
     again = small(again)
-    once = rows.join(again, F.expr("id <=> other"), "left_anti")
-    first = rows.join(again, F.expr("id <=> other"), "left_semi").dropDuplicates(["id"])
+    once = rows.join(again, same, "left_anti")
+    first = rows.join(again, same, "left_semi").dropDuplicates(["id", "k1", "k2"])
     return once.unionByName(first).select("row.*")

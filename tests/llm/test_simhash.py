@@ -52,6 +52,16 @@ def test_edges(spark):
     assert sorted(r.doc_id for r in kept.collect()) == sorted({c for _, _, c in brute(rows)})
 
 
+def test_shared_and_null_ids_with_different_texts(spark):
+    """One row of each component stays, whatever the ids."""
+    own = {c: " ".join(f"{c}{i}" for i in range(60)) for c in "abcdef"}
+    rows = [(None, own["a"]), (None, own["b"]), (None, own["b"]), (None, own["c"]), (5, own["d"]), (5, own["e"]), (5, own["e"]),
+            (7, own["d"]), (None, own["e"]), (None, None), (8, own["f"]), (9, own["f"])]
+    docs = documents(spark, [(i, t, "s") for i, t in rows])
+    kept = sorted(((r.doc_id, r.text) for r in simhash.one_of_each(docs).collect()), key=str)
+    assert kept == sorted([(None, own["a"]), (None, own["b"]), (None, own["c"]), (5, own["d"]), (5, own["e"]), (None, None), (8, own["f"])], key=str)
+
+
 def test_empty(spark):
     none = documents(spark, [])
     assert simhash.near_duplicates(none).count() == 0
