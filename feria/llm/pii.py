@@ -13,18 +13,23 @@ has its entity's type and form:
 * name after a title: the title, number of names, script and gender kept.
 
 Replacements are checked: none may equal an entity of its type in the corpus or
-the replacement of another one; those that do are drawn again.
+the replacement of another one; those that do are drawn again, and names and
+emails grow. Other forms have a fixed number of values (1000 for ``+1 234``,
+254 * 254 for 192.168.x.y): the entities for which none is found exchange values
+with each other in a keyed order, so that all stay distinct.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from feria.llm.common import packed, saved
 
-#: Draws before it is given up; from LONGER on, an email's local part grows.
+#: Draws before values are exchanged; from LONGER on, names and an email's local part grow.
 DRAWS, LONGER = 64, 8
+#: Entities of one form that exchange values in one task.
+EXCHANGED = 50_000
 
 TITLES = {"f": ("Mrs", "Ms", "Miss", "Frau", "Señora", "Madame", "Г-жа"), "m": ("Mr", "Mister", "Herr", "Señor", "Monsieur", "Г-н")}
 _TITLE = "|".join(sorted((t for ts in TITLES.values() for t in ts), key=len, reverse=True))
@@ -125,7 +130,11 @@ def _drawn(key: str) -> Column:
 
         def word(i: Column) -> Column:
             at = [_value(whole, 4 * i + k, len(SYLLABLES[script])) for k in range(3)]
-            return F.concat(*[F.get(syllables, a) for a in at], F.get(endings, _value(whole, 4 * i + 3, len(ENDINGS[script][gender]))))
+            more = F.filter(F.sequence(F.lit(0), F.floor(draw / LONGER).cast("int")), lambda k: k > 0)
+            grown = _stream(key, F.lit("more"), canon, draw, 64 * (i + 1))
+            more = F.transform(more, lambda k: F.get(syllables, _value(grown, 64 * i + k, len(SYLLABLES[script]))))
+            return F.concat(*[F.get(syllables, a) for a in at], F.when(draw >= LONGER, F.array_join(more, "")).otherwise(F.lit("")),
+                            F.get(endings, _value(whole, 4 * i + 3, len(ENDINGS[script][gender]))))
         return F.array_join(F.transform(F.sequence(F.lit(0), F.size(F.split(canon, " ")) - 1), word), " ")
     out = F.when(kind == "email", email).when(kind == "ip", ip).when(kind == "ssn", digits).when(kind == "card", card).when(kind == "phone", phone)
     for script in SYLLABLES:
@@ -134,30 +143,60 @@ def _drawn(key: str) -> Column:
     return out
 
 
+def _form() -> Column:
+    """What (kind, canon) keeps in its replacement."""
+    kind, canon = F.col("kind"), F.col("canon")
+    valid = _luhn(F.when(kind == "card", canon).otherwise(F.lit("0"))) == 0
+    return (F.when(kind == "phone", F.concat_ws("+", F.substring_index(canon, "+", 1), F.length(F.substring_index(canon, "+", -1))))
+            .when(kind == "ip", F.regexp_extract(canon, r"^(?:10|127|192\.168|172\.(?:1[6-9]|2\d|3[01])|169\.254)\.", 0))
+            .when(kind == "card", F.concat_ws(" ", F.substr(canon, F.lit(1), F.lit(1)), valid)).when(kind == "ssn", F.lit("")))
+
+
+def _exchanged(left: DataFrame, done: DataFrame, key: str) -> DataFrame:
+    """kind, canon, surrogate of ``done`` and of ``left``, whose entities take
+    each other's values; one that is alone in its form exchanges with one done."""
+    digest = F.sha2(F.concat_ws("|", F.lit(key), F.lit("exchange"), "kind", "canon"), 256)
+    left = left.withColumns({"form": _form(), "digest": digest})
+    if left.where("form IS NULL").limit(1).count():
+        raise ValueError(f"some names or emails have no free surrogate after {DRAWS} draws")
+    sizes = left.groupBy("kind", "form").agg(F.count("*").alias("n"))
+    left = saved(left.join(sizes, ["kind", "form"]).withColumn("part", F.pmod(F.xxhash64("digest"), F.ceil(F.col("n") / EXCHANGED))), "pii-exchange")
+    part = Window.partitionBy("kind", "form", "part").orderBy("digest")
+    turned = left.where("n > 1").select("kind", "canon", F.coalesce(F.lead("canon").over(part), F.first("canon").over(part)).alias("surrogate"))
+    alone = left.where("n = 1").select("kind", "form", F.col("canon").alias("lone"))
+    partner = done.withColumns({"form": _form(), "digest": digest}).join(F.broadcast(alone), ["kind", "form"]).groupBy("kind", "form", "lone").agg(
+        F.min(F.struct("digest", "canon", "surrogate")).alias("with"))
+    partner = saved(partner.select("kind", "lone", "with.canon", "with.surrogate"), "pii-partner")
+    out = saved(done.join(partner.select("kind", "canon"), ["kind", "canon"], "left_anti").unionByName(turned)
+                .unionByName(partner.select("kind", F.col("lone").alias("canon"), "surrogate"))
+                .unionByName(partner.select("kind", "canon", F.col("lone").alias("surrogate"))), "pii-exchanged")
+    if alone.count() != partner.count() or out.where("canon = surrogate").limit(1).count():
+        raise ValueError("an entity is alone in its form, and no other value is free")
+    return out
+
+
 def surrogates(entities: DataFrame, key: str) -> DataFrame:
     """kind, canon, surrogate (canonical) of the distinct (kind, canon), no two
-    of one kind with the same, and none an entity of its kind."""
+    of one kind with the same, and none an entity of its kind, but where a form
+    has no more values: see :func:`_exchanged`."""
     entities = saved(entities.select("kind", "canon").distinct(), "pii-entities")
     taken = entities.select("kind", F.col("canon").alias("surrogate"))
-    done, left = [], entities
+    out, left, n = None, entities, None
     for draw in range(DRAWS):
         # Drawing costs far more than its few bytes tell: a partition's share each.
         spread = left.repartition(int(left.sparkSession.conf.get("spark.sql.shuffle.partitions")), "canon")
         drawn = saved(spread.withColumn("draw", F.lit(draw)).withColumn("surrogate", _drawn(key)).drop("draw"), "pii-drawn")
         first = drawn.groupBy("kind", "surrogate").agg(F.min("canon").alias("canon"))
-        good = first.join(taken, ["kind", "surrogate"], "left_anti")
-        for other in done:
-            good = good.join(other, ["kind", "surrogate"], "left_anti")
-        done.append(saved(good.select("kind", "canon", "surrogate"), "pii-surrogates"))
-        left = saved(drawn.select("kind", "canon").join(done[-1], ["kind", "canon"], "left_anti"), "pii-left")
-        if not left.limit(1).count():
+        used = taken if out is None else taken.unionByName(out.select("kind", "surrogate"))
+        good = saved(first.join(used, ["kind", "surrogate"], "left_anti").select("kind", "canon", "surrogate"), "pii-surrogates")
+        out = good if out is None else out.unionByName(good)
+        left = saved(drawn.select("kind", "canon").join(good, ["kind", "canon"], "left_anti"), "pii-left")
+        before, n = n, left.count()
+        if not n:
+            return out
+        if draw > LONGER and n == before:
             break
-    else:
-        raise ValueError(f"some entities have no free surrogate of their form after {DRAWS} draws")
-    out = done[0]
-    for more in done[1:]:
-        out = out.unionByName(more)
-    return out
+    return _exchanged(left, out, key)
 
 
 def _rendered(entity: Column, kind: Column, surrogate: Column) -> Column:

@@ -63,6 +63,25 @@ def test_collisions_are_drawn_again(spark):
     assert len(set(got.values())) == 26 and not set(got.values()) & {t for _, t, _ in rows}
 
 
+def test_forms_without_room_exchange_values(spark):
+    """All 1000 values of a form, 700 of another, and 501 of a third."""
+    have = [f"+{c} {i:03d}" for c, n in ((1, 1000), (2, 700), (3, 501)) for i in range(n)]
+    got = texts(pii.pii_report(documents(spark, [(i, t, "s") for i, t in enumerate(have)]), "key"))
+    assert len(set(got.values())) == len(have) and all(re.fullmatch(r"\+\d \d{3}", t) for t in got.values())
+    assert all(got[i] != t and got[i][:3] == t[:3] for i, t in enumerate(have))
+    assert sum(t not in have for t in got.values()) > 700  # what is free is used: 300 and 499
+
+
+def test_names_grow(spark, monkeypatch):
+    """More names than short ones exist."""
+    monkeypatch.setitem(pii.SYLLABLES, "latin", ["ba", "be"])
+    monkeypatch.setattr(pii, "LONGER", 2)
+    have = [f"Mr X{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(120)]
+    got = texts(pii.pii_report(documents(spark, [(i, t, "s") for i, t in enumerate(have)]), "key"))
+    assert len(set(got.values())) == 120 and not set(got.values()) & set(have)
+    assert all(re.fullmatch(r"Mr (?:B|b)(?:[ae]b)+[ae][nrls]", t) for t in got.values())
+
+
 def test_long_repeated_and_empty(spark):
     row = (1, "call +1 (017) 555-7713 " * 2000, "s")
     got = pii.pii_report(documents(spark, [row, row]), "key").collect()
