@@ -54,11 +54,16 @@ def doc_columns(docs: DataFrame, *names: str) -> DataFrame:
 
 #: A side of at most so many rows, each of a few numbers, is broadcast.
 BROADCAST_ROWS = 500_000
+#: The numbers that the arrays of such a side may hold in all.
+BROADCAST_NUMBERS = 5_000_000
 
 
-def small(df: DataFrame) -> DataFrame:
-    """``df`` with a broadcast hint if it is small; beyond, Spark shuffles."""
-    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
+def small(df: DataFrame, numbers: Column | None = None) -> DataFrame:
+    """``df`` with a broadcast hint if it is small; beyond, Spark shuffles.
+    ``numbers`` is how many a row holds where it has an array."""
+    some = df.select((F.lit(0) if numbers is None else numbers).cast("long").alias("numbers")).limit(BROADCAST_ROWS + 1)
+    rows, held = some.agg(F.count("*"), F.coalesce(F.sum("numbers"), F.lit(0))).first()
+    return F.broadcast(df) if rows <= BROADCAST_ROWS and held <= BROADCAST_NUMBERS else df
 
 
 def lean() -> None:

@@ -171,7 +171,7 @@ def deduped(docs: DataFrame, edits: int = EDITS) -> DataFrame:
     rows = packed(docs, F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), _content(F.col("text")).alias("content"))
     kept = F.filter(F.split("row.text", "\n"), lambda _, i: ~F.array_contains("places", i))
     text = F.when(F.col("places").isNull(), F.col("row.text")).otherwise(F.array_join(kept, "\n"))
-    out = _joined(rows, small(gone)).select("row", "places", text.alias("text"))
+    out = _joined(rows, small(gone, F.size("places"))).select("row", "places", text.alias("text"))
     new = {"text": F.col("text")}
     if "n_chars" in docs.columns:
         new["n_chars"] = F.when(F.col("places").isNull(), F.col("row.n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType))

@@ -1,7 +1,7 @@
 import pytest
 from helpers import clashing, documents, table
 
-from feria.llm import line_dedup
+from feria.llm import common, line_dedup
 
 
 def distance(a, b):
@@ -93,3 +93,14 @@ def test_lines_are_compared_trimmed_and_lower_cased(spark):
     assert got(line_dedup.line_report(docs)) == [(1, 3, 0, 0, []), (2, 3, 3, 0, [0, 2, 4]), (3, 2, 0, 0, [])]
     texts = {r.doc_id: r.text for r in line_dedup.deduped(docs).collect()}
     assert texts == {1: rows[0][1], 2: "\r\n \x0b\x0c", 3: rows[2][1]}
+
+
+def test_few_rows_with_many_places_are_not_broadcast(spark, monkeypatch):
+    """The bound is on the removed lines, not on the documents that lose some."""
+    monkeypatch.setattr(common, "BROADCAST_NUMBERS", 30, raising=False)
+    docs = documents(spark, [(i, "\n".join(["same"] * (20 if i else 1)), "s") for i in range(3)])
+    out = line_dedup.deduped(docs)
+    assert "broadcast" not in out._jdf.queryExecution().logical().toString()
+    assert {r.doc_id: r.text for r in out.collect()} == {0: "same", 1: "", 2: ""}
+    few = line_dedup.deduped(docs.where("doc_id < 2"))
+    assert "broadcast" in few._jdf.queryExecution().logical().toString()
