@@ -167,3 +167,16 @@ def _op7(spark, sf_dir):
 def _op10(spark, sf_dir):
     from feria.llm.pii import pii_report
     return pii_report(table(spark, sf_dir, "documents"), key="feria")
+
+
+# --------------------------------------- 13: SentencePiece encoding and decoding
+def pieces_path() -> str:
+    import public_tokenizers
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
+@query("op13_sentencepiece")
+def _op13(spark, sf_dir):
+    from feria.llm.pieces import encode
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return encode(spark, docs, pieces_path(), digests=True).drop("ids")
