@@ -180,3 +180,10 @@ def _op13(spark, sf_dir):
     from feria.llm.pieces import encode
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return encode(spark, docs, pieces_path(), digests=True).drop("ids")
+
+
+# ----------------------------------------------------- 11: periodic run detection
+@query("op11_periodic_runs")
+def _op11(spark, sf_dir):
+    from feria.llm.periods import planted, run_report
+    return run_report(planted(table(spark, sf_dir, "documents")))
