@@ -187,3 +187,33 @@ def _op13(spark, sf_dir):
 def _op11(spark, sf_dir):
     from feria.llm.periods import planted, run_report
     return run_report(planted(table(spark, sf_dir, "documents")))
+
+
+# ------------------------------------------------ 12: phrase collocation mining
+@query("op12_collocations", r"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang,
+    unnest(string_split_regex(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') AS ws FROM p),
+g AS (
+  SELECT lang, k, unnest(list_transform(range(1, len(ws) - k + 2), lambda i: array_to_string(ws[i:i + k - 1], ' '))) AS phrase
+  FROM w, (VALUES (1), (2), (3), (4), (5)) AS t(k)),
+f AS (SELECT lang, k, phrase, count(*) AS a FROM g GROUP BY ALL),
+n AS (SELECT lang, sum(a) AS n FROM f WHERE k = 1 GROUP BY lang),
+c AS (SELECT * FROM f WHERE k > 1 AND a >= 100),
+t AS (
+  SELECT c.*, j, array_to_string(string_split(phrase, ' ')[1:j], ' ') AS head, array_to_string(string_split(phrase, ' ')[j + 1:], ' ') AS rest
+  FROM c, (VALUES (1), (2), (3), (4)) AS v(j) WHERE j < k),
+s AS (
+  SELECT t.lang, t.phrase, t.k, t.a, j, l.a AS l, r.a AS r, n,
+    (CAST(1000 AS HUGEINT) * t.a * n) // (CAST(l.a AS HUGEINT) * r.a) AS score
+  FROM t JOIN f AS l ON l.lang = t.lang AND l.phrase = head JOIN f AS r ON r.lang = t.lang AND r.phrase = rest JOIN n ON n.lang = t.lang),
+b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+o AS (
+  SELECT * FROM b WHERE NOT EXISTS (
+    SELECT 1 FROM c WHERE c.lang = b.lang AND c.k > b.k AND contains(' ' || c.phrase || ' ', ' ' || b.phrase || ' ') AND 100 * c.a >= 100 * b.a)),
+q AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM o)
+SELECT lang, rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score FROM q WHERE rank <= 2000""")
+def _op12(spark, sf_dir):
+    from feria.llm.collocations import collocations
+    return collocations(table(spark, sf_dir, "documents"))
