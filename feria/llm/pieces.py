@@ -13,9 +13,10 @@ Two tokens are compatible if no symbol at the right edge of the first, at any
 stage of its making, joins to a piece with one at the left edge of the second;
 where some do, their text is encoded by merging, once a pair.
 
-Pieces hold blanks at their start only, so nothing is joined over the boundary
-before a blank: texts are cut there, and a distinct segment is encoded once by
-each task that meets it. Segments of any length are encoded whole.
+Nothing is joined over two letters that are neighbours in no piece, such as a
+letter and a blank after it: texts are cut there, and a distinct segment is
+encoded once by each task that meets it. Segments of any length are encoded
+whole.
 """
 
 from __future__ import annotations
@@ -61,8 +62,8 @@ def read_model(path: str) -> dict:
     bytes_at = [model.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
     if not all(model.is_byte(i) for i in bytes_at):
         raise ValueError("the model has no bytes to fall back on")
-    if any(set(p) - letters or BLANK in p.lstrip(BLANK) for p in tokens):
-        raise ValueError("pieces of letters without a piece, or with a blank inside")
+    if any(set(p) - letters for p in tokens):
+        raise ValueError("pieces of letters without a piece")
     hidden = [model.is_control(i) for i in range(size)]
     digest = hashlib.sha256(model.serialized_model_proto()).hexdigest()
     return {"digest": digest, "tokens": tokens, "names": names, "hidden": hidden, "unknown": model.unk_id(), "bytes": bytes_at,
@@ -99,36 +100,42 @@ class Encoder:
                 self.automaton.add_word(name, (i, len(name)))
                 self.size[i], self.name[i], self.left[i], self.right[i] = len(name), name, left, right
         self.automaton.make_automaton()
+        self.cuts = cut_table(self.tokens)
         self.pairs: dict[tuple[int, int], bool] = {}
         self.segments: dict[str, np.ndarray] = {}
 
     def compatible(self, a: int, b: int) -> bool:
-        known = self.pairs.get((a, b))
-        if known is None:
-            if len(self.pairs) >= KEPT_PAIRS:
-                self.pairs.clear()
-            known = not any(x + y in self.tokens for x in self.right[a] for y in self.left[b])
-            known = known or merge(self.tokens, self.name[a] + self.name[b])[0] == [self.name[a], self.name[b]]
-            self.pairs[a, b] = known
-        return known
+        if len(self.pairs) >= KEPT_PAIRS:
+            self.pairs.clear()
+        fit = not any(x + y in self.tokens for x in self.right[a] for y in self.left[b])
+        fit = fit or merge(self.tokens, self.name[a] + self.name[b])[0] == [self.name[a], self.name[b]]
+        self.pairs[a, b] = fit
+        return fit
 
     def encode(self, text: str) -> list[int]:
-        last = [0] * (len(text) + 1)  # 0: a letter without a piece, joined to nothing
-        compatible = self.compatible
+        # By place; 0 is a letter without a piece, joined to nothing, and so is
+        # the place more at the end, which is looked up before the first letter.
+        last = [0] * (len(text) + 1)
+        pairs = self.pairs
         for end, (token, size) in self.automaton.iter(text):
-            if not last[end + 1]:
-                before = last[end + 1 - size] if size <= end else 0
-                if not before or compatible(before, token):
-                    last[end + 1] = token
-        ids, at = [], len(text)
-        while at:
+            if not last[end]:
+                if before := last[end - size]:
+                    fit = pairs.get((before, token))
+                    if fit is None:
+                        fit = self.compatible(before, token)
+                    if not fit:
+                        continue
+                last[end] = token
+        ids, at = [], len(text) - 1
+        while at >= 0:
             if token := last[at]:
                 ids.append(token)
                 at -= self.size[token]
             else:
-                at -= 1
                 ids.extend(self.bytes[b] for b in reversed(text[at].encode()))
-        return ids[::-1]
+                at -= 1
+        ids.reverse()
+        return ids
 
     def segment(self, text: str) -> np.ndarray:
         ids = self.segments.get(text)
@@ -139,16 +146,26 @@ class Encoder:
         return ids
 
 
-def segments(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
+def cut_table(tokens: dict[str, tuple[float, int]]) -> np.ndarray:
+    """Whether a text is cut between two bytes, at 256 times the first plus the
+    second: where a letter starts and no piece has the bytes side by side."""
+    table = np.ones((256, 256), bool)
+    table[:, 0x80:0xC0] = False
+    for piece in tokens:
+        held = np.frombuffer(piece.replace(BLANK, " ").encode(), np.uint8)
+        table[held[:-1], held[1:]] = False
+    return table.ravel()
+
+
+def segments(texts: pa.Array, cut: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[str]]:
     """Where the segments of each text end among all (a zero first), which
-    segment each is, and the distinct ones. A segment starts at a run of blanks."""
+    segment each is, and the distinct ones."""
     texts = pc.replace_substring(texts.fill_null(""), BLANK, " ")
     texts = pc.if_else(pc.equal(texts, ""), "", pc.binary_join_element_wise(" ", texts, ""))
     ends = np.concatenate([[0], np.cumsum(pc.binary_length(texts).to_numpy())])
     data = np.frombuffer(b"".join(t.as_buffer() for t in texts), np.uint8)
-    blank = data == 32
-    starts = blank.copy()
-    starts[1:] &= ~blank[:-1]
+    starts = np.ones(len(data), bool)
+    starts[1:] = cut[(data[:-1].astype(np.uint16) << 8) | data[1:]]
     starts[ends[:-1][np.diff(ends) > 0]] = True
     cuts = np.append(np.flatnonzero(starts), len(data)).astype(np.int32)
     each = pa.StringArray.from_buffers(len(cuts) - 1, pa.py_buffer(cuts), pa.py_buffer(data))
@@ -159,7 +176,7 @@ def segments(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
 
 def token_lists(model: Encoder, texts: pa.Array, begin: int, end: int) -> pa.ListArray:
     """The ids of each text, between ``begin`` and ``end``."""
-    ends, codes, distinct = segments(texts)
+    ends, codes, distinct = segments(texts, model.cuts)
     ids = [model.segment(s) for s in distinct] + [np.array([i], np.int32) for i in (begin, end)]
     lengths = np.fromiter(map(len, ids), np.int64, len(ids))
     flat = np.concatenate(ids)
