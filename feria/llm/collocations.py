@@ -12,8 +12,9 @@ The stripes are made from the shortest prefix on. A phrase is only counted where
 the two phrases it has without its last and its first word are frequent. Those
 sets go to the tasks as bits of their hashes, at most ``MAX_BITS``: another
 phrase on the same bit is counted in vain, and none is missed. Counts are exact
-whatever the bits. A stripe's entries are shuffled by prefix and next word, so
-one of a very frequent prefix is spread over many tasks.
+whatever the bits. The stripes themselves are shuffled. Those of a prefix with
+more than one in ``HEAVY`` of all words, fewer than ``HEAVY`` of them, are cut by
+next word into ``SLOTS`` parts first, so that no task merges a whole one.
 """
 
 from __future__ import annotations
@@ -41,10 +42,12 @@ BITS_EACH, MAX_BITS = 16, 1 << 30
 CHUNK_BYTES = 16 << 20
 #: Parts that a language's ranking is cut into before the last one.
 PARTS = 64
+#: A prefix is heavy from this part of all words on; and the parts of its stripe.
+HEAVY, SLOTS = 1000, 256
 
 CLASSES = byte_classes(b" \t", b".,;:!?\n\x0b\x0c\r")
 MIX = np.uint64(0x9E3779B97F4A7C15)
-STRIPE = "lang string, prefix string, next array<string>, n array<long>"
+STRIPE = "lang string, prefix string, slot int, next string, n array<int>"
 #: The bits that a row of Spark's bitmap functions holds.
 ROW_BITS = 32768
 
@@ -63,22 +66,23 @@ def _bit(key: np.ndarray, bits: int) -> np.ndarray:
     return ((key * MIX) >> np.uint64(65 - bits.bit_length())).astype(np.int64)
 
 
-def stripes(texts: pa.Array, langs: pa.Array, size: int, frequent: np.ndarray | None, bits: int) -> pa.RecordBatch:
-    """The stripes of the prefixes of ``size`` - 1 words in ``texts``;
-    ``frequent``: bits of the phrases of that length."""
+def stripes(texts: pa.Array, langs: pa.Array, size: int, known: tuple[np.ndarray, int, np.ndarray] | None) -> pa.RecordBatch:
+    """The stripes of the prefixes of ``size`` - 1 words in ``texts``, next words
+    joined by a blank. ``known``: the bits of the frequent phrases of that
+    length, how many bits, and the hashes of the heavy ones."""
     words = split(texts, CLASSES, lower=True)
     coded = langs.dictionary_encode()
     lang = np.repeat(coded.indices.to_numpy(), np.diff(words.ends)).astype(np.int64)
     codes, n = words.codes.astype(np.int64), len(words.codes)
     at = np.flatnonzero(words.piece[: max(0, n - size + 1)] == words.piece[size - 1:])
-    if frequent is not None:
-        hashed = _hashes(words.distinct.to_pylist())[codes]
-        key = _hashes([x.encode() for x in coded.dictionary.to_pylist()])[lang]
+    hashed = _hashes(words.distinct.to_pylist())
+    if known is not None:
+        frequent, bits, heavy = known
         ends = max(0, n - size + 2)
-        key = key[:ends]
+        hash_at = _hashes([x.encode() for x in coded.dictionary.to_pylist()])[lang[:ends]]
         for i in range(size - 1):
-            key = _fold(key, hashed[i: i + ends])
-        bit = _bit(key, bits)
+            hash_at = _fold(hash_at, hashed[codes[i: i + ends]])
+        bit = _bit(hash_at, bits)
         alive = (frequent[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1
         at = at[(alive[at] & alive[at + 1]).astype(bool)]
     many = max(1, len(words.distinct))
@@ -86,54 +90,76 @@ def stripes(texts: pa.Array, langs: pa.Array, size: int, frequent: np.ndarray |
     for i in range(size):  # numbered anew at each word, so that the key fits
         key = np.unique(key, return_inverse=True)[1] * many + codes[at + i]
     phrases, first, counts = np.unique(key, return_index=True, return_counts=True)
-    starts = np.flatnonzero(np.diff(phrases // many, prepend=-1))
+    following = phrases % many
+    prefix = np.cumsum(np.diff(phrases // many, prepend=-1) > 0) - 1
+    wide = np.ones(len(phrases), bool) if known is None else np.isin(hash_at[at[first]], heavy)
+    slot = np.where(wide, (hashed[following] % np.uint64(SLOTS)).astype(np.int64), 0)
+    order = np.argsort(prefix * SLOTS + slot, kind="stable")
+    prefix, slot, following, first, counts = prefix[order], slot[order], following[order], first[order], counts[order]
+    starts = np.flatnonzero((np.diff(prefix, prepend=-1) != 0) | (np.diff(slot, prepend=-1) != 0))
     begin = at[first[starts]]
-    prefix = words.distinct.take(pa.array(codes[(begin[:, None] + np.arange(size - 1)).ravel()], pa.int64()))
-    prefix = pc.binary_join(pa.ListArray.from_arrays(pa.array(np.arange(len(begin) + 1) * (size - 1), pa.int32()), prefix), pa.scalar(b" ", pa.binary()))
-    cuts = pa.array(np.append(starts, len(phrases)), pa.int32())
-    following = words.distinct.take(pa.array(phrases % many)).cast(pa.string())
+
+    def joined(each: np.ndarray, cuts: np.ndarray) -> pa.Array:
+        lists = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), words.distinct.take(pa.array(each, pa.int64())))
+        return pc.binary_join(lists, pa.scalar(b" ", pa.binary())).cast(pa.string())
+
+    cuts = np.append(starts, len(phrases))
+    before = codes[(begin[:, None] + np.arange(size - 1)).ravel()]
     return pa.RecordBatch.from_arrays(
-        [coded.dictionary.take(pa.array(lang[begin])).cast(pa.string()), prefix.cast(pa.string()),
-         pa.ListArray.from_arrays(cuts, following), pa.ListArray.from_arrays(cuts, pa.array(counts, pa.int64()))],
-        ["lang", "prefix", "next", "n"])
+        [coded.dictionary.take(pa.array(lang[begin])).cast(pa.string()), joined(before, np.arange(len(begin) + 1) * (size - 1)),
+         pa.array(slot[starts], pa.int32()), joined(following, cuts),
+         pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(counts, pa.int32()))],
+        ["lang", "prefix", "slot", "next", "n"])
 
 
-def merged(docs: DataFrame, size: int, broadcast=None, bits: int = 0) -> DataFrame:
+def merged(docs: DataFrame, size: int, known=None) -> DataFrame:
     """lang, prefix, next, n: the merged stripes of (lang, text), entry by entry."""
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        frequent = None if broadcast is None else np.frombuffer(broadcast.value, np.uint8)
+        told = known and known.value
+        told = told and (np.frombuffer(told[0], np.uint8), told[1], np.array(told[2], np.uint64))
         for batch in chunks(batches, "text", CHUNK_BYTES):
-            yield stripes(batch.column("text"), batch.column("lang"), size, frequent, bits)
+            yield stripes(batch.column("text"), batch.column("lang"), size, told)
 
-    entries = docs.mapInArrow(make, STRIPE).select("lang", "prefix", F.inline(F.arrays_zip("next", "n")))
-    return entries.groupBy("lang", "prefix", "next").agg(F.sum("n").alias("n"))
+    dealt = docs.mapInArrow(make, STRIPE).repartition("lang", "prefix", "slot")
+    entries = dealt.select("lang", "prefix", "slot", F.inline(F.arrays_zip(F.split("next", " ").alias("next"), "n")))
+    return entries.groupBy("lang", "prefix", "slot", "next").agg(F.sum("n").alias("n")).drop("slot")
 
 
 def _phrase() -> Column:
     return F.when(F.col("prefix") == "", F.col("next")).otherwise(F.concat_ws(" ", "prefix", "next"))
 
 
-def _bits(phrases: DataFrame, count: int) -> tuple[bytes, int]:
-    """The bits of the hashes of ``phrases`` (lang, phrase), and how many bits."""
+def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The hash of each row's phrase; a batch holds phrases of one length."""
+    for batch in batches:
+        lists = pc.split_pattern(batch.column("phrase").cast(pa.binary()), b" ")
+        sizes = lists.value_lengths().to_numpy()
+        key = _hashes([x.encode() for x in batch.column("lang").to_pylist()])
+        if len(key):
+            word = _hashes(lists.flatten().to_pylist()).reshape(len(key), sizes[0])
+            for i in range(sizes[0]):
+                key = _fold(key, word[:, i])
+        yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), batch.column("a")], ["key", "a"])
+
+
+def _known(phrases: DataFrame, totals: DataFrame, count: int) -> tuple[bytes, int, list[int]]:
+    """Of the ``count`` frequent ``phrases`` of one length: the bits of their
+    hashes, how many bits, and the hashes of the heavy ones."""
     bits = min(MAX_BITS, max(ROW_BITS, 1 << (BITS_EACH * count - 1).bit_length()))
+    hashed = saved(phrases.select("lang", "phrase", "a").mapInArrow(_hashed, "key long, a long"), "phrases-hashes")
 
     def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lists = pc.split_pattern(batch.column("phrase").cast(pa.binary()), b" ")
-            sizes = lists.value_lengths().to_numpy()
-            key = _hashes([x.encode() for x in batch.column("lang").to_pylist()])
-            if len(key):
-                word = _hashes(lists.flatten().to_pylist()).reshape(len(key), sizes[0])  # all of one length
-                for i in range(sizes[0]):
-                    key = _fold(key, word[:, i])
-            bit = _bit(key, bits)
+            bit = _bit(batch.column("key").to_numpy().view(np.uint64), bits)
             yield pa.RecordBatch.from_arrays([pa.array(bit // ROW_BITS), pa.array(bit % ROW_BITS)], ["row", "bit"])
 
-    rows = phrases.select("lang", "phrase").mapInArrow(places, "row long, bit long").groupBy("row").agg(F.bitmap_construct_agg("bit").alias("held"))
+    rows = hashed.mapInArrow(places, "row long, bit long").groupBy("row").agg(F.bitmap_construct_agg("bit").alias("held"))
     out = bytearray(bits // 8)
     for r in rows.toLocalIterator():
         out[r.row * ROW_BITS // 8: (r.row + 1) * ROW_BITS // 8] = r.held
-    return bytes(out), bits
+    whole = totals.agg(F.sum("n")).first()[0] or 0
+    heavy = hashed.where(F.col("a") > whole // HEAVY).select("key").collect()  # at most HEAVY, as whole counts each once
+    return bytes(out), bits, [r.key & (1 << 64) - 1 for r in heavy]
 
 
 def phrase_counts(docs: DataFrame, words: int = WORDS, least: int = LEAST) -> tuple[DataFrame, DataFrame]:
@@ -142,18 +168,17 @@ def phrase_counts(docs: DataFrame, words: int = WORDS, least: int = LEAST) -> tu
     spark = docs.sparkSession
     light = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), "text")
     single = saved(merged(light, 1), "phrases-words")
-    totals = single.groupBy("lang").agg(F.sum("n").alias("n"))
+    totals = saved(single.groupBy("lang").agg(F.sum("n").alias("n")), "phrases-totals")
     found, held = [], None
     for size in range(1, words + 1):
         if size > 1:
-            raw, bits = _bits(found[-1], held)
-            broadcast = spark.sparkContext.broadcast(raw)
-            single = merged(light, size, broadcast, bits)
+            known = spark.sparkContext.broadcast(_known(found[-1], totals, held))
+            single = merged(light, size, known)
         kept = single.where(F.col("n") >= least).select("lang", _phrase().alias("phrase"), F.lit(size).alias("words"), F.col("n").alias("a"))
         found.append(saved(kept, f"phrases-{size}"))
         held = found[-1].count()
         if size > 1:
-            broadcast.destroy()
+            known.destroy()
         if not held:
             break
     out = found[0]

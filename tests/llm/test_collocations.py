@@ -50,6 +50,8 @@ def test_bits_lose_nothing(spark, monkeypatch):
     monkeypatch.setattr(C, "MAX_BITS", C.ROW_BITS)
     monkeypatch.setattr(C, "BITS_EACH", 1)
     monkeypatch.setattr(C, "CHUNK_BYTES", 5000)
+    monkeypatch.setattr(C, "HEAVY", 100_000)
+    monkeypatch.setattr(C, "SLOTS", 3)
     docs = table(spark, "documents")
     rows = [(r.lang, r.text) for r in docs.collect()]
     assert got(C.collocations(docs, words=4, least=5, share=60, top=50)) == brute(rows, words=4, least=5, share=60, top=50)
