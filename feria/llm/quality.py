@@ -6,12 +6,9 @@ Lines in more than ``LINE_DOCS`` and more than ``LINE_SHARE`` of the host's
 distinct documents count as boilerplate and are removed; a document left with
 less than ``KEEP_SHARE`` of its words is rejected.
 
-Documents are told apart by their content, so that copies of a page do not make
-its lines boilerplate: exact copies count once. Every content with a line of its
-own counts for all its lines, however many it shares. A line is nobody's own if
-it is frequent by the count of all contents, or if its first or last ``END``
-words are, as in a line that a near copy changed; contents without an own line
-count once for each least other frequent line they hold.
+Documents are told apart by their content: exact copies of a page on one host
+count once. Near copies are documents of their own; telling them is left to the
+near-duplicate operators.
 """
 
 from __future__ import annotations
@@ -33,8 +30,8 @@ MAX_REPEAT_PERCENT = 50
 LINE_DOCS = 20
 LINE_SHARE = 0.1
 KEEP_SHARE = 0.3
-#: Words at a line's start, and at its end, that tell a changed line.
-END = 3
+#: Parts that the lines of one (host, line) are dealt to.
+SALTS = 32
 #: Rows that a task measures at one time.
 ROWS = 1000
 
@@ -63,28 +60,25 @@ def repeat_words(words: list[bytes], window: int = 3) -> int:
 
 def measures(text: bytes) -> tuple:
     """n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, and of each
-    line with a word the normalised hash, the number of words, and the hashes of
-    its first and last words."""
+    line with a word the normalised hash and the number of words."""
     words = text.split()
-    seen, again, hashes, sizes, heads, tails = set(), 0, [], [], [], []
+    seen, again, hashes, sizes = set(), 0, [], []
     for line in text.split(b"\n"):
         if inside := line.split():
             again += line in seen
             seen.add(line)
             hashes.append(xxhash.xxh64_intdigest(b" ".join(inside).translate(PLAIN)) - (1 << 63))
             sizes.append(len(inside))
-            heads.append(xxhash.xxh64_intdigest(b" ".join(inside[:END]).translate(PLAIN), seed=1) - (1 << 63))
-            tails.append(xxhash.xxh64_intdigest(b" ".join(inside[-END:]).translate(PLAIN), seed=2) - (1 << 63))
     return (len(words), len(text.translate(None, BLANKS + CONTINUATION)), len(text) - len(text.translate(None, SYMBOLS)),
-            again, repeat_words(words), hashes, sizes, heads, tails)
+            again, repeat_words(words), hashes, sizes)
 
 
 MEASURES = ("n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long,"
-            " lines array<long>, sizes array<int>, heads array<long>, tails array<long>")
+            " lines array<long>, sizes array<int>")
 
 
 def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    kinds = [*[pa.int64()] * 5, pa.list_(pa.int64()), pa.list_(pa.int32()), *[pa.list_(pa.int64())] * 2]
+    kinds = [*[pa.int64()] * 5, pa.list_(pa.int64()), pa.list_(pa.int32())]
     for batch in itertools.chain.from_iterable((b.slice(at, ROWS) for at in range(0, b.num_rows, ROWS)) for b in batches):
         lean()
         rows = [measures(t.as_py() or b"") for t in batch.column("text").cast(pa.binary())]
@@ -110,44 +104,24 @@ def _measured(docs: DataFrame) -> DataFrame:
     return saved(light.mapInArrow(_measure, f"{schema}, {MEASURES}"), "quality-docs")
 
 
-def _often(seen: DataFrame, host_docs: DataFrame) -> DataFrame:
-    """The rows of ``seen`` (host, seen, ...) that reach both limits."""
-    return seen.where(F.col("seen") > LINE_DOCS).join(host_docs, "host").where(F.col("seen") > LINE_SHARE * F.col("docs")).drop("seen", "docs")
-
-
 def frequent_lines(contents: DataFrame) -> DataFrame:
     """host, line of the lines frequent on their host, of the distinct
-    ``contents`` (host, k1, k2, lines, heads, tails)."""
-    key = ["host", "k1", "k2"]
-    host_docs = contents.groupBy("host").agg(F.count("*").alias("docs"))
-    lines = contents.select(*key, F.explode(F.array_distinct("lines")).alias("line"))
-    shared = saved(_often(lines.groupBy("host", "line").agg(F.count("*").alias("seen")), host_docs), "quality-shared")
-    held = saved(lines.join(shared, ["host", "line"], "left_semi").groupBy(*key).agg(F.collect_list("line").alias("shared")), "quality-held")
-    # Contents with a line of their own, of those that hold a shared one.
-    holders = contents.join(held, key)
-    ends = holders.select("host", F.explode(F.array_distinct(F.concat("heads", "tails"))).alias("end"))
-    ends = saved(_often(ends.groupBy("host", "end").agg(F.count("*").alias("seen")), host_docs), "quality-ends")
-    rest = holders.select(*key, "shared", F.explode(F.arrays_zip("lines", "heads", "tails")).alias("at")).where(~F.array_contains("shared", F.col("at.lines")))
-    rest = rest.select(*key, F.col("at.heads").alias("head"), F.col("at.tails").alias("tail"))
-    for end in ("head", "tail"):
-        rest = rest.join(ends.withColumnRenamed("end", end), ["host", end], "left_anti")
-    own = saved(rest.select(*key).distinct().withColumn("own", F.lit(True)), "quality-own")
-    least = F.slice(F.array_sort("shared"), 1, 2)
-    told = held.join(own, key, "left").select(*key, "own", least.alias("two"), F.explode("shared").alias("line"))
-    other = F.when(F.get("two", F.lit(0)) != F.col("line"), F.get("two", F.lit(0))).otherwise(F.get("two", F.lit(1)))
-    seen = told.select("host", "line", "own", F.when(F.col("own"), F.col("k1")).otherwise(other).alias("a"), F.when(F.col("own"), F.col("k2")).alias("b"))
-    seen = seen.distinct().groupBy("host", "line").agg(F.count("*").alias("seen"))
-    return saved(_often(seen, host_docs), "quality-lines")
+    ``contents`` (host, k1, k2, lines)."""
+    docs = contents.groupBy("host").agg(F.count("*").alias("docs"))
+    seen = contents.select("host", F.explode(F.array_distinct("lines")).alias("line")).groupBy("host", "line").agg(F.count("*").alias("seen"))
+    often = seen.where(F.col("seen") > LINE_DOCS).join(docs, "host").where(F.col("seen") > LINE_SHARE * F.col("docs"))
+    return saved(often.select("host", "line"), "quality-lines")
 
 
 def depleted(measured: DataFrame) -> DataFrame:
     """host, k1, k2 of the contents that lose too much with the frequent lines."""
-    contents = saved(measured.groupBy("host", "k1", "k2").agg(
-        *[F.first(c).alias(c) for c in ("n_words", "lines", "sizes", "heads", "tails")]), "quality-contents")
-    frequent = frequent_lines(contents)
+    contents = saved(measured.groupBy("host", "k1", "k2").agg(*[F.first(c).alias(c) for c in ("n_words", "lines", "sizes")]), "quality-contents")
+    # A line that most pages of a large host share is one key: salted on both sides.
+    frequent = frequent_lines(contents).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     each = contents.select("host", "k1", "k2", "n_words", F.explode(F.arrays_zip("lines", "sizes")).alias("at"))
-    each = each.select("host", "k1", "k2", "n_words", F.col("at.lines").alias("line"), F.col("at.sizes").alias("size"))
-    lost = each.join(frequent, ["host", "line"], "left_semi").groupBy("host", "k1", "k2").agg(
+    each = each.select("host", "k1", "k2", "n_words", F.col("at.lines").alias("line"), F.col("at.sizes").alias("size"),
+                       F.pmod("k1", F.lit(SALTS)).cast("int").alias("salt"))
+    lost = each.join(frequent, ["host", "line", "salt"], "left_semi").groupBy("host", "k1", "k2").agg(
         F.first("n_words").alias("n_words"), F.sum("size").alias("lost"))
     left = F.col("n_words") - F.col("lost")
     return saved(lost.where(left < KEEP_SHARE * F.col("n_words")).select("host", "k1", "k2", "lost"), "quality-depleted")
@@ -162,13 +136,14 @@ def judge(docs: DataFrame) -> DataFrame:
     """
     measured = _measured(docs)
     lost = depleted(measured)
-    judged = measured.drop("lines", "sizes", "heads", "tails").join(lost, ["host", "k1", "k2"], "left").withColumn("base_failed", _base_failed())
+    judged = measured.drop("lines", "sizes").join(lost, ["host", "k1", "k2"], "left").withColumn("base_failed", _base_failed())
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
                          (~F.col("base_failed") & F.col("lost").isNull()).alias("kept"))
 
 
 def kept_documents(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that :func:`judge` keeps, unchanged."""
+    """The rows of ``docs`` that :func:`judge` keeps, unchanged, with all their
+    columns; nulls, empty texts, repeated rows and empty tables as there."""
     measured = _measured(docs)
     rejected = measured.where(_base_failed() & (F.col("n_words") >= MIN_WORDS)).select("host", "k1", "k2").union(
         depleted(measured).drop("lost"))
