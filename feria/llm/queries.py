@@ -71,7 +71,31 @@ def _op1(spark, sf_dir):
 
 
 # ------------------------------------------------------------ 2: quality rules
-@query("op2_quality")
+@query("op2_quality", r"""
+WITH d AS (SELECT row_number() OVER () AS id, doc_id, CASE WHEN source IS NULL THEN '' ELSE '=' || source END AS host, coalesce(text, '') AS text FROM documents),
+w AS (
+  SELECT *, list_filter(string_split_regex(text, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws,
+    list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls FROM d),
+t AS (
+  SELECT id, unnest(range(1, len(ws) - 1)) AS i, unnest(list_transform(range(1, len(ws) - 1), lambda i: ws[i:i + 2])) AS three FROM w),
+r AS (SELECT id, i FROM t QUALIFY count(*) OVER (PARTITION BY id, three) > 1),
+p AS (SELECT id, count(DISTINCT i + k) AS n_repeat FROM r, (VALUES (0), (1), (2)) AS v(k) GROUP BY id),
+b AS (
+  SELECT w.*, len(ws) AS n_words, length(array_to_string(ws, '')) AS word_chars, length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+    len(ls) - len(list_distinct(ls)) AS n_dup_lines, coalesce(n_repeat, 0) AS n_repeat_words FROM w LEFT JOIN p USING (id)),
+c AS (SELECT host, text, any_value(n_words) AS n, any_value(ls) AS ls FROM b GROUP BY host, text),
+h AS (SELECT host, count(*) AS docs FROM c GROUP BY host),
+l AS (
+  SELECT host, text, n, list_filter(string_split_regex(translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ123456789', 'abcdefghijklmnopqrstuvwxyz000000000'), '[\x20\x09-\x0D]+'),
+    lambda x: x <> '') AS line FROM (SELECT host, text, n, unnest(ls) AS raw FROM c)),
+f AS (
+  SELECT host, line FROM (SELECT host, line, count(DISTINCT text) AS seen FROM l GROUP BY host, line) JOIN h USING (host)
+  WHERE seen > 20 AND seen > CAST(0.1 AS DOUBLE) * docs),
+x AS (
+  SELECT host, text FROM l JOIN f USING (host, line) GROUP BY host, text HAVING any_value(n) - sum(len(line)) < CAST(0.3 AS DOUBLE) * any_value(n))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+  NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND x.text IS NULL AS kept
+FROM b LEFT JOIN x ON x.host = b.host AND x.text = b.text""")
 def _op2(spark, sf_dir):
     from feria.llm.quality import judge
     return judge(table(spark, sf_dir, "documents"))
@@ -144,7 +168,8 @@ def _op8(spark, sf_dir):
 @query("op7_line_dedup", r"""
 WITH d AS (SELECT doc_id, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS place, unnest(string_split(text, chr(10))) AS raw FROM documents),
 l AS (
-  SELECT doc_id, place, trim(raw, ' ') AS line FROM d),
+  SELECT doc_id, place, translate(regexp_replace(raw, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS line FROM d),
 o AS (SELECT *, row_number() OVER (PARTITION BY line ORDER BY doc_id, place) AS nth FROM l WHERE line <> ''),
 f AS (SELECT line, doc_id, place, length(line) AS n FROM o WHERE nth = 1 AND length(line) >= 16),
 near AS (
