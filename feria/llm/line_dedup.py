@@ -32,6 +32,8 @@ LEAST_LENGTH = 16
 #: Bits of the hash of a half.
 BITS = 31
 BLANKS = " \t\n\x0b\x0c\r"
+#: Where a line stands: the order of occurrences.
+AT = ["none", "doc_id", "content", "place"]
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -39,13 +41,19 @@ def _content(text: Column) -> Column:
     return F.xxhash64(text)
 
 
+def _plain(line: Column) -> Column:
+    """A line as it is compared. ``translate`` looks every letter up, so ASCII
+    lines, where it is the same, are lower-cased at once."""
+    low = F.when(F.length(line) == F.octet_length(line), F.lower(line)).otherwise(F.translate(line, UPPER, LOWER))
+    return F.btrim(low, F.lit(BLANKS))
+
+
 def lines(docs: DataFrame) -> DataFrame:
     """none, doc_id, content, place, line: every line that is not blank, as it
     is compared; (none, doc_id, content, place) orders the occurrences."""
-    split = docs.select(F.col("doc_id").isNull().alias("none"), "doc_id", _content(F.col("text")).alias("content"),
-                        F.split(F.translate("text", UPPER, LOWER), "\n").alias("lines"))
-    each = split.select("none", "doc_id", "content", F.posexplode("lines").alias("place", "line"))
-    return each.withColumn("line", F.btrim("line", F.lit(BLANKS))).where("line <> ''")
+    each = docs.select(F.col("doc_id").isNull().alias("none"), "doc_id", _content(F.col("text")).alias("content"),
+                       F.posexplode(F.split("text", "\n")).alias("place", "line"))
+    return each.withColumn("line", _plain(F.col("line"))).where("line <> ''")
 
 
 def hashed(rows: DataFrame) -> DataFrame:
@@ -93,11 +101,11 @@ def _entries(edits: int) -> list[tuple[Column, Column, bool]]:
     return out
 
 
-def near_lines(docs: DataFrame, each: DataFrame, edits: int, least: int) -> DataFrame:
-    """h1 of the lines that a different earlier line is within ``edits`` of;
-    ``each`` has the entries of all lines (k0, c0, ...)."""
+def near_lines(each: DataFrame, edits: int, least: int) -> DataFrame:
+    """h1, h2 of the lines that a different line that occurs earlier is within
+    ``edits`` of; ``each`` has all lines with their entries (k0, c0, ...)."""
     kinds = [index for _, _, index in _entries(edits)]
-    distinct = each.where(F.col("length") >= least).groupBy("h1").agg(
+    distinct = each.where(F.length("line") >= least).groupBy("h1").agg(
         *[F.max(f"{c}{i}").alias(f"{c}{i}") for i in range(len(kinds)) for c in "kc"])
     entries = distinct.select("h1", F.explode(F.array(*[
         F.struct(F.col(f"k{i}").alias("key"), F.col(f"c{i}").alias("check"), F.lit(index).alias("index")) for i, index in enumerate(kinds)])).alias("e"))
@@ -106,31 +114,30 @@ def near_lines(docs: DataFrame, each: DataFrame, edits: int, least: int) -> Data
     met = index.join(probe, (F.col("key") == F.col("key2")) & (F.col("a") != F.col("b")) & _near(F.col("ca"), F.col("cb")))
     pairs = saved(met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "lines-pairs")
     asked = saved(pairs.select(F.explode(F.array("a", "b")).alias("h1")).distinct(), "lines-asked")
-    at = F.struct("none", "doc_id", "content", "place")
-    told = hashed(lines(docs)).join(small(asked), "h1", "left_semi").groupBy("h1").agg(F.min(at).alias("first"), F.first("line").alias("line"))
+    # Two lines of one h1 are two rows here, each checked by its own text.
+    told = each.join(small(asked), "h1", "left_semi").groupBy("h1", "h2").agg(F.min(F.struct(*AT)).alias("first"), F.first("line").alias("line"))
     told = saved(told, "lines-told")
 
     def side(name: str) -> DataFrame:
-        return told.select(F.col("h1").alias(name), F.col("first").alias(f"first_{name}"), F.col("line").alias(f"line_{name}"))
+        return told.select(F.col("h1").alias(name), F.struct("h1", "h2").alias(f"key_{name}"), F.col("first").alias(f"first_{name}"), F.col("line").alias(f"line_{name}"))
 
     both = pairs.join(side("a"), "a").join(side("b"), "b").where(F.levenshtein("line_a", "line_b", edits) >= 0)
-    later = F.when(F.col("first_a") > F.col("first_b"), F.col("a")).otherwise(F.col("b"))
-    return saved(both.select(later.alias("h1")).distinct(), "lines-near")
+    later = F.when(F.col("first_a") > F.col("first_b"), F.col("key_a")).otherwise(F.col("key_b"))
+    return saved(both.select(later.alias("later")).select("later.*").distinct(), "lines-near")
 
 
 def removals(docs: DataFrame, edits: int = EDITS, least: int = LEAST_LENGTH) -> DataFrame:
     """Of each document (none, doc_id, content) of ``docs`` that loses lines:
     exact and near (how many) and places (which, from 0)."""
-    entries = _entries(edits)
-    each = hashed(lines(docs)).withColumn("length", F.length("line"))
-    each = each.withColumns({f"{c}{i}": F.when(F.col("length") >= least, e[n]) for i, e in enumerate(entries) for n, c in enumerate("kc")})
-    each = saved(each.drop("line"), "lines-each")
-    at = F.struct("none", "doc_id", "content", "place")
-    near = near_lines(docs, each, edits, least).withColumn("near", F.lit(True))
-    each = each.select("none", "doc_id", "content", "place", "h1", "h2")
-    firsts = each.groupBy("h1", "h2").agg(F.min(at).alias("first"), F.count("*").alias("n"))
-    marks = saved(firsts.join(near, "h1", "left").where("n > 1 OR near").select("h1", "h2", "first", F.coalesce("near", F.lit(False)).alias("near")), "lines-marks")
-    later = at != F.col("first")
+    each = hashed(lines(docs))
+    each = each.withColumns({f"{c}{i}": F.when(F.length("line") >= least, e[n]) for i, e in enumerate(_entries(edits)) for n, c in enumerate("kc")})
+    each = saved(each, "lines-each")
+    near = near_lines(each, edits, least).withColumn("near", F.lit(True))
+    each = each.select(*AT, "h1", "h2")
+    firsts = each.groupBy("h1", "h2").agg(F.min(F.struct(*AT)).alias("first"), F.count("*").alias("n"))
+    marks = firsts.join(near, ["h1", "h2"], "left").where("n > 1 OR near")
+    marks = saved(marks.select("h1", "h2", "first", F.coalesce("near", F.lit(False)).alias("near")), "lines-marks")
+    later = F.struct(*AT) != F.col("first")
     gone = each.join(marks, ["h1", "h2"]).where(later | F.col("near"))
     gone = gone.groupBy("none", "doc_id", "content").agg(
         F.count_if(later).alias("exact"), F.count_if(~later).alias("near"), F.array_sort(F.collect_list("place")).alias("places"))
@@ -169,9 +176,10 @@ def deduped(docs: DataFrame, edits: int = EDITS) -> DataFrame:
     :func:`line_report` for the rest."""
     gone = removals(docs.select("doc_id", "text"), edits)
     rows = packed(docs, F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), _content(F.col("text")).alias("content"))
-    kept = F.filter(F.split("row.text", "\n"), lambda _, i: ~F.array_contains("places", i))
-    text = F.when(F.col("places").isNull(), F.col("row.text")).otherwise(F.array_join(kept, "\n"))
-    out = _joined(rows, small(gone, F.size("places"))).select("row", "places", text.alias("text"))
+    out = _joined(rows, small(gone, F.size("places"))).select("row", "places", F.when(F.col("places").isNotNull(), F.split("row.text", "\n")).alias("lines"))
+    left = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), "places")  # by a set: linear in the lines
+    text = F.array_join(F.transform(left, lambda i: F.get("lines", i)), "\n")
+    out = out.select("row", "places", F.when(F.col("places").isNull(), F.col("row.text")).otherwise(text).alias("text"))
     new = {"text": F.col("text")}
     if "n_chars" in docs.columns:
         new["n_chars"] = F.when(F.col("places").isNull(), F.col("row.n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType))

@@ -1,3 +1,5 @@
+import re
+
 import pytest
 from helpers import clashing, documents, table
 
@@ -13,6 +15,11 @@ def distance(a, b):
     return row[-1]
 
 
+def plain(raw):
+    """A line as it is compared: without blanks at the ends, A-Z lower-cased."""
+    return re.sub("[A-Z]", lambda m: m[0].lower(), raw.strip(" \t\n\x0b\x0c\r"))
+
+
 def brute(rows, edits, least):
     """(doc_id, lines, exact, near, places) of each document, all pairs compared."""
     order = sorted(range(len(rows)), key=lambda k: (rows[k][0] is None, rows[k][0] or 0))
@@ -21,7 +28,7 @@ def brute(rows, edits, least):
         i, text = rows[k]
         full, exact, near, places = 0, 0, 0, []
         for n, raw in enumerate((text or "").split("\n")):
-            if not (line := raw.strip(" ")):
+            if not (line := plain(raw)):
                 continue
             full += 1
             if line in seen:
