@@ -55,9 +55,8 @@ RAW = {
                                 ("product_category_name_english", S, True)),
 }
 
-# Reviews hold free text with quoted line breaks: only that file needs a
-# multi-line CSV parse (which makes the file unsplittable), others stay
-# splittable.
+# Reviews hold free text with quoted line breaks: the records of that file are
+# put together before they are parsed.
 MULTILINE_TABLES = {"reviews"}
 
 # ------------------------------------------------------------- star schema

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from feria.schemas import MULTILINE_TABLES, RAW
+from feria.sources.quoted_csv import quoted_records
 from feria.sources.sinks import path_exists
 
 # Default raw file name of each table; pass ``files=`` to read_raw_dir when
@@ -20,17 +21,14 @@ RAW_FILES = {t: f"{t}.csv" for t in RAW}
 CORRUPT = "_corrupt_record"
 
 
-def _reader(spark: SparkSession, table: str):
-    reader = (spark.read.option("header", True).option("escape", '"')
-              .option("mode", "PERMISSIVE").option("encoding", "UTF-8"))
-    # Quoted fields hold line breaks in the reviews file only; that file is
-    # unsplittable, the others stay splittable.
-    return reader.option("multiLine", True) if table in MULTILINE_TABLES else reader
+def _reader(spark: SparkSession):
+    return (spark.read.option("header", True).option("escape", '"')
+            .option("mode", "PERMISSIVE").option("encoding", "UTF-8"))
 
 
 def check_header(spark: SparkSession, path: str, table: str) -> None:
     """Raise unless the file's header has the declared columns in order."""
-    found = [c.lstrip("\ufeff") for c in _reader(spark, table).csv(path).columns]
+    found = [c.lstrip("\ufeff") for c in _reader(spark).csv(path).columns]
     if found != RAW[table].names:
         raise ValueError(f"{table}: the header of {path} is {found}, not {RAW[table].names}")
 
@@ -40,11 +38,17 @@ def read_csv_checked(spark: SparkSession, path: str, table: str) -> DataFrame:
 
     The header has to match the schema. A row whose fields do not fit, are too
     few or too many, keeps its text in ``_corrupt_record``; a UTF-8 byte-order
-    mark is dropped by the reader.
+    mark is dropped by the reader. Quoted fields hold line breaks in the reviews
+    file only; its records are put together first (``quoted_records``), so that
+    all files are read by many tasks.
     """
     check_header(spark, path, table)
     schema = StructType([*RAW[table].fields, StructField(CORRUPT, StringType())])
-    return (_reader(spark, table).schema(schema).option("columnNameOfCorruptRecord", CORRUPT)
+    if table in MULTILINE_TABLES:
+        options = {"escape": '"', "mode": "PERMISSIVE", "multiLine": "true", "columnNameOfCorruptRecord": CORRUPT}
+        ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+        return quoted_records(spark, path).select(F.from_csv("record", ddl, options).alias("r")).select("r.*")
+    return (_reader(spark).schema(schema).option("columnNameOfCorruptRecord", CORRUPT)
             .csv(path))
 
 
