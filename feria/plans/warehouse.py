@@ -175,9 +175,11 @@ def load_table(spark: SparkSession, table: str, clean_df: DataFrame, out_dir: st
              .first())
     n_bad, n_rows = int(stats["n_bad"]), int(stats["n_rows"])
     n_dup = int(stats["n_good"]) - n_rows
-    # Always written: rejects of an earlier load must not outlive a clean one.
-    checked.where(F.col("_reject").isNotNull()).withColumnRenamed("_reject", "reason") \
-        .write.mode("overwrite").parquet(os.path.join(out_dir, "_rejects", table))
+    # Always written, as rejects of an earlier load must not outlive a clean one;
+    # without any, the rows are not read for it.
+    bad = checked.where(F.col("_reject").isNotNull()).withColumnRenamed("_reject", "reason")
+    (bad if n_bad else spark.createDataFrame([], bad.schema)).write.mode("overwrite").parquet(
+        os.path.join(out_dir, "_rejects", table))
     good = checked.where(F.col("_reject").isNull()).drop("_reject")
     rows = first_per_key(good, pk, ARRIVAL.get(table, [])) if stats["max_good"] > 1 else good
     w = rows.write.mode("overwrite")

@@ -25,14 +25,49 @@ def export_csv(df: DataFrame, path: str) -> None:
      .option("emptyValue", "").csv(path))
 
 
+def _at(spark: SparkSession, path: str):
+    """The cluster file system of ``path`` and the path (not the driver's disk)."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
-    """Existence check on the cluster file system (not the driver's disk)."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs, p = _at(spark, path)
     return fs.exists(p)
 
 
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """The names in a folder; none if it does not exist."""
+    fs, p = _at(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file; one of the same name is replaced."""
+    fs, p = _at(spark, path)
+    out = fs.create(p, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, p = _at(spark, path)
+    held = fs.open(p)
+    try:
+        return bytes(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toByteArray(held)).decode()
+    finally:
+        held.close()
+
+
+def rename_path(spark: SparkSession, source: str, target: str) -> bool:
+    """Whether ``source`` became ``target``; an existing target stays."""
+    fs, p = _at(spark, source)
+    to = _at(spark, target)[1]
+    return not fs.exists(to) and fs.rename(p, to)
+
+
 def append_insert_ignore(spark: SparkSession, incoming: DataFrame, target_path: str,
                          keys: list[str], arrival: list[By]) -> tuple[int, int]:
     """Append ``incoming`` to the Parquet table at ``target_path`` with
@@ -53,7 +88,6 @@ def append_insert_ignore(spark: SparkSession, incoming: DataFrame, target_path:
 
 
 def remove_path(spark: SparkSession, path: str) -> None:
-    """Delete a staging folder on the cluster file system."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    """Delete a folder or file on the cluster file system."""
+    fs, p = _at(spark, path)
+    fs.delete(p, True)

@@ -71,7 +71,9 @@ def test_refresh_from_raw_csv_files(spark, tmp_dir):
     assert set(raw) == set(files)
     status = {r.table: r for r in refresh(spark, raw, os.path.join(tmp_dir, "out")).collect()}
     assert all(r.error is None for r in status.values()), status
+    from feria.plans.publish import published
     star = os.path.join(tmp_dir, "out", "star")
+    star = os.path.join(star, "runs", published(spark, star)["run"])
     cust = {r.customer_id: r for r in spark.read.parquet(f"{star}/dim_customers").collect()}
     assert cust["c1"].city == "sao paulo" and cust["c1"].state == "SP"
     assert cust["c2"].city == "campinas"
