@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import uuid
+
 from pyspark.sql import SparkSession
 
 DEFAULT_CONF = {
@@ -46,3 +50,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not d:
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return d
+
+
+def work_dir(spark: SparkSession, name: str) -> str:
+    """A new folder's path in the shared folder, for a query that writes tables
+    and reads them back. Only a local session may leave the setting out."""
+    if not spark.conf.get("spark.checkpoint.dir", None) and spark.sparkContext.master.startswith("local"):
+        root = os.path.join(tempfile.gettempdir(), "feria-shared")
+    else:
+        root = checkpoint_dir(spark)
+    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -16,6 +16,7 @@ from pyspark.sql.types import StructType
 
 from feria.operators.dedup import By
 from feria.session import checkpoint_dir
+from feria.sources.keyed_table import KeyedTable
 from feria.sources.sinks import append_insert_ignore
 
 
@@ -23,8 +24,10 @@ def start_keyed_load(spark: SparkSession, source_dir: str, schema: StructType,
                      target_path: str, keys: list[str], arrival: list[By],
                      fmt: str = "parquet", checkpoint: str | None = None,
                      available_now: bool = True,
-                     transform=None) -> StreamingQuery:
-    """Stream ``source_dir`` into the Parquet table at ``target_path``.
+                     transform=None, buckets: int | None = None) -> StreamingQuery:
+    """Stream ``source_dir`` into the Parquet table at ``target_path``, or, with
+    ``buckets``, into a :class:`KeyedTable` there, of which a batch reads only
+    the buckets it hits.
 
     ``transform`` (DataFrame -> DataFrame) runs on each micro-batch before
     the keyed append, e.g. a cleaning function. ``available_now`` processes
@@ -40,7 +43,10 @@ def start_keyed_load(spark: SparkSession, source_dir: str, schema: StructType,
 
     def each_batch(batch: DataFrame, epoch_id: int) -> None:
         df = transform(batch) if transform else batch
-        append_insert_ignore(spark, df, target_path, keys, arrival)
+        if buckets:
+            KeyedTable(spark, target_path, keys, buckets).append(df, arrival)
+        else:
+            append_insert_ignore(spark, df, target_path, keys, arrival)
 
     w = stream.writeStream.foreachBatch(each_batch).option("checkpointLocation", ckpt)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
