@@ -444,3 +444,4 @@ from feria import registry_quality  # noqa: E402,F401
 from feria import registry_dirty  # noqa: E402,F401
 from feria import registry_sql  # noqa: E402,F401
 from feria import registry_statements  # noqa: E402,F401
+from feria import registry_stored  # noqa: E402,F401

@@ -22,7 +22,8 @@ def export_csv(df: DataFrame, path: str) -> None:
     (it keeps types and the difference between NULL and empty text); CSV is
     only for hand-off."""
     (df.write.mode("overwrite").option("header", True).option("escape", '"')
-     .option("emptyValue", "").csv(path))
+     .option("emptyValue", "").option("ignoreLeadingWhiteSpace", False)
+     .option("ignoreTrailingWhiteSpace", False).csv(path))
 
 
 def _at(spark: SparkSession, path: str):
