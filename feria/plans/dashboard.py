@@ -50,10 +50,14 @@ class Filters:
 
 def filtered_orders(star: Star, flt: Filters, cols: list[str]) -> DataFrame:
     """Orders joined to their customer's state, filtered; ``cols`` from the
-    order fact are kept (plus customer_unique_id / state when asked)."""
+    order fact are kept (plus customer_unique_id / state when asked). An order
+    fact that carries its customer (``colocated``) needs no join."""
     o = star["fact_orders"]
     c = star["dim_customers"].select("customer_id", "customer_unique_id", "state")
     keep = list(dict.fromkeys(["order_id", "customer_id", "order_year", "order_status"] + cols))
+    if "_customer" in o.columns:
+        return (o.where("_customer").select(*[x for x in keep if x in o.columns], F.col("_buyer").alias("customer_unique_id"),
+                                            F.col("_state").alias("state")).where(flt.predicate()))
     return o.select(*[x for x in keep if x in o.columns]).join(c, "customer_id") \
         .where(flt.predicate())
 

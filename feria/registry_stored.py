@@ -13,12 +13,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from feria.plans import analytics as A
+from feria.plans import colocated, publish
+from feria.plans import dashboard as Dsh
 from feria.plans import marts as M
-from feria.plans import publish
 from feria.plans.clean import clean_all
 from feria.plans.refresh import load_from_clean_dir
 from feria.plans.warehouse import SOURCE, build_table, write_clean
-from feria.registry import ORACLE, QUERIES, clean, normalize_output, raw, register
+from feria.registry import ORACLE, QUERIES, SAMPLE_FILTER, clean, normalize_output, raw, register, star
 from feria.registry_quality import FIRST_SQL, ITEM_ARRIVAL, TARGET_SQL, _incoming_items, _target_items
 from feria.schemas import LOAD_ORDER
 from feria.session import work_dir
@@ -162,3 +164,14 @@ def _nan_products(s, d):
 
 
 _same_as("nan_clean_products", "clean_products")(_nan_products)
+
+
+# ------------------------------------------------------- co-located star schema
+def _colocated(s, d):
+    out = work_dir(s, "colocated")
+    return colocated.write_colocated(s, star(s, d), out, buckets=16)
+
+
+_same_as("colocated_q4", "q4_incident_rates")(lambda s, d: A.q4_incident_rates(_colocated(s, d)))
+_same_as("colocated_q5", "q5_seller_quality")(lambda s, d: A.q5_seller_quality(_colocated(s, d)))
+_same_as("colocated_kpi_row_filtered", "kpi_row_filtered")(lambda s, d: Dsh.kpi_row(_colocated(s, d), SAMPLE_FILTER))
