@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from feria.plans import analytics as A
-from feria.plans import colocated, publish
+from feria.plans import colocated, cube, publish
 from feria.plans import dashboard as Dsh
 from feria.plans import marts as M
 from feria.plans.clean import clean_all
@@ -175,3 +175,14 @@ def _colocated(s, d):
 _same_as("colocated_q4", "q4_incident_rates")(lambda s, d: A.q4_incident_rates(_colocated(s, d)))
 _same_as("colocated_q5", "q5_seller_quality")(lambda s, d: A.q5_seller_quality(_colocated(s, d)))
 _same_as("colocated_kpi_row_filtered", "kpi_row_filtered")(lambda s, d: Dsh.kpi_row(_colocated(s, d), SAMPLE_FILTER))
+
+
+# ------------------------------------------------------------ dashboard cube
+def _cube(s, d):
+    return cube.write_cube(s, cube.build_cube(star(s, d)), work_dir(s, "cube"))
+
+
+for _name, _answer in {"kpi_row": cube.kpi_row, "kpi_row_by_order": cube.kpi_row_by_order, "dash_q1_monthly": cube.monthly,
+                       "dash_q2_categories": cube.top_categories, "dash_q4_incidents": cube.incident_split,
+                       "score_distribution": cube.score_distribution}.items():
+    _same_as(f"cube_{_name}_filtered", f"{_name}_filtered")(lambda s, d, answer=_answer: answer(_cube(s, d), SAMPLE_FILTER))
