@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -95,9 +97,15 @@ def grouped_modes(df: DataFrame, keys: list[str], cols: list[str]) -> DataFrame:
     return df.select(*keys).distinct().join(out, keys, "left")
 
 
+def _beside(left: DataFrame, right: DataFrame, groups: list[str], how: str = "inner") -> DataFrame:
+    """``left`` with the row of ``right`` of its group; without groups ``right``
+    is one row, or one per rank or bucket, and goes to every task."""
+    return left.join(right, groups, how) if groups else left.crossJoin(F.broadcast(right))
+
+
 def exact_percentiles(df: DataFrame, keys: list[str], col: str, qs: list[float],
                       names: list[str], weight: str | None = None,
-                      buckets: int = 128) -> DataFrame:
+                      buckets: int | None = None) -> DataFrame:
     """keys, then one column per ``names``: the exact percentiles ``qs`` of each
     group (linear interpolation, the formula of Spark's ``percentile``), without
     holding a group's values in one task. One lazy plan, the same at every size:
@@ -112,43 +120,48 @@ def exact_percentiles(df: DataFrame, keys: list[str], col: str, qs: list[float],
     4. only those buckets are sorted, each a window of its own, and running
        counts in them give the value at the rank.
 
+    ``buckets`` is 128 a group, and 1024 without groups, where one row has the
+    cuts of the whole table: a task then sorts one in 1024 of the distinct values.
     NULL and NaN are ignored; a group without other values gets NULL, any other
     whose rank is not found raises. Group keys are not NULL. ``keys=[]`` gives
     one row.
     """
-    groups = keys or ["_one"]
-    x = df if keys else df.withColumn("_one", F.lit(1))
+    buckets = buckets or (128 if keys else 1024)
     n = F.col(weight) if weight else F.lit(1)
     v = F.col(col).cast("double")
     fit = v.isNotNull() & ~F.isnan(v)
-    counts = (x.select(*groups, F.when(fit, v + F.lit(0.0)).alias("_v"), n.alias("_n"))
-              .groupBy(*groups, "_v").agg(F.sum("_n").alias("_n")))
+    counts = (df.select(*keys, F.when(fit, v + F.lit(0.0)).alias("_v"), n.alias("_n"))
+              .groupBy(*keys, "_v").agg(F.sum("_n").alias("_n")))
     at = [i / buckets for i in range(1, buckets)]
-    per = counts.groupBy(*groups).agg(
+    per = counts.groupBy(*keys).agg(
         F.coalesce(F.sum(F.when(F.col("_v").isNotNull(), F.col("_n"))), F.lit(0)).alias("_all_n"),
         F.percentile_approx("_v", at, 10 * buckets).alias("_cuts"))
-    placed = (counts.where(F.col("_v").isNotNull()).join(per.select(*groups, "_cuts"), groups)
-              .withColumn("_b", F.size(F.filter("_cuts", lambda c: c < F.col("_v"))))
-              .drop("_cuts"))
-    run = Window.partitionBy(*groups).orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
-    totals = (placed.groupBy(*groups, "_b").agg(F.sum("_n").alias("_t"))
+    step = math.isqrt(buckets)
+    coarse = F.transform(F.sequence(F.lit(step), F.lit(buckets - 1), F.lit(step)), lambda i: F.get("_cuts", i - 1))
+    cuts = per.select(*keys, "_cuts", coarse.alias("_coarse"))
+    placed = (_beside(counts.where(F.col("_v").isNotNull()), cuts, keys)
+              .withColumn("_b", _cuts_below(step)).drop("_cuts", "_coarse"))
+    run = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
+    totals = (placed.groupBy(*keys, "_b").agg(F.sum("_n").alias("_t"))
               .withColumn("_upto", F.sum("_t").over(run)))
     ranks = []
     for i, q in enumerate(qs):
         pos = (F.col("_all_n") - 1).cast("double") * F.lit(q)
         for side, rank in enumerate((F.floor(pos), F.ceil(pos))):
             ranks.append(F.struct(F.lit(2 * i + side).alias("_w"), rank.alias("_rank")))
-    wanted = (per.where(F.col("_all_n") > 0).select(*groups, F.explode(F.array(*ranks)).alias("_r"))
-              .select(*groups, "_r.*").join(totals, groups)
+    asked = (per.where(F.col("_all_n") > 0).select(*keys, F.explode(F.array(*ranks)).alias("_r"))
+             .select(*keys, "_r.*"))
+    wanted = (_beside(totals, asked, keys)
               .where(F.col("_rank").between(F.col("_upto") - F.col("_t"), F.col("_upto") - 1))
-              .select(*groups, "_w", "_b", (F.col("_rank") - F.col("_upto") + F.col("_t")).alias("_rank")))
-    inside = (Window.partitionBy(*groups, "_w").orderBy("_v")
+              .select(*keys, "_w", "_b", (F.col("_rank") - F.col("_upto") + F.col("_t")).alias("_rank")))
+    inside = (Window.partitionBy(*keys, "_w").orderBy("_v")
               .rowsBetween(Window.unboundedPreceding, 0))
-    found = (placed.join(wanted, [*groups, "_b"]).withColumn("_upto", F.sum("_n").over(inside))
+    # Without groups ``wanted`` has two rows a percentile.
+    found = (placed.join(wanted if keys else F.broadcast(wanted), [*keys, "_b"]).withColumn("_upto", F.sum("_n").over(inside))
              .where(F.col("_rank").between(F.col("_upto") - F.col("_n"), F.col("_upto") - 1))
-             .groupBy(*groups).agg(*[F.max(F.when(F.col("_w") == w, F.col("_v"))).alias(f"_v{w}")
-                                     for w in range(2 * len(qs))]))
-    out = per.join(found, groups, "left")
+             .groupBy(*keys).agg(*[F.max(F.when(F.col("_w") == w, F.col("_v"))).alias(f"_v{w}")
+                                   for w in range(2 * len(qs))]))
+    out = _beside(per, found, keys, "left")
     values = []
     for i, (q, name) in enumerate(zip(qs, names, strict=True)):
         pos = (F.col("_all_n") - 1).cast("double") * F.lit(q)
@@ -158,10 +171,17 @@ def exact_percentiles(df: DataFrame, keys: list[str], col: str, qs: list[float],
                  .when(F.floor(pos) == F.ceil(pos), lo).when(lo == hi, lo)
                  .otherwise((F.ceil(pos) - pos) * lo + (pos - F.floor(pos)) * hi))
         values.append(F.when(F.col("_all_n") > 0, value).alias(name))
-    out = out.select(*groups, *values)
-    if not keys:  # an empty table has one row, too
-        return x.sparkSession.range(1).select(F.lit(1).alias("_one")).join(out, "_one", "left").drop("_one")
-    return out
+    return out.select(*keys, *values)
+
+
+def _cuts_below(step: int) -> Column:
+    """How many of the sorted ``_cuts`` are below ``_v``: first of every
+    ``step``-th, then of the ``step`` that follow."""
+    def below(cuts: Column | str) -> Column:
+        return F.size(F.filter(cuts, lambda c: c < F.col("_v")))
+
+    skipped = below("_coarse") * step
+    return skipped + below(F.slice("_cuts", skipped + 1, F.lit(step)))
 
 
 def exact_percentile(df: DataFrame, keys: list[str], col: str, q: float,
