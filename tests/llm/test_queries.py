@@ -18,6 +18,9 @@ COLUMNS = {
     "op7_line_dedup": ["doc_id", "n_lines", "n_exact", "n_near", "removed"],
     "op8_secret_scan": ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans"],
     "op9_metric_join": ["vec_id", "n_links", "component_id", "kept"],
+    "op11_periodic_runs": ["doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256"],
+    "op12_collocations": ["lang", "rank", "phrase", "a", "l", "r", "n", "score"],
+    "op13_sentencepiece": ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
     "op10_pii": ["doc_id", "n_email", "n_phone", "n_card", "n_ssn", "n_ip", "n_name", "text"],
 }
 
