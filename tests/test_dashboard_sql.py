@@ -39,7 +39,7 @@ def test_quotes_in_choices_are_text(spark, tables):
     mine = {**tables, "dim_customers": c.withColumn("state", F.when(F.col("customer_id") == one, odd).otherwise(F.col("state")))}
     flt = D.Filters(states=(odd,))
     assert rows(S.run_statement(spark, mine, "kpi_row", flt)) == rows(D.kpi_row(mine, flt))
-    assert odd not in S.STATEMENTS["kpi_row"] and spark.catalog.listTables() == []
+    assert odd not in S.STATEMENTS["kpi_row"] and not [t for t in spark.catalog.listTables() if t.isTemporary]
 
 
 def test_other_parameters(spark, tables):
