@@ -133,15 +133,15 @@ def plan(buckets: DataFrame) -> DataFrame:
                        F.when(at.between(1, F.col("docs")) & (F.col("cut") != 0), at).alias("at"), "cut")
 
 
-def mix(docs: DataFrame, size) -> DataFrame:
+def mix(docs: DataFrame, size, ties: tuple = ()) -> DataFrame:
     """row (all columns of ``docs``), size, source_size, target, copies, cut:
     how often the mix takes each document whole, and how many words (maybe
     below zero) it takes beside. ``size`` is the column of a document's words.
 
     ``docs`` needs doc_id and source. A null source is a source of its own, the
     last; documents without words take no words; ties within a source and size
-    fall to the lower hash of doc_id, then the lower doc_id, and rows that
-    repeat a doc_id are interchangeable. Reruns agree. An empty table gives no
+    fall to the lower hash of doc_id, then the lower doc_id, then ``ties``
+    (columns over ``row``); rows alike in all are interchangeable. Reruns agree. An empty table gives no
     rows. ``cut`` is not zero in one document of a source at most.
     """
     # A key that is never null joins and windows on one partitioning.
@@ -151,7 +151,7 @@ def mix(docs: DataFrame, size) -> DataFrame:
     buckets = saved(rows.groupBy("source", "size", "bucket").agg(F.count("*").alias("docs")), "mixing-buckets")
     deal = plan(buckets).withColumn("key", F.when(F.col("source").isNull(), F.lit("")).otherwise(F.concat(F.lit("="), F.col("source").cast("string")))).drop("source")
     deal = saved(deal, "mixing-plan")
-    order = Window.partitionBy("key", "size", "bucket").orderBy(F.xxhash64("row.doc_id"), "row.doc_id")
+    order = Window.partitionBy("key", "size", "bucket").orderBy(F.xxhash64("row.doc_id"), "row.doc_id", *ties)
     dealt = rows.drop("source").withColumn("n", F.row_number().over(order)).join(deal, ["key", "size", "bucket"])
     copies = F.col("base") + (F.col("n") <= F.col("extra")).cast("long")
     return dealt.select("row", "size", "source_size", "target", copies.alias("copies"),
@@ -169,9 +169,13 @@ def mix_report(docs: DataFrame) -> DataFrame:
 def mixed_corpus(docs: DataFrame) -> DataFrame:
     """The mix itself, with the columns of ``docs``: a row for each whole copy,
     and one with the first words, joined by a blank, for a partial copy
-    (n_chars follows the text, where the column exists)."""
+    (n_chars follows the text, where the column exists). Documents of one size
+    and doc_id, or none, are told apart by their texts. A null or empty text is
+    taken as often as its source's rate says and stays as it is; an empty table
+    gives no rows; other columns stay."""
     taken = F.col("size") * F.col("copies") + F.col("cut")
-    dealt = mix(docs, word_count(F.col("text"))).select(
+    same = (F.xxhash64("row.text"), F.xxhash64(F.lit("text"), F.col("row.text")))
+    dealt = mix(docs, word_count(F.col("text")), same).select(
         "row", F.when(F.col("size") == 0, F.col("copies")).otherwise(F.try_divide(taken - taken % F.col("size"), F.col("size")).cast("long")).alias("whole"),
         F.when(F.col("size") == 0, 0).otherwise(F.coalesce(F.try_mod(taken, F.col("size")), F.lit(0))).cast("int").alias("part"))
     kinds = F.concat(F.array_repeat(F.lit(0), F.col("whole").cast("int")),

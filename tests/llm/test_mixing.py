@@ -85,3 +85,12 @@ def test_repeated_rows(spark):
     out = mixing.mix_report(docs).groupBy("source_size").agg(F.sum("taken").alias("n"), F.count("*").alias("rows"), F.first("target").alias("t")).collect()
     assert sorted((r.source_size, r.rows) for r in out) == [(2, 1), (45, 9)]
     assert all(abs(r.n - r.t) <= 1 for r in out)
+
+
+def test_reruns_agree_on_texts_of_one_id(spark):
+    """Documents without a doc_id, or sharing one, of one size: the same texts
+    are taken however the rows are dealt."""
+    rows = [(None if i % 2 else 7, f"w{i} " * 5, "abc"[i % 3]) for i in range(90)]
+    taken = [sorted(r.text for r in mixing.mixed_corpus(documents(spark, part).repartition(n)).collect())
+             for n, part in ((1, rows), (4, rows[::-1]), (3, rows[45:] + rows[:45]))]
+    assert taken[0] == taken[1] == taken[2] and len(set(taken[0])) < 90
