@@ -10,26 +10,28 @@ has its entity's type and form:
 * card: the first digit kept, valid by its check digit if the entity was;
 * phone: the country code kept; ssn, card and phone keep their punctuation;
 * ip: private addresses stay in their network, others get a public one;
-* name after a title: the title, number of names, script and gender kept.
-
-Replacements are checked: none may equal an entity of its type in the corpus or
-the replacement of another one; those that do are drawn again, and names and
-emails grow. Other forms have a fixed number of values (1000 for ``+1 234``,
-254 * 254 for 192.168.x.y): the entities for which none is found exchange values
-with each other in a keyed order, so that all stay distinct.
+* name after a title: the title, number of names, script and gender kept; "Mr
+  Smith" and "Mr John Smith" share the replaced surname.
+
+Domains and surnames are drawn first, then what stands before them. Replacements
+are checked: none may equal an entity of its type in the corpus or the replacement
+of another one; those that do are drawn again. After some draws they grow: names
+by syllables, emails and domains by letters, phones, cards and ssn by digits, and
+addresses become IPv6 (unique local ones if private). So no form runs out, and no
+value of the corpus stays in use.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feria.llm.common import packed, saved
 
-#: Draws before values are exchanged; from LONGER on, names and an email's local part grow.
+#: The most draws, and that from which on replacements grow, by one at each multiple.
 DRAWS, LONGER = 64, 8
-#: Entities of one form that exchange values in one task.
-EXCHANGED = 50_000
+#: Entities of one domain or surname are joined with it in so many parts.
+PARTS = 8
 
 TITLES = {"f": ("Mrs", "Ms", "Miss", "Frau", "Señora", "Madame", "Г-жа"), "m": ("Mr", "Mister", "Herr", "Señor", "Monsieur", "Г-н")}
 _TITLE = "|".join(sorted((t for ts in TITLES.values() for t in ts), key=len, reverse=True))
@@ -105,24 +107,30 @@ def _luhn(digits: Column) -> Column:
 
 
 def _drawn(key: str) -> Column:
-    """The replacement of (kind, canon) at this draw, in canonical form."""
-    kind, canon, draw = F.col("kind"), F.col("canon"), F.col("draw")
-    whole = _stream(key, kind, canon, draw, F.length(canon) + 8)
-    local, domain = F.substring_index(canon, "@", 1), F.substring_index(canon, "@", -1)
-    last = F.substring_index(domain, ".", -1)
-    rest = F.substr(domain, F.lit(1), F.length(domain) - F.length(last))
-    more = F.when(draw >= LONGER, F.substr(F.translate(whole, "0123456789", "ghijklmnop"), F.lit(1), F.floor(draw / LONGER).cast("int"))).otherwise(F.lit(""))
-    email = F.concat(_mapped(local, whole), more, F.lit("@"), _mapped(rest, _stream(key, F.lit("domain"), domain, F.lit(0), F.length(domain))), last)
-    digits = _mapped(canon, whole)
+    """The replacement of (kind, canon) at this draw, in canonical form: what is
+    before its domain or surname is ``head``, and the new one ``tail``."""
+    kind, canon, head, tail, draw = (F.col(c) for c in ("kind", "canon", "head", "tail", "draw"))
+    longer = F.floor(draw / LONGER).cast("int")
+    whole = _stream(key, kind, canon, draw, F.length(canon) + 8 + longer)
+    more = F.substr(F.translate(whole, "0123456789", "ghijklmnop"), F.lit(1), longer)
+    email = F.concat(_mapped(head, whole), more, F.lit("@"), tail)
+    last = F.substring_index(canon, ".", -1)
+    domain = F.concat(more, _mapped(F.substr(canon, F.lit(1), F.length(canon) - F.length(last)), whole), last)
+    grown = F.concat(canon, F.repeat(F.lit("0"), longer))
+    digits = _mapped(grown, whole)
     card = F.concat(F.substr(canon, F.lit(1), F.lit(1)), F.substr(digits, F.lit(2)))
     body = F.substr(card, F.lit(1), F.length(card) - 1)
     valid = F.concat(body, F.pmod(10 - _luhn(F.concat(body, F.lit("0"))), F.lit(10)).cast("string"))
     card = F.when(_luhn(F.when(kind == "card", canon).otherwise(F.lit("0"))) == 0, valid).otherwise(card)
-    phone = F.concat(F.substring_index(canon, "+", 1), F.lit("+"), _mapped(F.substring_index(canon, "+", -1), whole))
+    phone = F.concat(F.substring_index(canon, "+", 1), F.lit("+"), _mapped(F.substring_index(grown, "+", -1), whole))
     octets = [(_value(whole, F.lit(i), 254) + 1).cast("string") for i in range(4)]
+    groups = [F.lower(F.substr(whole, F.lit(4 * i + 1), F.lit(4))) for i in range(8)]
     public = (_value(whole, F.lit(4), 80) + 20).cast("string")
-    ip = (F.when(canon.rlike(r"^(?:10|127)\."), F.concat_ws(".", F.substring_index(canon, ".", 1), *octets[1:]))
-          .when(canon.rlike(r"^(?:192\.168|172\.(?:1[6-9]|2\d|3[01])|169\.254)\."), F.concat_ws(".", F.substring_index(canon, ".", 2), *octets[2:]))
+    wide, near = canon.rlike(r"^(?:10|127)\."), canon.rlike(r"^(?:192\.168|172\.(?:1[6-9]|2\d|3[01])|169\.254)\.")
+    ip = (F.when((longer > 1) & (wide | near), F.concat_ws(":", F.concat(F.lit("fd"), F.substr(groups[0], F.lit(1), F.lit(2))), *groups[1:]))
+          .when(longer > 1, F.concat_ws(":", F.lit("2001:db8"), *groups[2:]))
+          .when(wide, F.concat_ws(".", F.substring_index(canon, ".", 1), *octets[1:]))
+          .when(near, F.concat_ws(".", F.substring_index(canon, ".", 2), *octets[2:]))
           .otherwise(F.concat_ws(".", public, *octets[1:])))
 
     def name(script: str, gender: str) -> Column:
@@ -130,73 +138,61 @@ def _drawn(key: str) -> Column:
 
         def word(i: Column) -> Column:
             at = [_value(whole, 4 * i + k, len(SYLLABLES[script])) for k in range(3)]
-            more = F.filter(F.sequence(F.lit(0), F.floor(draw / LONGER).cast("int")), lambda k: k > 0)
             grown = _stream(key, F.lit("more"), canon, draw, 64 * (i + 1))
-            more = F.transform(more, lambda k: F.get(syllables, _value(grown, 64 * i + k, len(SYLLABLES[script]))))
-            return F.concat(*[F.get(syllables, a) for a in at], F.when(draw >= LONGER, F.array_join(more, "")).otherwise(F.lit("")),
+            extra = F.filter(F.sequence(F.lit(0), longer), lambda k: k > 0)
+            extra = F.transform(extra, lambda k: F.get(syllables, _value(grown, 64 * i + k, len(SYLLABLES[script]))))
+            return F.concat(*[F.get(syllables, a) for a in at], F.array_join(extra, ""),
                             F.get(endings, _value(whole, 4 * i + 3, len(ENDINGS[script][gender]))))
-        return F.array_join(F.transform(F.sequence(F.lit(0), F.size(F.split(canon, " ")) - 1), word), " ")
-    out = F.when(kind == "email", email).when(kind == "ip", ip).when(kind == "ssn", digits).when(kind == "card", card).when(kind == "phone", phone)
+        words = F.transform(F.sequence(F.lit(0), F.size(F.split(head, " ")) - 1), word)
+        return F.concat_ws(" ", F.when(head != "", F.array_join(words, " ")), tail)
+    out = (F.when(kind == "email", email).when(kind == "domain", domain).when(kind == "ip", ip).when(kind == "ssn", digits)
+           .when(kind == "card", card).when(kind == "phone", phone))
     for script in SYLLABLES:
         for gender in TITLES:
             out = out.when(kind == f"name_{gender}_{script}", name(script, gender))
     return out
 
 
-def _form() -> Column:
-    """What (kind, canon) keeps in its replacement."""
-    kind, canon = F.col("kind"), F.col("canon")
-    valid = _luhn(F.when(kind == "card", canon).otherwise(F.lit("0"))) == 0
-    return (F.when(kind == "phone", F.concat_ws("+", F.substring_index(canon, "+", 1), F.length(F.substring_index(canon, "+", -1))))
-            .when(kind == "ip", F.regexp_extract(canon, r"^(?:10|127|192\.168|172\.(?:1[6-9]|2\d|3[01])|169\.254)\.", 0))
-            .when(kind == "card", F.concat_ws(" ", F.substr(canon, F.lit(1), F.lit(1)), valid)).when(kind == "ssn", F.lit("")))
-
-
-def _exchanged(left: DataFrame, done: DataFrame, key: str) -> DataFrame:
-    """kind, canon, surrogate of ``done`` and of ``left``, whose entities take
-    each other's values; one that is alone in its form exchanges with one done."""
-    digest = F.sha2(F.concat_ws("|", F.lit(key), F.lit("exchange"), "kind", "canon"), 256)
-    left = left.withColumns({"form": _form(), "digest": digest})
-    if left.where("form IS NULL").limit(1).count():
-        raise ValueError(f"some names or emails have no free surrogate after {DRAWS} draws")
-    sizes = left.groupBy("kind", "form").agg(F.count("*").alias("n"))
-    left = saved(left.join(sizes, ["kind", "form"]).withColumn("part", F.pmod(F.xxhash64("digest"), F.ceil(F.col("n") / EXCHANGED))), "pii-exchange")
-    part = Window.partitionBy("kind", "form", "part").orderBy("digest")
-    turned = left.where("n > 1").select("kind", "canon", F.coalesce(F.lead("canon").over(part), F.first("canon").over(part)).alias("surrogate"))
-    alone = left.where("n = 1").select("kind", "form", F.col("canon").alias("lone"))
-    partner = done.withColumns({"form": _form(), "digest": digest}).join(F.broadcast(alone), ["kind", "form"]).groupBy("kind", "form", "lone").agg(
-        F.min(F.struct("digest", "canon", "surrogate")).alias("with"))
-    partner = saved(partner.select("kind", "lone", "with.canon", "with.surrogate"), "pii-partner")
-    out = saved(done.join(partner.select("kind", "canon"), ["kind", "canon"], "left_anti").unionByName(turned)
-                .unionByName(partner.select("kind", F.col("lone").alias("canon"), "surrogate"))
-                .unionByName(partner.select("kind", "canon", F.col("lone").alias("surrogate"))), "pii-exchanged")
-    if alone.count() != partner.count() or out.where("canon = surrogate").limit(1).count():
-        raise ValueError("an entity is alone in its form, and no other value is free")
-    return out
-
-
-def surrogates(entities: DataFrame, key: str) -> DataFrame:
-    """kind, canon, surrogate (canonical) of the distinct (kind, canon), no two
-    of one kind with the same, and none an entity of its kind, but where a form
-    has no more values: see :func:`_exchanged`."""
-    entities = saved(entities.select("kind", "canon").distinct(), "pii-entities")
-    taken = entities.select("kind", F.col("canon").alias("surrogate"))
-    out, left, n = None, entities, None
+def _chosen(entities: DataFrame, key: str) -> DataFrame:
+    """kind, canon, surrogate of the distinct (kind, canon, head, tail): no two of
+    one type with the same, and none an entity of its type."""
+    kind = F.substring_index("kind", "_", 1).alias("type")  # names of all genders and scripts are one type
+    taken = entities.select(kind, F.col("canon").alias("surrogate")).distinct()
+    out, left = None, entities
     for draw in range(DRAWS):
         # Drawing costs far more than its few bytes tell: a partition's share each.
         spread = left.repartition(int(left.sparkSession.conf.get("spark.sql.shuffle.partitions")), "canon")
         drawn = saved(spread.withColumn("draw", F.lit(draw)).withColumn("surrogate", _drawn(key)).drop("draw"), "pii-drawn")
-        first = drawn.groupBy("kind", "surrogate").agg(F.min("canon").alias("canon"))
-        used = taken if out is None else taken.unionByName(out.select("kind", "surrogate"))
-        good = saved(first.join(used, ["kind", "surrogate"], "left_anti").select("kind", "canon", "surrogate"), "pii-surrogates")
+        first = drawn.groupBy(kind, "surrogate").agg(F.min(F.struct("kind", "canon")).alias("of"))
+        used = taken if out is None else taken.unionByName(out.select(kind, "surrogate"))
+        good = first.join(used, ["type", "surrogate"], "left_anti").select("of.kind", "of.canon", "surrogate")
+        good = saved(good, "pii-surrogates")
         out = good if out is None else out.unionByName(good)
-        left = saved(drawn.select("kind", "canon").join(good, ["kind", "canon"], "left_anti"), "pii-left")
-        before, n = n, left.count()
-        if not n:
+        left = saved(drawn.drop("surrogate").join(good, ["kind", "canon"], "left_anti"), "pii-left")
+        if left.isEmpty():
             return out
-        if draw > LONGER and n == before:
-            break
-    return _exchanged(left, out, key)
+    raise ArithmeticError(f"entities collide after {DRAWS} draws, the last of them {DRAWS // LONGER} characters longer")
+
+
+def surrogates(entities: DataFrame, key: str) -> DataFrame:
+    """kind, canon, surrogate (canonical) of the distinct (kind, canon), no two
+    of one type with the same, and none an entity of its type. Neither does a
+    domain or surname of the corpus stand in one."""
+    entities = saved(entities.select("kind", "canon").distinct(), "pii-entities")
+    kind, canon, none = F.col("kind"), F.col("canon"), F.lit(None).cast("string")
+    mail = kind == "email"
+    apart = F.when(mail, F.lit("@")).when(kind.startswith("name"), F.lit(" "))
+    old = F.when(mail, F.substring_index(canon, "@", -1)).otherwise(F.substring_index(canon, " ", -1))
+    head = F.rtrim(F.substr(canon, F.lit(1), F.length(canon) - F.length(old)), apart)
+    of = F.when(mail, F.lit("domain")).otherwise(kind)
+    ended = entities.where(apart.isNotNull()).select("kind", "canon", head.alias("head"), of.alias("of"), old.alias("old"))
+    tails = saved(ended.select(F.col("of").alias("kind"), F.col("old").alias("canon")).distinct(), "pii-tails")
+    tails = _chosen(tails.select("kind", "canon", F.col("canon").alias("head"), none.alias("tail")), key)
+    tails = tails.select(F.col("kind").alias("of"), F.col("canon").alias("old"), F.col("surrogate").alias("tail"),
+                         F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))).alias("part"))
+    ended = ended.withColumn("part", F.pmod(F.xxhash64("canon"), F.lit(PARTS)).cast("int")).join(tails, ["of", "old", "part"])
+    plain = entities.where(apart.isNull()).select("kind", "canon", F.col("canon").alias("head"), none.alias("tail"))
+    return _chosen(saved(plain.unionByName(ended.select("kind", "canon", "head", "tail")), "pii-parts"), key)
 
 
 def _rendered(entity: Column, kind: Column, surrogate: Column) -> Column:
@@ -215,7 +211,8 @@ def _rendered(entity: Column, kind: Column, surrogate: Column) -> Column:
     places = F.sequence(F.lit(1), F.greatest(F.lit(1), F.length(entity)))
     letters = F.sequence(F.lit(1), F.greatest(F.lit(1), F.length(surrogate)))
     title = F.regexp_extract(entity, r"^(\S+ )", 1)
-    return (F.when(kind.isin("ssn", "card", "phone"), F.array_join(F.transform(places, laid), ""))
+    held = F.length(F.regexp_replace(entity, r"\D", ""))
+    return (F.when(kind.isin("ssn", "card", "phone"), F.concat(F.array_join(F.transform(places, laid), ""), F.substr(digits, held + 1)))
             .when(kind == "email", F.array_join(F.transform(letters, cased), ""))
             .when(kind == "ip", surrogate).otherwise(F.concat(title, F.initcap(surrogate))))
 

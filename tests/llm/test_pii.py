@@ -1,6 +1,7 @@
 import re
 
 from helpers import clashing, documents, table
+from pyspark.sql import functions as F
 
 from feria.llm import pii
 
@@ -63,13 +64,46 @@ def test_collisions_are_drawn_again(spark):
     assert len(set(got.values())) == 26 and not set(got.values()) & {t for _, t, _ in rows}
 
 
-def test_forms_without_room_exchange_values(spark):
-    """All 1000 values of a form, 700 of another, and 501 of a third."""
-    have = [f"+{c} {i:03d}" for c, n in ((1, 1000), (2, 700), (3, 501)) for i in range(n)]
+def test_forms_without_room_grow(spark, monkeypatch):
+    """All 1000 values of a form, 700 of another, and one alone in its own."""
+    monkeypatch.setattr(pii, "LONGER", 2)
+    have = [f"+{c} {i:03d}" for c, n in ((1, 1000), (2, 700)) for i in range(n)] + ["+3 123"]
     got = texts(pii.pii_report(documents(spark, [(i, t, "s") for i, t in enumerate(have)]), "key"))
-    assert len(set(got.values())) == len(have) and all(re.fullmatch(r"\+\d \d{3}", t) for t in got.values())
-    assert all(got[i] != t and got[i][:3] == t[:3] for i, t in enumerate(have))
-    assert sum(t not in have for t in got.values()) > 700  # what is free is used: 300 and 499
+    assert len(set(got.values())) == len(have) and all(re.fullmatch(r"\+\d \d{3,5}", t) for t in got.values())
+    assert not set(got.values()) & set(have) and all(got[i][:3] == t[:3] for i, t in enumerate(have))
+    assert sum(len(t) == 6 for t in got.values()) > 150  # what is free is used first
+
+
+def test_addresses_grow(spark, monkeypatch):
+    """Addresses whose draws all fail become IPv6, private ones unique local."""
+    monkeypatch.setattr(pii, "LONGER", 1)
+    monkeypatch.setattr(pii, "_value", lambda stream, i, below: F.lit(6))
+    have = ["192.168.7.7", "192.168.1.2", "192.168.1.3", "192.168.9.9", "26.7.7.7", "8.8.8.8"]
+    got = texts(pii.pii_report(documents(spark, [(i, t, "s") for i, t in enumerate(have)]), "key"))
+    assert len(set(got.values())) == len(have) and not set(got.values()) & set(have)
+    assert all(re.fullmatch("fd[0-9a-f]{2}(:[0-9a-f]{4}){7}", got[i]) for i in range(4))
+    assert all(re.fullmatch("2001:db8(:[0-9a-f]{4}){6}", got[i]) for i in (4, 5))
+
+
+def test_domains_stay_apart(spark, monkeypatch):
+    """All domains of one letter but three, and two of a label each: none is
+    replaced by one of them, and no two by the same."""
+    monkeypatch.setattr(pii, "LONGER", 2)
+    have = [f"{name}@{c}.org" for c in "abcdefghijklmnopqrstuvw" for name in ("ann", "Bob")]
+    got = texts(pii.pii_report(documents(spark, [(i, t, "s") for i, t in enumerate(have)]), "key"))
+    new = {}
+    for i, t in enumerate(have):
+        assert new.setdefault(t.split("@")[1], got[i].split("@")[1]) == got[i].split("@")[1]
+    assert len(set(new.values())) == 23 and not set(new) & set(new.values())
+    assert all(t.endswith(".org") for t in new.values())
+
+
+def test_surnames_are_shared(spark):
+    rows = ["Mr John Smith met Mr Smith, Mr Jack Smith, Mr Jones and Mrs Smith."]
+    got = texts(pii.pii_report(documents(spark, [(0, rows[0], "s")]), "key"))[0]
+    john, smith, jack, jones, mrs = re.fullmatch(r"Mr (\w+ \w+) met Mr (\w+), Mr (\w+ \w+), Mr (\w+) and Mrs (\w+)\.", got).groups()
+    assert john.split()[1] == jack.split()[1] == smith and john != jack and len({smith, jones, mrs}) == 3
+    assert not {"John", "Smith", "Jack", "Jones"} & set(re.findall(r"\w+", got))
 
 
 def test_names_grow(spark, monkeypatch):
