@@ -33,6 +33,19 @@ STEPS = 4
 START = math.log(1 / (CAP - 1))  # the odds of rate 1
 
 
+def _before(rows: DataFrame, order: list, **sums: str) -> DataFrame:
+    """``rows`` with the sum of a column over all rows before it in ``order``, for
+    each ``name=column`` of ``sums``. The rows are sorted in ranges, each in a task
+    of its own; only one row a range is sorted as a whole."""
+    ranged = saved(rows.repartitionByRange(*order).withColumn("range", F.spark_partition_id()), "mixing-ranges")
+    ahead = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = ranged.groupBy("range").agg(*[F.sum(c).alias(n) for n, c in sums.items()])
+    starts = starts.select("range", *[F.coalesce(F.sum(n).over(ahead), F.lit(0)).alias(f"{n}_ahead") for n in sums])
+    here = Window.partitionBy("range").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    ranged = ranged.join(starts, "range")
+    return ranged.withColumns({n: F.coalesce(F.sum(c).over(here), F.lit(0)) + F.col(f"{n}_ahead") for n, c in sums.items()}).select(*rows.columns, *sums)
+
+
 def targets(sizes: DataFrame) -> DataFrame:
     """source, source_size, target from (source, size, docs): shares by weight
     of 100 % of all words, stopped at ``CAP`` times the source's size, the
@@ -42,16 +55,15 @@ def targets(sizes: DataFrame) -> DataFrame:
     sources in order of ``most / weight``, the unit share left when the first k
     of them have stopped is greatest at the right k."""
     per = sizes.groupBy("source").agg(F.sum(F.col("size") * F.col("docs")).alias("source_size"))
-    number = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1
-    weight = F.element_at(F.array(*map(F.lit, WEIGHTS)), (number % len(WEIGHTS) + 1).cast("int"))
-    per = per.withColumn("weight", weight).withColumn("most", F.col("source_size") * float(CAP))
-    order = Window.orderBy(F.col("most") / F.col("weight"), F.col("source").asc_nulls_last())
-    left = order.rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    before = order.rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.orderBy(F.lit(0)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    unit = (F.sum("source_size").over(whole) - F.coalesce(F.sum("most").over(before), F.lit(0.0))) / F.sum("weight").over(left)
-    per = per.withColumn("unit", unit).withColumn("level", F.max("unit").over(whole))
-    return per.select("source", "source_size", F.least(F.col("most"), F.col("level") * F.col("weight")).alias("target"))
+    per = _before(per.withColumn("one", F.lit(1).cast("long")), [F.col("source").asc_nulls_last()], number="one")
+    weight = F.element_at(F.array(*map(F.lit, WEIGHTS)), (F.col("number") % len(WEIGHTS) + 1).cast("int"))
+    per = per.select("source", "source_size", weight.alias("weight"), (F.col("source_size") * float(CAP)).alias("most"))
+    per = per.withColumn("share", F.col("most") / F.col("weight"))
+    per = saved(_before(per, [F.col("share"), F.col("source").asc_nulls_last()], stopped="most", passed="weight"), "mixing-sources")
+    whole = per.agg(F.sum("source_size").alias("words"), F.sum("weight").alias("weights")).first()
+    unit = (whole.words - F.col("stopped")) / (whole.weights - F.col("passed")) if whole.words is not None else F.lit(0.0)
+    level = per.agg(F.coalesce(F.max(unit), F.lit(0.0)).alias("level")).first().level
+    return per.select("source", "source_size", F.least(F.col("most"), F.lit(level) * F.col("weight")).alias("target"))
 
 
 def _rate():

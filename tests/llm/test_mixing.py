@@ -49,6 +49,25 @@ def test_driver_rows_and_reruns(spark):
     assert sorted(map(tuple, taken)) == sorted(map(tuple, again))
 
 
+def test_targets_over_many_ranges(spark):
+    """More sources than one range holds, some stopped at the cap, one null."""
+    sizes = {None: 40, "": 0, **{f"s{i:03d}": (i * 37 % 101) ** 3 for i in range(120)}}
+    rows = spark.createDataFrame([(s, n, 1) for s, n in sizes.items()], "source string, size long, docs long")
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        got = {r.source: r.target for r in mixing.targets(rows).collect()}
+        per = mixing._before(rows, [F.col("source").asc_nulls_last()], number="docs").collect()
+        assert mixing.targets(rows.limit(0)).count() == 0
+    finally:
+        spark.conf.set(key, before)
+    assert [r.source for r in sorted(per, key=lambda r: r.number)] == sorted(sizes, key=lambda s: (s is None, s or ""))
+    want = brute_targets(sizes)
+    assert got.keys() == want.keys()
+    assert all(got[s] == pytest.approx(want[s], rel=1e-9, abs=1e-9) for s in want)
+
+
 def test_rates_are_tilted_exponentially(spark):
     """Odds of a rate against the cap are log-linear in the size of a document."""
     sizes = spark.createDataFrame([("a", n, 1) for n in range(10, 400, 7)] + [("b", 50, 40)], "source string, size long, docs long")
