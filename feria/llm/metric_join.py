@@ -1,9 +1,10 @@
 """Near-duplicate vectors by an exact metric range join.
 
 Cosine at or above a threshold is an angle at or below ``eps``. Pivots, a
-bounded sample of the vectors, cut the space into cells: a vector's home is the
-cell of its nearest pivot. A vector within ``eps`` of a member of cell ``i``
-is, by the triangle inequality,
+sample of a label's vectors that grows with their number, cut the label into
+cells: a vector's home is the cell of its nearest pivot. A label of few vectors
+is one cell. A vector within ``eps`` of a member of cell ``i`` is, by the
+triangle inequality,
 
 * at most ``2 * eps`` farther from pivot ``i`` than from its own pivot,
 * at most ``eps`` farther from pivot ``i`` than the cell's farthest member, and
@@ -32,8 +33,13 @@ from pyspark.sql import functions as F
 from feria.llm.common import saved
 from feria.llm.components import connected
 
-#: How many vectors, those of the least hashes, serve as pivots.
-PIVOTS = 16
+#: One vector in so many of a label is a pivot, told by its hash.
+CELL = 4096
+#: The numbers that the pivots of all labels may hold, about: beyond, cells are
+#: larger. Pivots decide on replication only, never on a link.
+PIVOT_NUMBERS = 1 << 21
+#: Angles that a task holds at a time.
+ANGLES = 1 << 21
 #: Vectors of a block: of the cell's own, and of all that the cell holds.
 OWN, ALL = 1024, 4096
 #: Slack, far above rounding, for what decides replication but never a link.
@@ -55,10 +61,40 @@ def _unit(rows: np.ndarray) -> np.ndarray:
     return rows / np.linalg.norm(rows, axis=1, keepdims=True)
 
 
-def _angles(units: np.ndarray, pivots: np.ndarray) -> np.ndarray:
+def _cells(units: np.ndarray, pivots: np.ndarray, eps: float, chord: float) -> tuple[np.ndarray, list[np.ndarray], list[np.ndarray]]:
+    """Of each vector its home cell, the cells it is replicated to (its home
+    too) and its angle to the pivot of each."""
     width = max(units.shape[1], pivots.shape[1])
     units, pivots = (np.pad(x, ((0, 0), (0, width - x.shape[1]))) for x in (units, pivots))
-    return np.arccos(np.clip(units @ pivots.T, -1, 1))
+    homes, cells, angles = [np.zeros(0, int)], [], []
+    step = max(1, ANGLES // len(pivots))
+    for at in range(0, len(units), step):
+        angle = np.arccos(np.clip(units[at : at + step] @ pivots.T, -1, 1))
+        own = angle.argmin(axis=1)
+        apart = np.maximum(np.sqrt(np.maximum(0, 2 - 2 * pivots[own] @ pivots.T)), 1e-12)
+        gap = np.cos(angle.min(axis=1))[:, None] - np.cos(angle)
+        near = (angle <= angle.min(axis=1)[:, None] + 2 * eps + SLACK) & (gap <= chord * apart + SLACK)
+        near[np.arange(len(own)), own] = True
+        homes.append(own)
+        cells += [np.flatnonzero(row) for row in near]
+        angles += [row[kept] for row, kept in zip(angle, near)]
+    return np.concatenate(homes), cells, angles
+
+
+def _pivots(reps: DataFrame) -> dict[object, np.ndarray]:
+    """The pivots of each label that has more than one, as unit rows."""
+    numbers = reps.agg(F.sum(F.size("v"))).first()[0] or 0
+    cell = max(CELL, math.ceil(numbers / PIVOT_NUMBERS))
+    told = F.pmod(F.xxhash64("k1", "k2", F.lit("pivot")), F.lit(cell)) == 0
+    rows: dict[object, list] = {}
+    for row in reps.where(told).orderBy("k1", "k2").select("label", "v").collect():
+        rows.setdefault(row.label, []).append(row.v)
+    out = {}
+    for label, vectors in rows.items():
+        if len(vectors) > 1:
+            width = max(map(len, vectors))
+            out[label] = _unit(np.array([[*v, *[0.0] * (width - len(v))] for v in vectors], float))
+    return out
 
 
 def usable(vector: str, label: str):
@@ -80,6 +116,7 @@ def range_join(vectors: DataFrame, threshold: float = 0.98) -> DataFrame:
     if no member has another. Other columns are ignored; an empty table gives
     no rows.
     """
+    spark = vectors.sparkSession
     eps, chord = math.acos(threshold), math.sqrt(2 - 2 * threshold)
     rows = vectors.select("vec_id", "embedding", "label", usable("embedding", "label").alias("ok"))
     keys = {"k1": F.xxhash64("label", "embedding"), "k2": F.xxhash64(F.lit("vector"), F.col("embedding"), F.col("label"))}
@@ -89,27 +126,30 @@ def range_join(vectors: DataFrame, threshold: float = 0.98) -> DataFrame:
                                                     F.count("*").alias("n"), F.min("vec_id").alias("first"))
     reps = saved(reps.withColumn("rid", F.monotonically_increasing_id()), "metric-reps")
 
-    # A bounded sample: PIVOTS vectors, whatever the input.
-    sample = [r.v for r in reps.orderBy("k1", "k2").limit(PIVOTS).select("v").collect()]
-    width = max(map(len, sample), default=1)
-    pivots = _unit(np.array([[*v, *[0.0] * (width - len(v))] for v in sample], float).reshape(len(sample), width)) if sample else np.ones((1, 1))
-    apart = np.maximum(np.sqrt(np.maximum(0, 2 - 2 * pivots @ pivots.T)), 1e-12)
+    pivots = spark.sparkContext.broadcast(_pivots(reps))
 
     def home(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                sizes = batch.column("v").value_lengths().to_numpy()
-                angle = _angles(_unit(_matrix(batch.column("v"), int(sizes.max()))), pivots)
-                own = angle.argmin(axis=1)
-                gap = np.cos(angle.min(axis=1))[:, None] - np.cos(angle)
-                near = (angle <= angle.min(axis=1)[:, None] + 2 * eps + SLACK) & (gap <= chord * apart[own] + SLACK)
-                near[np.arange(len(own)), own] = True
-                owner, cell = np.nonzero(near)
-                lists = pa.ListArray.from_arrays(pa.array(np.searchsorted(owner, np.arange(len(own) + 1)), pa.int32()), pa.array(cell, pa.int32()))
-                angles = pa.ListArray.from_arrays(lists.offsets, pa.array(angle[owner, cell]))
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("rid"), batch.column("label"), pa.array(sizes, pa.int32()), batch.column("n"), batch.column("v"),
-                     pa.array(own, pa.int32()), lists, angles], ["rid", "label", "size", "n", "v", "own", "cells", "angles"])
+            if not batch.num_rows:
+                continue
+            sizes = batch.column("v").value_lengths().to_numpy()
+            own = np.zeros(batch.num_rows, np.int32)
+            cells, angles = [np.zeros(1, int)] * batch.num_rows, [np.zeros(1)] * batch.num_rows
+            rows: dict[object, list[int]] = {}
+            for i, label in enumerate(batch.column("label").to_pylist()):
+                if label in pivots.value:
+                    rows.setdefault(label, []).append(i)
+            for label, at in rows.items():
+                vectors = batch.column("v").take(pa.array(at))
+                own[at], near, far = _cells(_unit(_matrix(vectors, int(sizes[at].max()))), pivots.value[label], eps, chord)
+                for i, c, a in zip(at, near, far):
+                    cells[i], angles[i] = c, a
+            ends = np.concatenate([[0], np.cumsum([len(c) for c in cells])])
+            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(cells), pa.int32()))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("rid"), batch.column("label"), pa.array(sizes, pa.int32()), batch.column("n"), batch.column("v"), pa.array(own, pa.int32()),
+                 lists, pa.ListArray.from_arrays(lists.offsets, pa.array(np.concatenate(angles)))],
+                ["rid", "label", "size", "n", "v", "own", "cells", "angles"])
 
     label = reps.schema["label"].dataType.simpleString()
     vector = reps.schema["v"].dataType.simpleString()
@@ -159,6 +199,8 @@ def range_join(vectors: DataFrame, threshold: float = 0.98) -> DataFrame:
     full = saved(full.withColumn("root", F.coalesce("root", "rid")), "metric-full")
     least = saved(full.groupBy("root").agg(F.min("first").alias("least")), "metric-least")
     told = saved(full.join(least, "root").select("k1", "k2", F.lit(True).alias("ok"), (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), "least"), "metric-told")
+    # Null and zero vectors are few keys of many rows: each gets keys of its own.
+    light = light.withColumns({"k1": F.when(F.col("ok"), F.col("k1")).otherwise(F.xxhash64("vec_id"))})
     out = light.join(told, ["k1", "k2", "ok"], "left")
     component = F.when(F.col("ok"), F.col("least")).otherwise(F.col("vec_id"))
     return out.select("vec_id", F.coalesce("n_links", F.lit(0)).alias("n_links"), component.alias("component_id"),

@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 from helpers import table
 from pyspark.sql import functions as F
 
@@ -36,8 +37,13 @@ def test_driver_rows(spark):
     assert got(metric_join.range_join(vectors)) == brute([(r.vec_id, r.embedding, r.label) for r in vectors.collect()])
 
 
-def test_clusters_in_small_blocks(spark, monkeypatch):
-    """Chains and dense groups cut into many cells and blocks lose no link."""
+@pytest.mark.parametrize("cell, numbers, angles", [(8, 1 << 21, 1 << 21), (8, 200, 64), (4096, 1 << 21, 1 << 21)])
+def test_clusters_in_small_blocks(spark, monkeypatch, cell, numbers, angles):
+    """Chains and dense groups cut into many cells and blocks lose no link,
+    with many pivots, with few as they are bounded, and without any."""
+    monkeypatch.setattr(metric_join, "CELL", cell)
+    monkeypatch.setattr(metric_join, "PIVOT_NUMBERS", numbers)
+    monkeypatch.setattr(metric_join, "ANGLES", angles)
     monkeypatch.setattr(metric_join, "OWN", 16)
     monkeypatch.setattr(metric_join, "ALL", 32)
     rng = np.random.default_rng(5)
@@ -63,3 +69,14 @@ def test_edges(spark):
     assert metric_join.range_join(spark.createDataFrame([], SCHEMA)).count() == 0
     none = spark.createDataFrame([(1, None, 0)], SCHEMA)
     assert got(metric_join.range_join(none)) == [(1, 0, 1, True)]
+
+
+def test_pivots_grow_with_the_vectors_of_a_label(spark, monkeypatch):
+    monkeypatch.setattr(metric_join, "CELL", 16)
+    rng = np.random.default_rng(6)
+    rows = [(rng.normal(size=4).tolist(), label) for label, n in [(0, 2000), (1, 500), (2, 3)] for _ in range(n)]
+    reps = spark.createDataFrame(rows, "v array<double>, label int").withColumns({"k1": F.xxhash64("v"), "k2": F.lit(0)})
+    found = {label: len(rows) for label, rows in metric_join._pivots(reps).items()}
+    assert 90 <= found[0] <= 160 and 16 <= found[1] <= 48 and 2 not in found
+    monkeypatch.setattr(metric_join, "PIVOT_NUMBERS", 200)
+    assert sum(len(rows) for rows in metric_join._pivots(reps).values()) <= 100
