@@ -4,8 +4,9 @@ Blanks never join two words in this vocabulary (its splitting pattern matches
 no white space, and its normaliser composes nothing across a blank), so a
 text's ids are the ids of its words in order. Documents are packed into chunks
 of an Arrow batch; a chunk's distinct words go to the word table, which
-is partitioned by word; there each distinct word is encoded once, and its ids
-return to every chunk that holds it, where they are put back by position.
+is partitioned by word, in buckets that grow in number with the text; there each
+distinct word is encoded once, and its ids return to every chunk that holds it,
+where they are put back by position.
 
 Decoding joins ids to pieces: the vocabulary, whose size is fixed, goes to
 every task as one array, and each document's ids are looked up in it.
@@ -30,12 +31,19 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 from tokenizers import Tokenizer
 
-from feria.llm.common import lean
+from feria.llm.common import lean, text_bytes
 
 #: The most entries of a vocabulary that is sent to every task.
 MAX_VOCABULARY = 1 << 20
 #: Bytes of text at which a chunk ends (a document is never split).
 CHUNK_BYTES = 16 << 20
+#: Bytes of text for each bucket of the word table, and the most buckets: more
+#: would leave a chunk's words in rows of a few.
+BUCKET_BYTES = 256 << 20
+MAX_BUCKETS = 1 << 14
+#: Words that a bucket's table holds; beyond, it starts anew, and a word that
+#: comes again is encoded again.
+TABLE_WORDS = 1 << 21
 #: Rows of a compressed stream.
 STREAM_ROWS = 500
 
@@ -123,7 +131,7 @@ def encode(spark: SparkSession, docs: DataFrame, path: str, digests: bool = Fals
     names = [f.name for f in rest]
     model = spark.sparkContext.broadcast(vocabulary(path))
     pieces = _pieces(spark, path) if digests else None
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(MAX_BUCKETS, -(-text_bytes(docs) // BUCKET_BYTES)))
 
     def distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _chunks(batches):
@@ -143,7 +151,7 @@ def encode(spark: SparkSession, docs: DataFrame, path: str, digests: bool = Fals
         for batch in batches:
             parts: dict[str, list] = {"chunk": [], "words": [], "ids": []}
             for bucket, chunk, blob in zip(*(batch.column(c).to_pylist() for c in ("bucket", "chunk", "words"))):
-                if bucket != at:
+                if bucket != at or len(table) > TABLE_WORDS:
                     at, table = bucket, {}
                 words = _unblob(blob)
                 table.update(_encoded(tokenizer, [w for w in words if w not in table]))

@@ -42,6 +42,11 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def text_bytes(docs: DataFrame) -> int:
+    """The UTF-8 bytes of all texts of ``docs``, by one pass over that column."""
+    return docs.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+
+
 def packed(df: DataFrame, *extra: Column, name: str = "row") -> DataFrame:
     """All columns of ``df`` in one struct, beside ``extra``: no column of the
     input can clash with a working column."""

@@ -59,6 +59,18 @@ def test_edges(spark, library, monkeypatch):
     assert bpe.encode(spark, none, bpe_path(), digests=True).count() == 0
 
 
+def test_many_buckets_and_short_tables(spark, library, monkeypatch):
+    """Buckets grow with the text, and a table that starts anew loses no word."""
+    monkeypatch.setattr(bpe, "BUCKET_BYTES", 100)
+    monkeypatch.setattr(bpe, "MAX_BUCKETS", 40)
+    monkeypatch.setattr(bpe, "TABLE_WORDS", 3)
+    monkeypatch.setattr(bpe, "CHUNK_BYTES", 500)
+    texts = {i: " ".join(f"word{j * i % 50} common {j}" for j in range(40)) for i in range(20)}
+    docs = documents(spark, [(i, t, "s") for i, t in texts.items()]).repartition(3).cache()
+    check(spark, library, docs, texts)
+    docs.unpersist()
+
+
 def test_decode_skips_unknown_ids(spark, library):
     df = spark.createDataFrame([(1, [320, 10**6, -1, 321]), (2, []), (3, None)], "doc_id long, ids array<int>")
     got = {r.doc_id: r.decoded for r in bpe.decode(spark, df, bpe_path()).collect()}
