@@ -5,7 +5,8 @@ A count-min sketch comes first. Each partition (a piece of an Arrow batch)
 hashes its windows into the rows of the sketch and sends its counters, which
 are mostly zero, as sorted lists of the others; the lists are dealt by ranges
 of counters, merged there, and every piece learns which of its counters reach
-two. The merged sketch is never in one place, so its width need not be bounded.
+two. The merged sketch is never in one place: its width and the number of ranges
+grow with the text.
 
 A window whose counters all reach two is estimated repeated; no repeated window
 is missed, as counters only overestimate. The second pass groups those windows
@@ -30,11 +31,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from feria.llm.common import lean, saved
+from feria.llm.common import lean, saved, text_bytes
 
-#: log2 of the counters of a sketch row, one row for each lane of the hash.
+#: log2 of the least counters of a sketch row, one row for each lane of the hash.
 WIDTH_BITS = 33
 LANES = 2
+#: Counters of a row for each word, at least, and words for each range of them.
+WORD_COUNTERS = 16
+RANGE_WORDS = 1 << 23
 #: The least words of a piece at which it ends (a document is never split).
 PIECE_WORDS = 1 << 19
 #: Odd factors of the two polynomial hashes, and their inverses modulo 2^64.
@@ -73,7 +77,8 @@ def _within(values: np.ndarray, ascending: np.ndarray) -> np.ndarray:
 class Windows:
     """The window hashes of a piece's texts."""
 
-    def __init__(self, texts: list[bytes], size: int):
+    def __init__(self, texts: list[bytes], size: int, bits: int = WIDTH_BITS):
+        self.bits = bits
         self.words = [t.split() for t in texts]
         lengths = np.array([len(w) for w in self.words], np.int64)
         ends = np.cumsum(lengths)
@@ -95,7 +100,7 @@ class Windows:
             self.hashes.append((total[self.starts + size] - total[self.starts]) * power[self.starts])
 
     def counters(self, lane: int) -> np.ndarray:
-        return self.hashes[lane] >> np.uint64(64 - WIDTH_BITS)
+        return self.hashes[lane] >> np.uint64(64 - self.bits)
 
     def estimated(self, reached: list[np.ndarray]) -> np.ndarray:
         """Which windows the sketch estimates repeated, as places in starts;
@@ -148,6 +153,20 @@ def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, pa.Table,
                 yield digest.hexdigest(), piece, own
 
 
+def sketch_shape(size: int, parts: int) -> tuple[int, int]:
+    """log2 of the counters of a row, and of the ranges they are merged in, for
+    ``size`` bytes of text."""
+    words = size // 6 + 1  # a word takes some six bytes
+    bits = max(WIDTH_BITS, (WORD_COUNTERS * words - 1).bit_length())
+    return bits, max(bits - 32, (2 * max(2, parts) - 1).bit_length(), (words // RANGE_WORDS).bit_length())
+
+
+def _ranged(ascending: np.ndarray, low: int) -> Iterator[tuple[int, int, int]]:
+    """(range, start, end) of the ranges of 2^low that hold values."""
+    held, starts = np.unique(ascending >> np.uint64(low), return_index=True)
+    yield from zip(held.tolist(), starts.tolist(), [*starts[1:].tolist(), len(ascending)])
+
+
 def remove_repeats(spark: SparkSession, docs: DataFrame, window: int = 35) -> DataFrame:
     """The columns of ``docs`` but text, then n_words, n_removed and kept (the
     words left, joined by a blank).
@@ -160,22 +179,21 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, window: int = 35) -> Da
     """
     rest = [f for f in docs.schema.fields if f.name != "text"]
     names = [f.name for f in rest]
-    parts = max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    shift = max(WIDTH_BITS - 32, (2 * parts - 1).bit_length())
-    ranges, low = 1 << shift, WIDTH_BITS - shift
+    bits, shift = sketch_shape(text_bytes(docs), int(spark.conf.get("spark.sql.shuffle.partitions")))
+    ranges, low = 1 << shift, bits - shift
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for name, _, texts in _pieces(batches):
-            own = Windows(texts, window)
+            own = Windows(texts, window, bits)
             keys, blobs = [], []
             for lane in range(LANES):
                 cells, twice = _distinct(np.sort(own.counters(lane)))
-                cuts = np.searchsorted(cells, np.arange(ranges + 1, dtype=np.uint64) << np.uint64(low))
-                for r in range(ranges):
-                    a, b = cuts[r], cuts[r + 1]
-                    if b > a or not r:  # range 0 always, for its answer
-                        keys.append(lane * ranges + r)
-                        blobs.append(_pack((cells[a:b] & np.uint64((1 << low) - 1)).astype(np.uint32), twice[a:b]))
+                held = list(_ranged(cells, low))
+                if not held or held[0][0]:  # range 0 always, for its answer
+                    held.insert(0, (0, 0, 0))
+                for r, a, b in held:
+                    keys.append(lane * ranges + r)
+                    blobs.append(_pack((cells[a:b] & np.uint64((1 << low) - 1)).astype(np.uint32), twice[a:b]))
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int32()), pa.array([name] * len(keys)), pa.array(blobs, pa.binary())],
                                              ["key", "piece", "counters"])
 
@@ -209,7 +227,7 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, window: int = 35) -> Da
         for blob in blobs:
             if blob is not None:
                 table = pa.ipc.open_stream(zstandard.ZstdDecompressor().decompress(blob)).read_all()
-                own = Windows([t.as_py() or b"" for t in table.column("text").cast(pa.binary())], window)
+                own = Windows([t.as_py() or b"" for t in table.column("text").cast(pa.binary())], window, bits)
                 yield rows.column("piece")[0].as_py(), table, own, own.estimated(reached)
 
     def estimate(rows: pa.Table) -> pa.Table:
@@ -218,11 +236,9 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, window: int = 35) -> Da
             a, b = (h[found] for h in own.hashes)
             order, new, again = _ordered(a, b)
             a, b, again = a[order][new], b[order][new], again[new]
-            cuts = np.searchsorted(a, np.arange(1, ranges, dtype=np.uint64) << np.uint64(64 - shift))
-            for r, (x, y, t) in enumerate(zip(np.split(a, cuts), np.split(b, cuts), np.split(again, cuts))):
-                if len(x):
-                    for k, v in zip(out, (r, name, x.tobytes(), y.tobytes(), np.packbits(t).tobytes())):
-                        out[k].append(v)
+            for r, s, e in _ranged(a, 64 - shift):
+                for k, v in zip(out, (r, name, a[s:e].tobytes(), b[s:e].tobytes(), np.packbits(again[s:e]).tobytes())):
+                    out[k].append(v)
         kinds = (pa.int32(), pa.string(), pa.binary(), pa.binary(), pa.binary())
         return pa.table([pa.array(v, k) for v, k in zip(out.values(), kinds)], list(out))
 

@@ -30,6 +30,7 @@ def test_driver_rows(spark):
 def test_overestimates_are_taken_back(spark, bits, monkeypatch):
     """With 64 counters every window is estimated repeated; the result is the same."""
     monkeypatch.setattr(substring, "WIDTH_BITS", bits)
+    monkeypatch.setattr(substring, "WORD_COUNTERS", 0)
     monkeypatch.setattr(substring, "PIECE_WORDS", 100)
     rows = [(i, " ".join(f"w{i}n{k}" for k in range(30))) for i in range(40)]
     rows += [(100, "a b c d e f g h"), (101, "x a b c d e f y"), (102, "r " * 20), (103, "p q r s p q r s")]
@@ -42,6 +43,23 @@ def test_overestimates_are_taken_back(spark, bits, monkeypatch):
         spark.conf.set("spark.sql.shuffle.partitions", "4")
 
 
+def test_many_ranges(spark, monkeypatch):
+    """More ranges than a piece has windows: most hold nothing of it."""
+    monkeypatch.setattr(substring, "RANGE_WORDS", 1)
+    monkeypatch.setattr(substring, "PIECE_WORDS", 50)
+    rows = [(i, f"s{i} " + "a b c d e f " * (i % 3) + " ".join(f"w{i % 7}n{k}" for k in range(12))) for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert got(substring.remove_repeats(spark, docs, 4)) == brute(rows, 4)
+
+
+def test_sketch_grows_with_the_text():
+    assert substring.sketch_shape(0, 8) == (33, 4)
+    for size in (10**9, 10**12, 10**14):
+        bits, shift = substring.sketch_shape(size, 200)
+        words = size / 6
+        assert 2**bits >= 16 * words and bits - shift <= 32 and words / 2**shift <= 2 * substring.RANGE_WORDS
+
+
 def test_edges(spark):
     rows = [(1, None), (2, ""), (3, " \n"), (4, "a b c"), (5, "a b c d é"), (6, "x a b c d"), (None, "long " * 50_000), (7, "k l m n"), (7, "k l m n")]
     docs = documents(spark, [(i, t, "s") for i, t in rows])
