@@ -14,7 +14,7 @@ from __future__ import annotations
 import os
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from feria.functions import money_round, pct, ratio_round
@@ -26,47 +26,77 @@ CELL = ["order_year", "state", "order_status"]
 ROW_BITS = 32768
 
 
-def _sums(rows: DataFrame, *more: str) -> DataFrame:
-    n = F.count(F.lit(1))
-    return rows.groupBy(*CELL, *more).agg(
-        n.alias("_n"), F.sum("payment_value").alias("_revenue"), F.sum("delivery_time_days").alias("_days"), F.count("delivery_time_days").alias("_n_days"),
-        F.count_if(F.col("order_status") == "canceled").alias("_canceled"), F.sum("review_score").alias("_score"), F.count("review_score").alias("_n_score"),
-        F.count_if(F.col("is_delivered") == 1).alias("_delivered"))
+def _sums(orders: DataFrame, payments: bool, reviews: bool, *more: str) -> DataFrame:
+    """Per cell the sums over the orders, each as often as a join to its payments
+    or reviews repeats it."""
+    def rows(c: str, joined: bool) -> Column:
+        return F.greatest(F.coalesce(c, F.lit(0)), F.lit(1)) if joined else F.lit(1).cast("long")
+
+    paid, seen = rows("_payments", payments), rows("_reviews", reviews)
+    n, days = paid * seen, F.col("delivery_time_days")
+    score, scores = (F.col("_score") * paid, F.coalesce("_scores", F.lit(0)) * paid) if reviews else (F.lit(None).cast("long"), F.lit(0).cast("long"))
+    return orders.groupBy(*CELL, *more).agg(
+        F.sum(n).alias("_n"), F.sum(F.col("payment_value") * seen.cast("int")).alias("_revenue"), F.sum(days * n).alias("_days"),
+        F.sum(F.when(days.isNotNull(), n).otherwise(0)).alias("_n_days"), F.sum(F.when(F.col("order_status") == "canceled", n).otherwise(0)).alias("_canceled"),
+        F.sum(score).alias("_score"), F.sum(scores).alias("_n_score"), F.sum(F.when(F.col("is_delivered") == 1, n).otherwise(0)).alias("_delivered"))
 
 
 def _buyer_bits(orders: DataFrame, buckets: int) -> DataFrame:
-    buyers = orders.where(F.col("customer_unique_id").isNotNull()).select(*CELL, "customer_unique_id")
-    bucket = F.pmod(F.xxhash64("customer_unique_id"), F.lit(buckets)).cast("int")
-    numbered = buyers.select("customer_unique_id").distinct().withColumn("bucket", bucket)
-    numbered = numbered.withColumn("number", F.row_number().over(Window.partitionBy("bucket").orderBy("customer_unique_id")) - 1)
-    placed = buyers.join(numbered, "customer_unique_id")
+    """The buyers' bits. A bucket's rows meet once, each buyer once a cell, so that
+    a bitmap is made in one task and none is shuffled."""
+    bucket = F.pmod(F.xxhash64("customer_unique_id"), F.lit(buckets)).cast("int").alias("bucket")
+    buyers = orders.where(F.col("customer_unique_id").isNotNull()).select(*CELL, "customer_unique_id", bucket).distinct()
+    placed = buyers.withColumn("number", F.dense_rank().over(Window.partitionBy("bucket").orderBy("customer_unique_id")) - 1)
     return placed.groupBy(*CELL, "bucket", F.floor(F.col("number") / ROW_BITS).cast("int").alias("block")).agg(
         F.bitmap_construct_agg((F.col("number") % ROW_BITS).cast("long")).alias("held"))
 
 
+def order_sums(star: Mapping[str, DataFrame]) -> DataFrame:
+    """The orders that the dashboard shows, each with its cell, its buyer and the
+    sums of its payments and reviews. All but the customer joins on the order."""
+    whole = star["fact_payments"].groupBy("order_id").agg(F.count(F.lit(1)).alias("_payments"), F.sum("payment_value").alias("payment_value"))
+    told = star["fact_reviews"].groupBy("order_id").agg(
+        F.count(F.lit(1)).alias("_reviews"), F.sum("review_score").alias("_score"), F.count("review_score").alias("_scores"),
+        F.sum(F.col("is_negative").cast("int")).alias("_negative"))
+    sums = [c for c in whole.columns + told.columns if c != "order_id"]
+    wide = star["fact_orders"].join(whole, "order_id", "left").join(told, "order_id", "left")
+    kept = ["delivery_time_days", "delay_days", "order_yearmonth", "is_delivered"]
+    return filtered_orders({"fact_orders": wide, "dim_customers": star["dim_customers"]}, Filters(), kept + sums).drop("customer_id")
+
+
+def write_rows(spark: SparkSession, star: Mapping[str, DataFrame], path: str) -> dict[str, DataFrame]:
+    """What the cube is made from, written once: the tables of a lazy star would
+    be cleaned and joined anew for each table of the cube."""
+    def stored(name: str, df: DataFrame) -> DataFrame:
+        df.write.mode("overwrite").parquet(os.path.join(path, name))
+        return spark.read.parquet(os.path.join(path, name))
+
+    reviews = stored("fact_reviews", star["fact_reviews"].select("order_id", "review_score", "is_negative"))
+    sums = stored("order_sums", order_sums({**{t: star[t] for t in ("fact_orders", "fact_payments", "dim_customers")}, "fact_reviews": reviews}))
+    return {"order_sums": sums, "fact_reviews": reviews, **{t: star[t] for t in ("fact_order_items", "dim_products")}}
+
+
 def build_cube(star: Mapping[str, DataFrame], buckets: int = 64) -> dict[str, DataFrame]:
-    """The cube's tables, lazily. Orders without a year or a customer are in no
-    cell, as the dashboard never shows them."""
-    o = filtered_orders(star, Filters(), ["delivery_time_days", "delay_days", "order_yearmonth", "is_delivered"])
-    p = star["fact_payments"].select("order_id", "payment_value")
-    r = star["fact_reviews"].select("order_id", "review_score", "is_negative")
-    whole = p.groupBy("order_id").agg(F.sum("payment_value").alias("payment_value"))
-    no_score = F.lit(None).cast("int").alias("review_score")
-    flags = o.join(r, "order_id", "left").select(
-        *CELL, F.when(F.col("order_status") == "canceled", 1).otherwise(0).alias("c"), F.when(F.col("delay_days") > 0, 1).otherwise(0).alias("l"),
-        F.coalesce(F.col("is_negative").cast("int"), F.lit(0)).alias("n"))
+    """The cube's tables, lazily; ``star`` may be that of :func:`write_rows`. Orders
+    without a year or a customer are in no cell, as the dashboard never shows them."""
+    o = star["order_sums"] if "order_sums" in star else order_sums(star)
+    r = star["fact_reviews"].select("order_id", "review_score")
+    place = o.select("order_id", *CELL)
+    seen, negative = F.greatest(F.coalesce("_reviews", F.lit(0)), F.lit(1)), F.coalesce("_negative", F.lit(0))
+    canceled, late = F.coalesce(F.col("order_status") == "canceled", F.lit(False)), F.coalesce(F.col("delay_days") > 0, F.lit(False))
     items = star["fact_order_items"].select("order_id", "product_id", "price")
     named = star["dim_products"].select("product_id", F.col("category_name_en").alias("category")).where("category IS NOT NULL")
     return {
         "orders": o.groupBy(*CELL).agg(F.count(F.lit(1)).alias("_orders")),
-        "written": _sums(o.join(p, "order_id", "left").join(r, "order_id", "left")),
-        "by_order": _sums(o.join(whole, "order_id", "left").join(r, "order_id", "left")),
-        "months": _sums(o.join(p, "order_id", "left").withColumn("review_score", no_score), "order_yearmonth"),
-        "months_by_order": _sums(o.join(whole, "order_id", "left").withColumn("review_score", no_score), "order_yearmonth"),
-        "scores": o.join(r, "order_id").groupBy(*CELL, "review_score").agg(F.count(F.lit(1)).alias("total")),
-        "incidents": flags.groupBy(*CELL).agg(F.sum("c").alias("canceled"), F.sum("l").alias("late"), F.sum("n").alias("negative_reviews"),
-                                              F.sum(F.greatest("c", "l", "n")).alias("_any"), F.count(F.lit(1)).alias("total")),
-        "categories": items.join(named, "product_id").join(o.select("order_id", *CELL), "order_id").groupBy(*CELL, "category").agg(
+        "written": _sums(o, True, True),
+        "by_order": _sums(o, False, True),
+        "months": _sums(o, True, False, "order_yearmonth"),
+        "months_by_order": _sums(o, False, False, "order_yearmonth"),
+        "scores": place.join(r, "order_id").groupBy(*CELL, "review_score").agg(F.count(F.lit(1)).alias("total")),
+        "incidents": o.groupBy(*CELL).agg(
+            F.sum(F.when(canceled, seen).otherwise(0)).alias("canceled"), F.sum(F.when(late, seen).otherwise(0)).alias("late"),
+            F.sum(negative).alias("negative_reviews"), F.sum(F.when(canceled | late, seen).otherwise(negative)).alias("_any"), F.sum(seen).alias("total")),
+        "categories": items.join(named, "product_id").join(place, "order_id").groupBy(*CELL, "category").agg(
             F.count_distinct("order_id").alias("orders"), F.sum("price").alias("_revenue"),
             F.sum((F.col("price") * 100).cast("bigint")).alias("_cents"), F.count("price").alias("_prices"), F.count(F.lit(1)).alias("items_sold")),
         "buyers": _buyer_bits(o, buckets),

@@ -179,7 +179,8 @@ _same_as("colocated_kpi_row_filtered", "kpi_row_filtered")(lambda s, d: Dsh.kpi_
 
 # ------------------------------------------------------------ dashboard cube
 def _cube(s, d):
-    return cube.write_cube(s, cube.build_cube(star(s, d)), work_dir(s, "cube"))
+    out = work_dir(s, "cube")
+    return cube.write_cube(s, cube.build_cube(cube.write_rows(s, star(s, d), f"{out}/rows")), out)
 
 
 for _name, _answer in {"kpi_row": cube.kpi_row, "kpi_row_by_order": cube.kpi_row_by_order, "dash_q1_monthly": cube.monthly,

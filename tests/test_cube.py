@@ -61,3 +61,37 @@ def test_blocks_beyond_one_row(spark):
     bits = C._buyer_bits(orders, buckets=1)
     assert bits.count() == 3
     assert bits.selectExpr("sum(bitmap_count(held)) AS n").first().n == 70_000
+
+
+def test_payments_and_reviews_of_an_order_repeat_it(spark):
+    """Orders with several, one or no payments and reviews, as the joins count them."""
+    def table(rows, schema):
+        return spark.createDataFrame(rows, schema)
+
+    star = {
+        "fact_orders": table([(1, 1, 1996, "canceled", 3, None, "1996-01", 0), (2, 1, 1996, "delivered", 5, 2, "1996-01", 1), (3, 2, 1996, "shipped", None, -1, None, 0),
+                              (4, 9, 1996, "delivered", 1, 1, "1996-02", 1), (5, 2, None, "delivered", 1, 1, None, 1), (6, None, 1997, "delivered", 1, 1, "1997-01", 1)],
+                             "order_id long, customer_id long, order_year int, order_status string, delivery_time_days int, delay_days int, order_yearmonth string, is_delivered int"),
+        "dim_customers": table([(1, "x", "NB"), (2, "x", "NC"), (3, "y", None)], "customer_id long, customer_unique_id string, state string"),
+        "fact_payments": table([(1, 10.5), (1, 2.25), (1, 2.25), (2, None), (7, 1.0), (None, 3.0)], "order_id long, payment_value double").selectExpr(
+            "order_id", "CAST(payment_value AS decimal(10,2)) AS payment_value"),
+        "fact_reviews": table([(1, 1, 1), (1, 1, 1), (1, 5, 0), (3, 2, 1), (3, None, None), (None, 4, 0)], "order_id long, review_score int, is_negative int"),
+        "fact_order_items": table([(1, 1, 5.0), (1, 2, 7.0), (2, 1, None), (3, 3, 9.0)], "order_id long, product_id long, price double").selectExpr(
+            "order_id", "product_id", "CAST(price AS decimal(10,2)) AS price"),
+        "dim_products": table([(1, "a"), (2, "b"), (3, None)], "product_id long, category_name_en string"),
+    }
+    cube = C.build_cube(star, buckets=2)
+    for name, (from_cube, from_facts) in PAIRS.items():
+        for flt in [D.Filters(), D.Filters(states=("NB",)), D.Filters(statuses=("shipped",)), D.Filters(years=(2050, 2051))]:
+            assert normalize_output(from_cube(cube, flt)).collect() == normalize_output(from_facts(star, flt)).collect(), (name, flt)
+
+
+def test_the_star_is_read_once(spark, tmp_path):
+    """No table of the cube cleans or joins the star anew: all but the items come from stored rows."""
+    star = build(spark, SF)
+    rows = C.write_rows(spark, star, str(tmp_path / "rows"))
+    for name, df in C.build_cube(rows).items():
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert name == "categories" or "o_orderkey" not in plan and "event_id" not in plan and "l_orderkey" not in plan, name
+    bits = C.build_cube(rows)["buyers"]._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in bits[bits.index("bitmap_construct_agg"):bits.index("Window")], "a bitmap is shuffled"
