@@ -78,11 +78,12 @@ class KeyedTable:
         """The keys of some buckets: only their folders are read."""
         return self.spark.read.parquet(self._rows).where(F.col("_bucket").isin(buckets)).select("_bucket", *self.keys)
 
-    def _maybe(self, batch: DataFrame, hit: list[int]) -> DataFrame:
-        """The keys of ``batch`` whose bit is set."""
+    def _known_buckets(self, batch: DataFrame, hit: list[int]) -> list[int]:
+        """The buckets where the bit of a key of ``batch`` is set: at most ``buckets``."""
         filters = self.spark.read.parquet(self._filters).where(F.col("_bucket").isin(hit))
         held = filters.groupBy("_bucket", "_row").agg(F.bitmap_or_agg("held").alias("held"))
-        return batch.join(held, ["_bucket", "_row"]).where(_is_set(F.col("held"), F.col("_bit"))).select("_bucket", *self.keys)
+        asked = batch.select("_bucket", "_row", "_bit").join(held, ["_bucket", "_row"])
+        return [r[0] for r in asked.where(_is_set(F.col("held"), F.col("_bit"))).select("_bucket").distinct().collect()]
 
     def append(self, incoming: DataFrame, arrival: list[By]) -> Appended:
         """Add the rows whose key is not there yet; of rows with one key the first
@@ -90,27 +91,25 @@ class KeyedTable:
         are not stored."""
         spark, scratch = self.spark, work_dir(self.spark, "keyed-append")
         stored = [c for c in incoming.columns if not c.startswith("_")]
-        first = first_per_key(incoming, self.keys, arrival).select(*stored)
-        self._placed(first).write.parquet(f"{scratch}/batch")
-        batch = spark.read.parquet(f"{scratch}/batch")
-        hit = [r[0] for r in batch.select("_bucket").distinct().collect()]  # at most ``buckets``
-        fresh, read = batch, []
+        first = first_per_key(incoming, self.keys, arrival, counted="_n").select(*stored, "_n")
+        placed = self._placed(first)
+        placed.write.parquet(f"{scratch}/batch")
+        batch = spark.read.schema(placed.schema).parquet(f"{scratch}/batch")
+        came = batch.groupBy("_bucket").agg(F.sum("_n").alias("n"), F.count(F.lit(1)).alias("keys")).collect()  # at most ``buckets``
+        hit, fresh, read = [r["_bucket"] for r in came], batch.drop("_n"), []
+        done = sum(r["keys"] for r in came)
         if hit and path_exists(spark, self._filters) and path_exists(spark, self._rows):
-            self._maybe(batch, hit).write.parquet(f"{scratch}/maybe")
-            maybe = spark.read.schema(batch.select("_bucket", *self.keys).schema).parquet(f"{scratch}/maybe")
-            read = [r[0] for r in maybe.select("_bucket").distinct().collect()]
+            read = self._known_buckets(batch, hit)
             if read:
-                known = self._same(maybe, self.keys_of(read), "left_semi")
-                known.write.parquet(f"{scratch}/known")
-                fresh = self._same(batch, spark.read.schema(maybe.schema).parquet(f"{scratch}/known"), "left_anti")
-        fresh.write.parquet(f"{scratch}/fresh")
-        fresh = spark.read.schema(batch.schema).parquet(f"{scratch}/fresh")
-        bits = fresh.groupBy("_bucket", "_row").agg(F.bitmap_construct_agg("_bit").alias("held"))
+                self._same(fresh, self.keys_of(read), "left_anti").write.parquet(f"{scratch}/fresh")
+                fresh = spark.read.schema(fresh.schema).parquet(f"{scratch}/fresh")
+                done = fresh.count()
+        # Each bit once, and its row in one task: no bitmap is shuffled.
+        bits = fresh.select("_bucket", "_row", "_bit").repartition("_bucket", "_row").groupBy("_bucket", "_row").agg(F.bitmap_construct_agg("_bit").alias("held"))
         bits.repartition("_bucket").write.mode("append").partitionBy("_bucket").parquet(self._filters)
         rows = fresh.drop("_row", "_bit").repartition("_bucket")  # one file a bucket
         rows.write.mode("append").partitionBy("_bucket").parquet(self._rows)
-        done = fresh.count()
-        result = Appended(done, incoming.count() - done, len(hit), len(read))
+        result = Appended(done, sum(r["n"] for r in came) - done, len(hit), len(read))
         remove_path(spark, scratch)
         return result
 

@@ -98,3 +98,23 @@ def test_streams_append_to_it(spark, tmp_dir):
         start_keyed_load(spark, os.path.join(src, "*"), batch(spark, []).schema, target, ["k", "j"], ARRIVAL,
                          checkpoint=os.path.join(tmp_dir, "ckpt"), buckets=4).awaitTermination(120)
     assert stored(KeyedTable(spark, target, ["k", "j"])) == {(1, "a"): 5, (2, "a"): 2}
+
+
+def test_a_batch_is_computed_once(spark, tmp_dir):
+    """What the batch is made from is read in one go, also to count it, and what
+    is new needs no copy where nothing is known."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def rows(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    t = KeyedTable(spark, os.path.join(tmp_dir, "t"), ["k", "j"], buckets=4)
+    made = batch(spark, [(i % 50, "a", i, i) for i in range(100)]).mapInArrow(rows, SCHEMA)
+    got = t.append(made, ARRIVAL)
+    assert (got.appended, got.skipped, seen.value) == (50, 50, 100)
+    more = t.append(batch(spark, [(i, "a", i, i) for i in range(40, 60)]), ARRIVAL)
+    assert (more.appended, more.skipped) == (10, 10)
+    for n in range(4):
+        assert sum(f.endswith(".parquet") for f in os.listdir(os.path.join(t._rows, f"_bucket={n}"))) <= 2  # one an append

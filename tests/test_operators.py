@@ -46,6 +46,17 @@ def test_first_per_key_full_row_tiebreak(spark):
     assert got == [(1, 5, "a"), (2, 1, "x")]
 
 
+def test_first_per_key_takes_ascending_keys_back(spark):
+    """A sort key is not moved a second time beside itself; NULLs, ties and counts stay."""
+    df = spark.createDataFrame([(1, None, 5, "x"), (1, 2, 7, "y"), (1, 2, 6, "z"), (2, None, None, "b"), (2, None, None, "a"), (None, 3, 1, "c")],
+                               "k int, o int, d int, v string")
+    got = first_per_key(df, ["k"], [By("o"), By("d", desc=True)], counted="n")
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted([(1, 2, 7, "y", 3), (2, None, None, "a", 2), (None, 3, 1, "c", 1)], key=repr)
+    assert first_per_key(df.select("k", "o"), ["k"], [By("o")]).columns == ["k", "o"]
+    plan = first_per_key(df, ["k"], [By("o")])._jdf.queryExecution().optimizedPlan().toString()
+    assert "_row, struct(d, d#" in plan and "struct(o, o#" not in plan
+
+
 def test_insert_ignore_keeps_existing_and_first_arrival(spark):
     target = spark.createDataFrame([(1, "old")], "k int, v string")
     incoming = spark.createDataFrame([(1, "new"), (2, "b"), (2, "a"), (3, "c")],
