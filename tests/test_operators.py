@@ -96,6 +96,24 @@ def test_describe_and_quantile_filter(spark):
     assert sorted(r.x for r in kept.collect()) == [1.0, 2.0]
 
 
+def test_a_profile_makes_its_rows_once(spark):
+    """Nulls, rows, distinct values and samples come from one pass, fractions as fixed-point text."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    df = spark.createDataFrame([(1, 2.5, None), (1, -0.25, None), (None, 10.0, None), (3, None, None)], "a int, b double, c string")
+    got = [tuple(r) for r in P.profile_columns(df.mapInArrow(counted, df.schema), "t").collect()]
+    assert got == [("t", 0, "a", "int", 1, 25.0, 2, 50.0, "1"), ("t", 1, "b", "double", 1, 25.0, 3, 75.0, "-0.250000000"),
+                   ("t", 2, "c", "string", 4, 100.0, 0, 0.0, None)]
+    assert seen.value == 4
+    empty = P.profile_columns(df.where("a > 9"), "t").collect()
+    assert [(r.column, r.nulls, r.null_pct, r.unique, r.unique_pct, r.sample_value) for r in empty] == [(c, 0, None, 0, None, None) for c in "abc"]
+
+
 def test_profile_and_null_counts(spark):
     df = spark.createDataFrame([(1, None), (2, "a"), (2, "a")], "a int, b string")
     prof = {r.column: r for r in P.profile_columns(df, "t").collect()}
