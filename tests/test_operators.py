@@ -175,3 +175,10 @@ def test_fk_check_null_key(spark):
     parent = spark.createDataFrame([(1,), (1,)], "k int")
     assert tuple(fk_check(child, "c", "k", parent, "p", "k").first())[2:] == (3, 4, 75.0)
     assert tuple(fk_check(child, "c", "k", parent, "p", "k", null_is_orphan=False).first())[2:] == (2, 4, 50.0)
+
+
+def test_the_clean_summary_reads_stored_tables(spark):
+    """The master and its six tables are not cleaned once more for it."""
+    from feria.registry import QUERIES
+    plan = QUERIES["table_summary_clean"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "l_orderkey" not in plan and "o_orderkey" not in plan and "event_id" not in plan
