@@ -16,6 +16,7 @@ import json
 import os
 import zlib
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,19 +43,26 @@ def orders_with_customer(star: Mapping[str, DataFrame]) -> DataFrame:
     return joined.select(*star["fact_orders"].columns, "_buyer", "_state", F.coalesce("_known", F.lit(False)).alias("_customer"))
 
 
-def write_colocated(spark: SparkSession, star: Mapping[str, DataFrame], path: str, buckets: int = 64) -> dict[str, DataFrame]:
-    """Write the star under ``path`` and open it. ``buckets`` sets the tasks of
-    the joins: for 100 TB take some thousands, so that a bucket fits in memory."""
-    for t in LOAD_ORDER:
+def write_colocated(spark: SparkSession, star: Mapping[str, DataFrame], path: str, buckets: int = 64,
+                    parallel: int = 4) -> dict[str, DataFrame]:
+    """Write the star under ``path``, up to ``parallel`` tables at a time, and open
+    it. ``buckets`` sets the tasks of the joins: for 100 TB take some thousands, so
+    that a bucket fits in memory."""
+    tables = {t: orders_with_customer(star) if t == "fact_orders" else star[t] for t in LOAD_ORDER}
+
+    def one(t: str) -> None:
         if t in FACTS:
-            df = orders_with_customer(star) if t == "fact_orders" else star[t]
             # Dealt as the buckets are: each task writes one file.
-            writer = df.repartition(buckets, KEY).write.bucketBy(buckets, KEY).sortBy(KEY)
+            writer = tables[t].repartition(buckets, KEY).write.bucketBy(buckets, KEY).sortBy(KEY)
             name = _name(path, t)
             spark.sql(f"DROP TABLE IF EXISTS {name}")
             writer.mode("overwrite").option("path", os.path.join(path, t)).saveAsTable(name)
         else:
-            star[t].write.mode("overwrite").parquet(os.path.join(path, t))
+            tables[t].write.mode("overwrite").parquet(os.path.join(path, t))
+
+    # A table's last step has few tasks: another's fill the cores meanwhile.
+    with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+        list(pool.map(one, FACTS + [t for t in LOAD_ORDER if t not in FACTS]))
     about = {t: spark.table(_name(path, t)).schema.json() for t in FACTS}
     write_text(spark, os.path.join(path, "_colocated.json"), json.dumps({"buckets": buckets, "schemas": about}))
     return open_colocated(spark, path)
