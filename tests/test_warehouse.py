@@ -139,3 +139,25 @@ def test_planning_runs_no_data_job(spark):
         assert len(jobs) <= 9, (name, len(jobs))  # at most one for each raw table
         assert all(len(tracker.getJobInfo(j).stageIds) == 1 for j in jobs), name
     spark.sparkContext.setJobGroup("", "")
+
+
+def test_items_move_once(spark):
+    """The rows are dealt by their key unsorted, and the first of a key is found
+    where they lie, though the key's type changes."""
+    from feria.registry import star
+    plan = star(spark, "/root/testdata/sf0.001")["fact_order_items"]._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") == 1, plan
+    assert "Sort" not in plan[plan.index("Exchange "):], plan
+
+
+def test_a_key_beyond_its_type_is_rejected(spark):
+    """Keys grouped by the type they came in, and the texts of several rules."""
+    rows = [(1, 1, 7, 8, "5.00", "1.00"), (1, 1, 6, 8, "4.00", "1.00"), (1, 70000, 7, 8, "5.00", "1.00"), (1, 4464, 7, 8, "3.00", "1.00"), (None, 2, 7, 8, None, "1.00")]
+    items = spark.createDataFrame(rows, "order_id long, order_item_id int, product_id long, seller_id long, price string, freight_value string").selectExpr(
+        "* EXCEPT (price, freight_value)", "timestamp_ntz'2020-01-01' AS shipping_limit_date", "CAST(price AS decimal(10,2)) AS price",
+        "CAST(freight_value AS decimal(10,2)) AS freight_value", "CAST(price AS decimal(10,2)) AS total_item_value")
+    got = W.build_table("fact_order_items", items)
+    assert dict(got.rows.dtypes)["order_item_id"] == "smallint"
+    assert sorted((r.order_id, r.order_item_id, r.product_id) for r in got.rows.collect()) == [(1, 1, 6), (1, 4464, 7)]
+    assert sorted(r.reason for r in got.rejects.collect()) == [
+        "order_id is null; price is null", "order_item_id does not fit smallint; order_item_id is null"]
