@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -26,19 +27,35 @@ CELL = ["order_year", "state", "order_status"]
 ROW_BITS = 32768
 
 
-def _sums(orders: DataFrame, payments: bool, reviews: bool, *more: str) -> DataFrame:
-    """Per cell the sums over the orders, each as often as a join to its payments
-    or reviews repeats it."""
-    def rows(c: str, joined: bool) -> Column:
-        return F.greatest(F.coalesce(c, F.lit(0)), F.lit(1)) if joined else F.lit(1).cast("long")
+def order_cells(orders: DataFrame) -> DataFrame:
+    """The cells' sums by month, for every way that the dashboard joins the orders
+    to their payments and reviews: each order as often as that join repeats it."""
+    def rows(c: str) -> Column:
+        return F.greatest(F.coalesce(c, F.lit(0)), F.lit(1))
 
-    paid, seen = rows("_payments", payments), rows("_reviews", reviews)
-    n, days = paid * seen, F.col("delivery_time_days")
-    score, scores = (F.col("_score") * paid, F.coalesce("_scores", F.lit(0)) * paid) if reviews else (F.lit(None).cast("long"), F.lit(0).cast("long"))
-    return orders.groupBy(*CELL, *more).agg(
-        F.sum(n).alias("_n"), F.sum(F.col("payment_value") * seen.cast("int")).alias("_revenue"), F.sum(days * n).alias("_days"),
-        F.sum(F.when(days.isNotNull(), n).otherwise(0)).alias("_n_days"), F.sum(F.when(F.col("order_status") == "canceled", n).otherwise(0)).alias("_canceled"),
-        F.sum(score).alias("_score"), F.sum(scores).alias("_n_score"), F.sum(F.when(F.col("is_delivered") == 1, n).otherwise(0)).alias("_delivered"))
+    paid, seen, one = rows("_payments"), rows("_reviews"), F.lit(1).cast("long")
+    days, scores, negative = F.col("delivery_time_days"), F.coalesce("_scores", F.lit(0)), F.coalesce("_negative", F.lit(0))
+    canceled, late = F.coalesce(F.col("order_status") == "canceled", F.lit(False)), F.coalesce(F.col("delay_days") > 0, F.lit(False))
+
+    def sums(kind: str, n: Column, whole: Column, told: Column | None) -> list[Column]:
+        score = [F.sum(F.col("_score") * told).alias(f"{kind}_score"), F.sum(scores * told).alias(f"{kind}_n_score")] if told is not None else []
+        return [F.sum(n).alias(f"{kind}_n"), F.sum(F.col("payment_value") * whole.cast("int")).alias(f"{kind}_revenue"), F.sum(days * n).alias(f"{kind}_days"),
+                F.sum(F.when(days.isNotNull(), n).otherwise(0)).alias(f"{kind}_n_days"), F.sum(F.when(F.col("is_delivered") == 1, n).otherwise(0)).alias(f"{kind}_delivered"),
+                F.sum(F.when(canceled, n).otherwise(0)).alias(f"{kind}_canceled"), *score]
+
+    return orders.groupBy(*CELL, "order_yearmonth").agg(
+        F.count(F.lit(1)).alias("_orders"),
+        *sums("written", paid * seen, seen, paid), *sums("by_order", seen, seen, one), *sums("months", paid, one, None), *sums("months_by_order", one, one, None),
+        F.sum(F.when(canceled, seen).otherwise(0)).alias("canceled"), F.sum(F.when(late, seen).otherwise(0)).alias("late"), F.sum(negative).alias("negative_reviews"),
+        F.sum(F.when(canceled | late, seen).otherwise(negative)).alias("_any"), F.sum(seen).alias("total"))
+
+
+def _sums(cells: DataFrame, kind: str, *more: str) -> DataFrame:
+    """One way's sums of :func:`order_cells` by cell and ``more``."""
+    def total(c: str) -> Column:
+        return F.sum(f"{kind}{c}").alias(c) if f"{kind}{c}" in cells.columns else F.lit(None if c == "_score" else 0).cast("long").alias(c)
+
+    return cells.groupBy(*CELL, *more).agg(*[total(c) for c in ("_n", "_revenue", "_days", "_n_days", "_canceled", "_score", "_n_score", "_delivered")])
 
 
 def _buyer_bits(orders: DataFrame, buckets: int) -> DataFrame:
@@ -73,39 +90,46 @@ def write_rows(spark: SparkSession, star: Mapping[str, DataFrame], path: str) ->
 
     reviews = stored("fact_reviews", star["fact_reviews"].select("order_id", "review_score", "is_negative"))
     sums = stored("order_sums", order_sums({**{t: star[t] for t in ("fact_orders", "fact_payments", "dim_customers")}, "fact_reviews": reviews}))
-    return {"order_sums": sums, "fact_reviews": reviews, **{t: star[t] for t in ("fact_order_items", "dim_products")}}
+    cells = stored("order_cells", order_cells(sums))
+    return {"order_sums": sums, "order_cells": cells, "fact_reviews": reviews, **{t: star[t] for t in ("fact_order_items", "dim_products")}}
 
 
 def build_cube(star: Mapping[str, DataFrame], buckets: int = 64) -> dict[str, DataFrame]:
     """The cube's tables, lazily; ``star`` may be that of :func:`write_rows`. Orders
     without a year or a customer are in no cell, as the dashboard never shows them."""
     o = star["order_sums"] if "order_sums" in star else order_sums(star)
+    cells = star["order_cells"] if "order_cells" in star else order_cells(o)
     r = star["fact_reviews"].select("order_id", "review_score")
     place = o.select("order_id", *CELL)
-    seen, negative = F.greatest(F.coalesce("_reviews", F.lit(0)), F.lit(1)), F.coalesce("_negative", F.lit(0))
-    canceled, late = F.coalesce(F.col("order_status") == "canceled", F.lit(False)), F.coalesce(F.col("delay_days") > 0, F.lit(False))
     items = star["fact_order_items"].select("order_id", "product_id", "price")
     named = star["dim_products"].select("product_id", F.col("category_name_en").alias("category")).where("category IS NOT NULL")
+    # Dealt to all shuffle partitions: those put together by their compressed size
+    # hold millions of orders, whose groups by category do not fit in memory.
+    dealt = int(o.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sold = items.join(named, "product_id").repartition(dealt, "order_id")
     return {
-        "orders": o.groupBy(*CELL).agg(F.count(F.lit(1)).alias("_orders")),
-        "written": _sums(o, True, True),
-        "by_order": _sums(o, False, True),
-        "months": _sums(o, True, False, "order_yearmonth"),
-        "months_by_order": _sums(o, False, False, "order_yearmonth"),
+        "orders": cells.groupBy(*CELL).agg(F.sum("_orders").alias("_orders")),
+        "written": _sums(cells, "written"),
+        "by_order": _sums(cells, "by_order"),
+        "months": _sums(cells, "months", "order_yearmonth"),
+        "months_by_order": _sums(cells, "months_by_order", "order_yearmonth"),
         "scores": place.join(r, "order_id").groupBy(*CELL, "review_score").agg(F.count(F.lit(1)).alias("total")),
-        "incidents": o.groupBy(*CELL).agg(
-            F.sum(F.when(canceled, seen).otherwise(0)).alias("canceled"), F.sum(F.when(late, seen).otherwise(0)).alias("late"),
-            F.sum(negative).alias("negative_reviews"), F.sum(F.when(canceled | late, seen).otherwise(negative)).alias("_any"), F.sum(seen).alias("total")),
-        "categories": items.join(named, "product_id").join(place, "order_id").groupBy(*CELL, "category").agg(
+        "incidents": cells.groupBy(*CELL).agg(*[F.sum(c).alias(c) for c in ("canceled", "late", "negative_reviews", "_any", "total")]),
+        "categories": sold.join(place, "order_id").groupBy(*CELL, "category").agg(
             F.count_distinct("order_id").alias("orders"), F.sum("price").alias("_revenue"),
             F.sum((F.col("price") * 100).cast("bigint")).alias("_cents"), F.count("price").alias("_prices"), F.count(F.lit(1)).alias("items_sold")),
         "buyers": _buyer_bits(o, buckets),
     }
 
 
-def write_cube(spark: SparkSession, cube: Cube, path: str) -> dict[str, DataFrame]:
-    for name, df in cube.items():
-        df.write.mode("overwrite").parquet(os.path.join(path, name))
+def write_cube(spark: SparkSession, cube: Cube, path: str, parallel: int = 4) -> dict[str, DataFrame]:
+    """Write the cube's tables, up to ``parallel`` at a time, the largest first: the
+    small ones fill the cores that it leaves."""
+    def one(name: str) -> None:
+        cube[name].write.mode("overwrite").parquet(os.path.join(path, name))
+
+    with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+        list(pool.map(one, sorted(cube, key=lambda name: name != "categories")))
     return read_cube(spark, path)
 
 

@@ -95,3 +95,18 @@ def test_the_star_is_read_once(spark, tmp_path):
         assert name == "categories" or "o_orderkey" not in plan and "event_id" not in plan and "l_orderkey" not in plan, name
     bits = C.build_cube(rows)["buyers"]._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in bits[bits.index("bitmap_construct_agg"):bits.index("Window")], "a bitmap is shuffled"
+
+
+def test_the_orders_are_summed_once(spark, tmp_path):
+    """Six tables of the cube come from the stored cells, without a look at the orders."""
+    rows = C.write_rows(spark, build(spark, SF), str(tmp_path / "rows"))
+    built = C.build_cube(rows)
+    for name in ("orders", "written", "by_order", "months", "months_by_order", "incidents"):
+        plan = built[name]._jdf.queryExecution().optimizedPlan().toString()
+        assert "written_n" in plan and "_payments" not in plan and "customer_unique_id" not in plan, name
+
+
+def test_orders_of_the_categories_are_dealt_to_all_partitions(spark):
+    """What is put together by its compressed size has groups beyond a task's memory."""
+    plan = C.build_cube(build(spark, SF))["categories"]._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"hashpartitioning\(order_id#\d+L?, 4\), REPARTITION_BY_NUM", plan), plan
