@@ -111,3 +111,19 @@ def test_few_rows_with_many_places_are_not_broadcast(spark, monkeypatch):
     assert {r.doc_id: r.text for r in out.collect()} == {0: "same", 1: "", 2: ""}
     few = line_dedup.deduped(docs.where("doc_id < 2"))
     assert "broadcast" in few._jdf.queryExecution().logical().toString()
+
+
+def test_the_line_stage_is_compiled(spark, monkeypatch):
+    """The JVM compiles no method over 8000 bytes: each line would be interpreted."""
+    longest, saved = [], line_dedup.saved
+
+    def noted(df, tag):
+        if tag == "lines-each":
+            mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("codegen")
+            longest.append(max(map(int, re.findall(r"maxMethodCodeSize:(\d+)", df._jdf.queryExecution().explainString(mode)))))
+        return saved(df, tag)
+
+    monkeypatch.setattr(line_dedup, "saved", noted)
+    docs = documents(spark, [(1, "a line that is long enough to be compared", "s"), (2, "a line that is long enough to be compareD!", "s")])
+    assert got(line_dedup.line_report(docs)) == [(1, 1, 0, 0, []), (2, 1, 0, 1, [0])]
+    assert longest and longest[0] < 8000
